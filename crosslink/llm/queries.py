@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import token_orc
+from crosslink.llm import substring_dedup, token_orc
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,13 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_spans(token_orc.read_token_orc(spark, path))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substring_dedup.kept_texts(docs, 35).withColumn("kept_sha256", F.sha2("kept", 256))
+    return substring_dedup.with_kept(docs, kept, ["n_words", "n_removed", "kept_sha256"]).drop("text")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

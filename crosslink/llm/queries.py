@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import substring_dedup, token_orc
+from crosslink.llm import simhash, substring_dedup, token_orc
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,11 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_spans(token_orc.read_token_orc(spark, path))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import quality, simhash, substring_dedup, token_orc, toxicity
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,13 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_spans(token_orc.read_token_orc(spark, path))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.train(docs, table(spark, sf_dir, "labels"), per_class=1500)
+    return quality.score(docs, net, 0.3).drop("text")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3)

@@ -19,18 +19,19 @@ SLICE = 1 << 20
 
 
 def ngram_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of the lower-cased texts: feature number and text number of each place."""
+    """Hashed n-grams of the lower-cased texts, those that begin in a text: feature number and text number of each place."""
     lower = [f" {t.lower()} " for t in texts]
     points = np.frombuffer((GAP.join(lower) + GAP).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     of = np.repeat(np.arange(len(lower), dtype=np.int32), [len(t) + len(GAP) for t in lower])
     n, hashes = len(points) - max(SIZES) + 1, []
+    own = np.flatnonzero(np.tile([True, False], len(lower)).repeat([k for t in lower for k in (len(t), len(GAP))])[:n])
     run = points[:n]
     for k in range(1, max(SIZES)):
         run = run * np.uint64(0x9E3779B97F4A7C15) + points[k : k + n]
         if k + 1 in SIZES:
             mix = (run ^ (run >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * k)
-            hashes.append((mix >> np.uint64(64 - BITS)).astype(np.uint32))
-    return np.concatenate(hashes), np.tile(of[:n], len(hashes))
+            hashes.append((mix >> np.uint64(64 - BITS)).astype(np.uint32)[own])
+    return np.concatenate(hashes), np.tile(of[own], len(hashes))
 
 
 @dataclass

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, quality, simhash, substring_dedup, token_orc, toxicity
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +27,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, net, 0.3).drop("text")
 
 
+def op3_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return bpe_table.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, licenses, quality, simhash, substring_dedup, token_orc, toxicity
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -51,6 +51,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, 0.5).drop("text")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

@@ -1,13 +1,66 @@
-"""The corpus pipeline: stages that take (spark, docs, sf_dir) and return the documents they keep."""
+"""The corpus pipeline: stages that take (spark, docs, sf_dir) and return the documents they keep.
+
+Each stage is one operator of ``crosslink.llm``; what it returns is written as Parquet and read again as the next one's docs.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crosslink.llm import bpe_table, decontaminate, simhash, substring_dedup, toxicity
+from crosslink.llm.common import small_batches, table, written
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5; the model learns from labelled rows of ``docs``."""
+    small_batches(spark)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), per_class=3000)
+    return toxicity.score(docs, model, 0.5).filter("predicted = 0").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each SimHash component the document with the smallest id. Fingerprints of nothing (no words) are a group like any other."""
+    small_batches(spark)
+    return simhash.one_of_each(docs, 3)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated passages of 35 words and more; n_chars follows the text. Documents left without words stay, empty."""
+    small_batches(spark)
+    kept = substring_dedup.remove_repeats(docs, 35)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    small_batches(spark)
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"), 0.05)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document that is left."""
+    small_batches(spark)
+    return bpe_table.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near-duplicates", one_of_each_group),
+    ("substring dedup", without_repeats),
+    ("decontamination", without_benchmark),
+    ("BPE encoding and decoding", encoded),
+]
+
+#: Classifiers, fingerprints and tokenizers can't be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = written(docs, "stage")
     return docs

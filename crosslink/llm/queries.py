@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, licenses, nearest, quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, decontaminate, licenses, nearest, quality, simhash, substring_dedup, token_orc, toxicity
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,6 +32,11 @@ def op3_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_table.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.05)
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)

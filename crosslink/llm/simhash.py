@@ -187,3 +187,13 @@ def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = grouped.join(ids, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, unchanged; of rows with the same id one stays.
+
+    A component without any id keeps one row. The ids that stay are joined to ``docs`` on the id, so the texts move once.
+    """
+    ids = near_duplicates(docs, size).select(F.col("component_id").alias("__id")).distinct()
+    kept = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["doc_id"])

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, decontaminate, licenses, nearest, quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, decontaminate, licenses, nearest, preference, quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm.oracles import ORACLES
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -61,6 +62,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, 0.5).drop("text")
 
 
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.format_pairs(table(spark, sf_dir, "conversations"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -70,4 +75,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from crosslink.llm.common import slices, words_of, written
 from crosslink.llm.word_bpe import WordEncoder, worker_encoder
 
-IDS_AT_ONCE = 1 << 20
+IDS_AT_ONCE = 1 << 19
 
 
 def distinct_words(docs: DataFrame) -> DataFrame:
@@ -48,20 +48,24 @@ def word_table(docs: DataFrame, tokenizer: str, most: int = 200_000) -> DataFram
         coder = worker_encoder(tokenizer)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coder.ids_of(batch.column(0).to_pylist()), pa.binary())], names=["word", "ids"])
+            coder.forget()  # no word comes twice
 
     return words.filter(F.col("n") >= least if least else F.lit(False)).select("word").mapInArrow(encode, "word string, ids binary")
 
 
-_tables: dict[int, WordEncoder] = {}
+RARE_WORDS = 100_000
+_table_of: dict[str, int] = {}
 
 
 def _with_table(key: int, tokenizer: str, shared) -> WordEncoder:
-    """The worker's encoder with the broadcast table, made once for each broadcast."""
-    if key not in _tables:
-        _tables.clear()
+    """The worker's encoder with the broadcast table, which is taken in once for each broadcast."""
+    coder = worker_encoder(tokenizer, RARE_WORDS)
+    if _table_of.get(tokenizer) != key:
+        coder.forget()
         words = pa.ipc.open_stream(shared.value).read_all()
-        _tables[key] = WordEncoder(tokenizer, 200_000, dict(zip(words["word"].to_pylist(), words["ids"].to_pylist())))
-    return _tables[key]
+        coder.table = dict(zip(words["word"].to_pylist(), words["ids"].to_pylist()))
+        _table_of[tokenizer] = key
+    return coder
 
 
 def encode(docs: DataFrame, tokenizer: str, keep: list[str], most: int = 200_000) -> DataFrame:
@@ -85,7 +89,7 @@ def encode(docs: DataFrame, tokenizer: str, keep: list[str], most: int = 200_000
     def run(batches):
         coder = _with_table(key, tokenizer, shared)
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, "__text", 4 << 20):
                 counts, ids = coder.encode(batch.column(len(keep)))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.ListArray.from_arrays(offsets, pa.array(ids))], names=schema.names)

@@ -95,5 +95,8 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     if not total:
         return np.zeros(0, np.int64)
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    return np.repeat(starts - first, lengths) + np.arange(total)
+    kind = np.int32 if total + int(starts.max()) < 1 << 31 else np.int64
+    first = np.cumsum(lengths, dtype=kind) - lengths
+    out = np.repeat((starts - first).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out

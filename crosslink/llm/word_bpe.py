@@ -16,6 +16,7 @@ from crosslink.llm.common import ranges, words_of
 
 #: ASCII marks that can follow a word of letters and are then a piece of their own.
 MARKS = ".,;:!?|"
+AT_ONCE = 256
 
 
 class WordEncoder:
@@ -43,16 +44,23 @@ class WordEncoder:
             self.old, self.young = self.young, {}
         self.young[word] = ids
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def _plain(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        out: list[np.ndarray] = []
+        for i in range(0, len(words), AT_ONCE):  # the library's own results are large
+            out += [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(words[i : i + AT_ONCE], add_special_tokens=False)]
+        return out
 
     def _letters(self, words: list[str]) -> list[np.ndarray]:
         """Ids of words of letters only: each is one piece, so it ends at the only id with the mark of a word's end."""
         out: list[np.ndarray] = []
-        groups = [words[i : i + 64] for i in range(0, len(words), 64)]
-        for group, ids in zip(groups, self._plain([" ".join(g) for g in groups])):
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            out += np.split(ids, cuts[:-1]) if len(cuts) == len(group) else self._plain(group)
+        for i in range(0, len(words), 64 * AT_ONCE // 8):
+            groups = [words[k : k + 64] for k in range(i, min(len(words), i + 64 * AT_ONCE // 8), 64)]
+            for group, ids in zip(groups, self._plain([" ".join(g) for g in groups])):
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                out += np.split(ids, cuts[:-1]) if len(cuts) == len(group) else self._plain(group)
         return out
 
     def _known(self, word: str) -> bytes | None:
@@ -93,14 +101,20 @@ class WordEncoder:
         words, starts = words_of(texts)
         coded = words.dictionary_encode()
         ids = self.ids_of(coded.dictionary.to_pylist())
-        table, lengths = np.frombuffer(b"".join(ids), "<i4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        firsts, at = np.cumsum(lengths) - lengths, coded.indices.to_numpy()
+        table, lengths = np.frombuffer(b"".join(ids), "<i4"), np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        firsts, at = (np.cumsum(lengths) - lengths).astype(np.int32), coded.indices.to_numpy()
         each = lengths[at]
-        upto = np.concatenate([[0], np.cumsum(each)])
+        upto = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
         return np.diff(upto[starts]), table[ranges(firsts[at], each)]
 
 
 @functools.lru_cache(1)
-def worker_encoder(path: str) -> WordEncoder:
-    """One encoder for all tasks of a Python worker, so that its cache lasts."""
+def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
+
+
+def worker_encoder(path: str, cache_words: int = 300_000) -> WordEncoder:
+    """The one encoder of a Python worker, so that its tokenizer and cache serve all its tasks."""
+    coder = _encoder(path)
+    coder.most = cache_words
+    return coder

@@ -54,7 +54,7 @@ def header_class(text: Column, approved: Column, lines: int = 120) -> Column:
 def line_range(text: Column, first: int, last: int) -> Column:
     """Lines ``first`` to ``last`` (from 1), right-trimmed; null if the text has fewer lines."""
     lines = F.split(text, "\n")
-    return F.when(F.size(lines) >= last, F.array_join(F.transform(F.slice(lines, first, last - first + 1), F.rtrim), "\n"))
+    return F.when(F.size(lines) >= last, F.array_join(F.transform(F.slice(lines, first, last - first + 1), lambda x: F.rtrim(x)), "\n"))
 
 
 def missing_phrases(text: Column, phrases: list[str]) -> Column:

@@ -27,7 +27,7 @@ def relative(path, root: str):
 
 def whole_texts(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path, text of whole files."""
-    df = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root)
+    df = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     return df.select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("text"))
 
 

@@ -129,7 +129,8 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
     ranked = average_ranks(average_ranks(both, x, "__rx", by), y, "__ry", by)
     varies = (F.stddev_pop("__rx") > 0) & (F.stddev_pop("__ry") > 0)
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.when(varies, F.corr("__rx", "__ry")).alias("rho"))
+    rho = F.try_divide(F.covar_pop("__rx", "__ry"), F.stddev_pop("__rx") * F.stddev_pop("__ry"))
+    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.when(varies, rho).alias("rho"))
 
 
 def band_histogram(df: DataFrame, value: str, bad: str, bands: list[tuple[str, float, float]]) -> DataFrame:

@@ -141,3 +141,23 @@ def catalog_violations(tables: dict[str, DataFrame], keys: dict[str, list[str]],
         missing = dangling({target: (tables[name], c)}, {target: (tables[target], to)})
         parts.append(missing.select(F.lit(name).alias("asset"), F.lit(f"DANGLING_{c}".upper()).alias("code"), F.col("ref").alias("detail")))
     return reduce(DataFrame.unionByName, parts)
+
+
+def projection_closure(families: dict[str, tuple[DataFrame, list[str]]], terms: DataFrame, modules: DataFrame) -> DataFrame:
+    """asset, code, detail: axioms that name a term without an inventory row, come from a module that isn't listed, or repeat a (path, idx).
+
+    families: table with path and idx, and its term columns; terms: term; modules: path.
+    """
+    parts = []
+    for name, (df, columns) in families.items():
+        refs = reduce(DataFrame.unionByName, [df.select(F.col(c).cast("string").alias("detail")) for c in columns]).filter("detail is not null").distinct()
+        parts.append(refs.join(terms.select(F.col("term").cast("string").alias("detail")).distinct(), "detail", "left_anti").select(F.lit(name).alias("asset"), F.lit("UNKNOWN_TERM").alias("code"), "detail"))
+        paths = df.select(F.col("path").cast("string").alias("detail")).distinct()
+        parts.append(paths.join(modules.select(F.col("path").cast("string").alias("detail")).distinct(), "detail", "left_anti").select(F.lit(name).alias("asset"), F.lit("UNKNOWN_MODULE").alias("code"), "detail"))
+        parts.append(duplicate_keys(df, ["path", "idx"]).select(F.lit(name).alias("asset"), F.lit("DUPLICATE_AXIOM").alias("code"), F.concat_ws("#", "path", "idx").alias("detail")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def common_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that both runs have."""
+    return a.select(*keys).intersect(b.select(*keys))

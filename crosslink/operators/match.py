@@ -239,3 +239,15 @@ def audit_roles(slots: DataFrame, relations: DataFrame, types: DataFrame, constr
     out = out.join(needed, ["role", "type"], "left")
     applies = (F.col("role_status") == "exact_case_role") & (F.col("type_status") == "exact_current_source")
     return out.select(*slots.columns, "role_status", "type_status", F.when(applies, F.col("relation_status")).otherwise("not_applicable").alias("constraint_status"))
+
+
+def eligible_view(crosswalk: DataFrame) -> DataFrame:
+    """Rows that a runtime view may use: verified ones only."""
+    return crosswalk.filter("state = 'verified'")
+
+
+def view_receipt(crosswalk: DataFrame) -> DataFrame:
+    """source_key, rows, eligible, withheld; the last two add up to the first."""
+    n = lambda c: F.count_if(c).cast("long")
+    ok = F.coalesce(F.col("state") == "verified", F.lit(False))
+    return crosswalk.groupBy("source_key").agg(F.count("*").alias("rows"), n(ok).alias("eligible"), n(~ok).alias("withheld"))

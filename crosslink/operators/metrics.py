@@ -55,6 +55,22 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("asset"), "rows") for n, t in tables.items()])
 
 
+def source_coverage(projections: dict[str, tuple[DataFrame, DataFrame]], repaired: DataFrame | None = None) -> DataFrame:
+    """source, files, parsed, issues, repairs, complete for each source's files (path, parsed) and issues (path); repaired: source, path.
+
+    complete needs that each file is parsed or has an issue, and no file both.
+    """
+    parts = []
+    for name, (found, issues) in projections.items():
+        bad = issues.select("path").distinct().withColumn("__bad", F.lit(True))
+        f = found.join(bad, "path", "left").agg(F.count("*").alias("files"), n_if(F.col("parsed")).alias("parsed"), n_if(F.col("__bad")).alias("issues"), n_if(F.col("parsed") != F.coalesce("__bad", F.lit(False))).alias("__fine"))
+        parts.append(f.select(F.lit(name).alias("source"), "files", "parsed", "issues", (F.col("files") == F.col("__fine")).alias("complete")))
+    out = reduce(DataFrame.unionByName, parts)
+    repaired = out.select("source").filter("false") if repaired is None else repaired
+    n = repaired.groupBy("source").agg(F.count("*").alias("repairs"))
+    return out.join(n, "source", "left").select("source", "files", "parsed", "issues", F.coalesce("repairs", F.lit(0)).cast("long").alias("repairs"), "complete")
+
+
 def inventory_check(inventory_: DataFrame, evidence: DataFrame) -> DataFrame:
     """asset, selected, available, evidence, ok: selected must not exceed what is available, and both must equal the evidence table's."""
     e = evidence.select("asset", F.col("selected").alias("__s"), F.col("available").alias("__a"))
@@ -115,12 +131,25 @@ def window_features(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_pop(v).alias("std"), F.sqrt(F.avg(v * v)).alias("rms"))
 
 
-def average_ranks(df: DataFrame, value: str, out: str, by: list[str] | None = None) -> DataFrame:
-    """Ranks from 1, ties at their mean. Distinct values are ranked and joined back, so that the window holds one row a value."""
+def average_ranks(df: DataFrame, value: str, out: str, by: list[str] | None = None, parts: int = 64) -> DataFrame:
+    """Ranks from 1, ties at their mean. Distinct values are ranked and joined back, so that the window holds one row a value.
+
+    Without groups the values are cut at approximate quantiles into ``parts`` ranges, which are ranked side by side.
+    """
     by = by or []
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
-    below = F.coalesce(F.sum("__n").over(W.partitionBy(*by).orderBy(value).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranks = counts.withColumn(out, below + (F.col("__n") + 1) / 2).drop("__n")
+    upto = lambda *keys: F.coalesce(F.sum("__n").over(W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    if by:
+        below = upto(*by)
+    else:
+        cuts = counts.select(F.percentile_approx(value, [i / parts for i in range(1, parts)], 1000).alias("c")).first()["c"] or []
+        cuts = sorted(set(cuts))
+        counts = counts.withColumn("__part", sum(((F.col(value) > c).cast("int") for c in cuts), F.lit(0)))
+        sizes = dict(counts.groupBy("__part").agg(F.sum("__n")).collect())  # at most ``parts`` rows
+        before = {p: sum(n for q, n in sizes.items() if q < p) for p in sizes}
+        start = F.create_map(*[F.lit(x) for p in before for x in (p, before[p])]) if before else None
+        below = upto("__part") + (F.element_at(start, F.col("__part")) if before else F.lit(0))
+    ranks = counts.withColumn(out, below + (F.col("__n") + 1) / 2).drop("__n", "__part")
     return df.join(ranks, [*by, value])
 
 

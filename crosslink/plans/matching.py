@@ -277,3 +277,33 @@ def resolve_endpoints(t):
     k = F.col("o_orderkey")
     rel = t.orders.select(k.alias("relation_id"), F.col("o_custkey").alias("sub_id"), name(F.col("o_custkey")).alias("sub_name"), (k % 1000).alias("super_id"), F.when(k % 3 == 0, "other").otherwise(name(k % 1000)).alias("super_name"))
     return match.resolve_endpoints(rel, t.customer.filter("c_custkey % 50 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+
+
+@query(f"""WITH {MAPPINGS}, v AS (SELECT source_key, CASE WHEN identity_state = 'exact' AND length(source_id) % 3 = 0 THEN 'verified' ELSE state END AS state FROM cross_)
+SELECT source_key, count(*) AS rows, CAST(count_if(state = 'verified') AS BIGINT) AS eligible, CAST(count_if(state <> 'verified') AS BIGINT) AS withheld FROM v GROUP BY 1""")
+def eligible_view(t):
+    df = cross(t).withColumn("state", F.when((F.col("identity_state") == "exact") & (F.length("source_id") % 3 == 0), "verified").otherwise(F.col("state")))
+    return match.view_receipt(df)
+
+
+@query("""SELECT 'documents' AS source, count(*) AS files, CAST(count_if(n_chars % 9 <> 0) AS BIGINT) AS parsed, CAST(count_if(doc_id % 10 = 0 OR n_chars % 9 = 0) AS BIGINT) AS issues, CAST(count_if(doc_id % 50 = 0) AS BIGINT) AS repairs, count_if(doc_id % 10 = 0 AND n_chars % 9 <> 0) = 0 AS complete FROM documents
+UNION ALL SELECT 'pages', count(*), CAST(count_if(page_id % 4 > 0) AS BIGINT), CAST(count_if(page_id % 4 = 0) AS BIGINT), 0, true FROM pages""")
+def source_coverage(t):
+    docs = t.documents.select(F.col("doc_id").alias("path"), (F.col("n_chars") % 9 != 0).alias("parsed"))
+    pages = t.pages.select(F.col("page_id").alias("path"), (F.col("page_id") % 4 > 0).alias("parsed"))
+    repaired = t.documents.filter("doc_id % 50 = 0").select(F.lit("documents").alias("source"), F.col("doc_id").alias("path"))
+    return M.source_coverage({"documents": (docs, docs.filter("path % 10 = 0 or not parsed")), "pages": (pages, pages.filter("not parsed"))}, repaired)
+
+
+@query("""WITH a AS (SELECT l_orderkey AS path, l_linenumber AS idx, l_partkey AS child, l_suppkey AS parent FROM lineitem), t AS (SELECT p_partkey AS term FROM part WHERE p_partkey % 97 <> 0)
+SELECT 'line' AS asset, 'UNKNOWN_TERM' AS code, CAST(d AS VARCHAR) AS detail FROM (SELECT child AS d FROM a UNION SELECT parent FROM a) WHERE d NOT IN (SELECT term FROM t)
+UNION ALL SELECT 'line', 'UNKNOWN_MODULE', CAST(path AS VARCHAR) FROM (SELECT DISTINCT path FROM a) WHERE path NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 101 <> 0)
+UNION ALL SELECT 'line', 'DUPLICATE_AXIOM', path || '#' || idx FROM a GROUP BY path, idx HAVING count(*) > 1""")
+def projection_closed(t):
+    axioms = t.lineitem.select(F.col("l_orderkey").alias("path"), F.col("l_linenumber").alias("idx"), F.col("l_partkey").alias("child"), F.col("l_suppkey").alias("parent"))
+    return checks.projection_closure({"line": (axioms, ["child", "parent"])}, t.part.filter("p_partkey % 97 <> 0").select(F.col("p_partkey").alias("term")), t.orders.filter("o_orderkey % 101 <> 0").select(F.col("o_orderkey").alias("path")))
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity < 10 INTERSECT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 40")
+def common_keys(t):
+    return checks.common_keys(t.lineitem.filter("l_quantity < 10"), t.lineitem.filter("l_quantity > 40"), ["l_orderkey", "l_linenumber"])

@@ -95,11 +95,11 @@ def seeded_sample(t):
     return Wn.seeded_sample(t.customer, "c_custkey", "7", 50).select("c_custkey")
 
 
-@query("""SELECT p_partkey, round(rank() OVER (ORDER BY p_size) + (count(*) OVER (PARTITION BY p_size) - 1) / 2, 1) AS r FROM part""")
+@query("""SELECT o_orderkey, round(rank() OVER (ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY o_totalprice) - 1) / 2, 1) AS r FROM orders""")
 def rank_average(t):
     from crosslink.operators.metrics import average_ranks
 
-    return average_ranks(t.part, "p_size", "r").select("p_partkey", F.round("r", 1).alias("r"))
+    return average_ranks(t.orders, "o_totalprice", "r").select("o_orderkey", F.round("r", 1).alias("r"))
 
 
 @query()

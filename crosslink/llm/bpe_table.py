@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,58 @@ def _with_table(key: int, tokenizer: str, shared) -> WordEncoder:
     return coder
 
 
+def encode_batches(batches, coder: WordEncoder, keep: int, names: list[str]):
+    """The first ``keep`` columns and the ids of the text, which is the next column."""
+    for whole in batches:
+        for batch in slices(whole, "__text", 4 << 20):
+            counts, ids = coder.encode(batch.column(keep))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], pa.ListArray.from_arrays(offsets, pa.array(ids))], names=names)
+
+
+def decode_batches(batches, table: pa.Array, at: int, names: list[str]):
+    """All columns and the text of the ids in column ``at``."""
+    for whole in batches:
+        ends, start = np.cumsum(pc.fill_null(pc.list_value_length(whole.column(at)), 0).to_numpy()), 0
+        while start < whole.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + IDS_AT_ONCE, side="right")))
+            batch = whole.slice(start, stop - start)
+            n, texts = joined(batch.column(at), table)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=names)
+            start = stop
+
+
+def joined(lists: pa.Array, table: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many ids each list has, and the table's strings for them, one blank between; ids without a string are left out."""
+    ids = lists.flatten()
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    inside = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(table))), False)
+    found = table.take(pc.if_else(inside, ids, None))
+    known = found.is_valid()
+    upto = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))])[np.concatenate([[0], np.cumsum(n)])]
+    return n, pc.binary_join(pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), found.drop_null()), " ")
+
+
+def digest_batches(batches, digits: pa.Array, names: list[str]):
+    """From doc_id, tokens, decoded: the id, the number of ids and both digests."""
+    hexes = lambda texts: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in texts])
+    for batch in batches:
+        n, text = joined(batch.column(1), digits)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), hexes(text), hexes(batch.column(2))], names=names)
+
+
+def _prepared(docs: DataFrame, tokenizer: str, keep: list[str], most: int):
+    """Columns ``keep`` with the text as __text, and the function that gives a task its encoder."""
+    table = word_table(docs, tokenizer, most).toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    shared = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    key = hash((shared._jbroadcast.id(), docs.sparkSession.sparkContext.applicationId))
+    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias("__text"))
+    return chosen, lambda: _with_table(key, tokenizer, shared)
+
+
 def encode(docs: DataFrame, tokenizer: str, keep: list[str], most: int = 200_000) -> DataFrame:
     """Columns ``keep`` of ``docs`` (no text needed among them) and tokens, array<int>: the ids of the whole text.
 
@@ -76,25 +129,11 @@ def encode(docs: DataFrame, tokenizer: str, keep: list[str], most: int = 200_000
     library's without special tokens. Null and blank texts have no ids; rows are independent of each other, repeated or not.
     A column called tokens is replaced. An empty table gives no rows.
     """
-    table = word_table(docs, tokenizer, most).toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    shared = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    key = hash((shared._jbroadcast.id(), docs.sparkSession.sparkContext.applicationId))
     keep = [c for c in keep if c != "tokens"]
-    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias("__text"))
+    chosen, coder = _prepared(docs, tokenizer, keep, most)
     schema = chosen.drop("__text").schema.add("tokens", T.ArrayType(T.IntegerType()))
-
-    def run(batches):
-        coder = _with_table(key, tokenizer, shared)
-        for whole in batches:
-            for batch in slices(whole, "__text", 4 << 20):
-                counts, ids = coder.encode(batch.column(len(keep)))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.ListArray.from_arrays(offsets, pa.array(ids))], names=schema.names)
-
-    return chosen.mapInArrow(run, schema)
+    n, names = len(keep), schema.names
+    return chosen.mapInArrow(lambda batches: encode_batches(batches, coder(), n, names), schema)
 
 
 @functools.lru_cache(1)
@@ -116,30 +155,21 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """
     encoded = encoded.drop("decoded")
     schema, at = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]), encoded.columns.index("tokens")
+    names = schema.names
+    return encoded.mapInArrow(lambda batches: decode_batches(batches, pieces(tokenizer), at, names), schema)
+
+
+def digests(docs: DataFrame, tokenizer: str, most: int = 200_000) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, encoded and decoded.
+
+    Encoding, decoding and digests follow each other in one Python worker, batch by batch, so that a task holds one block only.
+    """
+    chosen, coder = _prepared(docs, tokenizer, ["doc_id"], most)
 
     def run(batches):
+        tokens = encode_batches(batches, coder(), 1, ["doc_id", "tokens"])
         table = pieces(tokenizer)
-        for whole in batches:
-            ends, start = np.cumsum(pc.fill_null(pc.list_value_length(whole.column(at)), 0).to_numpy()), 0
-            while start < whole.num_rows:
-                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + IDS_AT_ONCE, side="right")))
-                batch = whole.slice(start, stop - start)
-                lists = batch.column(at)
-                ids = lists.flatten()
-                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-                inside = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(table))), False)
-                found = table.take(pc.if_else(inside, ids, None))
-                known = found.is_valid()
-                upto = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))])[np.concatenate([[0], np.cumsum(n)])]
-                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), found.drop_null()), " ")
-                yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)
-                start = stop
-
-    return encoded.mapInArrow(run, schema)
-
+        digits = pa.array([str(i) for i in range(len(table))])
+        return digest_batches(decode_batches(tokens, table, 1, ["doc_id", "tokens", "decoded"]), digits, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-def digests(docs: DataFrame, tokenizer: str, most: int = 200_000) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, encoded and decoded."""
-    both = decode(encode(docs, tokenizer, ["doc_id"], most), tokenizer)
-    joined = F.array_join(F.col("tokens").cast("array<string>"), " ")
-    return both.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return chosen.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -192,8 +192,11 @@ def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
 def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
     """The rows of ``docs`` whose id is their component's, unchanged; of rows with the same id one stays.
 
-    A component without any id keeps one row. The ids that stay are joined to ``docs`` on the id, so the texts move once.
+    All components without any id keep one row together. The ids that stay are joined to ``docs`` on the id, so each text moves once.
     """
-    ids = near_duplicates(docs, size).select(F.col("component_id").alias("__id")).distinct()
-    kept = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    kind = docs.schema["doc_id"].dataType
+    ids = near_duplicates(docs, size).select(F.col("component_id").cast(kind).alias("doc_id")).distinct()
+    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    some = F.broadcast(ids.filter("doc_id is null").select(F.lit(1).alias("__some")))  # one row at most
+    without = docs.filter("doc_id is null").crossJoin(some).drop("__some").dropDuplicates(["doc_id"])
+    return kept.unionByName(without)

@@ -81,3 +81,10 @@ def test_components(spark):
 
 def test_empty(spark):
     assert S.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_one_of_each(spark):
+    docs = spark.createDataFrame([(3, "a b c d", "x"), (1, "a b c d", "y"), (1, "a b c d", "z"), (None, "a b c d", "n"), (None, "q r s", "m"), (None, "q r s", "m"), (7, "t u v w x", "k")], "doc_id int, text string, component_id string")
+    got = S.one_of_each(docs)
+    assert got.columns == docs.columns and sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == [(False, 1), (False, 7), (True, 0)]
+    assert {r.text for r in got.filter("doc_id is null").collect()} <= {"q r s", "a b c d"}

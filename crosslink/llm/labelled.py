@@ -26,5 +26,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     # at most 2 x per_class ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").toArrow()
-    rows = sorted(zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist(), rows["label"].to_pylist()))
-    return [t.encode() for _, t, _ in rows], [y for *_, y in rows], prior
+    rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "text", "label")])
+    return [x.as_buffer().to_pybytes() for x in rows["text"]], rows["label"].to_pylist(), prior

@@ -57,14 +57,15 @@ def fit(texts: list[bytes], labels: list[int], prior: float, features: int = 327
     y = np.array(labels, np.float64)
     if len(set(labels)) < 2:
         return Model(np.zeros(1 << BITS, np.float32), prior)
-    counts, sets = np.zeros((2, 1 << BITS)), []
+    counts, sets = np.zeros((2, 1 << BITS), np.int32), []
     for text, label in zip(texts, labels):
         found = np.unique(ngram_features([text.decode()])[0])
         counts[label, found] += 1
     n = np.array([(y == 0).sum(), (y == 1).sum()])
-    share = (counts + 0.5) / (n[:, None] + 1)
+    share = (counts.astype(np.float32) + np.float32(0.5)) / (n[:, None] + 1).astype(np.float32)
     ratio = np.log(share[1]) - np.log(share[0])
     told = np.abs(share[1] - share[0]) / np.sqrt(share.mean(axis=0)) * (counts.sum(axis=0) >= 3)
+    del counts, share
     kept = np.argsort(-told, kind="stable")[:features]
     kept = np.sort(kept[told[kept] > 0])
     place = np.full(1 << BITS, -1, np.int32)
@@ -72,17 +73,22 @@ def fit(texts: list[bytes], labels: list[int], prior: float, features: int = 327
     for text in texts:
         found = place[np.unique(ngram_features([text.decode()])[0])]
         sets.append(found[found >= 0])
-    column, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    scale = ratio[kept]
-    value = scale[column]
+    scale = ratio[kept].astype(np.float32)
+    del place, told, ratio
+    blocks = []  # of 256 texts: features, texts, values
+    for a in range(0, len(sets), 256):
+        some = sets[a : a + 256]
+        column = np.concatenate(some)
+        blocks.append((column, np.repeat(np.arange(a, a + len(some), dtype=np.int32), [len(s) for s in some]), scale[column]))
+        sets[a : a + 256] = [None] * len(some)
     # each class weighs the same here; penalised logistic regression by Nesterov's method
     weight = np.where(y == 1, 0.5 / n[1], 0.5 / n[0])
-    step = 4 / (np.bincount(column, value**2 * weight[row], len(kept)).sum() + 1 / len(y))
+    step = 4 / (sum(float((v**2 * weight[r]).sum()) for _, r, v in blocks) + 1 / len(y))
     w, ahead, bias, bias_ahead = np.zeros(len(kept)), np.zeros(len(kept)), 0.0, 0.0
     for k in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * ahead[column], len(y)) + bias_ahead, -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip(sum(np.bincount(r, v * ahead[c], len(y)) for c, r, v in blocks) + bias_ahead, -500, 500)))
         off = (p - y) * weight
-        gradient = np.bincount(column, value * off[row], len(kept)) + penalty * 1e-4 * ahead
+        gradient = sum(np.bincount(c, v * off[r], len(kept)) for c, r, v in blocks) + penalty * 1e-4 * ahead
         new, new_bias, speed = ahead - step * gradient, bias_ahead - 4 * off.sum(), k / (k + 3)
         ahead, bias_ahead = new + speed * (new - w), new_bias + speed * (new_bias - bias)
         w, bias = new, new_bias

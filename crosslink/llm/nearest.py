@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import ranges, written
+from crosslink.llm.common import written
 
 SEED = 20240531
-WIDEN = 1.08
+START = 1.3
+WIDEN = 1.07
 
 
 def usable(embedding: str = "embedding") -> Column:
@@ -42,9 +43,8 @@ def candidates(points: np.ndarray, queries: np.ndarray, least: int, projections:
     p, q = points @ a, queries @ a
     order = np.argsort(p, axis=0, kind="stable").T.copy()
     ordered = np.take_along_axis(p, order.T, 0).T.copy()
-    flat, base = order.ravel(), np.arange(projections) * n
     need, enough = math.ceil(threshold * projections), min(n, max(least, math.ceil(share * n)))
-    half = 0.5 * math.sqrt(float((p**2).mean()) or 1.0)
+    half = START * math.sqrt(float((p**2).mean()) or 1.0)
     active, counts = np.arange(len(q)), np.zeros((len(q), n), np.int16)
     old_low = old_high = np.stack([np.searchsorted(ordered[j], q[:, j]) for j in range(projections)], axis=1)
     while len(active):
@@ -52,9 +52,9 @@ def candidates(points: np.ndarray, queries: np.ndarray, least: int, projections:
         high = np.stack([np.searchsorted(ordered[j], q[active, j] + half, side="right") for j in range(projections)], axis=1)
         stay = []
         for k, i in enumerate(active):
-            first = np.concatenate([low[k] + base, old_high[k] + base])
-            length = np.concatenate([old_low[k] - low[k], high[k] - old_high[k]])
-            counts[i] += np.bincount(flat[ranges(first, length)], minlength=n).astype(np.int16)
+            edges = zip(order, low[k].tolist(), old_low[k].tolist(), old_high[k].tolist(), high[k].tolist())
+            fresh = np.concatenate([part for ids, a, b, c, d in edges for part in (ids[a:b], ids[c:d])])
+            counts[i] += np.bincount(fresh, minlength=n).astype(np.int16)
             found = np.flatnonzero(counts[i] >= need)
             if len(found) >= enough:
                 yield i, found
@@ -63,7 +63,7 @@ def candidates(points: np.ndarray, queries: np.ndarray, least: int, projections:
         active, old_low, old_high, half = active[stay], low[stay], high[stay], half * WIDEN
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 64, threshold: float = 0.81, share: float = 0.1, shard: int = 8192, block: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 64, threshold: float = 0.81, share: float = 0.08, shard: int = 8192, block: int = 4096) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row of ``queries`` the ``k`` rows of ``vectors`` of largest inner product found.
 
     Both have vec_id and embedding; rows with the query's own vec_id are no candidates. Ties go to the smaller vec_id. Vectors

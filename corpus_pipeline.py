@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, decontaminate, simhash, substring_dedup, toxicity
+from crosslink.llm import bpe_table, decontaminate, near_copies, substring_dedup, toxicity
 from crosslink.llm.common import small_batches, table, written
 
 
@@ -21,9 +21,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id. Fingerprints of nothing (no words) are a group like any other."""
+    """Of documents that chains of near copies connect (sets of five-word shingles, Jaccard 0.8 and more) the one with the smallest id. Texts without words are a group like any other."""
     small_batches(spark)
-    return simhash.one_of_each(docs, 3)
+    return near_copies.one_of_each(docs, 5, 0.8)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handled in slices of about this many UTF-8 bytes (a slice holds one text at least).
@@ -59,6 +59,22 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def row_keys() -> list[Column]:
+    """k1, k2: hashes of doc_id and of text, never null. Rows that agree in both are copies of one row."""
+    return [F.xxhash64("doc_id").alias("k1"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")]
+
+
+def one_row_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each root of ``groups`` (k1, k2, doc_id, root; a row for each row of ``docs``) one row of ``docs``, unchanged: that of the smallest id, nulls last.
+
+    The rows that stay are joined by both keys, so each text moves once and rows with null or repeated ids stay apart.
+    """
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("least")
+    kept = groups.groupBy("root").agg(least).select(F.col("least.k1").alias("__k1"), F.col("least.k2").alias("__k2"))
+    own = docs.select("*", *[k.alias(f"__{c}") for k, c in zip(row_keys(), ("k1", "k2"))])
+    return own.join(kept, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+
+
 def plain_strings(column: pa.Array) -> pa.Array:
     """As string (not large_string), nulls as empty."""
     if column.type != pa.string():

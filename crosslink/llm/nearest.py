@@ -1,9 +1,10 @@
 """Nearest neighbours by collision counting over sorted single projections.
 
-Largest inner product is least distance after one more component makes all vectors equally long. Vectors lie in shards; a
-shard sorts its vectors by each of ``projections`` random directions. A query opens a window around its own place in every
+Largest inner product is least distance after one more component makes all vectors equally long. That component must stay
+small for collisions to rank, so a shard is cut into bands of similar norm, each with its own length; queries are scaled to it.
+Vectors lie in shards; each band sorts its vectors by each of ``projections`` random directions. A query opens a window around its own place in every
 sorted array and widens all of them step by step (virtual rehashing). A vector that lies in enough windows is a candidate; once
-a share of the shard are candidates, all of them are verified by their inner product. Queries go against shards in blocks.
+a share of the band are candidates, all of them are verified by their inner product. Queries go against shards in blocks.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from crosslink.llm.common import written
 SEED = 20240531
 START = 1.3
 WIDEN = 1.07
+#: The longest vector of a band is at most this many times as long as its shortest.
+BAND = 1.1
 
 
 def usable(embedding: str = "embedding") -> Column:
@@ -63,7 +66,22 @@ def candidates(points: np.ndarray, queries: np.ndarray, least: int, projections:
         active, old_low, old_high, half = active[stay], low[stay], high[stay], half * WIDEN
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 64, threshold: float = 0.81, share: float = 0.08, shard: int = 8192, block: int = 4096) -> DataFrame:
+def norms(x: np.ndarray) -> np.ndarray:
+    largest = np.abs(x).max(axis=1)
+    return largest * np.sqrt(((x / largest[:, None]) ** 2).sum(axis=1))
+
+
+def bands(length: np.ndarray) -> list[np.ndarray]:
+    """The places of lengths within a factor ``BAND`` of each other, from the longest down."""
+    order, out = np.argsort(-length, kind="stable"), []
+    while len(order):
+        n = int(np.searchsorted(-length[order], -length[order[0]] / BAND, side="right"))
+        out.append(order[:n])
+        order = order[n:]
+    return out
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: int = 64, threshold: float = 0.81, share: float = 0.1, shard: int = 8192, block: int = 4096) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row of ``queries`` the ``k`` rows of ``vectors`` of largest inner product found.
 
     Both have vec_id and embedding; rows with the query's own vec_id are no candidates. Ties go to the smaller vec_id. Vectors
@@ -73,9 +91,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: in
     """
     clean = lambda df: df.filter(usable() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     vectors, queries = clean(vectors), clean(queries)
-    lengths = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("most"))
+    lengths = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
     best = lengths.orderBy(F.desc("n"), "dim").first()
-    dim, longest = (best["dim"], best["most"]) if best else (1, 1.0)
+    dim = best["dim"] if best else 1
     vectors, queries = vectors.filter(F.size("embedding") == dim), queries.filter(F.size("embedding") == dim).distinct()
     shards, blocks = (max(1, -(-x // y)) for x, y in ((best["n"] if best else 0, shard), (queries.count(), block)))
     spread = lambda n: F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)).cast("int")
@@ -86,12 +104,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, projections: in
     def search(points: pa.Table, asked: pa.Table) -> pa.Table:
         matrix = lambda t: t["embedding"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, dim)
         x, q, ids, own = matrix(points), matrix(asked), points["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
-        more = np.sqrt(np.maximum(longest - (x**2).sum(axis=1), 0))
-        out = []
+        out, least = [], 10 * k + 1
         if len(x) and len(q):
+            length, asked_length = norms(x), norms(q)
+            few, many = [], []
+            for band in bands(length):
+                if len(band) <= least:
+                    few.append(band)  # all of them are verified
+                else:
+                    unit = x[band] / length[band[0]]
+                    many.append((band, np.column_stack([unit, np.sqrt(np.maximum(1 - (unit**2).sum(axis=1), 0))])))
             for a in range(0, len(q), 256):
                 part = q[a : a + 256]
-                for i, found in candidates(np.column_stack([x, more]), np.column_stack([part, np.zeros(len(part))]), 10 * k + 1, projections, threshold, share):
+                scaled = np.column_stack([part / asked_length[a : a + 256, None], np.zeros(len(part))])
+                met = [list(few) for _ in part]
+                for band, points in many:
+                    for i, found in candidates(points, scaled, least, projections, threshold, share):
+                        met[i].append(band[found])
+                for i, parts in enumerate(met):
+                    found = np.concatenate(parts)
                     found = found[ids[found] != own[a + i]]
                     score = (x[found] * part[i]).sum(axis=1)
                     chosen = np.lexsort((ids[found], -score))[:k]

@@ -50,3 +50,20 @@ def test_odd_vectors(spark):
     got = [tuple(r) for r in N.nearest(df, df.filter("vec_id % 20 = 0")).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 20, 2.0), (0, 2, 20, 2.0), (0, 3, 21, -1.0), (20, 1, 21, 3.0), (20, 2, 0, 2.0)]
     assert N.nearest(df.filter("false"), df.filter("false")).count() == 0
+
+
+def test_uneven_norms(spark):
+    r = np.random.default_rng(11)
+    unit = r.standard_normal((8192, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    one = np.ones((8192, 1))
+    one[5] = 3
+    for norm in (one, np.exp(0.25 * r.standard_normal((8192, 1)))):
+        x = unit * norm
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        want, got = exact(np.arange(8192), x, range(0, 8192, 128), 20), {}
+        for y in N.nearest(df, df.filter("vec_id % 128 = 0")).collect():
+            got.setdefault(y.query_id, set()).add(y.vec_id)
+        recall = np.mean([len(got[q] & {v for v, _ in want[q]}) / 20 for q in want])
+        print("recall", recall)
+        assert recall >= 0.9

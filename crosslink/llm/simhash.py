@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import partitions, slices, words_of, written
+from crosslink.llm.common import one_row_of_each, partitions, row_keys, slices, words_of, written
 from crosslink.llm.components import components
 
 DIFFER = 3
@@ -55,16 +55,16 @@ def majority(hashes: np.ndarray, per_text: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, fp (64 bits as a long) of every whole text; null and blank texts have fingerprint zero."""
+    """k1, k2 (see ``row_keys``), doc_id, fp (64 bits as a long) of every whole text; null and blank texts have fingerprint zero."""
 
     def compute(batches):
         for whole in batches:
             for batch in slices(whole, most=SLICE):
-                fp = majority(*shingle_hashes(batch.column(1), size))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                fp = majority(*shingle_hashes(batch.column(3), size))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fp.view(np.int64))], names=["k1", "k2", "doc_id", "fp"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(compute, "doc_id long, fp long")
+    texts = docs.select(*row_keys(), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(compute, "k1 long, k2 long, doc_id long, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -180,23 +180,20 @@ def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
     one shingle; null and blank texts have fingerprint zero, which is linked like any other. Rows with the same doc_id or
     text stay separate rows; null ids are never a component's id unless it has no other. Other columns are left out.
     """
+    classes = classified(docs, size)
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def classified(docs: DataFrame, size: int) -> DataFrame:
+    """k1, k2, doc_id, fp, root (a fingerprint of the component) and component_id of each row of ``docs``."""
     prints = written(fingerprints(docs, size), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(fingerprint_links(distinct.select("fp")))
     grouped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = grouped.join(ids, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(grouped.join(ids, "root").select("fp", "root", "component_id"), "fp")
 
 
 def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, unchanged; of rows with the same id one stays.
-
-    All components without any id keep one row together. The ids that stay are joined to ``docs`` on the id, so each text moves once.
-    """
-    kind = docs.schema["doc_id"].dataType
-    ids = near_duplicates(docs, size).select(F.col("component_id").cast(kind).alias("doc_id")).distinct()
-    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    some = F.broadcast(ids.filter("doc_id is null").select(F.lit(1).alias("__some")))  # one row at most
-    without = docs.filter("doc_id is null").crossJoin(some).drop("__some").dropDuplicates(["doc_id"])
-    return kept.unionByName(without)
+    """Of each component the row with the smallest id, unchanged; rows without id stay only where no other row of the component has one."""
+    return one_row_of_each(docs, classified(docs, size))

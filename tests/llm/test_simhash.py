@@ -88,3 +88,12 @@ def test_one_of_each(spark):
     got = S.one_of_each(docs)
     assert got.columns == docs.columns and sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == [(False, 1), (False, 7), (True, 0)]
     assert {r.text for r in got.filter("doc_id is null").collect()} <= {"q r s", "a b c d"}
+
+
+def test_one_of_each_null_and_repeated_ids(spark):
+    r = random.Random(4)
+    texts = [" ".join(f"w{r.randrange(9999)}" for _ in range(30)) for _ in range(12)]
+    rows = [(None, t) for t in texts[:6] for _ in range(2)] + [(1, t) for t in texts[6:10]] + [(2, texts[10]), (None, texts[10]), (None, None), (3, "")]
+    got = S.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, t) for t in texts[:6]] + [(1, t) for t in texts[6:10]] + [(2, texts[10]), (3, "")]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

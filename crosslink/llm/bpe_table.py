@@ -4,78 +4,147 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslink.llm.common import slices, words_of, written
-from crosslink.llm.word_bpe import WordEncoder, worker_encoder
+from crosslink.llm.common import partitions, words_of, written
+from crosslink.llm.word_bpe import MARKS, Words, worker_encoder
 
 IDS_AT_ONCE = 1 << 19
+#: Texts of a block hold about this many bytes (a block holds one text at least).
+BLOCK_BYTES = 16 << 20
 
 
-def distinct_words(docs: DataFrame) -> DataFrame:
-    """word, n: each distinct white-space word of all texts and how often it occurs; counted within tasks before the shuffle."""
+def gathered(batches: Iterator[pa.RecordBatch], text: int, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in blocks whose texts (column ``text``) hold about ``most`` bytes, so that few words stand in many blocks."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64)) if batch.num_rows else np.zeros(0, np.int64)
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = int(np.searchsorted(ends, done + most - size, side="right"))
+            to = max(to, at + (0 if held else 1))
+            if to > at:
+                held.append(batch.slice(at, to - at))
+                size += int(ends[to - 1]) - done
+            if to < batch.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            at = to
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def coded_blocks(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
+    """The texts as word numbers, and the distinct words of each block; one written table with two kinds of rows.
+
+    A block is some texts of one task. Rows without bucket: block, the columns ``keep`` as k0, k1, ... and codes, the numbers of the
+    text's words in the block, in their order. Rows with a bucket: block, first, words: the block's distinct words of that bucket,
+    which have the numbers first, first + 1, ... The bucket of a word is a hash of it without trailing marks.
+    """
+    chosen = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce("text", F.lit("")).alias("text"), F.spark_partition_id().alias("part"))
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("first", T.IntegerType()), *chosen.schema.fields[: len(keep)]])
+    schema = schema.add("codes", T.ArrayType(T.IntegerType())).add("words", T.ArrayType(T.StringType()))
+    at, names = len(keep), schema.names
+
+    def code(batches):
+        for number, batch in enumerate(gathered(batches, at)):
+            block = (batch.column(at + 1)[0].as_py() << 32) + number
+            words, starts = words_of(batch.column(at))
+            coded = words.dictionary_encode()
+            distinct = coded.dictionary
+            bucket = (pd.util.hash_array(pc.utf8_rtrim(distinct, MARKS).to_numpy(zero_copy_only=False), categorize=False) % np.uint64(buckets)).astype(np.int32) if len(distinct) else np.zeros(0, np.int32)
+            order = np.argsort(bucket, kind="stable")
+            number_of = np.empty(len(order), np.int32)
+            number_of[order] = np.arange(len(order), dtype=np.int32)
+            codes = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(number_of[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)))
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), *batch.columns[:at], codes, pa.nulls(n, pa.list_(pa.string()))], names=names)
+            if len(order):
+                sizes = np.bincount(bucket, minlength=buckets)
+                some = np.flatnonzero(sizes)
+                ends = np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), distinct.take(pa.array(order)))
+                m = len(some)
+                none = [pa.nulls(m, c.type) for c in batch.columns[:at]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), pa.array(some.astype(np.int32)), pa.array(ends[:-1]), *none, pa.nulls(m, codes.type), lists], names=names)
+
+    return written(chosen.mapInArrow(code, schema), "coded-blocks")
+
+
+def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
+    """words (block, bucket, first, words) -> block, first, n, ids: the ids of each word, ``n`` each, one after another.
+
+    All rows of a bucket meet in one group, so each distinct word is encoded once in the whole corpus; a word comes once from each
+    block, however often it stands there, so a frequent word is no hot key. A bucket's size falls with the number of buckets.
+    """
 
-    def count(batches):
-        for whole in batches:
-            for batch in slices(whole):
-                counted = pc.value_counts(words_of(batch.column(0))[0])
-                yield pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], names=["word", "n"])
+    def encode(rows: pa.Table) -> pa.Table:
+        coder, lists = worker_encoder(tokenizer), rows["words"].combine_chunks()
+        coded = lists.flatten().dictionary_encode()
+        n, ids = coder.of_words(coded.dictionary, coder.encode_words).take(coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(n)])[ends]
+        return pa.table({"block": rows["block"], "first": rows["first"], "n": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(n.astype(np.int32))), "ids": pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))})
 
-    words = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "word string, n long")
-    return words.groupBy("word").agg(F.sum("n").alias("n"))
+    return words.groupBy("bucket").applyInArrow(encode, "block long, first int, n array<int>, ids array<int>")
 
 
-def word_table(docs: DataFrame, tokenizer: str, most: int = 200_000) -> DataFrame:
-    """word, ids (little-endian int32 bytes) of the words that occur at least c times, c the least number that leaves ``most`` words at most.
+def joined_back(docs: DataFrame, tokenizer: str, keep: list[str], finish: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``finish`` over batches of the columns ``keep`` and tokens, where ids are joined to the words of each text by block and position."""
+    coded = coded_blocks(docs, keep, partitions(docs.sparkSession))
+    places = coded.filter("bucket is null").select("block", *[f"k{i}" for i in range(len(keep))], "codes")
+    ids = word_ids(coded.filter("bucket is not null").select("block", "bucket", "first", "words"), tokenizer)
+    size = len(keep)
 
-    Each word is encoded once. The bound makes the table fit for a broadcast at any corpus size.
-    """
-    words = written(distinct_words(docs), "distinct-words")
-    per_count = words.groupBy("n").count().orderBy(F.desc("n")).limit(most + 1).collect()  # at most one row for each table word
-    least, total = None, 0
-    for row in per_count:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["n"]
+    def join(texts: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.sort_by("first")
+        flat = lambda c: found[c].combine_chunks().flatten().to_numpy() if found.num_rows else np.zeros(0, np.int32)
+        table = Words(None, flat("n").astype(np.int64), flat("ids"))
 
-    def encode(batches):
-        coder = worker_encoder(tokenizer)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coder.ids_of(batch.column(0).to_pylist()), pa.binary())], names=["word", "ids"])
-            coder.forget()  # no word comes twice
+        def batches():
+            for batch in texts.combine_chunks().to_batches():
+                lists = batch.column(size + 1)
+                n = pc.list_value_length(lists).to_numpy()
+                each, ids = table.take(lists.flatten().to_numpy())
+                upto = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(n)])]
+                yield pa.RecordBatch.from_arrays([*batch.columns[1 : size + 1], pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))], names=[*keep, "tokens"])
 
-    return words.filter(F.col("n") >= least if least else F.lit(False)).select("word").mapInArrow(encode, "word string, ids binary")
+        return pa.Table.from_batches(list(finish(batches())))  # a block has one text at least
 
+    return places.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join, schema)
 
-RARE_WORDS = 100_000
-_table_of: dict[str, int] = {}
 
+def encode(docs: DataFrame, tokenizer: str, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (no text needed among them) and tokens, array<int>: the ids of the whole text.
 
-def _with_table(key: int, tokenizer: str, shared) -> WordEncoder:
-    """The worker's encoder with the broadcast table, which is taken in once for each broadcast."""
-    coder = worker_encoder(tokenizer, RARE_WORDS)
-    if _table_of.get(tokenizer) != key:
-        coder.forget()
-        words = pa.ipc.open_stream(shared.value).read_all()
-        coder.table = dict(zip(words["word"].to_pylist(), words["ids"].to_pylist()))
-        _table_of[tokenizer] = key
-    return coder
+    Texts are split into words in the tasks that read them; each distinct word of the corpus is encoded once, and the ids are
+    joined back to the words by block and position. The ids equal the tokenizers library's without special tokens. Null and
+    blank texts have no ids; rows are independent of each other, repeated or not. A column called tokens is replaced. An empty
+    table gives no rows.
+    """
+    keep = [c for c in keep if c != "tokens"]
+    schema = T.StructType([*[docs.select(F.col(f"`{c}`")).schema[0] for c in keep], T.StructField("tokens", T.ArrayType(T.IntegerType()))])
+    return joined_back(docs, tokenizer, keep, lambda batches: batches, schema)
 
 
-def encode_batches(batches, coder: WordEncoder, keep: int, names: list[str]):
-    """The first ``keep`` columns and the ids of the text, which is the next column."""
-    for whole in batches:
-        for batch in slices(whole, "__text", 4 << 20):
-            counts, ids = coder.encode(batch.column(keep))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], pa.ListArray.from_arrays(offsets, pa.array(ids))], names=names)
+@functools.lru_cache(1)
+def pieces(tokenizer: str) -> pa.Array:
+    """id -> piece; null where the vocabulary has a gap."""
+    vocabulary = worker_encoder(tokenizer).tokenizer.get_vocab(with_added_tokens=True)
+    out: list[str | None] = [None] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        out[i] = piece
+    return pa.array(out)
 
 
 def decode_batches(batches, table: pa.Array, at: int, names: list[str]):
@@ -103,55 +172,18 @@ def joined(lists: pa.Array, table: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 def digest_batches(batches, digits: pa.Array, names: list[str]):
     """From doc_id, tokens, decoded: the id, the number of ids and both digests."""
-    hexes = lambda texts: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in texts])
+    hexes = lambda texts: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in texts], pa.string())
     for batch in batches:
         n, text = joined(batch.column(1), digits)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), hexes(text), hexes(batch.column(2))], names=names)
 
 
-def _prepared(docs: DataFrame, tokenizer: str, keep: list[str], most: int):
-    """Columns ``keep`` with the text as __text, and the function that gives a task its encoder."""
-    table = word_table(docs, tokenizer, most).toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    shared = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    key = hash((shared._jbroadcast.id(), docs.sparkSession.sparkContext.applicationId))
-    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce("text", F.lit("")).alias("__text"))
-    return chosen, lambda: _with_table(key, tokenizer, shared)
-
-
-def encode(docs: DataFrame, tokenizer: str, keep: list[str], most: int = 200_000) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (no text needed among them) and tokens, array<int>: the ids of the whole text.
-
-    Each text becomes a row of word numbers in its block; ids are joined to them by position from the table of distinct
-    words, and from the worker's own encoder for the rare words that a bounded table can't hold. The ids equal the tokenizers
-    library's without special tokens. Null and blank texts have no ids; rows are independent of each other, repeated or not.
-    A column called tokens is replaced. An empty table gives no rows.
-    """
-    keep = [c for c in keep if c != "tokens"]
-    chosen, coder = _prepared(docs, tokenizer, keep, most)
-    schema = chosen.drop("__text").schema.add("tokens", T.ArrayType(T.IntegerType()))
-    n, names = len(keep), schema.names
-    return chosen.mapInArrow(lambda batches: encode_batches(batches, coder(), n, names), schema)
-
-
-@functools.lru_cache(1)
-def pieces(tokenizer: str) -> pa.Array:
-    """id -> piece; null where the vocabulary has a gap."""
-    coder = worker_encoder(tokenizer)
-    vocabulary = coder.tokenizer.get_vocab(with_added_tokens=True)
-    out: list[str | None] = [None] * (max(vocabulary.values()) + 1)
-    for piece, i in vocabulary.items():
-        out[i] = piece
-    return pa.array(out)
-
-
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``encoded`` with decoded, string: the pieces of tokens, special ones too, as the tokenizers library joins them.
 
-    The table from id to piece has the size of the vocabulary and is joined within each task. Ids outside the vocabulary and
-    null ids are left out; a null array and an empty one give an empty text. A column called decoded is replaced.
+    The table from id to piece has the size of the vocabulary, so each worker holds it and joins by id in place: no id is shuffled.
+    Ids outside the vocabulary and null ids are left out; a null array and an empty one give an empty text. A column called
+    decoded is replaced.
     """
     encoded = encoded.drop("decoded")
     schema, at = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]), encoded.columns.index("tokens")
@@ -159,17 +191,16 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return encoded.mapInArrow(lambda batches: decode_batches(batches, pieces(tokenizer), at, names), schema)
 
 
-def digests(docs: DataFrame, tokenizer: str, most: int = 200_000) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, encoded and decoded.
+def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, encoded and decoded; see ``encode`` and ``decode``.
 
-    Encoding, decoding and digests follow each other in one Python worker, batch by batch, so that a task holds one block only.
+    Ids, decoded text and digests follow each other within a block, so that neither ids nor texts are shuffled.
     """
-    chosen, coder = _prepared(docs, tokenizer, ["doc_id"], most)
 
-    def run(batches):
-        tokens = encode_batches(batches, coder(), 1, ["doc_id", "tokens"])
+    def finish(batches):
         table = pieces(tokenizer)
         digits = pa.array([str(i) for i in range(len(table))])
-        return digest_batches(decode_batches(tokens, table, 1, ["doc_id", "tokens", "decoded"]), digits, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return digest_batches(decode_batches(batches, table, 1, ["doc_id", "tokens", "decoded"]), digits, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return chosen.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = T.StructType().add("doc_id", "long").add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    return joined_back(docs.withColumn("doc_id", F.col("doc_id").cast("long")), tokenizer, ["doc_id"], finish, schema)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crosslink.scratch import remove, remove_at_end, scratch, write, written  # noqa: F401
+
 #: Texts are handled in slices of about this many UTF-8 bytes (a slice holds one text at least).
 SLICE_BYTES = 8 << 20
 
@@ -21,30 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the folder that the cluster shares (spark.checkpoint.dir); set only where it is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or (spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None) if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-crosslink-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` into the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-crosslink-"))
-    return df.checkpoint()
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and read again: lineage ends here and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows in an Arrow batch, so that a batch of long texts stays small. Call before building a plan with Arrow functions."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

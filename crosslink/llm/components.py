@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import written
+from crosslink.llm.common import remove, write
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     table in the shared folder. Null ends and loops are left out; no links give no rows.
     """
     now = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v and u is not null and v is not null").distinct()
-    now, before = written(now, "links"), None
+    (now, path), before = write(now, "links"), None
     for _ in range(most_rounds):
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before:
@@ -31,7 +31,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = _least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v")
-        now = written(small.distinct(), "links")
+        (now, new), old = write(small.distinct(), "links"), path
+        path = new
+        remove(links.sparkSession, old)
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

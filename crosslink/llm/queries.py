@@ -17,7 +17,7 @@ END_ID = 2
 def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     path = scratch(spark, "token-orc")
-    token_orc.write_token_orc(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    token_orc.write_token_orc(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID, temporary=True)
     return token_orc.token_spans(token_orc.read_token_orc(spark, path))
 
 

@@ -7,9 +7,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import partitions, slices
+from crosslink.llm.common import partitions, remove_at_end, slices
 from crosslink.llm.word_bpe import worker_encoder
 
 #: part: number of the sorted part; at: ids of the same part before this document; tokens: the document's ids, end id included.
@@ -44,16 +45,18 @@ def encode_sorted(docs: DataFrame, tokenizer: str, end_id: int, parts: int | Non
     return dealt.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(encode, SCHEMA)
 
 
-def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int, parts: int | None = None, stripe_mb: int = 16, bloom_fpp: float = 0.01) -> None:
+def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int, parts: int | None = None, stripe_mb: int = 16, bloom_fpp: float = 0.01, temporary: bool = False) -> None:
     """Writes ``encode_sorted`` as ORC under ``path``, one file for each range of doc_id.
 
     A file's integers are run-length encoded in stripes of about ``stripe_mb``, which readers take in parallel; row indexes and
-    the Bloom filter let a reader skip stripes and row groups without a wanted doc_id.
+    the Bloom filter let a reader skip stripes and row groups without a wanted doc_id. ``temporary`` files go when the session ends.
     """
     writer = encode_sorted(docs, tokenizer, end_id, parts).write.option("compression", "zstd")
     for key, value in {"orc.stripe.size": stripe_mb << 20, "orc.row.index.stride": 1000, "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": bloom_fpp}.items():
         writer = writer.option(key, str(value))
     writer.orc(path)
+    if temporary:
+        remove_at_end(docs.sparkSession, path)
 
 
 def read_token_orc(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
@@ -65,11 +68,10 @@ def read_token_orc(spark: SparkSession, path: str, doc_ids: list[int] | None = N
 def token_spans(tokens: DataFrame) -> DataFrame:
     """From read files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    The sum of each part is one row; their running sum is a join on the part.
+    The ids of each part are one row; their running sum is a window over these rows, one for each file and not each document.
     """
     sizes = tokens.groupBy("part").agg(F.sum("n_tokens").alias("size"))
-    # one row for each file, not each document
-    before = sizes.join(sizes.select(F.col("part").alias("p"), F.col("size").alias("s")), F.col("p") < F.col("part"), "left").groupBy("part").agg(F.coalesce(F.sum("s"), F.lit(0)).alias("base"))
+    before = sizes.select("part", (F.sum("size").over(W.orderBy("part")) - F.col("size")).alias("base"))
 
     def checksums(batches):
         for batch in batches:
@@ -79,4 +81,4 @@ def token_spans(tokens: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], names=["doc_id", "part", "at", "n_tokens", "ids_crc32"])
 
     summed = tokens.select("doc_id", "part", "at", "n_tokens", "tokens").mapInArrow(checksums, "doc_id long, part int, at long, n_tokens long, ids_crc32 long")
-    return summed.join(F.broadcast(before), "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return summed.join(before, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -12,21 +12,37 @@ def test_equals_library(spark, sf_dir):
     docs = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, tokens string")
     want, t = plain(texts), Tokenizer.from_file(PATH)
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-    for most in (200_000, 300, 0):
-        encoded = B.encode(docs, PATH, ["doc_id", "text", "tokens"], most)
-        got = {r.doc_id: r for r in B.decode(encoded, PATH).collect()}
-        assert [got[i].tokens for i in range(len(texts))] == want
-        assert [got[i].decoded for i in range(len(texts))] == [t.decode(x, skip_special_tokens=False) for x in want]
+    encoded = B.encode(docs, PATH, ["doc_id", "text", "tokens"])
+    got = {r.doc_id: r for r in B.decode(encoded, PATH).collect()}
+    assert [got[i].tokens for i in range(len(texts))] == want
+    assert [got[i].decoded for i in range(len(texts))] == [t.decode(x, skip_special_tokens=False) for x in want]
     got = {r.doc_id: r for r in B.digests(docs, PATH).collect()}
     assert all(got[i][1:] == (len(x), sha(" ".join(map(str, x))), sha(t.decode(x, skip_special_tokens=False))) for i, x in enumerate(want))
 
 
-def test_table_is_bounded(spark):
-    docs = spark.createDataFrame([("a a a b b c d",), ("a b e",), (None,)], "text string")
-    words = {r.word: r.n for r in B.distinct_words(docs).collect()}
-    assert words == {"a": 4, "b": 3, "c": 1, "d": 1, "e": 1}
-    for most, kept in ((0, set()), (1, {"a"}), (2, {"a", "b"}), (4, {"a", "b"}), (5, set("abcde"))):
-        assert {r.word for r in B.word_table(docs, PATH, most).collect()} == kept
+def test_each_word_once(spark):
+    docs = spark.createDataFrame([(1, "a a, a b b c d"), (2, "a b e,"), (3, None), (4, " ")], "doc_id long, text string").repartition(3)
+    coded = B.coded_blocks(docs, ["doc_id"], 4)
+    words = coded.filter("bucket is not null")
+    rows = words.collect()
+    buckets = {}
+    for r in rows:
+        for w in r.words:
+            buckets.setdefault(w.rstrip(","), set()).add(r.bucket)
+    assert set(buckets) == set("abcde") and all(len(b) == 1 for b in buckets.values())  # so a word meets itself in one group
+    assert len({(r.block, w) for r in rows for w in r.words}) == sum(len(r.words) for r in rows)
+    assert {r.k0: len(r.codes) for r in coded.filter("bucket is null").collect()} == {1: 7, 2: 3, 3: 0, 4: 0}
+
+
+def test_blocks_of_any_size():
+    import pyarrow as pa
+
+    texts = ["x" * n for n in (5, 0, 30, 1, 1, 1, 12, 9)] + [None]
+    batches = pa.Table.from_pydict({"t": pa.array(texts, pa.string())}).to_batches(max_chunksize=2)
+    for most in (1, 10, 40, 1000):
+        blocks = [b.column(0).to_pylist() for b in B.gathered(iter(batches), 0, most)]
+        assert [t for b in blocks for t in b] == texts and all(len(b) == 1 or sum(len(t or "") for t in b) <= most for b in blocks)
+    assert list(B.gathered(iter([]), 0)) == []
 
 
 def test_decode_odd_ids(spark):

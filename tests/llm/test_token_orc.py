@@ -49,3 +49,41 @@ def test_orc_empty(spark):
     path = scratch(spark, "t")
     token_orc.write_token_orc(spark.createDataFrame([], "doc_id long, text string"), path, PATH, 2)
     assert token_orc.token_spans(token_orc.read_token_orc(spark, path)).count() == 0
+
+
+def test_letters_that_fall_apart():
+    """Letters that the tokenizer composes or lower-cases into a letter and a mark, before each sign; and random Unicode."""
+    import random
+
+    r = random.Random(7)
+    odd = ["İ", "ड़", "ড়", "שׁ", "ਫ਼", "གྷ", "ΑΣ", "ŉ", "ﬁ", "e\u0301", "²", "٣", "が", "\u200b", "𝐀", "<|endoftext|>"]
+    plane = lambda: chr(r.choice([r.randrange(0x20, 0x600), r.randrange(0x600, 0xD800), r.randrange(0xE000, 0x1FFFF)]))
+    sign = lambda: r.choice([r.choice("abcXYZ"), r.choice("  \n"), r.choice(".,;:!?|'"), r.choice(odd), plane()])
+    texts = [a + m + b for a in odd for m in ".,;:!?|" for b in ("", "x", m)] + ["".join(sign() for _ in range(r.randrange(30))) for _ in range(10000)]
+    coder = WordEncoder(PATH, cache_words=1000)
+    for i in range(0, len(texts), 500):
+        part = texts[i : i + 500]
+        assert split(*coder.encode(pa.array(part))) == plain(part)
+
+
+def test_files_have_indexes_and_skip(spark):
+    """The row index and the Bloom filter stand in the files, and a reader with doc ids takes few rows in."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    docs = spark.range(20000).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    path = scratch(spark, "t")
+    token_orc.write_token_orc(docs, path, PATH, 2, parts=2)
+    files = sorted(glob.glob(path.removeprefix("file:") + "/*.orc"))
+    assert len(files) == 2
+    jvm = spark._jvm.org.apache
+    reader = jvm.orc.OrcFile.createReader(jvm.hadoop.fs.Path(files[0]), jvm.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+    assert reader.getRowIndexStride() == 1000
+    kinds = {str(s.getKind()) for s in reader.rows().readStripeFooter(reader.getStripes()[0]).getStreamsList()}
+    assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= kinds
+    for wanted, rows, most in ((10, 1, 1024), (11, 0, 0)):  # 11 lies between two ids, so only the Bloom filter can tell
+        df = token_orc.read_token_orc(spark, path, [wanted])
+        assert len(df.collect()) == rows
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numOutputRows").value() <= most  # of 20,000 rows

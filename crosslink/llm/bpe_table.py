@@ -44,84 +44,95 @@ def gathered(batches: Iterator[pa.RecordBatch], text: int, most: int = BLOCK_BYT
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def packed(columns: dict) -> bytes:
+    """Columns as a compressed Arrow stream."""
+    table, sink = pa.table(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(data.as_buffer()).read_all().combine_chunks()
+
+
 def coded_blocks(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
-    """The texts as word numbers, and the distinct words of each block; one written table with two kinds of rows.
+    """block, bucket, data: the texts as word numbers, and the distinct words of each block; one written table with two kinds of rows.
 
-    A block is some texts of one task. Rows without bucket: block, the columns ``keep`` as k0, k1, ... and codes, the numbers of the
-    text's words in the block, in their order. Rows with a bucket: block, first, words: the block's distinct words of that bucket,
-    which have the numbers first, first + 1, ... The bucket of a word is a hash of it without trailing marks.
+    A block is some texts of one task; its words are numbered from the most frequent one on, so that numbers pack well. Row without
+    bucket, one for each block: the columns ``keep`` and codes (the numbers of the text's words, in their order), and place (of each
+    number, where the word stands when the block's words are put one bucket after another). Rows with a bucket: the block's
+    distinct words of that bucket. The bucket of a word is a hash of it without trailing marks.
     """
     chosen = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce("text", F.lit("")).alias("text"), F.spark_partition_id().alias("part"))
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("first", T.IntegerType()), *chosen.schema.fields[: len(keep)]])
-    schema = schema.add("codes", T.ArrayType(T.IntegerType())).add("words", T.ArrayType(T.StringType()))
-    at, names = len(keep), schema.names
+    at = len(keep)
 
     def code(batches):
         for number, batch in enumerate(gathered(batches, at)):
             block = (batch.column(at + 1)[0].as_py() << 32) + number
             words, starts = words_of(batch.column(at))
             coded = words.dictionary_encode()
-            distinct = coded.dictionary
+            indices, distinct = coded.indices.to_numpy(), coded.dictionary
+            rank = np.empty(len(distinct), np.int32)
+            rank[np.argsort(-np.bincount(indices, minlength=len(distinct)), kind="stable")] = np.arange(len(distinct), dtype=np.int32)
             bucket = (pd.util.hash_array(pc.utf8_rtrim(distinct, MARKS).to_numpy(zero_copy_only=False), categorize=False) % np.uint64(buckets)).astype(np.int32) if len(distinct) else np.zeros(0, np.int32)
             order = np.argsort(bucket, kind="stable")
-            number_of = np.empty(len(order), np.int32)
-            number_of[order] = np.arange(len(order), dtype=np.int32)
-            codes = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(number_of[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)))
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), *batch.columns[:at], codes, pa.nulls(n, pa.list_(pa.string()))], names=names)
-            if len(order):
-                sizes = np.bincount(bucket, minlength=buckets)
-                some = np.flatnonzero(sizes)
-                ends = np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), distinct.take(pa.array(order)))
-                m = len(some)
-                none = [pa.nulls(m, c.type) for c in batch.columns[:at]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), pa.array(some.astype(np.int32)), pa.array(ends[:-1]), *none, pa.nulls(m, codes.type), lists], names=names)
-
-    return written(chosen.mapInArrow(code, schema), "coded-blocks")
+            place = np.empty(len(order), np.int32)
+            place[rank[order]] = np.arange(len(order), dtype=np.int32)
+            codes = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(rank[indices]))
+            texts = packed({"data": [packed({**{f"k{i}": batch.column(i) for i in range(at)}, "codes": codes}), packed({"place": place})]})
+            sizes = np.bincount(bucket, minlength=buckets)
+            ends, sorted_words = np.cumsum(sizes), distinct.take(pa.array(order))
+            some = np.flatnonzero(sizes)
+            data = [texts, *[packed({"words": sorted_words.slice(ends[b] - sizes[b], sizes[b])}) for b in some.tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(data), block)), pa.array([None, *some.tolist()], pa.int32()), pa.array(data, pa.binary())], names=["block", "bucket", "data"])
+
+    return written(chosen.mapInArrow(code, "block long, bucket int, data binary"), "coded-blocks")
 
 
 def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
-    """words (block, bucket, first, words) -> block, first, n, ids: the ids of each word, ``n`` each, one after another.
+    """Rows with a bucket of ``coded_blocks`` -> block, bucket, data: how many ids each word has, and all ids.
 
     All rows of a bucket meet in one group, so each distinct word is encoded once in the whole corpus; a word comes once from each
     block, however often it stands there, so a frequent word is no hot key. A bucket's size falls with the number of buckets.
     """
 
     def encode(rows: pa.Table) -> pa.Table:
-        coder, lists = worker_encoder(tokenizer), rows["words"].combine_chunks()
-        coded = lists.flatten().dictionary_encode()
+        coder = worker_encoder(tokenizer)
+        lists = [unpacked(x)["words"].combine_chunks() for x in rows["data"]]
+        coded = pa.concat_arrays(lists).dictionary_encode()
         n, ids = coder.of_words(coded.dictionary, coder.encode_words).take(coded.indices.to_numpy())
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
+        ends = np.cumsum([0, *map(len, lists)])
         upto = np.concatenate([[0], np.cumsum(n)])[ends]
-        return pa.table({"block": rows["block"], "first": rows["first"], "n": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(n.astype(np.int32))), "ids": pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))})
+        data = [packed({"found": [packed({"n": n[a:b].astype(np.int32)}), packed({"ids": ids[c:d]})]}) for a, b, c, d in zip(ends[:-1], ends[1:], upto[:-1], upto[1:])]
+        return pa.table({"block": rows["block"], "bucket": rows["bucket"], "data": pa.array(data, pa.binary())})
 
-    return words.groupBy("bucket").applyInArrow(encode, "block long, first int, n array<int>, ids array<int>")
+    return words.groupBy("bucket").applyInArrow(encode, "block long, bucket int, data binary")
 
 
 def joined_back(docs: DataFrame, tokenizer: str, keep: list[str], finish: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     """``finish`` over batches of the columns ``keep`` and tokens, where ids are joined to the words of each text by block and position."""
     coded = coded_blocks(docs, keep, partitions(docs.sparkSession))
-    places = coded.filter("bucket is null").select("block", *[f"k{i}" for i in range(len(keep))], "codes")
-    ids = word_ids(coded.filter("bucket is not null").select("block", "bucket", "first", "words"), tokenizer)
-    size = len(keep)
+    ids, size = word_ids(coded.filter("bucket is not null"), tokenizer), len(keep)
 
     def join(texts: pa.Table, found: pa.Table) -> pa.Table:
-        found = found.sort_by("first")
-        flat = lambda c: found[c].combine_chunks().flatten().to_numpy() if found.num_rows else np.zeros(0, np.int32)
-        table = Words(None, flat("n").astype(np.int64), flat("ids"))
+        parts = [unpacked(x)["found"] for x in found.sort_by("bucket")["data"]]
+        flat = lambda i, c: np.concatenate([unpacked(p[i])[c].to_numpy() for p in parts]) if parts else np.zeros(0, np.int32)
+        table = Words(None, flat(0, "n").astype(np.int64), flat(1, "ids"))
 
         def batches():
-            for batch in texts.combine_chunks().to_batches():
-                lists = batch.column(size + 1)
-                n = pc.list_value_length(lists).to_numpy()
-                each, ids = table.take(lists.flatten().to_numpy())
-                upto = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(n)])]
-                yield pa.RecordBatch.from_arrays([*batch.columns[1 : size + 1], pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))], names=[*keep, "tokens"])
+            for row in texts["data"]:
+                rows, place = (unpacked(x) for x in unpacked(row)["data"])
+                place = place["place"].to_numpy()
+                for batch in rows.to_batches(max_chunksize=1000):
+                    lists = batch.column(size)
+                    each, ids = table.take(place[lists.flatten().to_numpy()])
+                    upto = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:size], pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))], names=[*keep, "tokens"])
 
         return pa.Table.from_batches(list(finish(batches())))  # a block has one text at least
 
-    return places.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join, schema)
+    return coded.filter("bucket is null").groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join, schema)
 
 
 def encode(docs: DataFrame, tokenizer: str, keep: list[str]) -> DataFrame:

@@ -1,10 +1,13 @@
 """SimHash fingerprints and their links, found in a hierarchical index in Gray order.
 
-Index: the upper nodes are masked bit patterns that fingerprints share. Two fingerprints that differ in at most ``DIFFER``
-bits agree on one of four masks of 16 bits, so a top node holds all links that its mask explains. Nodes with many
-fingerprints get four children each, with masks that fix 12 and then 9 more bits. Below a node its fingerprints stand in
-Gray order in leaves of ``LEAF``; a leaf keeps the bits that its members share, and a leaf with more than ``DIFFER``
-differences there is passed over as a whole.
+Dealing: two fingerprints that differ in at most ``DIFFER`` bits agree on one of four masks of 16 bits, so fingerprints that
+agree there meet in a group. Groups with many fingerprints get four children each, with masks that fix 12, 9, 7, ... more bits,
+until a group can't hold more than it may.
+
+Index of a group: its fingerprints stand in Gray order, ``FAN`` neighbours make a node, ``FAN`` nodes one of the next level, up to
+the root. The bits that all fingerprints below a node share are factored into it, those that a node above has excepted. A search
+goes down all levels at once and adds up the differences to the patterns on the way; a node with more than ``DIFFER`` is passed
+over with all below it, as is a node whose fingerprints are all in the searching one's component already.
 """
 
 from __future__ import annotations
@@ -23,7 +26,8 @@ from crosslink.llm.common import one_row_of_each, partitions, row_keys, slices,
 from crosslink.llm.components import components
 
 DIFFER = 3
-LEAF = 32
+FAN = 8
+STEP = 512
 SMALL = 16
 SLICE = 2 << 20
 
@@ -74,42 +78,94 @@ def gray_rank(fp: Column) -> Column:
     return fp
 
 
+#: Groups of more fingerprints than this go to their children; the last masks leave 14 bits free at most, so no group there has more.
+MOST = 20_000
+
+
 @functools.cache
 def masks() -> tuple[tuple[int, ...], ...]:
-    """By level: the masks of the upper nodes; the children of mask i are 4 i to 4 i + 3 of the next level."""
+    """By level: the masks of the groups; the children of mask i are 4 i to 4 i + 3 of the next level."""
 
     def cut(free: list[int]) -> list[list[int]]:
         return [[int(b) for b in x] for x in np.array_split(free, DIFFER + 1)]
 
     levels: list[list[list[int]]] = [cut(list(range(64)))]
-    for _ in range(2):
+    while min(map(len, levels[-1])) < 64 - 14:
         levels.append([bits + more for bits in levels[-1] for more in cut([b for b in range(64) if b not in bits])])
     signed = lambda bits: (m := sum(1 << b for b in bits)) - (1 << 64 if m >> 63 else 0)
     return tuple(tuple(signed(bits) for bits in level) for level in levels)
 
 
+class GrayIndex:
+    """x: fingerprints in Gray order. ``levels``, from the root down to the fingerprints: of each node the bits factored into it and their values."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, ones, zeros, up = x, x, ~x, []
+        while True:
+            up.append((ones, zeros))
+            if len(ones) == 1:
+                break
+            at = np.arange(0, len(ones), FAN)
+            ones, zeros = np.bitwise_and.reduceat(ones, at), np.bitwise_and.reduceat(zeros, at)
+        self.levels, above = [], np.zeros(1, np.uint64)
+        for ones, zeros in reversed(up):
+            shared = ones | zeros
+            if self.levels:
+                above = np.repeat(above, FAN)[: len(ones)]
+            self.levels.append((shared & ~above, ones))
+            above = shared
+        self.pruned = self.met = 0
+
+    def search(self, queries: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, fingerprint; numbers in x) that differ in at most ``DIFFER`` bits and have other labels."""
+        least, largest = [label], [label]
+        while len(least[-1]) > 1:
+            at = np.arange(0, len(least[-1]), FAN)
+            least.append(np.minimum.reduceat(least[-1], at))
+            largest.append(np.maximum.reduceat(largest[-1], at))
+        q, node, differ = queries, np.zeros(len(queries), np.int64), np.zeros(len(queries), np.int64)
+        for depth, (mask, value) in enumerate(self.levels):
+            if depth:
+                q, differ = np.repeat(q, FAN), np.repeat(differ, FAN)
+                node = (node[:, None] * FAN + np.arange(FAN)).ravel()
+                inside = node < len(mask)
+                q, node, differ = q[inside], node[inside], differ[inside]
+            differ = differ + np.bitwise_count((self.x[q] ^ value[node]) & mask[node])
+            low, high = least[-1 - depth][node], largest[-1 - depth][node]
+            go = (differ <= DIFFER) & ~((low == high) & (low == label[q]))
+            self.met += len(go)
+            self.pruned += int(len(go) - go.sum())
+            q, node, differ = q[go], node[go], differ[go]
+        return q, node
+
+
 def links_in_node(x: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is linked within a node: x, fingerprints in Gray order; at most one link fewer than fingerprints."""
-    n = len(x)
-    at = np.arange(0, n, LEAF)
-    ones, zeros = np.bitwise_and.reduceat(x, at), np.bitwise_and.reduceat(~x, at)
-    shared = ones | zeros
-    new, out = np.ones(n, bool), []
-    for root in range(n):
-        if not new[root]:
-            continue
-        new[root] = False
-        stack = [root]
-        while stack:
-            u = stack.pop()
-            near = np.flatnonzero(np.bitwise_count((ones ^ x[u]) & shared) <= DIFFER)
-            some = (near[:, None] * LEAF + np.arange(LEAF)).ravel()
-            some = some[some < n]
-            some = some[new[some]]
-            some = some[np.bitwise_count(x[some] ^ x[u]) <= DIFFER]
-            new[some] = False
-            out += [(u, int(v)) for v in some]
-            stack += some.tolist()
+    """Links that connect what is linked within a group: x, fingerprints in Gray order; fewer links than fingerprints."""
+    index, label, out = GrayIndex(x), np.arange(len(x)), []
+    root = label.tolist()
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    def join(u: np.ndarray, v: np.ndarray) -> None:
+        for a, b in zip(u.tolist(), v.tolist()):
+            i, j = find(a), find(b)
+            if i != j:
+                root[max(i, j)] = min(i, j)
+                out.append((a, b))
+
+    for lag in (1, 2, 4):  # what stands close together in Gray order
+        i = np.flatnonzero(np.bitwise_count(x[lag:] ^ x[:-lag]) <= DIFFER)
+        join(i, i + lag)
+    changed = True
+    for a in range(0, len(x), STEP):
+        label = np.array([find(i) for i in range(len(x))]) if changed else label
+        u, v = index.search(np.arange(a, min(len(x), a + STEP)), label)
+        _, one = np.unique(label[u] * len(x) + label[v], return_index=True)  # one pair for each two components
+        changed = len(one) > 0
+        join(u[one], v[one])
     return out
 
 
@@ -149,10 +205,10 @@ def links_of_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield links(*(np.concatenate(c) for c in zip(*held)))
 
 
-def fingerprint_links(distinct: DataFrame, most: int = 20_000) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, most: int = MOST) -> DataFrame:
     """distinct (fp) -> u, v: enough links of at most ``DIFFER`` bits to connect all fingerprints that links connect.
 
-    Nodes of more than ``most`` fingerprints go to their children; at the last level 37 bits are fixed.
+    Groups of more than ``most`` fingerprints go to their children, down to the last masks, which fix 50 bits at least.
     """
     found, entries = None, distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("mask"))
     for level, values in enumerate(masks()):

@@ -97,3 +97,37 @@ def test_one_of_each_null_and_repeated_ids(spark):
     got = S.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = [(None, t) for t in texts[:6]] + [(1, t) for t in texts[6:10]] + [(2, texts[10]), (3, "")]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_index_prunes_and_adds_up():
+    """Patterns are factored: no bit stands twice on a way down, all 64 do; the search equals brute force and passes most groups over."""
+    r = np.random.default_rng(3)
+    centres = r.integers(0, 1 << 63, 60, dtype=np.uint64)
+    x = np.unique(np.concatenate([centres, *[centres ^ (np.uint64(1) << r.integers(0, 64, 60).astype(np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 60).astype(np.uint64)) for _ in range(40)]]))
+    rank = x.copy()
+    for k in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(k)
+    x = x[np.argsort(rank)]
+    index = S.GrayIndex(x)
+    assert len(index.levels) == 5  # 8, 64, 512, 4096 and the root
+    for i in range(len(x)):
+        way = [int(mask[i // S.FAN ** (len(index.levels) - 1 - depth)]) for depth, (mask, _) in enumerate(index.levels)]
+        assert sum(way) == (1 << 64) - 1 and sum(m.bit_count() for m in way) == 64
+    u, v = index.search(np.arange(len(x)), np.arange(len(x)))
+    a, b = np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 3)
+    assert {(i, j) for i, j in zip(u.tolist(), v.tolist())} == {(i, j) for i, j in zip(a.tolist(), b.tolist()) if i != j}
+    assert index.met < 0.25 * len(x) ** 2 and index.pruned > 0.7 * index.met
+    before = index.met
+    assert not len(index.search(np.arange(len(x)), np.zeros(len(x), np.int64))[0]) and index.met - before == len(x)  # one component: passed over at the root
+    links = S.links_in_node(x)
+    assert len(links) < len(x)
+    label = groups(x.tolist())
+    root = list(range(len(x)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i, j in links:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    assert [find(i) for i in range(len(x))] == label
+
+
+def test_last_masks_bound_a_group():
+    assert all(64 - (m & (1 << 64) - 1).bit_count() <= 14 for m in S.masks()[-1]) and 1 << 14 <= S.MOST

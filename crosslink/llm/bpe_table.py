@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslink.llm.common import partitions, words_of, written
+from crosslink.llm.common import partitions, words_of
 from crosslink.llm.word_bpe import MARKS, Words, worker_encoder
 
 IDS_AT_ONCE = 1 << 19
@@ -56,42 +56,59 @@ def unpacked(data: pa.Scalar) -> pa.Table:
     return pa.ipc.open_stream(data.as_buffer()).read_all().combine_chunks()
 
 
-def coded_blocks(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
-    """block, bucket, data: the texts as word numbers, and the distinct words of each block; one written table with two kinds of rows.
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, their first bytes together, then their second ones and so on, as these pack better."""
+    split = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4)
+    return packed({f"b{i}": np.ascontiguousarray(split[:, i]) for i in range(4)})
 
-    A block is some texts of one task; its words are numbered from the most frequent one on, so that numbers pack well. Row without
-    bucket, one for each block: the columns ``keep`` and codes (the numbers of the text's words, in their order), and place (of each
-    number, where the word stands when the block's words are put one bucket after another). Rows with a bucket: the block's
-    distinct words of that bucket. The bucket of a word is a hash of it without trailing marks.
+
+def numbers_of(data: pa.Scalar) -> np.ndarray:
+    table = unpacked(data)
+    return np.stack([table[f"b{i}"].to_numpy() for i in range(4)], axis=1).view("<u4").ravel().astype(np.int64)
+
+
+def coded_blocks(docs: DataFrame, keep: list[str], buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The texts as word numbers: block, data; and the distinct words of each block: block, bucket, data.
+
+    A block is some texts of one task. Data of a block, packed: the columns ``keep`` and n (words of each text); for each word in
+    order 0 if the block has it for the first time, else 1 + the number of the word, numbers given as words come up; and the
+    bucket of each number, a hash of the word without trailing marks. Data of a bucket of a block: its words, in order of number.
+    The two are read from ``docs`` apart, as writing them would take as much disk as moving them; a block of which not just its
+    own words come back (docs that gave other rows the second time) raises when it is joined.
     """
     chosen = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce("text", F.lit("")).alias("text"), F.spark_partition_id().alias("part"))
     at = len(keep)
 
-    def code(batches):
+    def blocks(batches):
         for number, batch in enumerate(gathered(batches, at)):
-            block = (batch.column(at + 1)[0].as_py() << 32) + number
             words, starts = words_of(batch.column(at))
             coded = words.dictionary_encode()
-            indices, distinct = coded.indices.to_numpy(), coded.dictionary
-            rank = np.empty(len(distinct), np.int32)
-            rank[np.argsort(-np.bincount(indices, minlength=len(distinct)), kind="stable")] = np.arange(len(distinct), dtype=np.int32)
-            bucket = (pd.util.hash_array(pc.utf8_rtrim(distinct, MARKS).to_numpy(zero_copy_only=False), categorize=False) % np.uint64(buckets)).astype(np.int32) if len(distinct) else np.zeros(0, np.int32)
-            order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(order), np.int32)
-            place[rank[order]] = np.arange(len(order), dtype=np.int32)
-            codes = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(rank[indices]))
-            texts = packed({"data": [packed({**{f"k{i}": batch.column(i) for i in range(at)}, "codes": codes}), packed({"place": place})]})
+            bare = pc.utf8_rtrim(coded.dictionary, MARKS).to_numpy(zero_copy_only=False)
+            bucket = (pd.util.hash_array(bare, categorize=False) % np.uint64(buckets)).astype(np.int32) if len(bare) else np.zeros(0, np.int32)
+            yield (batch.column(at + 1)[0].as_py() << 32) + number, batch, np.diff(starts), coded, bucket
+
+    def texts(batches):
+        for block, batch, n, coded, bucket in blocks(batches):
+            indices = coded.indices.to_numpy()
+            new = np.zeros(len(indices), bool)
+            new[np.unique(indices, return_index=True)[1]] = True
+            rows = packed({**{f"k{i}": batch.column(i) for i in range(at)}, "n": n})
+            data = packed({"data": [rows, planes(np.where(new, 0, indices + 1)), planes(bucket)]})
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([data], pa.binary())], names=["block", "data"])
+
+    def words(batches):
+        for block, _, _, coded, bucket in blocks(batches):
             sizes = np.bincount(bucket, minlength=buckets)
-            ends, sorted_words = np.cumsum(sizes), distinct.take(pa.array(order))
+            ends, by_bucket = np.cumsum(sizes), coded.dictionary.take(pa.array(np.argsort(bucket, kind="stable")))
             some = np.flatnonzero(sizes)
-            data = [texts, *[packed({"words": sorted_words.slice(ends[b] - sizes[b], sizes[b])}) for b in some.tolist()]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(data), block)), pa.array([None, *some.tolist()], pa.int32()), pa.array(data, pa.binary())], names=["block", "bucket", "data"])
+            data = [packed({"words": by_bucket.slice(ends[b] - sizes[b], sizes[b])}) for b in some.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(data), block)), pa.array(some.astype(np.int32)), pa.array(data, pa.binary())], names=["block", "bucket", "data"])
 
-    return written(chosen.mapInArrow(code, "block long, bucket int, data binary"), "coded-blocks")
+    return chosen.mapInArrow(texts, "block long, data binary"), chosen.mapInArrow(words, "block long, bucket int, data binary")
 
 
 def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
-    """Rows with a bucket of ``coded_blocks`` -> block, bucket, data: how many ids each word has, and all ids.
+    """The words of ``coded_blocks`` -> block, bucket, data: how many ids each word has, and all ids.
 
     All rows of a bucket meet in one group, so each distinct word is encoded once in the whole corpus; a word comes once from each
     block, however often it stands there, so a frequent word is no hot key. A bucket's size falls with the number of buckets.
@@ -112,27 +129,39 @@ def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
 
 def joined_back(docs: DataFrame, tokenizer: str, keep: list[str], finish: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     """``finish`` over batches of the columns ``keep`` and tokens, where ids are joined to the words of each text by block and position."""
-    coded = coded_blocks(docs, keep, partitions(docs.sparkSession))
-    ids, size = word_ids(coded.filter("bucket is not null"), tokenizer), len(keep)
+    places, words = coded_blocks(docs, keep, partitions(docs.sparkSession))
+    ids, size = word_ids(words, tokenizer), len(keep)
 
     def join(texts: pa.Table, found: pa.Table) -> pa.Table:
-        parts = [unpacked(x)["found"] for x in found.sort_by("bucket")["data"]]
-        flat = lambda i, c: np.concatenate([unpacked(p[i])[c].to_numpy() for p in parts]) if parts else np.zeros(0, np.int32)
-        table = Words(None, flat(0, "n").astype(np.int64), flat(1, "ids"))
+        parts = [(b, unpacked(x)["found"]) for b, x in zip(found["bucket"].to_pylist(), found["data"])]
+        parts.sort(key=lambda part: part[0])
+        counts = [unpacked(p[0])["n"].to_numpy() for _, p in parts]
+        flat = np.concatenate([unpacked(p[1])["ids"].to_numpy() for _, p in parts]) if parts else np.zeros(0, np.int32)
+        table = Words(None, np.concatenate(counts).astype(np.int64) if parts else np.zeros(0, np.int64), flat)
 
         def batches():
-            for row in texts["data"]:
-                rows, place = (unpacked(x) for x in unpacked(row)["data"])
-                place = place["place"].to_numpy()
-                for batch in rows.to_batches(max_chunksize=1000):
-                    lists = batch.column(size)
-                    each, ids = table.take(place[lists.flatten().to_numpy()])
-                    upto = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:size], pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))], names=[*keep, "tokens"])
+            if texts.num_rows != 1:
+                raise RuntimeError("docs gave other rows when read again; write them first")
+            rows, codes, bucket = unpacked(texts["data"][0])["data"]
+            rows, codes, bucket = unpacked(rows), numbers_of(codes), numbers_of(bucket)
+            if not np.array_equal(np.repeat([b for b, _ in parts], [len(n) for n in counts]) if parts else [], np.sort(bucket)):
+                raise RuntimeError("docs gave other rows when read again; write them first")
+            place = np.empty(len(bucket), np.int64)
+            place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+            new = codes == 0
+            codes -= 1
+            codes[new] = np.arange(len(bucket))
+            at = 0
+            for batch in rows.to_batches(max_chunksize=1000):
+                n = batch.column(size).to_numpy()
+                each, ids = table.take(place[codes[at : at + int(n.sum())]])
+                at += int(n.sum())
+                upto = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(n)])]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:size], pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))], names=[*keep, "tokens"])
 
         return pa.Table.from_batches(list(finish(batches())))  # a block has one text at least
 
-    return coded.filter("bucket is null").groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join, schema)
+    return places.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join, schema)
 
 
 def encode(docs: DataFrame, tokenizer: str, keep: list[str]) -> DataFrame:
@@ -141,7 +170,7 @@ def encode(docs: DataFrame, tokenizer: str, keep: list[str]) -> DataFrame:
     Texts are split into words in the tasks that read them; each distinct word of the corpus is encoded once, and the ids are
     joined back to the words by block and position. The ids equal the tokenizers library's without special tokens. Null and
     blank texts have no ids; rows are independent of each other, repeated or not. A column called tokens is replaced. An empty
-    table gives no rows.
+    table gives no rows. ``docs`` is read twice and should be a table that was written, not a plan whose rows change places.
     """
     keep = [c for c in keep if c != "tokens"]
     schema = T.StructType([*[docs.select(F.col(f"`{c}`")).schema[0] for c in keep], T.StructField("tokens", T.ArrayType(T.IntegerType()))])

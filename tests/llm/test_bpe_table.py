@@ -23,20 +23,27 @@ def test_equals_library(spark, sf_dir):
 
 def test_each_word_once(spark):
     docs = spark.createDataFrame([(1, "a a, a b b c d"), (2, "a b e,"), (3, None), (4, " ")], "doc_id long, text string").repartition(3)
-    coded = B.coded_blocks(docs, ["doc_id"], 4)
-    rows = [(r.block, r.bucket, r.data) for r in coded.collect()]
+    texts, words = B.coded_blocks(docs, ["doc_id"], 4)
     un = lambda data: B.unpacked(pa.scalar(bytes(data), pa.binary()))
     buckets, seen = {}, []
-    for block, bucket, data in rows:
-        if bucket is not None:
-            words = un(data)["words"].to_pylist()
-            seen += [(block, w) for w in words]
-            for w in words:
-                buckets.setdefault(w.rstrip(","), set()).add(bucket)
+    for r in words.collect():
+        found = un(r.data)["words"].to_pylist()
+        seen += [(r.block, w) for w in found]
+        for w in found:
+            buckets.setdefault(w.rstrip(","), set()).add(r.bucket)
     assert set(buckets) == set("abcde") and all(len(b) == 1 for b in buckets.values())  # so a word meets itself in one group
     assert len(seen) == len(set(seen))
-    texts = [un(un(data)["data"][0].as_py()) for _, bucket, data in rows if bucket is None]
-    assert {k: len(c) for t in texts for k, c in zip(t["k0"].to_pylist(), t["codes"].to_pylist())} == {1: 7, 2: 3, 3: 0, 4: 0}
+    rows = [un(un(r.data)["data"][0].as_py()) for r in texts.collect()]
+    assert {k: n for t in rows for k, n in zip(t["k0"].to_pylist(), t["n"].to_pylist())} == {1: 7, 2: 3, 3: 0, 4: 0}
+
+
+def test_other_rows_the_second_time_raise(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.floor(F.rand() * 1e9).cast("string"), F.lit(" "), F.uuid()).alias("text"))
+    with pytest.raises(Exception, match="write them first"):
+        B.digests(docs.withColumn("text", F.expr("concat(text, ' ', repeat('x ', cast(rand() * 9 as int)), reflect('java.util.UUID', 'randomUUID'))")), PATH).collect()
 
 
 def test_blocks_of_any_size():

@@ -4,6 +4,10 @@ Anchors: words at positions whose remainder by ``period`` lies in a difference c
 ``window - period + 1`` words. For any two equal windows there is a shift below the period that puts both on cover
 positions, so both hold an equal anchor at that shift; only windows around anchors that occur twice can be repeats. These
 are extended to the whole window and compared by 128 bits of hash.
+
+A passage may stand in very many texts. What a task sees twice among its own texts is known to be repeated: such rows are dealt by
+their text and not by their hash, and only two marks for each such hash go where the hash is counted. So the rows of one hash in
+one task are no more than a few for each batch of texts, however many texts hold it.
 """
 
 from __future__ import annotations
@@ -77,10 +81,32 @@ def anchors(words: Words, window: int, period: int, cover: tuple[int, ...]) -> t
     return where, hashes[where]
 
 
-def repeated(batches: Iterator[pa.RecordBatch], keys: int, out: list[int]) -> Iterator[pa.RecordBatch]:
+SINGLE, MARK, SURE = 0, 1, 2
+
+
+def pre_counted(keys: list[np.ndarray], spread: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """Keys by which rows are dealt, their kind, and the keys of the marks.
+
+    A row whose keys another row of this slice has is ``SURE`` and is dealt by ``spread``, which for the first key is added to it. Each
+    repeated combination of keys gets a mark.
+    """
+    order = np.lexsort(keys)
+    same = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in keys])
+    again = np.zeros(len(order), bool)
+    again[1:] |= same
+    again[:-1] |= same
+    first = again.copy()
+    first[1:] &= ~same
+    sure = np.zeros(len(order), bool)
+    sure[order] = again
+    return [np.where(sure, k + s, k) for k, s in zip(keys, spread)], np.where(sure, SURE, SINGLE).astype(np.int8), [k[order][first] for k in keys]
+
+
+def repeated(batches: Iterator[pa.RecordBatch], keys: int, out: list[int], kind: int | None = None) -> Iterator[pa.RecordBatch]:
     """From rows sorted by their first ``keys`` columns: the columns ``out`` of rows whose keys another row has too.
 
-    Only one row is held from batch to batch, however many rows a key has.
+    ``kind``: the column with a row's kind; sure rows always come out, marks never. Only one row is held from batch to batch,
+    however many rows a key has.
     """
     held, twice = None, False
     for batch in batches:
@@ -95,17 +121,34 @@ def repeated(batches: Iterator[pa.RecordBatch], keys: int, out: list[int]) -> It
         hit[:-1] |= same
         hit[0] |= twice
         held, twice = batch.slice(batch.num_rows - 1), bool(hit[-1])
-        found = batch.slice(0, batch.num_rows - 1).filter(pa.array(hit[:-1]))
-        if found.num_rows:
-            yield found.select(out)
-    if held is not None and twice:
-        yield held.select(out)
+        yield from _chosen(batch.slice(0, batch.num_rows - 1), hit[:-1], out, kind)
+    if held is not None:
+        yield from _chosen(held, np.array([twice]), out, kind)
+
+
+def _chosen(batch: pa.RecordBatch, hit: np.ndarray, out: list[int], kind: int | None) -> Iterator[pa.RecordBatch]:
+    if kind is not None:
+        kinds = batch.column(kind).to_numpy()
+        hit = (hit | (kinds == SURE)) & (kinds != MARK)
+    if hit.any():
+        yield batch.filter(pa.array(hit)).select(out)
+
+
+def cut_out(text: bytes, gone: np.ndarray) -> bytes:
+    """The text without the words that ``gone`` marks and the white space behind each; nothing else changes."""
+    data = np.frombuffer(text, np.uint8)
+    word = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
+    starts = np.flatnonzero(word & ~np.concatenate([[False], word[:-1]]))
+    step = np.zeros(len(data) + 1, np.int32)
+    np.add.at(step, starts[gone], 1)
+    np.add.at(step, np.append(starts[1:], len(data))[gone], -1)
+    return data[np.cumsum(step[:-1]) == 0].tobytes()
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """t1, t2 (128 bits of hash), text: each text once. Copies meet in map tasks first."""
+    """t1, t2 (128 bits of hash), text, copies: each text once, and how many rows have it. Copies meet in map tasks first."""
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    return texts.select(*text_id(), "text").groupBy(*ID).agg(F.first("text").alias("text"))
+    return texts.select(*text_id(), "text").groupBy(*ID).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
 
 
 def text_id(text: str = "text") -> list:
@@ -113,19 +156,27 @@ def text_id(text: str = "text") -> list:
     return [F.xxhash64(known).alias("t1"), F.xxhash64(F.lit("second"), known).alias("t2")]
 
 
-def kept_texts(docs: DataFrame, window: int = 35) -> DataFrame:
-    """For each distinct text of ``docs``: t1, t2, n_words, n_removed, kept (its kept words joined by one space)."""
+def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> DataFrame:
+    """For each distinct text of ``docs``: t1, t2, n_words, n_removed, kept (its kept words joined by one space; ``original``: the text with its other words cut out)."""
     period, cover = cover_for(window)
     parts = partitions(docs.sparkSession)
     texts = distinct_texts(docs)
 
+    def dealt(keys, kind, text, marks, more):
+        """Rows, then two marks for each repeated key."""
+        none = np.zeros(2 * len(marks[0]), np.int64)
+        columns = [np.concatenate([k, m, m]).view(np.int64) for k, m in zip(keys, marks)] + [np.concatenate([kind, np.full(len(none), MARK, np.int8)])]
+        columns += [np.concatenate([t.view(np.int64), none]) for t in text] + [np.concatenate([x, none.astype(x.dtype)]) for x in more.values()]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*(f"w{i + 1}" for i in range(len(keys))), "kind", *ID, *more])
+
     def find_anchors(batches):
         for whole in batches:
             for batch in slices(whole, most=SLICE):
                 words = Words(batch.column(2))
                 where, hashes = anchors(words, window, period, cover)
-                rows = pa.array(words.of[where])
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows)], names=["hash", *ID])
+                text = [batch.column(i).to_numpy().view(np.uint64)[words.of[where]] for i in range(2)]
+                (key,), kind, (marks,) = pre_counted([hashes], [mixed(text[0])])
+                yield dealt([key], kind, text, [marks], {})
 
     def find_windows(batches):
         for whole in batches:
@@ -141,9 +192,10 @@ def kept_texts(docs: DataFrame, window: int = 35) -> DataFrame:
                 upto = np.cumsum(upto)
                 start = np.flatnonzero(words.at + window <= words.n[words.of])
                 start = start[upto[start + period] > upto[start]]
-                rows = pa.array(words.of[start])
-                pair = [pa.array(rolling(h, window, b)[start].view(np.int64)) for h, b in zip(words.hashes, (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85))]
-                yield pa.RecordBatch.from_arrays([*pair, batch.column(0).take(rows), batch.column(1).take(rows), pa.array(words.at[start].astype(np.int32))], names=["w1", "w2", *ID, "start"])
+                text = [batch.column(i).to_numpy().view(np.uint64)[words.of[start]] for i in range(2)]
+                pair = [rolling(h, window, b)[start] for h, b in zip(words.hashes, (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85))]
+                keys, kind, marks = pre_counted(pair, [mixed(t) for t in text])
+                yield dealt(keys, kind, text, marks, {"start": words.at[start].astype(np.int32)})
 
     def cut(batches):
         for whole in batches:
@@ -158,19 +210,28 @@ def kept_texts(docs: DataFrame, window: int = 35) -> DataFrame:
                 np.add.at(covered, np.concatenate([first + window, starts[whole_text + 1]]), -1)
                 keep = np.cumsum(covered[:-1]) == 0
                 upto = np.concatenate([[0], np.cumsum(keep)])[starts]
-                kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), words.filter(pa.array(keep))), " ")
-                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n), pa.array(n - np.diff(upto)), kept], names=[*ID, "n_words", "n_removed", "kept"])
-
-    hashed = texts.select(*ID, "text").mapInArrow(find_anchors, "hash long, t1 long, t2 long")
-    hashed = hashed.repartition(parts, "hash").sortWithinPartitions("hash")
-    hits = hashed.mapInArrow(lambda b: repeated(b, 1, [1, 2, 0]), "t1 long, t2 long, hash long")
+                removed = n - np.diff(upto)
+                if original:
+                    known = [x.as_buffer().to_pybytes() for x in batch.column(2)]
+                    kept = pa.array([cut_out(t, ~keep[a:b]) if r else t for t, a, b, r in zip(known, starts[:-1], starts[1:], removed)], pa.binary()).cast(pa.string())
+                else:
+                    kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), words.filter(pa.array(keep))), " ")
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n), pa.array(removed), kept], names=[*ID, "n_words", "n_removed", "kept"])
+
+    def anchor_hits(batches):
+        for batch in repeated(batches, 1, [2, 3, 0, 1], 1):
+            spread = np.where(batch.column(3).to_numpy() == SURE, mixed(batch.column(0).to_numpy().view(np.uint64)), np.uint64(0))
+            hashes = batch.column(2).to_numpy().view(np.uint64) - spread
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes.view(np.int64))], names=[*ID, "hash"])
+
+    hashed = texts.select(*ID, "text").mapInArrow(find_anchors, "w1 long, kind byte, t1 long, t2 long")
+    hits = hashed.repartition(parts, "w1").sortWithinPartitions("w1").mapInArrow(anchor_hits, "t1 long, t2 long, hash long")
     known = hits.groupBy(*ID).agg(F.collect_list("hash").alias("hashes"))
-    windows = texts.join(known, ID).select(*ID, "text", "hashes").mapInArrow(find_windows, "w1 long, w2 long, t1 long, t2 long, start int")
+    windows = texts.join(known, ID).select(*ID, "text", "hashes").mapInArrow(find_windows, "w1 long, w2 long, kind byte, t1 long, t2 long, start int")
     windows = windows.repartition(parts, "w1", "w2").sortWithinPartitions("w1", "w2")
-    found = windows.mapInArrow(lambda b: repeated(b, 2, [2, 3, 4]), "t1 long, t2 long, start int")
+    found = windows.mapInArrow(lambda b: repeated(b, 2, [3, 4, 5], 2), "t1 long, t2 long, start int")
     starts = found.groupBy(*ID).agg(F.collect_list("start").alias("starts"))
-    copies = docs.select(*text_id()).groupBy(*ID).agg(F.count("*").alias("copies"))
-    joined = texts.join(copies, ID).join(starts, ID, "left")
+    joined = texts.join(starts, ID, "left")
     return joined.select(*ID, "text", "starts", "copies").mapInArrow(cut, "t1 long, t2 long, n_words long, n_removed long, kept string")
 
 
@@ -186,9 +247,13 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """``docs`` with n_words, n_removed and its text without the words of repeated windows.
 
     A window is ``window`` consecutive words ``[^\\x20\\x09-\\x0D]+`` of one text; it is repeated if the same words also start
-    anywhere else, in the same document too. All windows are judged on the input. Null and blank texts have no words and
-    become empty. Equal rows are copies of each other, so whole copies of at least ``window`` words lose all their words. Other
-    columns are kept; columns called n_words or n_removed are replaced. An empty table gives no rows.
+    anywhere else, in the same document too. All windows are judged on the input. A text without such a window stays as it is,
+    null too; from others the words and the white space behind each are cut out. Null and blank texts have no words. Equal rows
+    are copies of each other, so whole copies of at least ``window`` words lose all their words. Other columns are kept; columns
+    called n_words or n_removed are replaced. An empty table gives no rows.
     """
-    kept = kept_texts(docs, window).withColumnRenamed("kept", "text")
-    return with_kept(docs, kept, ["text", "n_words", "n_removed"]).select(*docs.columns, *[c for c in ("n_words", "n_removed") if c not in docs.columns])
+    kept = kept_texts(docs, window, True).withColumnRenamed("kept", "__kept")
+    found = with_kept(docs, kept, ["__kept", "n_words", "n_removed"])
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("__kept")).alias("text")
+    more = [c for c in ("n_words", "n_removed") if c not in docs.columns]
+    return found.select(*[text if c == "text" else F.col(f"`{c}`") for c in [*docs.columns, *more]])

@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from crosslink.llm import substring_dedup as S
 
 
@@ -36,8 +38,10 @@ def test_brute_force(spark):
     texts += [texts[0], texts[1], texts[1], "a b " * 40, None, "", "  ", "x y\x1cz " * 36, " ".join(passage[4][:50]) + " lead"]
     docs = spark.createDataFrame([(i, t, i, "q") for i, t in enumerate(texts)], "doc_id long, text string, n_words int, t1 string")
     for window in (35, 8, 3):
-        got = {x.doc_id: (x.n_words, x.n_removed, x.text, x.t1) for x in S.remove_repeats(docs, window).collect()}
-        assert got == {i: (*x, "q") for i, x in enumerate(brute(texts, window))}
+        rows = S.remove_repeats(docs, window).collect()
+        words = lambda t: " ".join(re.findall(r"[^\x20\x09-\x0d]+", t or ""))
+        assert {x.doc_id: (x.n_words, x.n_removed, words(x.text), x.t1) for x in rows} == {i: (*x, "q") for i, x in enumerate(brute(texts, window))}
+        assert all(x.text == texts[x.doc_id] for x in rows if not x.n_removed)
 
 
 def test_real_texts(spark, sf_dir):
@@ -53,3 +57,30 @@ def test_real_texts(spark, sf_dir):
 
 def test_empty(spark):
     assert S.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_cut_out():
+    cut = lambda t, gone: S.cut_out(t.encode(), np.array(gone, bool)).decode()
+    assert cut("  é b\n\tc  d ", [0, 1, 1, 0]) == "  é d " and cut("a b", [1, 1]) == "" and cut("a\n\nb\n", [0, 1]) == "a\n\n" and cut("a b\nc", [1, 0, 0]) == "b\nc"
+
+
+def test_hot_passage_is_spread(spark):
+    """One passage in all texts: no group of rows with one key grows with the number of texts."""
+    r = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{' '.join(f'w{r.randrange(10**6)}' for _ in range(20))} {passage} e{i}" for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = S.remove_repeats(docs, 35).select("doc_id", "n_removed").collect()
+    assert len(got) == 3000 and {x.n_removed for x in got} == {60}
+    hashes = np.repeat(np.arange(5, dtype=np.uint64), 1000)
+    keys, kind, marks = S.pre_counted([hashes], [S.mixed(np.arange(5000, dtype=np.uint64))])
+    assert len(np.unique(keys[0])) == 5000 and set(kind) == {S.SURE} and len(marks[0]) == 5
+    keys, kind, marks = S.pre_counted([np.array([7, 8, 9], np.uint64)], [np.zeros(3, np.uint64)])
+    assert set(kind) == {S.SINGLE} and keys[0].tolist() == [7, 8, 9] and not len(marks[0])
+
+
+def test_dotted_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a  b\n", "x", 1, "k"), (1, None, None, 2, "l"), (None, "", "y", None, "m")], "doc_id long, text string, `a.b` string, t2 int, kept string")
+    out = S.remove_repeats(docs, 35)
+    assert out.columns == ["doc_id", "text", "a.b", "t2", "kept", "n_words", "n_removed"]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted([(1, "a  b\n", "x", 1, "k", 2, 0), (1, None, None, 2, "l", 0, 0), (None, "", "y", None, "m", 0, 0)], key=repr)

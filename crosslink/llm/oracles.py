@@ -20,9 +20,10 @@ _MASK = (
     "CAST(coalesce(list_sum(list_transform({s}[1:i], lambda t: length(" + _TURN + "))), 0) AS BIGINT)), ',')"
 )
 OP8 = f"""
-WITH c AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS ts FROM conversations GROUP BY conv_id),
-p AS (SELECT coalesce(a.conv_id, b.conv_id) // 2 AS pair_id, a.ts AS c, b.ts AS r
-  FROM (SELECT * FROM c WHERE conv_id % 2 = 0) a FULL JOIN (SELECT * FROM c WHERE conv_id % 2 = 1) b ON b.conv_id = a.conv_id + 1),
+WITH c AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+l AS (SELECT conv_id, ts, list_max(list_filter(range(1, len(ts) + 1), lambda i: ts[i].r = 'assistant')) AS k FROM c),
+b AS (SELECT xor(conv_id, 1) AS conv_id, ts[k].x AS answer FROM l),
+p AS (SELECT conv_id AS pair_id, ts AS c, list_transform(range(1, len(ts) + 1), lambda i: CASE WHEN i = k THEN {{'r': ts[i].r, 'x': coalesce(answer, '')}} ELSE ts[i] END) AS r FROM l LEFT JOIN b USING (conv_id)),
 n AS (SELECT *, CASE WHEN c IS NULL OR r IS NULL THEN 0 ELSE coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) END AS n FROM p),
 s AS (SELECT pair_id, CAST(n AS BIGINT) AS shared_turns, coalesce(c, r)[1:n] AS p, c[n + 1:] AS c, r[n + 1:] AS r FROM n)
 SELECT pair_id, shared_turns, array_to_string(list_transform(p, lambda t: {_TURN}), '') AS prompt,

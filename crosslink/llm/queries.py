@@ -63,7 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference.format_pairs(table(spark, sf_dir, "conversations"))
+    return preference.format_exchanged(table(spark, sf_dir, "conversations"))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

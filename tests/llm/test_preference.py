@@ -43,3 +43,40 @@ def test_many_on_a_side(spark):
 
 def test_empty(spark):
     assert P.format_pairs(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_exchanged_answers(spark):
+    convs = {
+        0: [("system", "s"), ("user", "q"), ("assistant", "a"), ("user", "more"), ("assistant", "yes")],
+        1: [("user", "q"), ("assistant", "no"), ("user", "bye")],
+        2: [("user", "no answer")], 3: [("assistant", "answers")],
+        4: [("user", "no partner"), ("assistant", None)],
+        2**60 + 2: [("assistant", "x")], 2**60 + 3: [("assistant", "y")], 2**60 + 4: [("user", "z"), ("assistant", "w")],
+    }
+    rows = [(i, n, r, t) for i, c in convs.items() for n, (r, t) in reversed(list(enumerate(c)))] + [(None, 0, "user", "lost")]
+    got = {r.pair_id: r for r in P.format_exchanged(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    last = lambda c: max((i for i, t in enumerate(c) if t[0] == "assistant"), default=None)
+    assert got.keys() == convs.keys()
+    for i, c in convs.items():
+        k, other = last(c), convs.get(i ^ 1, [])
+        j = list(c)
+        if k is not None:
+            j[k] = ("assistant", other[last(other)][1] if last(other) is not None else "")
+        n = next((x for x in range(len(c)) if (c[x][1] or "") != (j[x][1] or "")), len(c))
+        r = got[i]
+        assert (r.shared_turns, r.prompt, r.chosen, r.rejected) == (n, text(c[:n]), text(c[n:]), text(j[n:]))
+    assert got[0].prompt and got[0].rejected == text([("assistant", "no")])
+
+
+def test_large_ids_stay_pairs(spark):
+    big = 2**60 + 2
+    rows = [(big + i, 0, "user", f"t{i}") for i in range(4)]
+    got = P.format_pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r.pair_id for r in got} == {big // 2, big // 2 + 1} and all(r.chosen and r.rejected for r in got)
+
+
+def test_most_prompts_of_the_table_are_shared(spark, sf_dir):
+    from crosslink.llm.queries import op8_preference
+
+    rows = op8_preference(spark, sf_dir).collect()
+    assert sum(bool(r.prompt) for r in rows) > 0.9 * len(rows)

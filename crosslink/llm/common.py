@@ -47,7 +47,7 @@ def one_row_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("least")
     kept = groups.groupBy("root").agg(least).select(F.col("least.k1").alias("__k1"), F.col("least.k2").alias("__k2"))
     own = docs.select("*", *[k.alias(f"__{c}") for k, c in zip(row_keys(), ("k1", "k2"))])
-    return own.join(kept, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+    return own.join(kept, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def plain_strings(column: pa.Array) -> pa.Array:

@@ -1,8 +1,10 @@
-"""Near copies: texts whose sets of word shingles have Jaccard similarity of at least a threshold; exact, no pair is lost.
+"""Near copies by SimHash, with a similarity that is held exactly: sets of word shingles of Jaccard similarity ``threshold`` and more.
 
-Shingles stand in one order for all texts, frequent ones last. Two sets over the threshold share a shingle among the first
+Candidates are the links of the fingerprints' hierarchical index (``simhash.fingerprint_links``). Texts of similarity 0.8 can
+differ in more bits than such an index can search, so what it can't see comes from an exact way for the rest:
+shingles stand in one order for all texts, frequent ones last. Two sets over the threshold share a shingle among the first
 ``n - ceil(threshold n) + 1`` of each, so only texts that meet at such a shingle are compared. The number of differing bits of
-two parity sketches is at most the number of shingles only one text has, which rules pairs out; what is left is counted out.
+two parity sketches is at most the number of shingles only one text has, which rules pairs out. All candidates are counted out.
 Which shingles count as frequent is judged on a sample: it changes the work, not the result.
 """
 
@@ -17,9 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import one_row_of_each, partitions, row_keys, slices, written
+from crosslink.llm.common import partitions, row_keys, slices, written
 from crosslink.llm.components import components
-from crosslink.llm.simhash import SLICE, shingle_hashes
+from crosslink.llm.simhash import SLICE, fingerprint_links, majority, shingle_hashes
 from crosslink.llm.substring_dedup import repeated
 
 SKETCH = 512
@@ -30,7 +32,10 @@ EPS = 1e-9
 
 def shingle_sets(texts: pa.Array, size: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, frequent ones last, and how many each text has."""
-    hashes, per_text = shingle_hashes(texts, size)
+    return sets_of(*shingle_hashes(texts, size), frequent)
+
+
+def sets_of(hashes: np.ndarray, per_text: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     of = np.repeat(np.arange(len(per_text)), per_text)
     late = np.isin(hashes, frequent)
     order = np.lexsort((hashes, late, of))
@@ -84,22 +89,25 @@ def frequent_shingles(docs: DataFrame, size: int, sample: int = 5000, most: int
 
 
 def prefixes(docs: DataFrame, size: int, threshold: float, frequent: np.ndarray) -> DataFrame:
-    """Row keys and doc_id of ``docs``; node (a digest of the set), n, sketch, first (the shingles at which near copies meet)."""
+    """Row keys and doc_id of ``docs``; node (a digest of the set), fp (the fingerprint), n, sketch, first (the shingles at which near copies meet)."""
 
     def compute(batches):
         for whole in batches:
             for batch in slices(whole, most=SLICE):
-                hashes, n = shingle_sets(batch.column(3), size, frequent)
+                every = shingle_hashes(batch.column(3), size)
+                fp = majority(*every)
+                hashes, n = sets_of(*every, frequent)
                 start = np.cumsum(n) - n
                 node = np.array([xxhash.xxh64_intdigest(hashes[a : a + k].tobytes(), 42) for a, k in zip(start.tolist(), n.tolist())], np.uint64)
                 m = np.where(n > 0, n - np.ceil(threshold * n - EPS).astype(np.int64) + 1, 0)
                 first = hashes[np.arange(len(hashes)) - np.repeat(start, n) < np.repeat(m, n)]
                 sketch = lists(*sketches(hashes, n))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(node.view(np.int64)), pa.array(n.astype(np.int32)), sketch, lists(first, m)], names=["k1", "k2", "doc_id", "node", "n", "sketch", "first"])
+                columns = [node.view(np.int64), fp.view(np.int64), n.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, columns), sketch, lists(first, m)], names=["k1", "k2", "doc_id", "node", "fp", "n", "sketch", "first"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(*row_keys(), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(compute, f"k1 long, k2 long, doc_id {kind}, node long, n int, sketch array<long>, first array<long>")
+    return rows.mapInArrow(compute, f"k1 long, k2 long, doc_id {kind}, node long, fp long, n int, sketch array<long>, first array<long>")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -208,7 +216,13 @@ def near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataF
         both = both.select("u", "v", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
         return written(both.filter(F.col("common") >= threshold * (F.col("n") - F.col("common")) - EPS).select("u", "v"), "links")
 
-    pairs = compared(shared.withColumn("root", F.col("node")), False)
+    # texts with equal fingerprints, each with one of them, and the index's links
+    first = rows.select("node", "fp").distinct().groupBy("fp").agg(F.min("node").alias("least"))
+    equal = rows.select("node", "fp").distinct().join(first, "fp").select(F.col("node").alias("u"), F.col("least").alias("v")).filter("u <> v")
+    near = fingerprint_links(first.select("fp"))
+    near = near.join(first.select(F.col("fp").alias("u"), F.col("least").alias("x")), "u").join(first.select(F.col("fp").alias("v"), F.col("least").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
+    by_fingerprint = equal.unionByName(near).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = written(compared(shared.withColumn("root", F.col("node")), False).unionByName(by_fingerprint).distinct(), "pairs")
     found = sets(pairs)  # of all texts that any pair can have: a text that may pair up in a large group is in a pair already
     links = verified(pairs, found)
     roots = components(links)
@@ -218,8 +232,3 @@ def near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataF
     if not more.isEmpty():
         roots = components(links.unionByName(verified(more, found)))
     return rows.select("k1", "k2", "doc_id", "node").join(roots, "node", "left").select("k1", "k2", "doc_id", F.coalesce("root", "node").alias("root"))
-
-
-def one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """Of each group of near copies the row with the smallest id, unchanged; rows without id stay only where no other row of the group has one."""
-    return one_row_of_each(docs, near_copies(docs, size, threshold))

@@ -15,6 +15,7 @@ END_ID = 2
 
 
 def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as ORC in order of doc_id, read back: start, n_tokens and checksum of each."""
     small_batches(spark)
     path = scratch(spark, "token-orc")
     token_orc.write_token_orc(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID, temporary=True)
@@ -22,33 +23,39 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the convolutional network."""
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    net = quality.train(docs, table(spark, sf_dir, "labels"), per_class=1500)
+    net = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, net, 0.3).drop("text")
 
 
 def op3_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
     small_batches(spark)
     return bpe_table.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a document where a benchmark item stands, one edit in twenty characters allowed."""
     small_batches(spark)
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.05)
 
 
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
     return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     small_batches(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words and digest of the kept words of every document."""
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = substring_dedup.kept_texts(docs, 35).withColumn("kept_sha256", F.sha2("kept", 256))
@@ -56,17 +63,20 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), per_class=3000)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, 0.5).drop("text")
 
 
 def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with another last answer: shared prompt and two masked completions."""
     return preference.format_exchanged(table(spark, sf_dir, "conversations"))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 

@@ -250,6 +250,16 @@ def classified(docs: DataFrame, size: int) -> DataFrame:
     return prints.join(grouped.join(ids, "root").select("fp", "root", "component_id"), "fp")
 
 
-def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
-    """Of each component the row with the smallest id, unchanged; rows without id stay only where no other row of the component has one."""
-    return one_row_of_each(docs, classified(docs, size))
+def one_of_each(docs: DataFrame, size: int = 3, similarity: float | None = None) -> DataFrame:
+    """Of each group of near-duplicates the row with the smallest id, unchanged; rows without id stay only where no other row of the group has one.
+
+    Without ``similarity`` groups are the components of ``near_duplicates``. With it they are what chains of texts connect whose sets
+    of shingles have that Jaccard similarity or more: the index's links are then counted out, and near copies whose fingerprints
+    differ in more bits are found by their shingles, exactly (see ``near_copies``). Texts without words are one group. Columns of
+    any name are kept; an empty table gives no rows.
+    """
+    if similarity is None:
+        return one_row_of_each(docs, classified(docs, size))
+    from crosslink.llm.near_copies import near_copies
+
+    return one_row_of_each(docs, near_copies(docs, size, similarity))

@@ -243,17 +243,17 @@ def with_kept(docs: DataFrame, per_text: DataFrame, columns: list[str]) -> DataF
     return own.join(new, [f"__{c}" for c in ID]).select(*[f"`{c}`" for c in old], *columns)
 
 
-def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
-    """``docs`` with n_words, n_removed and its text without the words of repeated windows.
+def remove_repeats(docs: DataFrame, window: int = 35, counts: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
+    """``docs`` with its number of words and of removed ones, called as ``counts`` says, and its text without the words of repeated windows.
 
     A window is ``window`` consecutive words ``[^\\x20\\x09-\\x0D]+`` of one text; it is repeated if the same words also start
     anywhere else, in the same document too. All windows are judged on the input. A text without such a window stays as it is,
     null too; from others the words and the white space behind each are cut out. Null and blank texts have no words. Equal rows
     are copies of each other, so whole copies of at least ``window`` words lose all their words. Other columns are kept; columns
-    called n_words or n_removed are replaced. An empty table gives no rows.
+    called like the counts are replaced. An empty table gives no rows.
     """
-    kept = kept_texts(docs, window, True).withColumnRenamed("kept", "__kept")
-    found = with_kept(docs, kept, ["__kept", "n_words", "n_removed"])
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("__kept")).alias("text")
-    more = [c for c in ("n_words", "n_removed") if c not in docs.columns]
+    kept = kept_texts(docs, window, True).select(*ID, F.col("kept").alias("__kept"), F.col("n_words").alias(counts[0]), F.col("n_removed").alias(counts[1]))
+    found = with_kept(docs, kept, ["__kept", *counts])
+    text = F.when(F.col(f"`{counts[1]}`") == 0, F.col("text")).otherwise(F.col("__kept")).alias("text")
+    more = [c for c in counts if c not in docs.columns]
     return found.select(*[text if c == "text" else F.col(f"`{c}`") for c in [*docs.columns, *more]])

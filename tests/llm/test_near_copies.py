@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from crosslink.llm import near_copies as N
+from crosslink.llm import simhash as S
 
 
 def shingles(text, size=5):
@@ -45,7 +46,7 @@ def test_equals_brute_force(spark):
     texts = made()
     want = groups(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = sorted((r.doc_id, r.text) for r in N.one_of_each(docs).collect())
+    got = sorted((r.doc_id, r.text) for r in S.one_of_each(docs, 5, 0.8).collect())
     assert got == [(i, t) for i, t in enumerate(texts) if want[i] == i] and 100 < len(got) < len(texts) - 100
 
 
@@ -78,4 +79,4 @@ def test_groups_over_batches():
 
 
 def test_empty(spark):
-    assert N.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert S.one_of_each(spark.createDataFrame([], "doc_id long, text string"), 5, 0.8).count() == 0

@@ -52,3 +52,28 @@ def test_odd_rows(spark):
     got = Q.score(docs, Q.train(docs, labels, per_class=5))
     assert got.columns == ["doc_id", "text", "held_out", "score", "predicted"] and got.count() == 3
     assert Q.score(none, Q.train(none, labels.filter("false"))).count() == 0
+
+
+def test_scores_equal_plain_forward_pass():
+    """One chunk, one place and one filter after another, without any array operation of the model's own."""
+    net, r = Q.Net.new(5), np.random.default_rng(5)
+    texts = [b"", b"short", bytes(r.integers(0, 256, 1300).astype(np.uint8)), "é! ".encode() * 300]
+    got = net.scores(texts)
+    for text, score in zip(texts, got):
+        step = Q.CHUNK - Q.OVERLAP
+        n = max(1, -(-(len(text) - Q.OVERLAP) // step))
+        values = []
+        for i in range(n):
+            chunk = list(text[i * step : i * step + Q.CHUNK])
+            chunk += [Q.PAD] * (Q.CHUNK - len(chunk))
+            pooled = [-np.inf] * Q.FILTERS
+            for at in range(0, Q.CHUNK - Q.WIDTH + 1, Q.STRIDE):
+                seen = [float(x) for b in chunk[at : at + Q.WIDTH] for x in net.embed[b]]
+                for f in range(Q.FILTERS):
+                    pooled[f] = max(pooled[f], sum(x * float(w) for x, w in zip(seen, net.filters[:, f])))
+            pooled = [max(0.0, p + float(o)) for p, o in zip(pooled, net.offset)]
+            hidden = [np.tanh(sum(p * float(w) for p, w in zip(pooled, net.dense[:, j])) + float(net.dense_offset[j])) for j in range(net.dense.shape[1])]
+            values.append(sum(h * float(w) for h, w in zip(hidden, net.out)))
+        three = [max(values), sum(values) / len(values), min(values)]
+        logit = sum(x * float(m) for x, m in zip(three, net.mix)) + float(net.mix[-1]) + net.prior
+        assert abs(score - 1 / (1 + np.exp(-logit))) < 1e-5

@@ -1,6 +1,7 @@
 """The corpus pipeline: stages that take (spark, docs, sf_dir) and return the documents they keep.
 
-Each stage is one operator of ``crosslink.llm``; what it returns is written as Parquet and read again as the next one's docs.
+Each stage is one operator of ``crosslink.llm``; what it returns is written as Parquet and read again as the next one's docs. All
+stages but the last return the columns of ``docs`` in their order, whatever their names; a text that is null stays null.
 """
 
 from __future__ import annotations
@@ -9,34 +10,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, decontaminate, near_copies, substring_dedup, toxicity
+from crosslink.llm import bpe_table, decontaminate, simhash, substring_dedup, toxicity
 from crosslink.llm.common import small_batches, table, written
 
 
+def same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; the model learns from labelled rows of ``docs``."""
     small_batches(spark)
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), per_class=3000)
-    return toxicity.score(docs, model, 0.5).filter("predicted = 0").select(*docs.columns)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return same_columns(toxicity.score(docs, model, 0.5, "__").filter("__predicted = 0"), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that chains of near copies connect (sets of five-word shingles, Jaccard 0.8 and more) the one with the smallest id. Texts without words are a group like any other."""
     small_batches(spark)
-    return near_copies.one_of_each(docs, 5, 0.8)
+    return same_columns(simhash.one_of_each(docs, 5, 0.8), docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated passages of 35 words and more; n_chars follows the text. Documents left without words stay, empty."""
+    """Texts without repeated passages of 35 words and more; a column n_chars, if there is one, follows a text that changes. Documents left without words stay, empty."""
     small_batches(spark)
-    kept = substring_dedup.remove_repeats(docs, 35)
-    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    kept = substring_dedup.remove_repeats(docs, 35, ("__words", "__removed"))
+    if "n_chars" in docs.columns:
+        changed = F.col("__removed") > 0
+        kept = kept.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return same_columns(kept, docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     small_batches(spark)
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"), 0.05)
+    return same_columns(decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"), 0.05), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

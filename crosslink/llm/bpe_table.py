@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslink.llm.common import partitions, words_of
+from crosslink.llm.common import mapped, partitions, words_of
 from crosslink.llm.word_bpe import MARKS, Words, worker_encoder
 
 IDS_AT_ONCE = 1 << 19
@@ -226,9 +226,14 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     decoded is replaced.
     """
     encoded = encoded.drop("decoded")
-    schema, at = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]), encoded.columns.index("tokens")
-    names = schema.names
-    return encoded.mapInArrow(lambda batches: decode_batches(batches, pieces(tokenizer), at, names), schema)
+    at = encoded.columns.index("tokens")
+
+    def run(batches):
+        for batch in batches:
+            names = [*batch.schema.names, "decoded"]
+            yield from (b.columns for b in decode_batches([batch], pieces(tokenizer), at, names))
+
+    return mapped(encoded, run, {"decoded": T.StringType()})
 
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crosslink.scratch import remove, remove_at_end, scratch, write, written  # noqa: F401
 
@@ -25,6 +26,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[list]], more: dict[str, T.DataType] | None = None) -> DataFrame:
+    """``df.mapInArrow`` whatever the columns are called: ``run`` yields the columns of ``df``, then those of ``more``, as lists of arrays."""
+    more = more or {}
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    schema = T.StructType([*plain.schema.fields, *[T.StructField(f"m{i}", kind) for i, kind in enumerate(more.values())]])
+    names = schema.names
+    out = plain.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays(columns, names=names) for columns in run(batches)), schema)
+    return out.toDF(*df.columns, *more)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -57,9 +68,9 @@ def plain_strings(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "") if column.null_count else column
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str | int = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch cut so that the texts of a slice hold about ``most`` bytes."""
-    column = plain_strings(batch.column(batch.schema.get_field_index(text)))
+    column = plain_strings(batch.column(text if isinstance(text, int) else batch.schema.get_field_index(text)))
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)) if len(column) else np.zeros(0, np.int64)
     at = 0
     while at < batch.num_rows:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslink.llm.common import slices
+from crosslink.llm.common import mapped, slices
 
 #: Characters of items that go to the tasks at once; more items take more passes.
 ITEM_CHARS = 8_000_000
@@ -173,16 +173,16 @@ def matches(docs: DataFrame, items: DataFrame, error: float = 0.05) -> DataFrame
 
 def clean_documents(docs: DataFrame, items: DataFrame, error: float = 0.05) -> DataFrame:
     """The rows of ``docs`` in which no item stands, unchanged; nulls and empty tables as in ``matches``."""
-    at, schema = docs.columns.index("text"), docs.schema
+    at = docs.columns.index("text")
 
     def without(docs, key, shared):
         def run(batches):
             matcher = _matcher(key, shared)
             for whole in batches:
-                for batch in slices(whole):
-                    yield batch.filter(pa.array([not matcher.matches(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+                for batch in slices(whole, at):
+                    yield batch.filter(pa.array([not matcher.matches(t) for t in batch.column(at).to_pylist()], pa.bool_())).columns
 
-        return docs.mapInArrow(run, schema)
+        return mapped(docs, run)
 
     for block in _blocks(items, error):
         docs = without(docs, *block)

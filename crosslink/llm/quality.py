@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from crosslink.llm.common import held_out, slices
+from crosslink.llm.common import held_out, mapped, slices
 from crosslink.llm.labelled import labelled_sample
 
 CHUNK = 512
@@ -144,15 +145,14 @@ def score(docs: DataFrame, net: Net, threshold: float = 0.3) -> DataFrame:
     Rows are independent: equal texts have equal scores. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)  # some 20 KB
-    fields = [f for f in docs.schema.fields if f.name not in ("held_out", "score", "predicted")]
-    at = [f.name for f in fields].index("text")
-    schema = docs.select(*[f"`{f.name}`" for f in fields]).schema.add("score", "double")
+    own = docs.select(*[f"`{c}`" for c in docs.columns if c not in ("held_out", "score", "predicted")])
+    at = own.columns.index("text")
 
     def compute(batches):
         for whole in batches:
-            for batch in slices(whole, most=SLICE):
+            for batch in slices(whole, at, SLICE):
                 texts = [(t or "").encode() for t in batch.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(texts))], names=schema.names)
+                yield [*batch.columns, pa.array(shared.value.scores(texts))]
 
-    scored = docs.select(*[f"`{f.name}`" for f in fields]).mapInArrow(compute, schema)
-    return scored.select(*[f"`{f.name}`" for f in fields], held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = mapped(own, compute, {"score": T.DoubleType()})
+    return scored.select(*[f"`{c}`" for c in own.columns], held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from crosslink.llm.common import held_out, slices
+from crosslink.llm.common import held_out, mapped, slices
 from crosslink.llm.labelled import labelled_sample
 
 #: n-grams share 2^22 places: some 320,000 of them are seen in 3,000 texts a class of the supplied kind; held out, 2^20 places give the same recall within 0.01.
@@ -120,15 +121,14 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, prefix: str = "
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 16 MB, whatever the corpus
     value, new = f"{prefix}score", [f"{prefix}{c}" for c in ("held_out", "score", "predicted")]
-    fields = [f for f in docs.schema.fields if f.name not in new]
-    at = [f.name for f in fields].index("text")
-    schema = docs.select(*[f"`{f.name}`" for f in fields]).schema.add(value, "double")
+    own = docs.select(*[f"`{c}`" for c in docs.columns if c not in new])
+    at = own.columns.index("text")
 
     def compute(batches):
         for whole in batches:
-            for batch in slices(whole, most=SLICE):
+            for batch in slices(whole, at, SLICE):
                 texts = [t or "" for t in batch.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(texts))], names=schema.names)
+                yield [*batch.columns, pa.array(shared.value.scores(texts))]
 
-    scored = docs.select(*[f"`{f.name}`" for f in fields]).mapInArrow(compute, schema)
-    return scored.select(*[f"`{f.name}`" for f in fields], held_out().alias(new[0]), value, (F.col(value) >= threshold).cast("int").alias(new[2]))
+    scored = mapped(own, compute, {value: T.DoubleType()})
+    return scored.select(*[f"`{c}`" for c in own.columns], held_out().alias(new[0]), value, (F.col(value) >= threshold).cast("int").alias(new[2]))

@@ -87,17 +87,18 @@ def test_odd_rows(spark):
     """Nulls in all columns, empty and very long texts, repeated rows, names with dots and names that operators use."""
     long = " ".join(f"w{i}" for i in range(30000))
     passage = " ".join(f"p{i}" for i in range(40))
-    texts = [None, "", " \n", long, "a b", "a b", f"{passage} one", f"two\n\n{passage}", None, "x"]
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "yz")
+    texts = [None, "", " \n", long, "a b", "a b", f"{passage} {one}", f"{two}\n\n{passage}", None, "x"]
     ids = [1, 2, 3, 4, 5, 5, 6, 7, None, None]
     docs = spark.createDataFrame([(i, t, "d", 0.5, 1, 2, "k", 3, 1, [4], None) for i, t in zip(ids, texts)], ODD)
     now = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         now = corpus_pipeline.written(stage(spark, now, SF), "t")
         assert now.columns == docs.columns, name
-        assert {tuple(r)[2:-1] for r in now.collect()} == {("d", 0.5, 1, 2, "k", 3, 1, [4])}, name
+        assert all(tuple(r)[2:-1] == ("d", 0.5, 1, 2, "k", 3, 1, [4]) for r in now.collect()), name
     got = sorted(((r.doc_id, r.text) for r in now.collect()), key=repr)
     # one of the texts without words, one of the equal rows; the shared passage goes, the rest of its texts stays as it was
-    assert got == sorted([(1, None), (4, long), (5, "a b"), (6, "one"), (7, "two\n\n"), (None, "x")], key=repr)
+    assert got == sorted([(1, None), (4, long), (5, "a b"), (6, one), (7, f"{two}\n\n"), (None, "x")], key=repr)
     assert {(r.doc_id, r.n_tokens > 0) for r in corpus_pipeline.encoded(spark, now, SF).collect()} == {(1, False), (4, True), (5, True), (6, True), (7, True), (None, True)}
 
 

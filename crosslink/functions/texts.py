@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Licence marks in a header, in the order they are named, and the shape words of paired descriptions.
-HEADER_MARKS = {"lgpl": ["lesser general public license", "library general public license", "lgpl"], "gpl": ["gnu general public license", "gnu public license"], "cc": ["creative commons"]}
+#: The marks of each kind of notice in a header, in lower case.
+HEADER_MARKS = {"lgpl": ["gnu lesser general public"], "gpl": ["gnu general public", "gnu public license"], "cc": ["creative commons", "create commons"]}
+#: The shape words of paired descriptions, and what stands for no filler.
 SHAPE = r"(?i)\b(one|two|three|first|second|third|1|2)\b|\bhalf\b"
 EMPTY_ROLES = ["", "unknown", "none", "n/a"]
 
@@ -31,23 +34,32 @@ def grounded_quote(evidence: Column, field: Column, quote: Column) -> Column:
     return F.struct(status.alias("status"), start.alias("start"), (start + F.length(quote)).alias("end"))
 
 
-def repaired(text: Column, fragment: Column, replacement: Column) -> Column:
-    """The text with its only occurrence of a fragment replaced; null if it doesn't stand exactly once."""
-    return F.when(occurrences(text, fragment) == 1, F.replace(text, fragment, replacement))
+def repaired(text: Column, fragment: Column, replacement: Column, sha256: Column | None = None) -> Column:
+    """The text with its only occurrence of a fragment replaced; null if it doesn't stand exactly once, or if ``sha256`` is given and is not the text's."""
+    fits = occurrences(text, fragment) == 1
+    if sha256 is not None:
+        fits = fits & (F.sha2(text, 256) == sha256)
+    return F.when(fits, F.replace(text, fragment, replacement))
 
 
 def header(text: Column, lines: int = 120) -> Column:
-    return F.array_join(F.slice(F.split(text, "\n"), 1, lines), "\n")
+    """The first lines, joined by line feeds; a line ends at CR, LF or both."""
+    return F.array_join(F.slice(F.split(text, r"\r\n|\r|\n"), 1, lines), "\n")
+
 
+def header_class(text: Column, approved: Column, notice: list[str], lines: int = 120) -> Column:
+    """The kind of notice in the first lines: approved_notice, mixed, lgpl, gpl, cc or unclassified, in that order of precedence.
 
-def header_class(text: Column, approved: Column, lines: int = 120) -> Column:
-    """approved_notice, mixed, lgpl, gpl, cc or unclassified, in that order of precedence, from the first lines."""
+    ``approved``: whether the module is approved; only then, and only if all words of ``notice`` stand there, it has the approved
+    notice. Marks are signals and no approval.
+    """
     top = F.lower(header(text, lines))
-    found = {k: F.greatest(*[F.contains(top, F.lit(m)) for m in marks]) if len(marks) > 1 else F.contains(top, F.lit(marks[0])) for k, marks in HEADER_MARKS.items()}
+    has = lambda mark: F.contains(top, F.lit(mark.lower()))
+    found = {kind: reduce(Column.__or__, map(has, marks)) for kind, marks in HEADER_MARKS.items()}
     n = sum((c.cast("int") for c in found.values()), F.lit(0))
-    out = F.when(approved & (n > 0), "approved_notice").when(n > 1, "mixed")
-    for k, c in found.items():
-        out = out.when(c, k)
+    out = F.when(approved & reduce(Column.__and__, map(has, notice)), "approved_notice").when(n > 1, "mixed")
+    for kind, c in found.items():
+        out = out.when(c, kind)
     return out.otherwise("unclassified")
 
 

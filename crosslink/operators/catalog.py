@@ -66,23 +66,34 @@ def compile_additive_slice(relations: DataFrame, constraints: DataFrame, modules
 
 
 def emit_provenance(predicates: DataFrame, slots: DataFrame) -> DataFrame:
-    """canonical_id, canonical_kind, source_key, source_id, relation: all mappings of all predicates at once.
+    """canonical_id, canonical_kind, source_key, source_id, relation, derivation_method, method_ref, method_scope, confidence, evidence_ref: all mappings of all predicates at once.
 
-    predicates: name, sense_id, process_type, frame_id (nullable); slots: name, label, arg, abstract_role, type (nullable). A type row
-    stands once for each predicate.
+    predicates: name, sense_id, frame_id, mapping_source, mapping_confidence (all but name may be null); slots: name, label, arg, type
+    (nullable). The donor gives each predicate and each of its roles; a sense gives them again by its own id; a frame is a
+    candidate only, with the method of its row, whose meaning isn't known. A type is given once for each predicate, on the evidence
+    of its first role.
     """
-    p, s = predicates.withColumn("__id", predicate_id(F.col("name"))), slots.withColumn("__id", predicate_id(F.col("name")))
-    role = F.concat_ws("#", "__id", role_id(F.col("label")))
-
-    def rows(df, canonical, kind, source, source_id, relation):
-        return df.select(canonical.alias("canonical_id"), F.lit(kind).alias("canonical_kind"), F.lit(source).alias("source_key"), source_id.alias("source_id"), F.lit(relation).alias("relation")).filter("source_id is not null")
-
+    p = predicates.withColumn("__id", F.concat(F.lit("lc:"), "name"))
+    s = slots.withColumn("__id", F.concat(F.lit("lc:"), "name"))
+    sensed = s.join(p.select("__id", "sense_id").dropDuplicates(["__id"]), "__id")
+    role = F.concat_ws(":", "__id", role_id(F.col("label")))
+    row = lambda field: F.concat(F.lit("predicates[name="), "name", F.lit(f"]{field}"))
+    slot = lambda field: F.concat(F.lit("role_slots[name="), "name", F.lit(",arg="), "arg", F.lit(f"]{field}"))
+    none = F.lit(None).cast("string")
+
+    def rows(df, canonical, kind, source, source_id, relation, method, evidence, ref=none, scope=none, confidence=None):
+        columns = {"canonical_id": canonical, "canonical_kind": F.lit(kind), "source_key": F.lit(source), "source_id": source_id, "relation": F.lit(relation), "derivation_method": F.lit(method)}
+        columns |= {"method_ref": ref, "method_scope": scope, "confidence": F.lit(None).cast("double") if confidence is None else confidence, "evidence_ref": evidence}
+        return df.select(*[c.alias(n) for n, c in columns.items()]).filter("source_id is not null")
+
+    types = s.filter("type is not null").groupBy("__id", "name", "type").agg(F.min("arg").alias("arg"))
+    scope = F.when(F.col("mapping_source").isNotNull(), "unknown")
     parts = [
-        rows(p, F.col("__id"), "predicate", "propbank", F.col("sense_id"), "exact"),
-        rows(p, F.col("__id"), "predicate", "sumo", F.col("process_type"), "candidate_alignment"),
-        rows(p, F.col("__id"), "predicate", "framenet", F.col("frame_id"), "candidate_alignment"),
-        rows(s.join(p.select("__id", "sense_id").dropDuplicates(["__id"]), "__id"), role, "role", "propbank", F.concat("sense_id", F.lit(":"), "arg"), "exact"),
-        rows(s, role, "role", "sumo", F.col("abstract_role"), "candidate_alignment"),
-        rows(s, F.col("__id"), "type", "sumo", F.col("type"), "constraint"),
+        rows(p, F.col("__id"), "predicate_type", "donor", F.col("name"), "derived_from", "direct_identifier", row(".name")),
+        rows(p, F.col("__id"), "predicate_type", "propbank", F.col("sense_id"), "derived_from", "direct_identifier", row(".sense_id")),
+        rows(p, F.col("__id"), "predicate_type", "framenet_candidate", F.col("frame_id"), "candidate_alignment", "donor_asserted", row("{frame_id,mapping_confidence,mapping_source}"), F.col("mapping_source"), scope, F.col("mapping_confidence")),
+        rows(s, role, "role_slot", "donor", F.concat_ws(":", "name", "arg"), "positional_role", "direct_identifier", slot("")),
+        rows(sensed, role, "role_slot", "propbank", F.concat("sense_id", F.lit(":"), "arg"), "positional_role", "donor_asserted", slot("")),
+        rows(types, type_id(F.concat(F.lit("sumo:"), "type")), "entity_type", "sumo_types", F.col("type"), "typed_by", "donor_asserted", slot(".type_constraint")),
     ]
     return reduce(DataFrame.unionByName, parts).distinct()

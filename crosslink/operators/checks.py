@@ -36,6 +36,39 @@ def illegal_combinations(df: DataFrame, allowed: DataFrame, columns: list[str])
     return df.join(allowed.select(*columns).distinct(), columns, "left_anti")
 
 
+#: Which relations each kind of record may have, and which kinds and relations each source may give.
+KIND_RELATIONS = {"predicate_type": ["derived_from", "candidate_alignment"], "role_slot": ["positional_role"], "entity_type": ["typed_by"], "hierarchy_edge": ["subtype_of"]}
+SOURCE_RELATIONS = {
+    "donor": {"predicate_type": ["derived_from"], "role_slot": ["positional_role"]},
+    "propbank": {"predicate_type": ["derived_from"], "role_slot": ["positional_role"]},
+    "framenet_candidate": {"predicate_type": ["candidate_alignment"]},
+    "sumo_types": {"entity_type": ["typed_by"], "hierarchy_edge": ["subtype_of"]},
+}
+
+
+def mapping_violations(records: DataFrame, key: str) -> DataFrame:
+    """key, code: the first rule that a mapping record breaks.
+
+    records: canonical_kind, relation, source_key, method_ref, method_scope, confidence. The kind must allow the relation; a method
+    reference and its scope come together; these and a confidence belong to candidate alignments only; the source must be known and
+    may give this kind by this relation only.
+    """
+    kind, relation, source = F.col("canonical_kind"), F.col("relation"), F.col("source_key")
+    pairs = [f"{k}|{r}" for k, rs in KIND_RELATIONS.items() for r in rs]
+    triples = [f"{s}|{k}|{r}" for s, kinds in SOURCE_RELATIONS.items() for k, rs in kinds.items() for r in rs]
+    candidate = relation == "candidate_alignment"
+    codes = {
+        "RELATION_OF_KIND": ~F.coalesce(F.concat_ws("|", kind, relation).isin(*pairs), F.lit(False)),
+        "METHOD_WITHOUT_SCOPE": F.col("method_ref").isNull() != F.col("method_scope").isNull(),
+        "METHOD_OF_NO_CANDIDATE": F.col("method_ref").isNotNull() & ~candidate,
+        "CONFIDENCE_OF_NO_CANDIDATE": F.col("confidence").isNotNull() & ~candidate,
+        "UNKNOWN_SOURCE": ~F.coalesce(source.isin(*SOURCE_RELATIONS), F.lit(False)),
+        "RELATION_OF_SOURCE": ~F.coalesce(F.concat_ws("|", source, kind, relation).isin(*triples), F.lit(False)),
+    }
+    code = F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in codes.items()])
+    return records.select(key, code.alias("code")).filter("code is not null")
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """keys, n of keys that more than one row has."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")

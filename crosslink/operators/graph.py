@@ -2,55 +2,50 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _written(df: DataFrame) -> DataFrame:
-    """A table in the shared folder, so that a round's lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-crosslink-")
-    path = f"{base.rstrip('/')}/round-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from crosslink.scratch import remove, write, written
 
 
 def ancestor_closure(edges: DataFrame, reflexive: bool = True) -> DataFrame:
-    """node, ancestor over edges (child, parent), safe with cycles; by path doubling, so in about log(depth) rounds."""
+    """node, ancestor over edges (child, parent), safe with cycles.
+
+    Each round joins just the pairs that the last one found with all pairs found so far, so paths double and about log(depth) rounds
+    do, and no pair is derived from the same two again. New pairs are a table of their own each round; nothing is rewritten.
+    """
     edges = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node is not null and ancestor is not null").distinct()
-    now, n = _written(edges), -1
-    while (m := now.count()) != n:
-        n = m
-        step = now.alias("a").join(now.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
-        now = _written(now.unionByName(step).distinct())
+    new = every = written(edges, "round")
+    while not new.isEmpty():
+        up = new.alias("a").join(every.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
+        down = every.alias("a").join(new.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
+        new = written(up.unionByName(down).distinct().join(every, ["node", "ancestor"], "left_anti"), "round")
+        every = every.unionByName(new)
     nodes = edges.select("node").unionByName(edges.select(F.col("ancestor").alias("node"))).distinct()
-    return now.unionByName(nodes.select("node", F.col("node").alias("ancestor"))).distinct() if reflexive else now
+    return every.unionByName(nodes.select("node", F.col("node").alias("ancestor"))).distinct() if reflexive else every
 
 
-def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int = 64) -> DataFrame:
-    """start, target, length, n_paths, path: the shortest simple paths upwards; path only if it is the only one.
+def shortest_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """start, target, length, n_paths, path: the shortest simple paths upwards, of any length; path only if it is the only one.
 
-    Breadth first for all pairs (start, target) at once; a pair leaves once its target is reached. Counts are kept for each node
-    reached and not for each path, so the work is bounded by pairs x nodes.
+    Breadth first for all pairs (start, target) at once, until no front is left; a pair leaves once its target is reached. Counts are
+    kept for each node reached and not for each path, so the work is bounded by pairs x nodes.
     """
     edges = edges.select("child", "parent").distinct()
     front = pairs.select("start", "target").distinct().withColumns({"at": F.col("start"), "n_paths": F.lit(1).cast("long"), "path": F.array("start")})
-    front, seen, done, depth = _written(front), None, None, 0
-    while True:
+    (front, _), seen, old, done, depth = write(front, "front"), None, None, None, 0
+    while not front.isEmpty():
         hit = front.filter("at = target").select("start", "target", F.lit(depth).alias("length"), "n_paths", F.when(F.col("n_paths") == 1, F.col("path")).alias("path"))
         done = hit if done is None else done.unionByName(hit)
         keys = front.select("start", "target", "at")
-        seen = keys if seen is None else _written(seen.unionByName(keys))
-        if depth == most:
-            return done
+        seen, path = write(keys if seen is None else seen.unionByName(keys), "seen")
+        if old:
+            remove(edges.sparkSession, old)
+        old = path
         open_ = front.join(hit.select("start", "target"), ["start", "target"], "left_anti")
         step = open_.join(edges, open_["at"] == edges.child).groupBy("start", "target", F.col("parent").alias("at")).agg(F.sum("n_paths").alias("n_paths"), F.first(F.concat("path", F.array("parent"))).alias("path"))
-        front, depth = _written(step.join(seen, ["start", "target", "at"], "left_anti")), depth + 1
-        if front.isEmpty():
-            return done
+        front, depth = written(step.join(seen, ["start", "target", "at"], "left_anti"), "front"), depth + 1
+    return done if done is not None else front.select("start", "target", F.lit(0).alias("length"), "n_paths", "path")
 
 
 def version_lineage(versions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,42 +47,80 @@ def append_reviews(crosswalk: DataFrame, reviews: DataFrame) -> DataFrame:
     return base.unionByName(rows.select(*base.columns).dropDuplicates(["record_id"]).join(base.select("record_id"), "record_id", "left_anti"))
 
 
-def evaluate_mappings(cases: DataFrame, predicates: DataFrame, roles: DataFrame, relations: DataFrame, correspondences: DataFrame, symmetric: list[str], collapsing: list[str]) -> DataFrame:
-    """case_id, status, reason of each mapping request; the first failing check is the reason.
+#: What a mapping over each relation needs, and the fields that each identity level compares.
+LOSSY_RELATION, LOSSY_CONDITION = "narrowerThan", "commercial_transaction"
+REVIEWED_RELATION, REVIEWED_CONDITION = "closeMatch", "contextual_equivalence_reviewed"
+EMBEDDED_CONDITION = "compare_embedded_proposition"
+IDENTITY_FIELDS = {
+    "proposition": ["proposition_id"],
+    "occurrence": ["proposition_id", "occurrence_id"],
+    "assertion": ["proposition_id", "occurrence_id", "assertion_id"],
+    "support": ["proposition_id", "occurrence_id", "assertion_id", "support_record_id"],
+}
+
+
+def evaluate_mappings(cases: DataFrame, predicates: DataFrame, roles: DataFrame, relations: DataFrame, correspondences: DataFrame) -> DataFrame:
+    """case_id, status, reason of each mapping request; the first failing check is the reason, of an allowed one it is the relation.
 
     cases: case_id, from_id, to_id, from_roles, to_roles (maps role -> filler), transforms (array of struct from_role, to_role),
-    from_scope, to_scope, identity_level. predicates: id. roles: predicate_id, role. relations: from_id, relation, to_id, ord;
-    the first by ord holds. correspondences: from_id, from_role, to_id, to_role, via_relation. An id without a predicate, a role
-    that a side doesn't declare, no relation or one in the other direction only, roles without a transform or with two, a transform
-    without a correspondence by that relation, fillers that differ, scopes that differ, an identity level that the relation can't keep.
+    from_scope, to_scope, loss, conditions (array), identity_level, from_identity, to_identity (structs with the fields of
+    ``IDENTITY_FIELDS``). predicates: id. roles: predicate_id, role. relations: from_id, to_id, relation, ord; correspondences:
+    from_id, from_role, to_id, to_role, via_relation, ord; the first by ord holds.
+
+    Equal predicates are an identity, which must be lossless and needs no correspondence. A relation in the other direction only is
+    refused, whatever it is. Roles that are transformed must be just the roles of either side.
     """
     ids = lambda c: predicates.select(F.col("id").alias(c), F.lit(True).alias(f"__{c}")).distinct()
     declared = lambda c, out: roles.groupBy(F.col("predicate_id").alias(c)).agg(F.collect_set("role").alias(out))
-    first = relations.groupBy("from_id", "to_id").agg(F.min_by("relation", F.struct("ord", "relation")).alias("relation"))
-    back = first.select(F.col("from_id").alias("to_id"), F.col("to_id").alias("from_id"), F.col("relation").alias("back"))
-    known = correspondences.groupBy("from_id", "to_id", F.col("via_relation").alias("relation")).agg(F.collect_set(F.struct("from_role", "to_role")).alias("known"))
+    first = relations.groupBy("from_id", "to_id").agg(F.min_by("relation", F.struct("ord", "relation")).alias("declared"))
+    back = first.select(F.col("from_id").alias("to_id"), F.col("to_id").alias("from_id"), F.col("declared").alias("back"))
+    four = ["from_id", "from_role", "to_id", "to_role"]
+    one = correspondences.groupBy(*four).agg(F.min_by("via_relation", F.struct("ord", "via_relation")).alias("declared"))
+    known = one.groupBy("from_id", "to_id", "declared").agg(F.collect_set(F.struct("from_role", "to_role")).alias("known"))
     df = cases
     for c in ("from_id", "to_id"):
         df = df.join(ids(c), c, "left").join(declared(c, c.replace("_id", "_declared")), c, "left")
-    df = df.join(first, ["from_id", "to_id"], "left").join(back, ["from_id", "to_id"], "left").join(known, ["from_id", "to_id", "relation"], "left")
-    keys = lambda side: F.map_keys(f"{side}_roles")
-    moved = lambda side: F.transform("transforms", lambda t: t[f"{side}_role"])
-    pair = lambda t: F.struct(t["from_role"].alias("from_role"), t["to_role"].alias("to_role"))
+    df = df.join(first, ["from_id", "to_id"], "left").join(back, ["from_id", "to_id"], "left").join(known, ["from_id", "to_id", "declared"], "left")
+    same = F.col("from_id") == F.col("to_id")
+    relation = F.when(same, "identity").otherwise(F.col("declared"))
     empty = F.array().cast("array<string>")
-    checks = {
-        "UNKNOWN_PREDICATE": F.col("__from_id").isNull() | F.col("__to_id").isNull(),
-        "UNDECLARED_ROLE": (F.size(F.array_except(keys("from"), F.coalesce("from_declared", empty))) > 0) | (F.size(F.array_except(keys("to"), F.coalesce("to_declared", empty))) > 0),
-        "DIRECTION_UNSUPPORTED": F.col("relation").isNull() & F.col("back").isNotNull() & ~F.col("back").isin(*symmetric),
-        "RELATION_UNSUPPORTED": F.col("relation").isNull() & F.col("back").isNull(),
-        "DUPLICATE_TRANSFORM": (F.size(F.array_distinct(moved("from"))) < F.size("transforms")) | (F.size(F.array_distinct(moved("to"))) < F.size("transforms")),
-        "ROLES_NOT_COVERED": (F.size(F.array_except(keys("from"), moved("from"))) > 0) | (F.size(F.array_except(keys("to"), moved("to"))) > 0),
-        "NO_CORRESPONDENCE": F.exists("transforms", lambda t: (t["from_role"] != t["to_role"]) & ~F.coalesce(F.array_contains("known", pair(t)), F.lit(False))),
-        "ROLE_FILLER_MISMATCH": F.exists("transforms", lambda t: ~F.try_element_at("from_roles", t["from_role"]).eqNullSafe(F.try_element_at("to_roles", t["to_role"]))),
-        "SCOPE_MISMATCH": ~F.col("from_scope").eqNullSafe(F.col("to_scope")),
-        "IDENTITY_MISMATCH": (F.col("identity_level") == "same_assertion") & ~F.coalesce("relation", "back").isin(*collapsing),
-    }
-    reason = cascade(checks)
-    return df.select("case_id", F.when(reason == "ALLOWED", "allowed").otherwise("rejected").alias("status"), reason.alias("reason"))
+    undeclared = lambda side: F.size(F.array_except(F.map_keys(f"{side}_roles"), F.coalesce(f"{side}_declared", empty))) > 0
+    moved = lambda side: F.transform("transforms", lambda t: t[f"{side}_role"])
+    differs = lambda side: F.array_sort(F.array_distinct(moved(side))) != F.array_sort(F.map_keys(f"{side}_roles"))
+    lacks = lambda condition: ~F.array_contains("conditions", condition)
+
+    def unsupported(t: Column) -> Column:
+        pair = F.struct(t["from_role"].alias("from_role"), t["to_role"].alias("to_role"))
+        return ~same & ~F.coalesce(F.array_contains("known", pair), F.lit(False))
+
+    def transform_fault(t: Column) -> Column:
+        filled = F.try_element_at("from_roles", t["from_role"]).eqNullSafe(F.try_element_at("to_roles", t["to_role"]))
+        return F.when(unsupported(t), "ROLE_TRANSFORM_UNSUPPORTED").when(~filled, "ROLE_FILLER_MISMATCH")
+
+    fault = F.get(F.array_compact(F.transform("transforms", transform_fault)), F.lit(0))
+    embedded = (F.col("identity_level") == "proposition") & ~lacks(EMBEDDED_CONDITION)
+    unequal = lambda field: ~F.col(f"from_identity.{field}").eqNullSafe(F.col(f"to_identity.{field}"))
+    identity = [(F.col("identity_level") == level) & reduce(Column.__or__, map(unequal, fields)) for level, fields in IDENTITY_FIELDS.items()]
+    checks = [
+        ("UNKNOWN_PREDICATE", F.col("__from_id").isNull()),
+        ("UNDECLARED_PREDICATE_ROLE", undeclared("from")),
+        ("UNKNOWN_PREDICATE", F.col("__to_id").isNull()),
+        ("UNDECLARED_PREDICATE_ROLE", undeclared("to")),
+        ("MAPPING_DIRECTION_UNSUPPORTED", relation.isNull() & F.col("back").isNotNull()),
+        ("PREDICATE_MAPPING_UNSUPPORTED", relation.isNull()),
+        ("NARROWER_PROJECTION_REQUIRES_LOSSY_CONTRACT", (relation == LOSSY_RELATION) & (F.col("loss") != "lossy")),
+        ("MAPPING_CONDITION_MISSING", (relation == LOSSY_RELATION) & lacks(LOSSY_CONDITION)),
+        ("CLOSE_MATCH_REQUIRES_CONTEXTUAL_REVIEW", (relation == REVIEWED_RELATION) & lacks(REVIEWED_CONDITION)),
+        ("IDENTITY_MAPPING_MUST_BE_LOSSLESS", same & (F.col("loss") != "lossless")),
+        ("RELATION_NOT_EXECUTABLE", ~relation.isin("identity", LOSSY_RELATION, REVIEWED_RELATION)),
+        ("DUPLICATE_SOURCE_ROLE_TRANSFORM", F.size(F.array_distinct(moved("from"))) < F.size("transforms")),
+        ("ROLE_TRANSFORM_SOURCE_COVERAGE_MISMATCH", differs("from")),
+        ("ROLE_TRANSFORM_TARGET_COVERAGE_MISMATCH", differs("to")),
+    ]
+    codes = [F.when(bad, F.lit(code)) for code, bad in checks] + [fault]
+    codes += [F.when(~F.col("from_scope").eqNullSafe(F.col("to_scope")) & ~embedded, "SCOPE_MISMATCH"), F.when(reduce(Column.__or__, identity), "IDENTITY_MISMATCH")]
+    out = df.select("case_id", F.coalesce(*codes).alias("code"), relation.alias("relation"))
+    return out.select("case_id", F.when(F.col("code").isNull(), "allowed").otherwise("rejected").alias("status"), F.coalesce("code", "relation").alias("reason"))
 
 
 def score_cases(observed: DataFrame, expected: DataFrame) -> DataFrame:
@@ -91,7 +131,7 @@ def score_cases(observed: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def nested_filler_violations(assertions: DataFrame, bindings: DataFrame, roles: DataFrame) -> DataFrame:
-    """assertion_id, role_id, filler_id, code. assertions: assertion_id, schema_id; bindings: assertion_id, role_id, filler_kind, filler_id; roles: schema_id, role_id, filler_schema (null: a plain filler)."""
+    """assertion_id, role_id, filler_id, code. An assertion may fill a role that expects no schema. assertions: assertion_id, schema_id; bindings: assertion_id, role_id, filler_kind, filler_id; roles: schema_id, role_id, filler_schema (null: a plain filler)."""
     a = assertions.select("assertion_id", "schema_id")
     out = bindings.join(a, "assertion_id", "left").join(roles.select("schema_id", "role_id", "filler_schema", F.lit(True).alias("__role")), ["schema_id", "role_id"], "left")
     out = out.join(a.select(F.col("assertion_id").alias("filler_id"), F.col("schema_id").alias("__filler_schema")), "filler_id", "left")
@@ -103,7 +143,7 @@ def nested_filler_violations(assertions: DataFrame, bindings: DataFrame, roles:
             "SELF_REFERENCE": nested & (F.col("filler_id") == F.col("assertion_id")),
             "MISSING_ASSERTION": nested & F.col("__filler_schema").isNull(),
             "ASSERTION_EXPECTED": ~nested & F.col("filler_schema").isNotNull(),
-            "WRONG_SCHEMA": nested & ~F.col("__filler_schema").eqNullSafe(F.col("filler_schema")),
+            "WRONG_SCHEMA": nested & F.col("filler_schema").isNotNull() & (F.col("__filler_schema") != F.col("filler_schema")),
         },
         "",
     )
@@ -124,7 +164,7 @@ def project_assertions(bindings: DataFrame, rules: DataFrame) -> DataFrame:
     kept and lost are sorted "role=filler" lists; each endpoint needs exactly one filler; filled omitted roles are the receipt of
     what is lost, and a lossless rule may lose nothing.
     """
-    rows = bindings.join(F.broadcast(rules.withColumnRenamed("endpoints", "__ends")), "schema_id")  # rules are written by hand
+    rows = bindings.join(rules.withColumnRenamed("endpoints", "__ends"), "schema_id")
     item = F.concat_ws("=", "role_id", "filler_id")
     pick = lambda c: F.array_sort(F.collect_list(F.when(F.array_contains(c, F.col("role_id")), item)))
     ends = F.array_sort(F.collect_list(F.when(F.array_contains("__ends", F.col("role_id")), F.col("role_id"))))
@@ -158,31 +198,62 @@ def triage(expected: Column, blocked: Column, in_scope: Column) -> Column:
     return cascade({"no_expected_predicates": F.size(expected) <= 0, "schema_blocked": blocked, "out_of_scope": ~in_scope}, "scoreable")
 
 
-def reachability(label: Column, equal: Column, relation: Column, failure_mode: Column, collapsing: list[str]) -> Column:
-    """Which of eight buckets a pair falls into, by label, equality, declared relation and failure mode."""
-    same, linked = label == "same", F.coalesce(relation.isin(*collapsing), F.lit(False))
-    return cascade(
+def reachability(pairs: DataFrame, relations: DataFrame, collapsing: list[str], modifiers: bool) -> DataFrame:
+    """pair_id, bucket: how far a pair of sentences can be told apart or put together by its expected predicates.
+
+    pairs: pair_id, label, failure_mode, predicates_a, predicates_b (arrays, any of them acceptable); relations: from_id, to_id,
+    relation, ord, unordered pairs, of several the last by ord holds. ``modifiers``: whether modifier roles and an inflection value are
+    declared (see ``modifiers_declared``). A pair labelled same-object counts as linked if any of its pairings of different
+    predicates has a collapsing relation.
+    """
+    a, b = (F.array_sort(F.coalesce(F.col(f"predicates_{s}"), F.array().cast("array<string>"))) for s in "ab")
+    df = pairs.select("pair_id", "label", "failure_mode", a.alias("a"), b.alias("b"))
+    ends = [F.least("from_id", "to_id").alias("x"), F.greatest("from_id", "to_id").alias("y")]
+    last = relations.select(*ends, "relation", "ord").groupBy("x", "y").agg(F.max_by("relation", F.struct("ord", "relation")).alias("relation"))
+    pairings = df.filter("label = 'same-object'").select("pair_id", F.explode("a").alias("p"), "b").select("pair_id", "p", F.explode("b").alias("q")).filter("p <> q")
+    pairings = pairings.select("pair_id", F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y"))
+    linked = pairings.join(last.filter(F.col("relation").isin(*collapsing)), ["x", "y"], "left_semi").select("pair_id", F.lit(True).alias("__linked")).distinct()
+    same, equal = F.col("label") == "same-object", F.col("a") == F.col("b")
+    bucket = cascade(
         {
-            "same_equal": same & equal,
-            "same_reachable": same & linked,
-            "same_declared_only": same & relation.isNotNull(),
-            "same_role_failure": same & (failure_mode == "roles"),
-            "same_unreachable": same,
-            "different_equal": ~same & equal,
-            "different_linked": ~same & linked,
+            "no_expected_predicates": (F.size("a") == 0) | (F.size("b") == 0),
+            "same_via_identical_predicate": same & equal,
+            "same_via_declared_relation": same & F.col("__linked"),
+            "same_UNREACHABLE": same,
+            "diff_via_distinct_predicate": ~equal,
+            "diff_via_modifier": (F.col("failure_mode") == "granularity") & F.lit(modifiers),
+            "diff_UNREACHABLE": F.col("failure_mode") == "granularity",
         },
-        "different_apart",
+        "diff_needs_roles",
     )
+    return df.join(linked, "pair_id", "left").select("pair_id", bucket.alias("bucket"))
+
+
+def modifiers_declared(labels: DataFrame, value_types: DataFrame, needed: list[str], value_type: str) -> DataFrame:
+    """declared: one row, whether all ``needed`` modifier labels (column label) and the value type (column value_type_id) are declared."""
+    have = labels.filter(F.col("label").isin(*needed)).select("label")
+    value = value_types.filter(F.col("value_type_id") == value_type).select(F.lit("").alias("label"))
+    return have.unionByName(value).distinct().agg((F.count("*") == len(set(needed)) + 1).alias("declared"))
+
 
+def dispositions(modules: DataFrame, approved: DataFrame, notice: list[str]) -> DataFrame:
+    """path, sha256, header_class, disposition. modules: path, text; approved: path. ``notice``: words of the approved notice.
 
-def dispositions(modules: DataFrame, approved: DataFrame) -> DataFrame:
-    """path, header_class, disposition. modules: path, text; approved: path."""
+    Only an approved module may be published; each other one waits for a review of its own, whatever its header says.
+    """
     from crosslink.functions.texts import header_class
 
     out = modules.join(approved.select("path", F.lit(True).alias("__ok")).distinct(), "path", "left").withColumn("__ok", F.coalesce("__ok", F.lit(False)))
-    kind = header_class(F.col("text"), F.col("__ok"))
-    what = F.when(F.col("__ok") & (kind == "approved_notice"), "publish_with_notice").when(F.col("__ok"), "publish").when(kind.isin("gpl", "lgpl", "mixed"), "exclude_copyleft").otherwise("exclude_unreviewed")
-    return out.select("path", kind.alias("header_class"), what.alias("disposition"))
+    what = F.when(F.col("__ok"), "approved_for_bounded_context").otherwise("excluded_pending_module_specific_review")
+    return out.select("path", F.sha2("text", 256).alias("sha256"), header_class(F.col("text"), F.col("__ok"), notice).alias("header_class"), what.alias("disposition"))
+
+
+def publication_violations(modules: DataFrame, approved: DataFrame, notice: list[str]) -> DataFrame:
+    """path, code: what makes a publication fail. approved: path, sha256. An approved module that isn't there, has changed or lacks the notice."""
+    found = dispositions(modules, approved, notice).filter("disposition = 'approved_for_bounded_context'").select("path", F.col("sha256").alias("__observed"), "header_class")
+    out = approved.select("path", "sha256").join(found, "path", "left")
+    code = cascade({"APPROVED_MODULE_ABSENT": F.col("header_class").isNull(), "APPROVED_HASH_CHANGED": F.col("sha256") != F.col("__observed"), "APPROVED_NOTICE_MISSING": F.col("header_class") != "approved_notice"}, "")
+    return out.select("path", code.alias("code")).filter("code <> ''")
 
 
 def completeness(parsed: Column, repaired: Column, issues: Column) -> Column:
@@ -199,17 +270,51 @@ def schema_profile(roles: DataFrame) -> DataFrame:
     return roles.groupBy("schema_id").agg(F.count("*").alias("n_roles"), n(F.col("grounded_role").isNotNull()).alias("grounded"), n(F.col("grounded_role").isNull()).alias("ungrounded"), n(F.coalesce(F.col("max_count") > 1, F.lit(True))).alias("repeatable"))
 
 
-def classify_episodes(factors: DataFrame, gap_ms: int = 3000, distance: float = 0.02) -> DataFrame:
-    """episode, verdict, confidence. factors: episode, max_gap, n_instances, one_signature, position_gap, pressure_stable; nulls are unknown."""
-    verdict = cascade(
-        {
-            "identity_unknown": F.col("max_gap") > gap_ms,
-            "several_instances": F.col("n_instances") > 1,
-            "no_contact": F.col("position_gap") > distance,
-            "contact": F.col("pressure_stable"),
-            "contact_changing": ~F.col("pressure_stable"),
-        },
-        "unknown",
+def contact_states(observations: DataFrame) -> DataFrame:
+    """episode, state, confidence, evidence (sorted ids). observations: episode, obs_id, ord, channel, ts, value, z, reference.
+
+    Pressure: touching before and not after, or the reverse, is a transient contact; a stable mean over 1 is a direct one. A position
+    more than 0.02 over the reference surface rules contact out, whatever the pressure says. Null readings and times count as 0.
+    """
+    known = ["pressure_sensor", "position_tracker", "camera_overhead", "camera_3d_stereo", "accelerometer"]
+    value, z, channel = F.coalesce("value", F.lit(0.0)), F.coalesce("z", F.lit(0.0)), F.col("channel")
+    pressure = channel == "pressure_sensor"
+    order = F.when(pressure, F.struct(F.coalesce("ts", F.lit(0)).alias("ts"), value.alias("value")))
+    one = observations.groupBy("episode").agg(
+        F.avg(F.when(pressure, value)).alias("mean"),
+        F.max(F.when(pressure, value)).alias("high"),
+        F.min(F.when(pressure, value)).alias("low"),
+        F.min(order)["value"].alias("first"),
+        F.max(order)["value"].alias("last"),
+        F.avg(F.when(channel == "position_tracker", z)).alias("height"),
+        F.min_by("reference", F.when(F.col("reference").isNotNull(), F.col("ord"))).alias("surface"),
+        F.array_sort(F.collect_list(F.when(channel.isin(*known), F.col("obs_id")))).alias("evidence"),
     )
-    sure = F.when(verdict.isin("contact", "no_contact") & F.coalesce("one_signature", F.lit(False)), 0.9).when(verdict == "unknown", 0.0).otherwise(0.5)
-    return factors.select("episode", verdict.alias("verdict"), sure.alias("confidence"))
+    apart = F.contains("surface", F.lit("surface_B_height_0.1m")) & (F.col("height") - 0.1 > 0.02)
+    turned = (F.col("first") > 1.0) != (F.col("last") > 1.0)
+    direct = (F.col("mean") > 1.0) & (F.col("high") - F.col("low") < 1.0)
+    state = F.when(apart, "no_contact").when(turned, "transient_contact").when(direct, "direct_contact").otherwise("unknown")
+    sure = F.when(apart, 0.94).when(turned, 0.92).when(direct, 0.95).otherwise(0.5)
+    return one.select("episode", state.alias("state"), sure.alias("confidence"), "evidence")
+
+
+def classify_episodes(episodes: DataFrame, contacts: DataFrame, identities: DataFrame, gap_ms: int = 3000) -> DataFrame:
+    """episode, classification, confidence, by the type of the episode.
+
+    episodes: episode, episode_type; contacts: ``contact_states``; identities: episode, max_gap_ms, instance_count (null: unknown).
+    """
+    df = episodes.select("episode", "episode_type").join(contacts.select("episode", "state", F.col("confidence").alias("__sure")), "episode", "left").join(identities, "episode", "left")
+    kind, state = F.col("episode_type"), F.coalesce("state", F.lit("unknown"))
+    cases = [
+        ((kind == "support") & (state == "direct_contact") & (F.col("__sure") > 0.90), "support", 0.98),
+        ((kind == "support") & (state == "direct_contact"), "support", 0.75),
+        ((kind == "obstruction") & (state == "no_contact"), "visual_occlusion_not_support", 0.97),
+        ((kind == "attachment") & (state == "transient_contact"), "transient_contact_not_attachment", 0.96),
+        (kind == "posture_persistence", "persistent_identity_stable_pose", 0.95),
+        ((kind == "posture_identity_adversarial") & (F.col("max_gap_ms") > gap_ms), "identity_unknown_insufficient_evidence", 0.99),
+        ((kind == "posture_identity_adversarial") & (F.col("instance_count") > 1), "multiple_indistinguishable_instances", 0.98),
+        (kind == "posture_identity_adversarial", "persistent_identity_stable_pose", 0.95),
+    ]
+    name = F.coalesce(*[F.when(c, F.lit(v)) for c, v, _ in cases], F.lit("support"))
+    sure = F.coalesce(*[F.when(c, F.lit(p)) for c, _, p in cases], F.lit(0.5))
+    return df.select("episode", name.alias("classification"), sure.alias("confidence"))

@@ -100,7 +100,7 @@ def distractors(items: DataFrame, pool: DataFrame, k: int, probes: int = 8) -> D
     parts = pool.withColumn("__h", F.sha2(F.col("candidate").cast("string"), 256)).withColumn("__b", F.substring("__h", 1, 2))
     before = parts.groupBy("__b").count().withColumn("__o", F.coalesce(F.sum("count").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("__b", "__o")  # 256 rows
     numbered = parts.join(F.broadcast(before), "__b").withColumn("__n", (F.row_number().over(W.partitionBy("__b").orderBy("__h")) - 1 + F.col("__o")).cast("long")).select("candidate", "__n")
-    first = F.pmod(F.xxhash64("id"), F.lit(total))
+    first = F.pmod(F.conv(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 12), 16, 10).cast("long"), F.lit(total))
     looks = F.least(F.lit(total), F.size("expected") + k + probes).cast("long")
     asked = items.select("id", "expected", F.posexplode(F.transform(F.sequence(F.lit(0).cast("long"), looks - 1), lambda i: F.pmod(first + i, F.lit(total)))).alias("__p", "__n"))
     hits = asked.join(numbered, "__n").filter(~F.array_contains("expected", F.col("candidate")))

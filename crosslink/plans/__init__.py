@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crosslink.plans import graphs, matching, measures, ruling, sequences
+from crosslink.plans import graphs, matching, measures, records, ruling, sequences, stored
 from crosslink.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "graphs", "matching", "measures", "ruling", "sequences"]

@@ -6,7 +6,7 @@ from crosslink.operators import catalog, graph, match
 from crosslink.plans.base import query
 
 EDGES = """edges AS (SELECT 'c' || c_custkey AS child, 'n' || c_nationkey AS parent FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
-cyclic AS (SELECT DISTINCT 'p' || (p_partkey % 97) AS child, 'p' || ((p_partkey * 7 + 3) % 97) AS parent FROM part WHERE p_partkey < 97)"""
+cyclic AS (SELECT 'p' || p_partkey AS child, 'p' || (p_partkey - p_partkey % 7 + (p_partkey % 7 + 1) % 7) AS parent FROM part)"""
 
 
 def tag(letter, c):
@@ -18,8 +18,9 @@ def edges(t):
 
 
 def cyclic(t):
-    p = t.part.filter("p_partkey < 97").select((F.col("p_partkey") % 97).alias("a"), ((F.col("p_partkey") * 7 + 3) % 97).alias("b"))
-    return p.select(tag("p", "a").alias("child"), tag("p", "b").alias("parent")).distinct()
+    """Parts in cycles of seven."""
+    k = F.col("p_partkey")
+    return t.part.select(tag("p", "p_partkey").alias("child"), F.concat(F.lit("p"), (k - k % 7 + (k % 7 + 1) % 7).cast("string")).alias("parent"))
 
 
 CLOSURE = f"""WITH RECURSIVE {EDGES}, every AS (SELECT * FROM edges UNION ALL SELECT * FROM cyclic), closure AS (SELECT child AS node, child AS ancestor FROM every UNION SELECT parent, parent FROM every UNION SELECT node, parent FROM closure JOIN every ON child = ancestor)"""
@@ -38,17 +39,19 @@ def reaches_root(t):
     return graph.reaches_root(every, seeds)
 
 
-DAG = """dag AS (SELECT DISTINCT p_partkey % 211 AS child, p_partkey % 211 + 1 + p_size % 3 AS parent FROM part WHERE p_partkey % 211 < 40)"""
+DAG = """dag AS (SELECT * FROM (SELECT p_partkey AS child, p_partkey + 1 + p_size % 3 AS parent FROM part UNION SELECT p_partkey, p_partkey + 2 FROM part) WHERE child // 12 = parent // 12)"""
 
 
-@query(f"""WITH RECURSIVE {DAG}, starts AS (SELECT DISTINCT child AS start FROM dag WHERE child % 4 = 0), walk AS (SELECT start, start AS cur, 0 AS length, CAST(start AS VARCHAR) AS path FROM starts UNION ALL SELECT start, parent, length + 1, path || '>' || parent FROM walk JOIN dag ON child = cur WHERE length < 3),
+@query(f"""WITH RECURSIVE {DAG}, starts AS (SELECT DISTINCT child AS start FROM dag WHERE child % 4 = 0), walk AS (SELECT start, start AS cur, 0 AS length, CAST(start AS VARCHAR) AS path FROM starts UNION ALL SELECT start, parent, length + 1, path || '>' || parent FROM walk JOIN dag ON child = cur),
 hit AS (SELECT start, cur, length, path FROM walk WHERE cur = start + 5), best AS (SELECT start, min(length) AS length FROM hit GROUP BY 1)
 SELECT start, start + 5 AS target, CAST(length AS INTEGER) AS length, count(*) AS n_paths, CASE WHEN count(*) = 1 THEN min(path) END AS path FROM hit JOIN best USING (start, length) GROUP BY start, length""")
 def unique_shortest_path(t):
-    k = F.col("p_partkey") % 211
-    dag = t.part.filter(k < 40).select(k.alias("child"), (k + 1 + F.col("p_size") % 3).alias("parent")).distinct()
+    """Parts as nodes of graphs of twelve."""
+    k = F.col("p_partkey")
+    dag = t.part.select(k.alias("child"), (k + 1 + F.col("p_size") % 3).alias("parent")).unionByName(t.part.select(k.alias("child"), (k + 2).alias("parent")))
+    dag = dag.filter(F.floor(F.col("child") / 12) == F.floor(F.col("parent") / 12)).distinct()
     pairs = dag.filter("child % 4 = 0").select(F.col("child").alias("start"), (F.col("child") + 5).alias("target")).distinct()
-    return graph.shortest_paths(dag, pairs, 3).withColumn("path", F.array_join(F.col("path").cast("array<string>"), ">"))
+    return graph.shortest_paths(dag, pairs).withColumn("path", F.array_join(F.col("path").cast("array<string>"), ">"))
 
 
 @query("""WITH RECURSIVE v AS (SELECT 'v' || p_size AS version, CASE WHEN p_size > 1 THEN 'v' || (p_size // 2) END AS extends FROM (SELECT DISTINCT p_size FROM part) UNION ALL SELECT 'x', 'y' UNION ALL SELECT 'y', 'x' UNION ALL SELECT 'm', 'v1' UNION ALL SELECT 'm', 'v2'),
@@ -61,8 +64,8 @@ def version_lineage(t):
     return graph.version_lineage(v.unionByName(odd))
 
 
-TYPES = f"""{CLOSURE}, slots AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role, CASE WHEN o_orderkey % 3 = 0 THEN 'n' || (o_custkey % 25) WHEN o_orderkey % 3 = 1 THEN 'r' || (o_custkey % 5) ELSE 'c' || o_custkey END AS type FROM orders WHERE o_orderkey < 3000),
-cons AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role, CASE WHEN o_custkey % 2 = 0 THEN 'n' || (o_custkey % 25) ELSE 'r' || (o_custkey % 5) END AS required_type FROM orders WHERE o_custkey % 20 < 12 AND o_orderkey < 60)"""
+TYPES = f"""{CLOSURE}, slots AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role, CASE WHEN o_orderkey % 3 = 0 THEN 'n' || (o_custkey % 25) WHEN o_orderkey % 3 = 1 THEN 'r' || (o_custkey % 5) ELSE 'c' || o_custkey END AS type FROM orders),
+cons AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role, CASE WHEN o_custkey % 2 = 0 THEN 'n' || (o_custkey % 25) ELSE 'r' || (o_custkey % 5) END AS required_type FROM orders WHERE o_custkey % 20 < 12)"""
 
 
 @query(f"""{TYPES}, p AS (SELECT s.role, s.type, c.required_type, s.type = c.required_type OR (s.type, c.required_type) IN (SELECT (node, ancestor) FROM closure) AS below, s.type = c.required_type OR (c.required_type, s.type) IN (SELECT (node, ancestor) FROM closure) AS above FROM slots s LEFT JOIN cons c USING (role))
@@ -71,8 +74,8 @@ def type_relation(t):
     c, k = F.col("o_custkey"), F.col("o_orderkey")
     role = F.concat("o_orderpriority", (c % 20).cast("string")).alias("role")
     name = lambda x, n: F.concat(F.lit(x), (c % n if n else c).cast("string"))
-    slots = t.orders.filter("o_orderkey < 3000").select(role, F.when(k % 3 == 0, name("n", 25)).when(k % 3 == 1, name("r", 5)).otherwise(name("c", 0)).alias("type"))
-    cons = t.orders.filter("o_custkey % 20 < 12 and o_orderkey < 60").select(role, F.when(c % 2 == 0, name("n", 25)).otherwise(name("r", 5)).alias("required_type"))
+    slots = t.orders.select(role, F.when(k % 3 == 0, name("n", 25)).when(k % 3 == 1, name("r", 5)).otherwise(name("c", 0)).alias("type"))
+    cons = t.orders.filter("o_custkey % 20 < 12").select(role, F.when(c % 2 == 0, name("n", 25)).otherwise(name("r", 5)).alias("required_type"))
     return graph.type_relation(slots, cons, graph.ancestor_closure(edges(t)))
 
 
@@ -162,14 +165,26 @@ def _slice(t):
     return catalog.compile_additive_slice(rel, cons, mods, {"predicates": owned, "roles": none.select(F.col("predicate_id").alias("role_id")), "types": none.select(F.col("predicate_id").alias("type_id"))})
 
 
-@query("""WITH p AS (SELECT c_name AS n, 'lc:' || lower(c_name) AS id, CASE WHEN c_custkey % 2 = 0 THEN 's.' || c_custkey END AS sense, CASE WHEN c_custkey % 3 = 0 THEN 'P' || (c_custkey % 7) END AS pt, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) END AS fr, c_custkey FROM customer),
-s AS (SELECT id, sense, 'L' || (o_orderkey % 3) AS label, 'ARG' || (o_orderkey % 3) AS arg, CASE WHEN o_orderkey % 2 = 0 THEN 'agent' END AS ar, o_orderpriority AS type FROM orders JOIN p ON o_custkey = c_custkey)
-SELECT id AS canonical_id, 'predicate' AS canonical_kind, 'propbank' AS source_key, sense AS source_id, 'exact' AS relation FROM p WHERE sense IS NOT NULL UNION SELECT id, 'predicate', 'sumo', pt, 'candidate_alignment' FROM p WHERE pt IS NOT NULL UNION SELECT id, 'predicate', 'framenet', fr, 'candidate_alignment' FROM p WHERE fr IS NOT NULL
-UNION SELECT id || '#lc.role.' || lower(label), 'role', 'propbank', sense || ':' || arg, 'exact' FROM s WHERE sense IS NOT NULL UNION SELECT id || '#lc.role.' || lower(label), 'role', 'sumo', ar, 'candidate_alignment' FROM s WHERE ar IS NOT NULL UNION SELECT id, 'type', 'sumo', type, 'constraint' FROM s""")
+PROVENANCE = """p AS (SELECT c_name AS n, 'lc:' || c_name AS id, CASE WHEN c_custkey % 2 = 0 THEN 's.' || c_custkey END AS sense, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) END AS fr, CASE WHEN c_custkey % 10 = 0 THEN 'm' END AS m, CASE WHEN c_custkey % 15 = 0 THEN 0.5 END AS q, c_custkey FROM customer),
+s AS (SELECT DISTINCT n, id, sense, 'L' || (o_orderkey % 3) AS label, 'ARG' || (o_orderkey % 3) AS arg, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS type FROM orders JOIN p ON o_custkey = c_custkey)"""
+
+
+@query(f"""WITH {PROVENANCE}, r AS (SELECT DISTINCT n, id, sense, id || ':lc.role.' || lower(label) AS role, arg, 'role_slots[name=' || n || ',arg=' || arg || ']' AS ev FROM s)
+SELECT id AS canonical_id, 'predicate_type' AS canonical_kind, 'donor' AS source_key, n AS source_id, 'derived_from' AS relation, 'direct_identifier' AS derivation_method, CAST(NULL AS VARCHAR) AS method_ref, CAST(NULL AS VARCHAR) AS method_scope, CAST(NULL AS DOUBLE) AS confidence, 'predicates[name=' || n || '].name' AS evidence_ref FROM p
+UNION ALL SELECT id, 'predicate_type', 'propbank', sense, 'derived_from', 'direct_identifier', NULL, NULL, NULL, 'predicates[name=' || n || '].sense_id' FROM p WHERE sense IS NOT NULL
+UNION ALL SELECT id, 'predicate_type', 'framenet_candidate', fr, 'candidate_alignment', 'donor_asserted', m, CASE WHEN m IS NOT NULL THEN 'unknown' END, q, 'predicates[name=' || n || ']{{frame_id,mapping_confidence,mapping_source}}' FROM p WHERE fr IS NOT NULL
+UNION ALL SELECT role, 'role_slot', 'donor', n || ':' || arg, 'positional_role', 'direct_identifier', NULL, NULL, NULL, ev FROM r UNION ALL SELECT role, 'role_slot', 'propbank', sense || ':' || arg, 'positional_role', 'donor_asserted', NULL, NULL, NULL, ev FROM r WHERE sense IS NOT NULL
+UNION ALL SELECT 'lc:sumo_type.' || lower(type), 'entity_type', 'sumo_types', type, 'typed_by', 'donor_asserted', NULL, NULL, NULL, 'role_slots[name=' || n || ',arg=' || min(arg) || '].type_constraint' FROM s WHERE type IS NOT NULL GROUP BY n, type""")
 def emit_provenance(t):
-    k = F.col("c_custkey")
-    p = t.customer.select(F.col("c_name").alias("name"), F.when(k % 2 == 0, F.concat(F.lit("s."), k.cast("string"))).alias("sense_id"), F.when(k % 3 == 0, F.concat(F.lit("P"), (k % 7).cast("string"))).alias("process_type"), F.when(k % 5 == 0, k.cast("string")).alias("frame_id"))
-    o = t.orders.join(t.customer, F.col("o_custkey") == k)
-    m = (F.col("o_orderkey") % 3).cast("string")
-    s = o.select(F.col("c_name").alias("name"), F.concat(F.lit("L"), m).alias("label"), F.concat(F.lit("ARG"), m).alias("arg"), F.when(F.col("o_orderkey") % 2 == 0, "agent").alias("abstract_role"), F.col("o_orderpriority").alias("type"))
+    k, o = F.col("c_custkey"), F.col("o_orderkey")
+    p = t.customer.select(
+        F.col("c_name").alias("name"),
+        F.when(k % 2 == 0, F.concat(F.lit("s."), k.cast("string"))).alias("sense_id"),
+        F.when(k % 5 == 0, k.cast("string")).alias("frame_id"),
+        F.when(k % 10 == 0, "m").alias("mapping_source"),
+        F.when(k % 15 == 0, 0.5).alias("mapping_confidence"),
+    )
+    m = (o % 3).cast("string")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == k)
+    s = joined.select(F.col("c_name").alias("name"), F.concat(F.lit("L"), m).alias("label"), F.concat(F.lit("ARG"), m).alias("arg"), F.when(o % 7 > 0, F.col("o_orderpriority")).alias("type"))
     return catalog.emit_provenance(p, s)

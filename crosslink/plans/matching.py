@@ -35,12 +35,12 @@ def crosswalk(t):
 
 
 @query(f"""WITH {MATCHED}, d AS (SELECT family, count(DISTINCT donor_id) AS donor_ids, count_if(status = 'matched') AS matched, count_if(status = 'missing') AS missing, count_if(status = 'invalid') AS invalid,
-  count_if(status = 'source_unavailable') AS unavailable, count(DISTINCT CASE WHEN status = 'matched' THEN normal_id END) AS hit FROM (SELECT DISTINCT * FROM matched) GROUP BY family),
+  count_if(status = 'source_unavailable') AS unavailable, count(DISTINCT CASE WHEN status = 'matched' THEN normal_id END) AS hit, count(*) || '-' || sum(CAST(CAST('0x' || substr(sha256('v' || donor_id), 1, 14) AS BIGINT) AS HUGEINT)) AS donor_digest FROM (SELECT DISTINCT * FROM matched) GROUP BY family),
 s AS (SELECT family, count(DISTINCT source_id) AS source_ids FROM sources GROUP BY family)
 SELECT family, coalesce(source_ids, 0) AS source_ids, CAST(coalesce(donor_ids, 0) AS BIGINT) AS donor_ids, CAST(coalesce(matched, 0) AS BIGINT) AS matched, CAST(coalesce(missing, 0) AS BIGINT) AS missing, CAST(coalesce(invalid, 0) AS BIGINT) AS invalid,
-  CAST(coalesce(unavailable, 0) AS BIGINT) AS unavailable, CAST(coalesce(source_ids, 0) - coalesce(hit, 0) AS BIGINT) AS extra FROM d FULL JOIN s USING (family)""")
+  CAST(coalesce(unavailable, 0) AS BIGINT) AS unavailable, CAST(coalesce(source_ids, 0) - coalesce(hit, 0) AS BIGINT) AS extra, donor_digest FROM d FULL JOIN s USING (family)""")
 def identity_coverage(t):
-    return M.identity_coverage(matched(t), sources(t)).drop("donor_digest")
+    return M.identity_coverage(matched(t), sources(t))
 
 
 @query(f"""WITH {MAPPINGS} SELECT source_key, CAST(count_if(identity_state = 'exact') AS BIGINT) AS n_exact, CAST(count_if(identity_state = 'missing') AS BIGINT) AS n_missing, CAST(count_if(identity_state = 'invalid') AS BIGINT) AS n_invalid,
@@ -232,9 +232,26 @@ def validate_fields(t):
     return checks.field_violations(t.customer, "c_custkey", {"NEGATIVE": F.col("c_acctbal") < 0, "SEGMENT": F.col("c_mktsegment") == "BUILDING", "CONFIDENCE": checks.no_confidence(F.col("c_acctbal") / 10000)})
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE (o_orderstatus, o_orderpriority) NOT IN (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders WHERE o_custkey < 20)")
+RECORDS = """rec AS (SELECT l_orderkey * 10 + l_linenumber AS id, ['predicate_type', 'role_slot', 'entity_type', 'hierarchy_edge'][l_orderkey % 4 + 1] AS kind, ['derived_from', 'positional_role', 'typed_by', 'subtype_of', 'candidate_alignment'][CASE WHEN l_partkey % 7 = 0 THEN l_suppkey % 5 WHEN l_orderkey % 4 = 0 AND l_suppkey % 2 = 0 THEN 4 ELSE l_orderkey % 4 END + 1] AS relation,
+  ['donor', 'propbank', 'framenet_candidate', 'sumo_types', 'another'][l_partkey % 5 + 1] AS source, CASE WHEN l_linenumber = 2 THEN 'm' END AS ref, CASE WHEN l_linenumber IN (2, 3) AND l_partkey % 3 > 0 THEN 'unknown' END AS scope, CASE WHEN l_linenumber = 4 THEN 0.5 END AS confidence FROM lineitem)"""
+
+
+@query(f"""WITH {RECORDS}, c AS (SELECT id, CASE WHEN NOT coalesce(kind || '|' || relation IN ('predicate_type|derived_from', 'predicate_type|candidate_alignment', 'role_slot|positional_role', 'entity_type|typed_by', 'hierarchy_edge|subtype_of'), false) THEN 'RELATION_OF_KIND' WHEN (ref IS NULL) <> (scope IS NULL) THEN 'METHOD_WITHOUT_SCOPE' WHEN ref IS NOT NULL AND relation <> 'candidate_alignment' THEN 'METHOD_OF_NO_CANDIDATE'
+  WHEN confidence IS NOT NULL AND relation <> 'candidate_alignment' THEN 'CONFIDENCE_OF_NO_CANDIDATE' WHEN source = 'another' THEN 'UNKNOWN_SOURCE' WHEN NOT (CASE source WHEN 'framenet_candidate' THEN relation = 'candidate_alignment' WHEN 'sumo_types' THEN kind IN ('entity_type', 'hierarchy_edge') ELSE relation IN ('derived_from', 'positional_role') END) THEN 'RELATION_OF_SOURCE' END AS code FROM rec) SELECT id, code FROM c WHERE code IS NOT NULL""")
 def legal_combination(t):
-    return checks.illegal_combinations(t.orders, t.orders.filter("o_custkey < 20"), ["o_orderstatus", "o_orderpriority"]).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    o, p, s, n = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    pick = lambda names, at: F.element_at(F.array(*[F.lit(x) for x in names]), (at + 1).cast("int"))
+    relation = F.when(p % 7 == 0, s % 5).when((o % 4 == 0) & (s % 2 == 0), 4).otherwise(o % 4)
+    records = t.lineitem.select(
+        (o * 10 + n).alias("id"),
+        pick(["predicate_type", "role_slot", "entity_type", "hierarchy_edge"], o % 4).alias("canonical_kind"),
+        pick(["derived_from", "positional_role", "typed_by", "subtype_of", "candidate_alignment"], relation).alias("relation"),
+        pick(["donor", "propbank", "framenet_candidate", "sumo_types", "another"], p % 5).alias("source_key"),
+        F.when(n == 2, "m").alias("method_ref"),
+        F.when(n.isin(2, 3) & (p % 3 > 0), "unknown").alias("method_scope"),
+        F.when(n == 4, 0.5).alias("confidence"),
+    )
+    return checks.mapping_violations(records, "id")
 
 
 @query("""SELECT p_partkey, 'lc:' || lower(trim(p_name)) AS predicate_id, 'lc.role.' || lower(trim(p_type)) AS role_id, 'lc.role.relation_arg' || p_size AS position_id, 'lc:sumo_type.' || lower(p_brand) AS type_id,

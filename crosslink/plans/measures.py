@@ -6,6 +6,7 @@ from crosslink.functions import texts as X
 from crosslink.functions import values as V
 from crosslink.operators import metrics as M
 from crosslink.operators import windows as Wn
+from crosslink.plans.ruling import HEADS, NOTICE
 from crosslink.plans.base import query, rounded
 
 # events as windows: reference from the type, prediction by a band around a center
@@ -182,15 +183,15 @@ def first_witness(t):
     return M.first_witness(refs, "O")
 
 
-@query("""WITH r AS (SELECT l_partkey AS term, l_orderkey AS path, CAST(l_linenumber AS BIGINT) AS idx FROM lineitem WHERE l_partkey < 300 UNION SELECT p_partkey, p_size, p_partkey FROM part WHERE p_partkey < 300)
+@query("""WITH r AS (SELECT l_partkey AS term, l_orderkey AS path, CAST(l_linenumber AS BIGINT) AS idx FROM lineitem UNION SELECT p_partkey, p_size, p_partkey FROM part)
 SELECT term, count(*) AS n_refs, string_agg(path || '#' || lpad(CAST(idx AS VARCHAR), 9, '0'), ',' ORDER BY path || '#' || lpad(CAST(idx AS VARCHAR), 9, '0')) AS refs FROM r GROUP BY term""")
 def term_inventory(t):
-    a = t.lineitem.filter("l_partkey < 300").select("l_partkey", F.col("l_orderkey").alias("path"), F.col("l_linenumber").cast("long").alias("idx"))
-    b = t.part.filter("p_partkey < 300").select("p_partkey", F.col("p_size").cast("long").alias("path"), F.col("p_partkey").alias("idx"))
+    a = t.lineitem.select("l_partkey", F.col("l_orderkey").alias("path"), F.col("l_linenumber").cast("long").alias("idx"))
+    b = t.part.select("p_partkey", F.col("p_size").cast("long").alias("path"), F.col("p_partkey").alias("idx"))
     return M.term_inventory({"line": (a, ["l_partkey"]), "part": (b, ["p_partkey"])}).withColumn("refs", F.array_join("refs", ","))
 
 
-@query()
+@query("""WITH d AS (SELECT count(*) AS rows, count(*) || '-' || sum(CAST(CAST('0x' || substr(sha256('v' || o_orderkey || chr(31) || 'v' || o_custkey || chr(31) || 'v' || o_orderdate), 1, 14) AS BIGINT) AS HUGEINT)) AS digest FROM orders) SELECT unnest([1, 2]) AS copy, rows, digest FROM d""")
 def content_digest(t):
     a, b = (M.content_digest(df.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderkey", "o_custkey", "o_orderdate"]) for df in (t.orders, t.orders.orderBy(F.desc("o_totalprice"))))
     return a.withColumn("copy", F.lit(1)).unionByName(b.withColumn("copy", F.lit(2)))
@@ -201,10 +202,9 @@ def occurrence_count(t):
     return t.documents.select("doc_id", X.occurrences(F.col("text"), F.lit("the ")).alias("n"), X.only_place(F.col("text"), F.lit("licensed")).alias("place"))
 
 
-@query("""WITH h AS (SELECT doc_id, lower(array_to_string(string_split(text, chr(10))[1:3], chr(10))) AS h FROM documents), f AS (SELECT *, contains(h, 'lesser general public license') OR contains(h, 'library general public license') OR contains(h, 'lgpl') AS a, contains(h, 'gnu general public license') OR contains(h, 'gnu public license') AS b, contains(h, 'creative commons') AS c FROM h)
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND (a OR b OR c) THEN 'approved_notice' WHEN CAST(a AS INTEGER) + CAST(b AS INTEGER) + CAST(c AS INTEGER) > 1 THEN 'mixed' WHEN a THEN 'lgpl' WHEN b THEN 'gpl' WHEN c THEN 'cc' ELSE 'unclassified' END AS kind FROM f""")
+@query(f"WITH {HEADS} SELECT doc_id, kind FROM hc")
 def header_class(t):
-    return t.documents.select("doc_id", X.header_class(F.col("text"), F.col("doc_id") % 2 == 0, 3).alias("kind"))
+    return t.documents.select("doc_id", X.header_class(F.col("text"), F.col("doc_id") % 2 == 0, NOTICE).alias("kind"))
 
 
 @query("""SELECT doc_id, CASE WHEN len(string_split(text, chr(10))) >= 3 THEN array_to_string(list_transform(string_split(text, chr(10))[2:3], lambda x: rtrim(x)), chr(10)) END AS lines FROM documents""")
@@ -212,17 +212,19 @@ def line_range(t):
     return t.documents.select("doc_id", X.line_range(F.col("text"), 2, 3).alias("lines"))
 
 
-@query("""SELECT doc_id, CASE WHEN length(text) - length(replace(text, 'License', '')) = 7 THEN replace(text, 'License', 'Licence') END AS repaired, left(replace(text, 'License', '[redacted]'), 50) AS redacted FROM documents""")
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 > 0 AND length(text) - length(replace(text, 'icensed', '')) = 7 THEN replace(text, 'icensed', 'icenced') END AS repaired, left(replace(text, 'icense', '[redacted]'), 4000) AS redacted FROM documents""")
 def text_repairs(t):
-    return t.documents.select("doc_id", X.repaired(F.col("text"), F.lit("License"), F.lit("Licence")).alias("repaired"), X.redacted(F.col("text"), ["License"], 50).alias("redacted"))
+    """A repair of every fifth document is of another version of it, so it isn't applied."""
+    sha = F.when(F.col("doc_id") % 5 > 0, F.sha2("text", 256)).otherwise(F.sha2(F.concat("text", F.lit(".")), 256))
+    return t.documents.select("doc_id", X.repaired(F.col("text"), F.lit("icensed"), F.lit("icenced"), sha).alias("repaired"), X.redacted(F.col("text"), ["icense"]).alias("redacted"))
 
 
-@query("""WITH q AS (SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 THEN 'other' ELSE 'text' END AS field, left(text, 12) AS quote FROM documents), n AS (SELECT *, CASE WHEN length(quote) > 0 THEN (length(text) - length(replace(text, quote, ''))) // length(quote) ELSE 0 END AS n FROM q)
+@query("""WITH q AS (SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 THEN 'other' ELSE 'text' END AS field, coalesce(string_split(text, chr(10))[2], '') AS quote FROM documents), n AS (SELECT *, CASE WHEN length(quote) > 0 THEN (length(text) - length(replace(text, quote, ''))) // length(quote) ELSE 0 END AS n FROM q)
 SELECT doc_id, CASE WHEN field = 'other' THEN 'missing_field' WHEN length(quote) = 0 THEN 'empty_quote' WHEN n = 0 THEN 'not_found' WHEN n > 1 THEN 'ambiguous' ELSE 'grounded' END AS status,
 CASE WHEN field = 'text' AND n = 1 THEN CAST(instr(text, quote) - 1 AS INTEGER) END AS start, CASE WHEN field = 'text' AND n = 1 THEN CAST(instr(text, quote) - 1 + length(quote) AS INTEGER) END AS "end" FROM n""")
 def ground_quotes(t):
     field = F.when(F.col("doc_id") % 4 == 0, "other").otherwise("text")
-    g = X.grounded_quote(F.create_map(F.lit("text"), F.col("text")), field, F.left("text", F.lit(12)))
+    g = X.grounded_quote(F.create_map(F.lit("text"), F.col("text")), field, F.coalesce(F.get(F.split("text", "\n"), F.lit(1)), F.lit("")))
     return t.documents.select("doc_id", g.alias("g")).select("doc_id", "g.status", "g.start", "g.end")
 
 

@@ -102,7 +102,8 @@ def rank_average(t):
     return average_ranks(t.orders, "o_totalprice", "r").select("o_orderkey", F.round("r", 1).alias("r"))
 
 
-@query()
+@query("""WITH i AS (SELECT o_custkey AS id, list_distinct(list(o_orderkey % 200)) AS expected, CAST('0x' || substr(sha256(CAST(o_custkey AS VARCHAR)), 1, 12) AS BIGINT) AS h FROM orders GROUP BY 1), p AS (SELECT c, row_number() OVER (ORDER BY sha256(CAST(c AS VARCHAR))) - 1 AS n, count(*) OVER () AS total FROM (SELECT DISTINCT p_partkey % 200 AS c FROM part)),
+l AS (SELECT id, c, (n - h % total + total) % total AS d, len(expected) + 11 AS looks, list_contains(expected, c) AS wanted FROM i, p), r AS (SELECT id, c, row_number() OVER (PARTITION BY id ORDER BY d) AS r FROM l WHERE d < looks AND NOT wanted) SELECT id, c AS distractor FROM r WHERE r <= 3""")
 def add_distractors(t):
     items = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.col("o_orderkey") % 200).alias("expected"))
     return Wn.distractors(items, t.part.select((F.col("p_partkey") % 200).alias("candidate")), 3)

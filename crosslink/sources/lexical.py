@@ -18,9 +18,9 @@ ROLESETS = f"""_lemma string, roleset array<struct<_id:string,_name:string,
   example:array<struct<_name:string,_src:string,text:string>>>>"""
 
 
-def scan_rolesets(spark: SparkSession, root: str) -> DataFrame:
+def scan_rolesets(spark: SparkSession, root: str, pattern: str = "*.xml") -> DataFrame:
     """path, lemma, roleset_id, name, aliases, arguments, links, examples; one row for each roleset. Files that don't parse give none."""
-    df = spark.read.format("xml").option("rowTag", "predicate").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").option("mode", "DROPMALFORMED").schema(ROLESETS).load(root)
+    df = spark.read.format("xml").option("rowTag", "predicate").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("mode", "DROPMALFORMED").schema(ROLESETS).load(root)
     rows = df.select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("_lemma").alias("lemma"), F.explode("roleset").alias("r"))
     role = lambda x: F.struct(x["_n"].alias("number"), x["_f"].alias("function_tag"), x["_descr"].alias("description"), x["rolelinks"]["rolelink"].alias("role_links"))
     return rows.select("path", "lemma", F.col("r._id").alias("roleset_id"), F.col("r._name").alias("name"), F.col("r.aliases.alias").alias("aliases"), F.transform("r.roles.role", role).alias("arguments"), F.col("r.lexlinks.lexlink").alias("links"), F.col("r.example").alias("examples"))
@@ -31,9 +31,9 @@ def roleset_arguments(rolesets: DataFrame) -> DataFrame:
     return rolesets.select(F.col("roleset_id").alias("id"), F.posexplode("arguments").alias("ord", "a")).select("id", "ord", "a.number", "a.function_tag", "a.description")
 
 
-def scan_roleset_ids(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+def scan_roleset_ids(spark: SparkSession, root: str, pattern: str = "*.xml") -> tuple[DataFrame, DataFrame]:
     """(path, roleset_id, found_by) and (path, issue). Malformed files give ids by pattern and an issue."""
-    texts = whole_texts(spark, root, "*.xml")
+    texts = whole_texts(spark, root, pattern)
     parsed = texts.withColumn("x", F.from_xml("text", "predicate array<struct<roleset:array<struct<_id:string>>>>, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}))
     marked = parsed.withColumn("bad", F.col("x").isNull() | F.col("x.__bad").isNotNull())
     good = marked.filter("not bad").select("path", F.explode(F.flatten(F.transform("x.predicate", lambda p: F.transform(p["roleset"], lambda r: r["_id"])))).alias("roleset_id"), F.lit("parser").alias("found_by"))
@@ -42,18 +42,38 @@ def scan_roleset_ids(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
     return ids, marked.filter("bad").select("path", F.lit("malformed_xml").alias("issue"))
 
 
-FRAME = """_ID int, _name string, definition string,
-  FE array<struct<_ID:int,_name:string,_abbrev:string,_coreType:string,definition:string>>,
-  lexUnit array<struct<_ID:int,_name:string,_POS:string,_status:string>>"""
+FRAME = """_ID int, _name string, definition string, semType array<struct<_ID:int,_name:string>>,
+  FE array<struct<_ID:int,_name:string,_abbrev:string,_coreType:string,definition:string,semType:array<struct<_ID:int,_name:string>>>>,
+  lexUnit array<struct<_ID:int,_name:string,_POS:string,_status:string,semType:array<struct<_ID:int,_name:string>>>>, __bad string"""
+#: The core types of a frame element.
+CORE_TYPES = ["Core", "Core-Unexpressed", "Peripheral", "Extra-Thematic"]
 
 
-def scan_frames(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """frames, fes (in document order) and lus of frame files."""
-    df = spark.read.format("xml").option("rowTag", "frame").option("pathGlobFilter", "*.xml").schema(FRAME).load(root)
+def scan_frames(spark: SparkSession, root: str, pattern: str = "*.xml") -> dict[str, DataFrame]:
+    """frames, fes (in document order), lus and sem_types (owner kind and id, type id and name) of frame files; issues: path, issue.
+
+    A malformed file, a frame without id or name and an element of unknown core type are issues; ``frames_or_fail`` raises on them.
+    """
+    df = spark.read.format("xml").option("rowTag", "frame").option("pathGlobFilter", pattern).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad").schema(FRAME).load(root)
+    df = df.select("*", relative(F.col("_metadata.file_path"), root).alias("path"))
     key = F.col("_ID").alias("frame_id")
-    fes = df.select(key, F.posexplode("FE").alias("ord", "e")).select("frame_id", F.col("e._ID").alias("fe_id"), F.col("e._name").alias("name"), F.col("e._abbrev").alias("abbrev"), F.col("e._coreType").alias("core_type"), F.col("e.definition").alias("definition"), "ord")
-    lus = df.select(key, F.explode("lexUnit").alias("u")).select("frame_id", F.col("u._ID").alias("lu_id"), F.col("u._name").alias("name"), F.col("u._POS").alias("pos"), F.col("u._status").alias("status"))
-    return {"frames": df.select(key, F.col("_name").alias("name"), "definition"), "fes": fes, "lus": lus}
+    fine = df.filter("__bad is null and _ID is not null and _name is not null")
+    elements = fine.select("path", key, F.posexplode("FE").alias("ord", "e"))
+    fes = elements.select("frame_id", F.col("e._ID").alias("fe_id"), F.col("e._name").alias("name"), F.col("e._abbrev").alias("abbrev"), F.col("e._coreType").alias("core_type"), F.col("e.definition").alias("definition"), "ord")
+    units = fine.select(key, F.explode("lexUnit").alias("u"))
+    lus = units.select("frame_id", F.col("u._ID").alias("lu_id"), F.col("u._name").alias("name"), F.col("u._POS").alias("pos"), F.col("u._status").alias("status"))
+    typed = lambda rows, kind, owner, types: rows.select(F.lit(kind).alias("kind"), owner.alias("owner_id"), F.explode(types).alias("s")).select("kind", "owner_id", F.col("s._ID").alias("type_id"), F.col("s._name").alias("type_name"))
+    sem = typed(fine, "frame", F.col("_ID"), F.col("semType")).unionByName(typed(elements, "fe", F.col("e._ID"), F.col("e.semType"))).unionByName(typed(units, "lu", F.col("u._ID"), F.col("u.semType")))
+    broken = df.filter("__bad is not null or _ID is null or _name is null").select("path", F.lit("malformed_frame").alias("issue"))
+    odd = elements.filter(~F.coalesce(F.col("e._coreType").isin(*CORE_TYPES), F.lit(False))).select("path", F.lit("unknown_core_type").alias("issue"))
+    return {"frames": fine.select(key, F.col("_name").alias("name"), "definition"), "fes": fes, "lus": lus, "sem_types": sem, "issues": broken.unionByName(odd)}
+
+
+def frames_or_fail(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of ``scan_frames``, if they have no issue."""
+    if bad := frames["issues"].limit(5).collect():
+        raise ValueError(f"frame files with issues: {[tuple(r) for r in bad]}")
+    return frames
 
 
 RELATIONS = """_ID int, _name string, frameRelation array<struct<_ID:int,_subID:int,_supID:int,_subFrameName:string,_superFrameName:string,
@@ -109,9 +129,9 @@ def split_formulas(text: str | None) -> Iterator[tuple[int, int, str, list[str],
             parts.append(token)
 
 
-def scan_axioms(spark: SparkSession, root: str) -> DataFrame:
-    """module, formula_index, start_line, head, parts, formula_sha256 of all ``*.kif`` files; one file is parsed by one task."""
-    texts = whole_texts(spark, root, "*.kif")
+def scan_axioms(spark: SparkSession, root: str, pattern: str = "*.kif") -> DataFrame:
+    """module, formula_index, start_line, head, parts, formula_sha256 of all files that match; one file is parsed by one task."""
+    texts = whole_texts(spark, root, pattern)
 
     def parse(batches):
         import pandas as pd

@@ -31,8 +31,13 @@ def test_texts(spark):
     assert one(spark, texts.occurrences(lit("aaaa"), lit("aa")), texts.occurrences(lit("x"), lit("")), texts.only_place(lit("abc"), lit("c")), texts.only_place(lit("cc"), lit("c"))) == (2, 0, 2, None)
     quote = lambda f, q: texts.grounded_quote(F.create_map(lit("d"), lit("one two two")), lit(f), lit(q))
     assert [tuple(x) for x in one(spark, quote("d", "one"), quote("d", "two"), quote("d", "six"), quote("e", "one"), quote("d", ""))] == [("grounded", 0, 3), ("ambiguous", None, None), ("not_found", None, None), ("missing_field", None, None), ("empty_quote", None, None)]
-    kind = lambda t, ok=False: texts.header_class(lit(t), lit(ok))
-    assert one(spark, kind("GNU General Public License"), kind("gnu lesser general public license"), kind("x\n" * 120 + "LGPL"), kind("GNU General Public License, Creative Commons"), kind("Creative Commons", True), kind("", True)) == ("gpl", "lgpl", "unclassified", "mixed", "approved_notice", "unclassified")
+    kind = lambda t, ok=False: texts.header_class(lit(t), lit(ok), ["Example grants", "prepare derivative works"])
+    own = "EXAMPLE GRANTS the right to\r\nprepare derivative works; GNU General Public License"
+    assert one(spark, kind("GNU General Public License"), kind("gnu lesser general public license"), kind("GNU General Public License, Create Commons"), kind("Creative Commons", True)) == ("gpl", "lgpl", "mixed", "cc")
+    assert one(spark, kind(own, True), kind(own), kind("x\r" * 120 + "gnu public license"), kind("x\r\n" * 119 + "gnu public license"), kind("LGPL")) == ("approved_notice", "gpl", "unclassified", "gpl", "unclassified")
+    text = lit("a<b")
+    sha = lambda x: lit(hashlib.sha256(x).hexdigest())
+    assert one(spark, texts.repaired(text, lit("<"), lit("&lt;"), sha(b"a<b")), texts.repaired(text, lit("<"), lit("&lt;"), sha(b"other"))) == ("a&lt;b", None)
     assert one(spark, texts.line_range(lit("a\nb \nc"), 2, 3), texts.line_range(lit("a"), 1, 2), texts.redacted(lit("my key key"), ["key"], 8), texts.repaired(lit("a<b"), lit("<"), lit("&lt;"))) == ("b\nc", None, "my [reda", "a&lt;b")
     roles = texts.without_empty_roles(F.create_map(*[lit(x) for x in ("a", " ", "b", "unknown", "c", "Unknown", "d", "n/a ", "e", "x")]))
     assert one(spark, roles)[0] == {"c": "Unknown", "e": "x"}

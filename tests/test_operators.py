@@ -146,3 +146,136 @@ def test_small_rules(spark):
     lineage = spark.createDataFrame([("v2", "v2", "ok"), ("v2", "v1", "ok")], "version string, ancestor string, status string")
     assets = spark.createDataFrame([("v1", 1), ("v2", 2), ("v3", 3)], "version string, x int")
     assert rows(graph.union_lineage(assets, lineage, "v2")) == {("v1", 1), ("v2", 2)}
+
+
+def mapping(spark, **changes):
+    """One mapping request from give to its partner predicates; the changes make it fail."""
+    base = {
+        "from_id": "sell", "to_id": "transfer", "from_roles": {"agent": "a", "theme": "t"}, "to_roles": {"giver": "a", "object": "t"},
+        "transforms": [("agent", "giver"), ("theme", "object")], "from_scope": "actual", "to_scope": "actual", "loss": "lossy",
+        "conditions": ["commercial_transaction"], "level": "occurrence", "from_identity": (1, 2, 3, 4), "to_identity": (1, 2, 9, 9),
+    }
+    c = base | changes
+    fields = "struct<proposition_id:int,occurrence_id:int,assertion_id:int,support_record_id:int>"
+    schema = f"case_id string, from_id string, to_id string, from_roles map<string,string>, to_roles map<string,string>, transforms array<struct<from_role:string,to_role:string>>, from_scope string, to_scope string, loss string, conditions array<string>, identity_level string, from_identity {fields}, to_identity {fields}"
+    return spark.createDataFrame([("c", *c.values())], schema)
+
+
+@pytest.mark.parametrize(
+    "changes,want",
+    [
+        ({}, "narrowerThan"),
+        ({"from_id": "x"}, "UNKNOWN_PREDICATE"),
+        ({"from_roles": {"agent": "a", "other": "t"}}, "UNDECLARED_PREDICATE_ROLE"),
+        ({"from_id": "transfer", "to_id": "sell", "from_roles": {"giver": "a"}, "to_roles": {"agent": "a"}, "transforms": [("giver", "agent")]}, "MAPPING_DIRECTION_UNSUPPORTED"),
+        ({"to_id": "walk", "to_roles": {}, "transforms": []}, "PREDICATE_MAPPING_UNSUPPORTED"),
+        ({"loss": "lossless"}, "NARROWER_PROJECTION_REQUIRES_LOSSY_CONTRACT"),
+        ({"conditions": []}, "MAPPING_CONDITION_MISSING"),
+        ({"to_id": "vend", "to_roles": {"agent": "a", "theme": "t"}, "transforms": [("agent", "agent"), ("theme", "theme")], "conditions": []}, "CLOSE_MATCH_REQUIRES_CONTEXTUAL_REVIEW"),
+        ({"to_id": "vend", "to_roles": {"agent": "a", "theme": "t"}, "transforms": [("agent", "agent"), ("theme", "theme")], "conditions": ["contextual_equivalence_reviewed"]}, "ROLE_TRANSFORM_UNSUPPORTED"),
+        ({"to_id": "sell", "to_roles": {"agent": "a", "theme": "t"}, "transforms": [("agent", "agent"), ("theme", "theme")]}, "IDENTITY_MAPPING_MUST_BE_LOSSLESS"),
+        ({"to_id": "sell", "to_roles": {"agent": "a", "theme": "t"}, "transforms": [("agent", "agent"), ("theme", "theme")], "loss": "lossless"}, "identity"),
+        ({"to_id": "own", "to_roles": {"agent": "a"}, "transforms": [("agent", "agent")]}, "RELATION_NOT_EXECUTABLE"),
+        ({"transforms": [("agent", "giver"), ("agent", "object")]}, "DUPLICATE_SOURCE_ROLE_TRANSFORM"),
+        ({"transforms": [("agent", "giver")]}, "ROLE_TRANSFORM_SOURCE_COVERAGE_MISMATCH"),
+        ({"transforms": [("agent", "giver"), ("theme", "giver")]}, "ROLE_TRANSFORM_TARGET_COVERAGE_MISMATCH"),
+        ({"transforms": [("agent", "object"), ("theme", "giver")]}, "ROLE_TRANSFORM_UNSUPPORTED"),
+        ({"to_roles": {"giver": "b", "object": "t"}}, "ROLE_FILLER_MISMATCH"),
+        ({"to_scope": "negated"}, "SCOPE_MISMATCH"),
+        ({"to_scope": "negated", "conditions": ["commercial_transaction", "compare_embedded_proposition"]}, "SCOPE_MISMATCH"),
+        ({"to_scope": "negated", "conditions": ["commercial_transaction", "compare_embedded_proposition"], "level": "proposition"}, "narrowerThan"),
+        ({"level": "assertion"}, "IDENTITY_MISMATCH"),
+        ({"level": "proposition", "to_identity": (7, 2, 3, 4)}, "IDENTITY_MISMATCH"),
+    ],
+)
+def test_mapping_rules(spark, changes, want):
+    names = lambda *x: spark.createDataFrame([(v,) for v in x], "id string")
+    preds = names("sell", "transfer", "vend", "own", "walk")
+    roles = spark.createDataFrame([("sell", "agent"), ("sell", "theme"), ("transfer", "giver"), ("transfer", "object"), ("vend", "agent"), ("vend", "theme"), ("own", "agent")], "predicate_id string, role string")
+    rel = spark.createDataFrame([("sell", "transfer", "narrowerThan", 1), ("sell", "transfer", "closeMatch", 2), ("sell", "vend", "closeMatch", 1), ("sell", "own", "entails", 1)], "from_id string, to_id string, relation string, ord int")
+    corr = spark.createDataFrame([("sell", "agent", "transfer", "giver", "narrowerThan", 1), ("sell", "theme", "transfer", "object", "narrowerThan", 1), ("sell", "agent", "vend", "agent", "narrowerThan", 1)], "from_id string, from_role string, to_id string, to_role string, via_relation string, ord int")
+    got = rules.evaluate_mappings(mapping(spark, **changes), preds, roles, rel, corr).collect()
+    assert [(r.case_id, r.status, r.reason) for r in got] == [("c", "rejected" if want.isupper() else "allowed", want)]
+
+
+def test_nested_fillers(spark):
+    a = spark.createDataFrame([("x", "s"), ("y", "s"), ("z", "t")], "assertion_id string, schema_id string")
+    roles = spark.createDataFrame([("s", "any", None), ("s", "only_t", "t")], "schema_id string, role_id string, filler_schema string")
+    rows_ = [("x", "any", "assertion", "y"), ("x", "any", "assertion", "x"), ("x", "any", "assertion", "gone"), ("x", "only_t", "assertion", "z"), ("x", "only_t", "assertion", "y"), ("x", "only_t", "entity", "e"), ("x", "any", "entity", "e"), ("x", "none", "entity", "e")]
+    got = rules.nested_filler_violations(a, spark.createDataFrame(rows_, "assertion_id string, role_id string, filler_kind string, filler_id string"), roles)
+    assert rows(got) == {("x", "any", "x", "SELF_REFERENCE"), ("x", "any", "gone", "MISSING_ASSERTION"), ("x", "only_t", "y", "WRONG_SCHEMA"), ("x", "only_t", "e", "ASSERTION_EXPECTED"), ("x", "none", "e", "UNDECLARED_ROLE")}
+
+
+def test_reachability(spark):
+    pairs = [
+        (1, "same-object", "x", ["a"], []), (2, "same-object", "x", ["a", "b"], ["b", "a"]), (3, "same-object", "x", ["a", "b"], ["c"]), (4, "same-object", "x", ["a"], ["d"]),
+        (5, "different", "granularity", ["a"], ["b"]), (6, "different", "granularity", ["a"], ["a"]), (7, "different", "roles", ["a"], ["a"]),
+    ]
+    df = spark.createDataFrame(pairs, "pair_id int, label string, failure_mode string, predicates_a array<string>, predicates_b array<string>")
+    rel = spark.createDataFrame([("c", "b", "closeMatch", 1), ("a", "d", "closeMatch", 1), ("d", "a", "related", 2)], "from_id string, to_id string, relation string, ord int")
+    want = ["no_expected_predicates", "same_via_identical_predicate", "same_via_declared_relation", "same_UNREACHABLE", "diff_via_distinct_predicate", "diff_via_modifier", "diff_needs_roles"]
+    bucket = lambda m: [r.bucket for r in rules.reachability(df, rel, ["closeMatch"], m).orderBy("pair_id").collect()]
+    assert bucket(True) == want and bucket(False) == [*want[:5], "diff_UNREACHABLE", want[6]]
+    labels = spark.createDataFrame([("M",), ("N",), (None,)], "label string")
+    value = spark.createDataFrame([("v",)], "value_type_id string")
+    declared = lambda need, v: rules.modifiers_declared(labels, value, need, v).first().declared
+    assert (declared(["M", "N"], "v"), declared(["M", "X"], "v"), declared(["M"], "w")) == (True, False, False)
+
+
+def test_contacts_and_episodes(spark):
+    obs = [
+        ("touch", 1, 1, "pressure_sensor", 0, 2.0, None, None), ("touch", 2, 2, "pressure_sensor", 5, 2.9, None, None), ("touch", 3, 3, "thermometer", 5, 2.9, None, None),
+        ("turn", 4, 1, "pressure_sensor", 9, 0.1, None, None), ("turn", 5, 2, "pressure_sensor", 1, 3.0, None, None),
+        ("apart", 6, 1, "pressure_sensor", 1, 3.0, None, None), ("apart", 7, 2, "position_tracker", 1, None, 0.13, "surface_B_height_0.1m"),
+        ("noisy", 8, 1, "pressure_sensor", 1, 2.0, None, None), ("noisy", 9, 2, "pressure_sensor", 2, 3.5, None, None),
+        ("seen", 10, 1, "camera_overhead", None, None, None, "floor"), ("seen", 11, 2, "position_tracker", None, None, 9.0, "surface_B_height_0.1m"),
+    ]
+    df = spark.createDataFrame(obs, "episode string, obs_id int, ord int, channel string, ts long, value double, z double, reference string")
+    contacts = rules.contact_states(df)
+    assert {r.episode: (r.state, r.confidence) for r in contacts.collect()} == {"touch": ("direct_contact", 0.95), "turn": ("transient_contact", 0.92), "apart": ("no_contact", 0.94), "noisy": ("unknown", 0.5), "seen": ("unknown", 0.5)}
+    assert {r.episode: r.evidence for r in contacts.collect()}["touch"] == [1, 2]
+    kinds = {"touch": "support", "turn": "attachment", "apart": "obstruction", "noisy": "support", "seen": "posture_identity_adversarial", "p1": "posture_identity_adversarial", "p2": "posture_identity_adversarial", "p3": "posture_persistence", "o": "odd"}
+    episodes = spark.createDataFrame(list(kinds.items()), "episode string, episode_type string")
+    ident = spark.createDataFrame([("p1", 3001, 1), ("p2", 3000, 2), ("seen", None, None)], "episode string, max_gap_ms int, instance_count int")
+    got = {r.episode: (r.classification, r.confidence) for r in rules.classify_episodes(episodes, contacts, ident).collect()}
+    assert got == {
+        "touch": ("support", 0.98), "turn": ("transient_contact_not_attachment", 0.96), "apart": ("visual_occlusion_not_support", 0.97), "noisy": ("support", 0.5), "seen": ("persistent_identity_stable_pose", 0.95),
+        "p1": ("identity_unknown_insufficient_evidence", 0.99), "p2": ("multiple_indistinguishable_instances", 0.98), "p3": ("persistent_identity_stable_pose", 0.95), "o": ("support", 0.5),
+    }
+
+
+def test_mapping_records(spark):
+    good = [("predicate_type", "derived_from", "donor", None, None, None), ("predicate_type", "candidate_alignment", "framenet_candidate", "m", "unknown", 0.5), ("role_slot", "positional_role", "propbank", None, None, None), ("hierarchy_edge", "subtype_of", "sumo_types", None, None, None)]
+    bad = {
+        "RELATION_OF_KIND": ("role_slot", "derived_from", "donor", None, None, None), "METHOD_WITHOUT_SCOPE": ("predicate_type", "candidate_alignment", "framenet_candidate", "m", None, None),
+        "METHOD_OF_NO_CANDIDATE": ("predicate_type", "derived_from", "donor", "m", "unknown", None), "CONFIDENCE_OF_NO_CANDIDATE": ("role_slot", "positional_role", "donor", None, None, 0.1),
+        "UNKNOWN_SOURCE": ("role_slot", "positional_role", "x", None, None, None), "RELATION_OF_SOURCE": ("predicate_type", "candidate_alignment", "donor", None, None, None),
+    }
+    df = spark.createDataFrame([(str(i), *g) for i, g in enumerate(good)] + [(k, *v) for k, v in bad.items()], "id string, canonical_kind string, relation string, source_key string, method_ref string, method_scope string, confidence double")
+    assert rows(checks.mapping_violations(df, "id")) == {(k, k) for k in bad}
+
+
+def test_publication(spark):
+    import hashlib
+
+    text = "Example grants: prepare derivative works. GNU General Public License"
+    sha = hashlib.sha256(text.encode()).hexdigest()
+    modules = spark.createDataFrame([("a", text), ("b", text), ("c", "GNU General Public License")], "path string, text string")
+    approved = spark.createDataFrame([("a", sha), ("c", hashlib.sha256(b"GNU General Public License").hexdigest()), ("gone", "-")], "path string, sha256 string")
+    notice = ["example grants", "prepare derivative works"]
+    got = {r.path: (r.header_class, r.disposition) for r in rules.dispositions(modules, approved, notice).collect()}
+    yes, no = "approved_for_bounded_context", "excluded_pending_module_specific_review"
+    assert got == {"a": ("approved_notice", yes), "b": ("gpl", no), "c": ("gpl", yes)}
+    assert rows(rules.publication_violations(modules, approved, notice)) == {("c", "APPROVED_NOTICE_MISSING"), ("gone", "APPROVED_MODULE_ABSENT")}
+    changed = approved.replace(sha, "0", ["sha256"])
+    assert ("a", "APPROVED_HASH_CHANGED") in rows(rules.publication_violations(modules, changed, notice))
+
+
+def test_long_paths_are_followed(spark):
+    n = 90
+    edges = spark.range(n).selectExpr("id as child", "id + 1 as parent")
+    pairs = spark.createDataFrame([(0, n)], "start long, target long")
+    got = graph.shortest_paths(edges, pairs).collect()
+    assert [(r.length, r.n_paths, len(r.path)) for r in got] == [(n, 1, n + 1)]
+    assert graph.shortest_paths(edges, pairs.filter("false")).count() == 0
+    assert graph.ancestor_closure(edges, reflexive=False).count() == n * (n + 1) // 2

@@ -3,7 +3,7 @@
 Anchors: words at positions whose remainder by ``period`` lies in a difference cover start an anchor of
 ``window - period + 1`` words. For any two equal windows there is a shift below the period that puts both on cover
 positions, so both hold an equal anchor at that shift; only windows around anchors that occur twice can be repeats. These
-are extended to the whole window and compared by 128 bits of hash.
+are extended to the whole window and compared by 128 bits of hash, texts by 127.
 
 A passage may stand in very many texts. What a task sees twice among its own texts is known to be repeated: such rows are dealt by
 their text and not by their hash, and only two marks for each such hash go where the hash is counted. So the rows of one hash in
@@ -81,13 +81,14 @@ def anchors(words: Words, window: int, period: int, cover: tuple[int, ...]) -> t
     return where, hashes[where]
 
 
-SINGLE, MARK, SURE = 0, 1, 2
+#: The lowest bit of t2 is free: it says that a row is known to be repeated. A mark has no text: both are 0.
+SURE = np.uint64(1)
 
 
-def pre_counted(keys: list[np.ndarray], spread: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
-    """Keys by which rows are dealt, their kind, and the keys of the marks.
+def pre_counted(keys: list[np.ndarray], text: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Keys by which rows are dealt, the texts' ids, and the keys of the marks.
 
-    A row whose keys another row of this slice has is ``SURE`` and is dealt by ``spread``, which for the first key is added to it. Each
+    A row whose keys another row of this slice has is ``SURE`` and is dealt by its text, whose mixed id is added to the keys. Each
     repeated combination of keys gets a mark.
     """
     order = np.lexsort(keys)
@@ -99,14 +100,14 @@ def pre_counted(keys: list[np.ndarray], spread: list[np.ndarray]) -> tuple[list[
     first[1:] &= ~same
     sure = np.zeros(len(order), bool)
     sure[order] = again
-    return [np.where(sure, k + s, k) for k, s in zip(keys, spread)], np.where(sure, SURE, SINGLE).astype(np.int8), [k[order][first] for k in keys]
+    return [np.where(sure, k + mixed(t), k) for k, t in zip(keys, text)], [text[0], np.where(sure, text[1] | SURE, text[1])], [k[order][first] for k in keys]
 
 
-def repeated(batches: Iterator[pa.RecordBatch], keys: int, out: list[int], kind: int | None = None) -> Iterator[pa.RecordBatch]:
+def repeated(batches: Iterator[pa.RecordBatch], keys: int, out: list[int], text: int | None = None) -> Iterator[pa.RecordBatch]:
     """From rows sorted by their first ``keys`` columns: the columns ``out`` of rows whose keys another row has too.
 
-    ``kind``: the column with a row's kind; sure rows always come out, marks never. Only one row is held from batch to batch,
-    however many rows a key has.
+    ``text``: the column with t1, t2 being the next one; sure rows always come out, marks never. Only one row is held from batch to
+    batch, however many rows a key has.
     """
     held, twice = None, False
     for batch in batches:
@@ -121,19 +122,24 @@ def repeated(batches: Iterator[pa.RecordBatch], keys: int, out: list[int], kind:
         hit[:-1] |= same
         hit[0] |= twice
         held, twice = batch.slice(batch.num_rows - 1), bool(hit[-1])
-        yield from _chosen(batch.slice(0, batch.num_rows - 1), hit[:-1], out, kind)
+        yield from _chosen(batch.slice(0, batch.num_rows - 1), hit[:-1], out, text)
     if held is not None:
-        yield from _chosen(held, np.array([twice]), out, kind)
+        yield from _chosen(held, np.array([twice]), out, text)
 
 
-def _chosen(batch: pa.RecordBatch, hit: np.ndarray, out: list[int], kind: int | None) -> Iterator[pa.RecordBatch]:
-    if kind is not None:
-        kinds = batch.column(kind).to_numpy()
-        hit = (hit | (kinds == SURE)) & (kinds != MARK)
+def _chosen(batch: pa.RecordBatch, hit: np.ndarray, out: list[int], text: int | None) -> Iterator[pa.RecordBatch]:
+    if text is not None:
+        t1, t2 = (batch.column(text + i).to_numpy().view(np.uint64) for i in range(2))
+        hit = (hit | ((t2 & SURE) > 0)) & ((t1 | t2) > 0)
     if hit.any():
         yield batch.filter(pa.array(hit)).select(out)
 
 
+def plain_id(t2: pa.Array) -> pa.Array:
+    """t2 without its free bit."""
+    return pa.array((t2.to_numpy().view(np.uint64) & ~SURE).view(np.int64))
+
+
 def cut_out(text: bytes, gone: np.ndarray) -> bytes:
     """The text without the words that ``gone`` marks and the white space behind each; nothing else changes."""
     data = np.frombuffer(text, np.uint8)
@@ -146,14 +152,14 @@ def cut_out(text: bytes, gone: np.ndarray) -> bytes:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """t1, t2 (128 bits of hash), text, copies: each text once, and how many rows have it. Copies meet in map tasks first."""
+    """t1, t2 (127 bits of hash), text: each text once. Copies meet in map tasks first."""
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    return texts.select(*text_id(), "text").groupBy(*ID).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return texts.select(*text_id(), "text").groupBy(*ID).agg(F.first("text").alias("text"))
 
 
 def text_id(text: str = "text") -> list:
     known = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(known).alias("t1"), F.xxhash64(F.lit("second"), known).alias("t2")]
+    return [F.xxhash64(known).alias("t1"), F.shiftleft(F.xxhash64(F.lit("second"), known), 1).alias("t2")]
 
 
 def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> DataFrame:
@@ -162,12 +168,12 @@ def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> Dat
     parts = partitions(docs.sparkSession)
     texts = distinct_texts(docs)
 
-    def dealt(keys, kind, text, marks, more):
+    def dealt(keys, text, marks, more):
         """Rows, then two marks for each repeated key."""
-        none = np.zeros(2 * len(marks[0]), np.int64)
-        columns = [np.concatenate([k, m, m]).view(np.int64) for k, m in zip(keys, marks)] + [np.concatenate([kind, np.full(len(none), MARK, np.int8)])]
-        columns += [np.concatenate([t.view(np.int64), none]) for t in text] + [np.concatenate([x, none.astype(x.dtype)]) for x in more.values()]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*(f"w{i + 1}" for i in range(len(keys))), "kind", *ID, *more])
+        none = np.zeros(2 * len(marks[0]), np.uint64)
+        columns = [np.concatenate([k, m, m]).view(np.int64) for k, m in zip(keys, marks)] + [np.concatenate([t, none]).view(np.int64) for t in text]
+        columns += [np.concatenate([x, none.astype(x.dtype)]) for x in more.values()]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*(f"w{i + 1}" for i in range(len(keys))), *ID, *more])
 
     def find_anchors(batches):
         for whole in batches:
@@ -175,8 +181,7 @@ def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> Dat
                 words = Words(batch.column(2))
                 where, hashes = anchors(words, window, period, cover)
                 text = [batch.column(i).to_numpy().view(np.uint64)[words.of[where]] for i in range(2)]
-                (key,), kind, (marks,) = pre_counted([hashes], [mixed(text[0])])
-                yield dealt([key], kind, text, [marks], {})
+                yield dealt(*pre_counted([hashes], text), {})
 
     def find_windows(batches):
         for whole in batches:
@@ -194,8 +199,7 @@ def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> Dat
                 start = start[upto[start + period] > upto[start]]
                 text = [batch.column(i).to_numpy().view(np.uint64)[words.of[start]] for i in range(2)]
                 pair = [rolling(h, window, b)[start] for h, b in zip(words.hashes, (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85))]
-                keys, kind, marks = pre_counted(pair, [mixed(t) for t in text])
-                yield dealt(keys, kind, text, marks, {"start": words.at[start].astype(np.int32)})
+                yield dealt(*pre_counted(pair, text), {"start": words.at[start].astype(np.int32)})
 
     def cut(batches):
         for whole in batches:
@@ -219,19 +223,24 @@ def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> Dat
                 yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n), pa.array(removed), kept], names=[*ID, "n_words", "n_removed", "kept"])
 
     def anchor_hits(batches):
-        for batch in repeated(batches, 1, [2, 3, 0, 1], 1):
-            spread = np.where(batch.column(3).to_numpy() == SURE, mixed(batch.column(0).to_numpy().view(np.uint64)), np.uint64(0))
-            hashes = batch.column(2).to_numpy().view(np.uint64) - spread
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes.view(np.int64))], names=[*ID, "hash"])
+        for batch in repeated(batches, 1, [1, 2, 0], 1):
+            t1, t2, key = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
+            hashes = key - np.where(t2 & SURE, mixed(t1), np.uint64(0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), plain_id(batch.column(1)), pa.array(hashes.view(np.int64))], names=[*ID, "hash"])
+
+    def window_hits(batches):
+        for batch in repeated(batches, 2, [2, 3, 4], 2):
+            yield pa.RecordBatch.from_arrays([batch.column(0), plain_id(batch.column(1)), batch.column(2)], names=[*ID, "start"])
 
-    hashed = texts.select(*ID, "text").mapInArrow(find_anchors, "w1 long, kind byte, t1 long, t2 long")
+    hashed = texts.select(*ID, "text").mapInArrow(find_anchors, "w1 long, t1 long, t2 long")
     hits = hashed.repartition(parts, "w1").sortWithinPartitions("w1").mapInArrow(anchor_hits, "t1 long, t2 long, hash long")
     known = hits.groupBy(*ID).agg(F.collect_list("hash").alias("hashes"))
-    windows = texts.join(known, ID).select(*ID, "text", "hashes").mapInArrow(find_windows, "w1 long, w2 long, kind byte, t1 long, t2 long, start int")
+    windows = texts.join(known, ID).select(*ID, "text", "hashes").mapInArrow(find_windows, "w1 long, w2 long, t1 long, t2 long, start int")
     windows = windows.repartition(parts, "w1", "w2").sortWithinPartitions("w1", "w2")
-    found = windows.mapInArrow(lambda b: repeated(b, 2, [3, 4, 5], 2), "t1 long, t2 long, start int")
+    found = windows.mapInArrow(window_hits, "t1 long, t2 long, start int")
     starts = found.groupBy(*ID).agg(F.collect_list("start").alias("starts"))
-    joined = texts.join(starts, ID, "left")
+    copies = docs.select(*text_id()).groupBy(*ID).agg(F.count("*").alias("copies"))
+    joined = texts.join(copies, ID).join(starts, ID, "left")
     return joined.select(*ID, "text", "starts", "copies").mapInArrow(cut, "t1 long, t2 long, n_words long, n_removed long, kept string")
 
 

@@ -73,10 +73,11 @@ def test_hot_passage_is_spread(spark):
     got = S.remove_repeats(docs, 35).select("doc_id", "n_removed").collect()
     assert len(got) == 3000 and {x.n_removed for x in got} == {60}
     hashes = np.repeat(np.arange(5, dtype=np.uint64), 1000)
-    keys, kind, marks = S.pre_counted([hashes], [S.mixed(np.arange(5000, dtype=np.uint64))])
-    assert len(np.unique(keys[0])) == 5000 and set(kind) == {S.SURE} and len(marks[0]) == 5
-    keys, kind, marks = S.pre_counted([np.array([7, 8, 9], np.uint64)], [np.zeros(3, np.uint64)])
-    assert set(kind) == {S.SINGLE} and keys[0].tolist() == [7, 8, 9] and not len(marks[0])
+    text = [np.arange(1, 5001, dtype=np.uint64), np.arange(0, 10000, 2, dtype=np.uint64)]
+    keys, ids, marks = S.pre_counted([hashes], text)
+    assert len(np.unique(keys[0])) == 5000 and (ids[1] == text[1] + S.SURE).all() and len(marks[0]) == 5
+    keys, ids, marks = S.pre_counted([np.array([7, 8, 9], np.uint64)], [t[:3] for t in text])
+    assert (ids[1] == text[1][:3]).all() and keys[0].tolist() == [7, 8, 9] and not len(marks[0])
 
 
 def test_dotted_and_clashing_columns(spark):

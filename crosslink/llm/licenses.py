@@ -1,13 +1,15 @@
 """Licence scan by a positional index of rare licence words; DataFrame functions only.
 
-Each template's words with the highest inverse document frequency are its anchors; the index holds where they stand in it.
-A file's anchor words are looked up, and the postings that agree on a relative position are counted together. Where enough of
-a template's anchors meet at one place, the template's mandatory phrases must stand at their places in the file.
+The index is the templates' words with their places. A template is looked at if a file has all words of its mandatory phrases. Of its
+words that stand in the file, those of the highest inverse document frequency are looked up: each place in the file and each
+place in the template give a relative position, and places that agree on it are counted together. Where enough meet, the
+template's mandatory phrases must stand at their places in the file.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,32 +17,141 @@ from pyspark.sql import functions as F
 #: Phrases of the plain search and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Label, opening words of the licence or of its usual notice, phrases that must stand in it.
+#: Label, text of the licence or of its usual notice, phrases that must stand in it. Short ones are usual lines.
 TEMPLATES = [
-    ("agpl", "you should have received a copy of the gnu affero general public license along with this program", ["gnu affero general public license"]),
-    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ["apache license version 2 0", "in compliance with the license"]),
-    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["source and binary forms", "following conditions are met"]),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", ["creative commons attribution 4 0"]),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ["cc by nc 4 0"]),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ["cc by sa 4 0"]),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ["gnu general public license", "free software foundation"]),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["with or without fee is hereby granted"]),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", ["gnu lesser general public license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted free of charge", "associated documentation files"]),
-    ("mit", "released under the mit license", ["the mit license"]),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license v 2 0"]),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
+    (
+        "agpl",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as
+        published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.
+        You should have received a copy of the GNU Affero General Public License along with this program.""",
+        ["terms of the gnu affero general public license", "free software foundation"],
+    ),
+    (
+        "apache-2.0",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+        You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+        permissions and limitations under the License.""",
+        ["apache license version 2 0", "in compliance with the license"],
+    ),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0", ["apache license version 2 0"]),
+    (
+        "bsd-2-clause",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+        ["source and binary forms", "redistributions in binary form must reproduce"],
+    ),
+    (
+        "bsd-3-clause",
+        """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+        this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+        LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+        ["endorse or promote products derived from this software"],
+    ),
+    (
+        "bsl-1.0",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+        documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to
+        prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the
+        following:""",
+        ["accompanying documentation covered by this license"],
+    ),
+    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.", ["creative commons attribution 4 0"]),
+    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0", ["cc by nc 4 0"]),
+    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0", ["cc by sa 4 0"]),
+    (
+        "gpl",
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
+        published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        You should have received a copy of the GNU General Public License along with this program.""",
+        ["terms of the gnu general public license", "free software foundation"],
+    ),
+    ("gpl-3.0", "This work is licensed under the GNU General Public License version 3", ["gnu general public license version 3"]),
+    (
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that
+        the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY
+        DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,
+        ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+        ["with or without fee is hereby granted"],
+    ),
+    (
+        "lgpl",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as
+        published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+        This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+        ["terms of the gnu lesser general public license"],
+    ),
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+        "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+        distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to
+        the following conditions:
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+        CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+        SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        ["permission is hereby granted free of charge", "associated documentation files"],
+    ),
+    ("mit", "Released under the MIT License", ["the mit license"]),
+    (
+        "mpl-2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this
+        file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+        ["mozilla public license v 2 0"],
+    ),
+    (
+        "unlicense",
+        """This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+        binary, for any purpose, commercial or non-commercial, and by any means.
+        In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the
+        software to the public domain.""",
+        ["free and unencumbered software"],
+    ),
+    (
+        "zlib",
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages
+        arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute
+        it freely, subject to the following restrictions:""",
+        ["provided as is without any express or implied warranty", "redistribute it freely"],
+    ),
 ]
-ANCHORS = 6
+#: So many words of a template are looked up in a file, and such a share of their places must meet.
+ANCHORS = 8
 SHARE = 0.6
 TURN = 1 << 32
 SHIFT = 1000
 
 
+def words_of_template(text: str) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+
+
+def place_of(words: list[str], phrase: list[str]) -> int:
+    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+
+
+WORDS = [words_of_template(text) for _, text, _ in TEMPLATES]
+VOCABULARY = sorted({w for words in WORDS for w in words})
+
+
 def with_words(docs: DataFrame) -> DataFrame:
-    """``docs`` with __words. ASCII words come out in lower case; the one sign whose lower case is ASCII is kept apart."""
+    """``docs`` with __words, an array, empty for a null text; an empty table gives none. ASCII words come out in lower case; the one sign whose lower case is ASCII is kept apart."""
     plain = F.lower(F.replace(F.coalesce("text", F.lit("")), F.lit("K"), F.lit("ĸ")))
     return docs.withColumn("__words", F.filter(F.split(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != ""))
 
@@ -49,31 +160,33 @@ def strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def word_counts(docs: DataFrame) -> tuple[dict[str, int], int]:
-    """In how many of all documents each template word stands, and the number of documents."""
-    words = sorted({w for _, t, _ in TEMPLATES for w in t.split()})
-    found = with_words(docs.select("text")).select(F.explode_outer(F.concat(F.array_intersect("__words", strings(words)), strings([""]))).alias("word"))
+def word_counts(docs: DataFrame) -> dict[str, int]:
+    """In how many of all documents each template word stands; 0 for all of an empty table."""
+    found = with_words(docs.select("text")).select(F.explode(F.array_intersect("__words", strings(VOCABULARY))).alias("word"))
     counts = {r["word"]: r["count"] for r in found.groupBy("word").count().collect()}  # one row for each template word
-    total = counts.pop("", 0)
-    return {w: counts.get(w, 0) for w in words}, total
+    return {w: counts.get(w, 0) for w in VOCABULARY}
+
 
+def by_rarity(counts: dict[str, int]) -> list[list[str]]:
+    """Of each template its words, those of highest inverse document frequency (fewest documents) first; ties in order of the alphabet."""
+    return [sorted(set(words), key=lambda w: (counts.get(w, 0), w)) for words in WORDS]
 
-def anchors_of(counts: dict[str, int], total: int) -> list[list[str]]:
-    """Of each template the ``ANCHORS`` words of highest inverse document frequency; ties in order of the alphabet."""
-    idf = {w: math.log((1 + total) / (1 + n)) for w, n in counts.items()}
-    return [sorted(set(t.split()), key=lambda w: (-idf[w], w))[:ANCHORS] for _, t, _ in TEMPLATES]
 
+def listed(lists: list[list[str]]) -> Column:
+    """An array of arrays of words."""
+    return F.array(*[F.split(F.lit(" ".join(words)), " ") for words in lists])
 
-def scan(docs: DataFrame, anchors: list[list[str]] | None = None) -> DataFrame:
+
+def scan(docs: DataFrame, rarity: list[list[str]] | None = None) -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
     n_base counts the places where a phrase's words stand one after another, first_word and last_word are the least and
     largest start of such a place (null without any). labels adds the templates that are found to base_labels; both are
-    distinct, sorted and joined by commas, empty without any. score: the largest share of a found template's anchor places, at
+    distinct, sorted and joined by commas, empty without any. score: the largest share of a found template's places that meet, at
     least 0.5 where a phrase stands, else 0. Null texts count as empty. Rows are independent; columns of these names are
-    replaced. An empty table gives no rows.
+    replaced. An empty table gives no rows. ``rarity``: the templates' words in the order in which they are looked up.
     """
-    anchors = anchors or anchors_of(*word_counts(docs))
+    rarity = rarity or by_rarity(word_counts(docs))
     out = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     own = [c for c in docs.columns if c not in out]
     df = with_words(docs.select(*[f"`{c}`" for c in own]))
@@ -96,47 +209,54 @@ def scan(docs: DataFrame, anchors: list[list[str]] | None = None) -> DataFrame:
     ]
     df = df.withColumn("__places", F.array_compact(F.array(*places)))
 
-    # anchor postings: template and relative position in one number
-    postings: dict[str, list[tuple[int, int]]] = {}
-    sizes = []
-    for t, (_, text, _) in enumerate(TEMPLATES):
-        where = [(w, i) for i, w in enumerate(text.split()) if w in anchors[t]]
-        sizes.append(len(where))
-        for w, i in where:
-            postings.setdefault(w, []).append((t, i))
-    index = F.create_map(*[x for w, ps in sorted(postings.items()) for x in (F.lit(w), F.array(*[F.lit(t * TURN + SHIFT - i) for t, i in ps]))])
-    needed = F.array(*[F.lit(math.ceil(SHARE * n)) for n in sizes])
-    rare = strings(sorted(postings))
-    found = F.filter(F.transform("__words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))), lambda x: F.array_contains(rare, x["w"]))
-    codes = F.array_sort(F.flatten(F.transform(found, lambda x: F.transform(F.element_at(index, x["w"]), lambda p: p + x["i"]))))
-    template = lambda code: F.shiftright(code, 32).cast("int")
-    df = df.withColumn("__codes", F.when(F.arrays_overlap("__words", rare), codes))
+    # templates whose phrases can stand in the file, each with the file's own rarest words of it
+    df = df.withColumn("__there", F.array_intersect("__words", strings(VOCABULARY)))
+    keys = listed([sorted({w for k in phrases for w in k.split()}) for _, _, phrases in TEMPLATES])
+    places_of, ordered = listed(WORDS), listed(rarity)
+    every = F.sequence(F.lit(0), F.lit(len(TEMPLATES) - 1))
+    may = F.filter(every, lambda t: F.size(F.array_except(F.get(keys, t), F.col("__there"))) == 0)
+    df = df.withColumn("__may", F.transform(may, lambda t: F.struct(t.alias("t"), F.slice(F.array_intersect(F.get(ordered, t), F.col("__there")), 1, ANCHORS).alias("anchors"))))
+    size = lambda c: F.size(F.filter(F.get(places_of, c["t"]), lambda w: F.array_contains(c["anchors"], w)))
+    df = df.withColumn("__may", F.transform("__may", lambda c: F.struct(c["t"].alias("t"), c["anchors"].alias("anchors"), size(c).alias("size"))))
+
+    # each place of such a word in the file against each of its places in the template: template and relative position in one number
+    looked_up = F.array_distinct(F.flatten(F.transform("__may", lambda c: c["anchors"])))
+    df = df.withColumn("__looked", F.when(F.size("__may") > 0, looked_up))
+    numbered = F.filter(F.transform("__words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))), lambda x: F.array_contains("__looked", x["w"]))
+    df = df.withColumn("__at", F.when(F.size("__may") > 0, numbered))
 
+    def codes_of(c: Column) -> Column:
+        def meet(x: Column) -> Column:
+            same = F.transform(F.get(places_of, c["t"]), lambda w, p: F.when(w == x["w"], c["t"].cast("long") * TURN + SHIFT + x["i"] - p))
+            return F.array_compact(same)
+
+        return F.flatten(F.transform(F.filter("__at", lambda x: F.array_contains(c["anchors"], x["w"])), meet))
+
+    template = lambda code: F.shiftright(code, 32).cast("int")
+    df = df.withColumn("__codes", F.when(F.size("__may") > 0, F.array_sort(F.flatten(F.transform("__may", codes_of)))))
     run = "struct<code:bigint,n:int>"
-    enough = lambda acc: F.when(acc["n"] >= F.coalesce(F.get(needed, template(acc["code"])), F.lit(1 << 30)), F.array(F.struct(acc["code"].alias("code"), acc["n"].alias("n")))).otherwise(F.array().cast(f"array<{run}>"))
+    size_of = lambda code: F.get(F.filter("__may", lambda c: c["t"] == template(code)), F.lit(0))["size"]
+    one = lambda acc: F.struct(acc["code"].alias("code"), acc["n"].alias("n"))
     runs = F.aggregate(
         "__codes",
         F.struct(F.lit(-1).cast("long").alias("code"), F.lit(0).alias("n"), F.array().cast(f"array<{run}>").alias("done")),
-        lambda acc, x: F.when(acc["code"] == x, F.struct(acc["code"].alias("code"), (acc["n"] + 1).alias("n"), acc["done"].alias("done"))).otherwise(F.struct(x.alias("code"), F.lit(1).alias("n"), F.concat(acc["done"], enough(acc)).alias("done"))),
-        lambda acc: F.concat(acc["done"], enough(acc)),
+        lambda acc, x: F.when(acc["code"] == x, F.struct(acc["code"].alias("code"), (acc["n"] + 1).alias("n"), acc["done"].alias("done"))).otherwise(F.struct(x.alias("code"), F.lit(1).alias("n"), F.concat(acc["done"], F.array(one(acc))).alias("done"))),
+        lambda acc: F.concat(acc["done"], F.array(one(acc))),
     )
-    df = df.withColumn("__runs", runs)
+    df = df.withColumn("__runs", F.filter(runs, lambda r: (r["code"] >= 0) & (r["n"] >= F.ceil(size_of(r["code"]) * SHARE))))
 
     # mandatory phrases at their places
-    phrases = []
-    for _, text, keys in TEMPLATES:
-        words = text.split()
-        at = [next(i for i in range(len(words)) if words[i : i + len(k.split())] == k.split()) for k in keys]
-        phrases.append(F.array(*[F.struct(F.lit(i).alias("at"), F.lit(len(k.split())).alias("n"), F.lit(k).alias("text")) for i, k in zip(at, keys)]))
+    phrases = [F.array(*[F.struct(F.lit(place_of(words, k.split())).alias("at"), F.lit(len(k.split())).alias("n"), F.lit(k).alias("text")) for k in must]) for words, (_, _, must) in zip(WORDS, TEMPLATES)]
     start = lambda code: (code.bitwiseAND(F.lit(TURN - 1)) - SHIFT).cast("int")
     holds = lambda code, k: F.when(start(code) + k["at"] >= 0, F.array_join(F.slice("__words", start(code) + k["at"] + 1, k["n"]), " ") == k["text"]).otherwise(False)
     sure = F.filter("__runs", lambda r: F.forall(F.element_at(F.array(*phrases), template(r["code"]) + 1), lambda k: holds(r["code"], k)))
-    df = df.withColumn("__sure", F.coalesce(sure, F.array().cast(f"array<{run}>")))
+    found = F.transform(sure, lambda r: F.struct(template(r["code"]).alias("t"), (r["n"] / size_of(r["code"])).alias("share")))
+    df = df.withColumn("__sure", F.coalesce(found, F.array().cast("array<struct<t:int,share:double>>")))
 
-    names, share = strings([t[0] for t in TEMPLATES]), F.array(*[F.lit(float(n)) for n in sizes])
+    names = strings([t[0] for t in TEMPLATES])
     base = F.array_sort(F.array_distinct(F.transform("__places", lambda p: p["label"])))
-    more = F.transform("__sure", lambda r: F.element_at(names, template(r["code"]) + 1))
-    best = F.array_max(F.transform("__sure", lambda r: r["n"] / F.element_at(share, template(r["code"]) + 1)))
+    more = F.transform("__sure", lambda r: F.element_at(names, r["t"] + 1))
+    best = F.array_max(F.transform("__sure", lambda r: r["share"]))
     return df.select(
         *[f"`{c}`" for c in own],
         F.size("__words").cast("long").alias("n_words"),

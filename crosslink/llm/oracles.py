@@ -37,14 +37,13 @@ ORACLES = {"op7_substring_dedup": OP7, "op8_preference": OP8}
 
 
 def _licenses() -> str:
-    from crosslink.llm.licenses import ANCHORS, PHRASES, SHARE, TEMPLATES
+    from crosslink.llm.licenses import ANCHORS, PHRASES, SHARE, TEMPLATES, WORDS, place_of
 
     text = lambda s: "'" + s + "'"
-    words = lambda s: "[" + ", ".join(map(text, s.split())) + "]"
-    phrases = ", ".join(f"({words(p)}, {text(label)})" for p, label in PHRASES.items())
-    templates = ", ".join(f"({i}, {text(label)}, {words(t)})" for i, (label, t, _) in enumerate(TEMPLATES))
-    place = lambda t, k: next(i for i in range(len(t)) if t[i : i + len(k)] == k)
-    keys = ", ".join(f"({i}, {place(t.split(), k.split())}, {words(k)})" for i, (_, t, ks) in enumerate(TEMPLATES) for k in ks)
+    words = lambda ws: "[" + ", ".join(map(text, ws)) + "]"
+    phrases = ", ".join(f"({words(p.split())}, {text(label)})" for p, label in PHRASES.items())
+    templates = ", ".join(f"({i}, {text(label)}, {words(ws)})" for i, ((label, _, _), ws) in enumerate(zip(TEMPLATES, WORDS)))
+    keys = ", ".join(f"({i}, {place_of(ws, k.split())}, {words(k.split())})" for i, ((_, _, ks), ws) in enumerate(zip(TEMPLATES, WORDS)) for k in ks)
     return rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 e AS (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM w),
@@ -52,11 +51,14 @@ ph(pw, label) AS (VALUES {phrases}), te(id, label, tw) AS (VALUES {templates}),
 b AS (SELECT doc_id, i, label FROM e JOIN w USING (doc_id) JOIN ph ON e.word = pw[1] AND ws[i + 1:i + len(pw)] = pw),
 tp AS (SELECT id, unnest(range(len(tw))) AS pos, unnest(tw) AS word FROM te),
 df AS (SELECT word, count(DISTINCT doc_id) AS n FROM e WHERE word IN (SELECT word FROM tp) GROUP BY word),
-an AS (SELECT id, word FROM (SELECT id, word, row_number() OVER (PARTITION BY id ORDER BY coalesce(n, 0), word) AS r FROM (SELECT DISTINCT id, word FROM tp) LEFT JOIN df USING (word)) WHERE r <= {ANCHORS}),
-po AS (SELECT id, word, pos FROM tp SEMI JOIN an USING (id, word)), si AS (SELECT id, count(*) AS size FROM po GROUP BY id),
-h AS (SELECT doc_id, id, i - pos AS start, count(*) AS n FROM e JOIN po USING (word) GROUP BY ALL),
-ok AS (SELECT doc_id, label, n / size AS share FROM h JOIN si USING (id) JOIN te USING (id) JOIN w USING (doc_id)
-  WHERE n >= ceil(CAST({SHARE} AS DOUBLE) * size) AND NOT EXISTS (SELECT 1 FROM ke WHERE ke.id = h.id AND NOT (start + kp >= 0 AND ws[start + kp + 1:start + kp + len(kw)] = kw))),
+pr AS (SELECT DISTINCT doc_id, word FROM e WHERE word IN (SELECT word FROM tp)),
+kw AS (SELECT DISTINCT id, unnest(kw) AS word FROM ke), kn AS (SELECT id, count(*) AS need FROM kw GROUP BY id),
+ca AS (SELECT doc_id, id FROM pr JOIN kw USING (word) JOIN kn USING (id) GROUP BY doc_id, id, need HAVING count(*) = need),
+an AS (SELECT doc_id, id, word FROM (SELECT doc_id, id, word, row_number() OVER (PARTITION BY doc_id, id ORDER BY n, word) AS r FROM ca JOIN (SELECT DISTINCT id, word FROM tp) USING (id) JOIN pr USING (doc_id, word) JOIN df USING (word)) WHERE r <= {ANCHORS}),
+si AS (SELECT doc_id, id, count(*) AS size FROM an JOIN tp USING (id, word) GROUP BY doc_id, id),
+h AS (SELECT doc_id, id, i - pos AS start, count(*) AS n FROM an JOIN e USING (doc_id, word) JOIN tp USING (id, word) GROUP BY ALL),
+ok AS (SELECT doc_id, label, n / size AS share FROM h JOIN si USING (doc_id, id) JOIN te USING (id) JOIN w USING (doc_id)
+  WHERE n >= ceil(size * CAST({SHARE} AS DOUBLE)) AND NOT EXISTS (SELECT 1 FROM ke WHERE ke.id = h.id AND NOT (start + kp >= 0 AND ws[start + kp + 1:start + kp + len(kw)] = kw))),
 bb AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS ls FROM b GROUP BY doc_id),
 oo AS (SELECT doc_id, max(share) AS share, list(DISTINCT label) AS ls FROM ok GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word, array_to_string(list_sort(coalesce(bb.ls, [])), ',') AS base_labels,

@@ -18,23 +18,28 @@ def match_identifiers(donors: DataFrame, sources: DataFrame, available: DataFram
     out = donors.join(known, ["family", "normal_id"], "left")
     there = F.lit(True)
     if available is not None:
-        out = out.join(F.broadcast(available.select("family").distinct().withColumn("__there", F.lit(True))), "family", "left")
+        out = out.join(available.select("family").distinct().withColumn("__there", F.lit(True)), "family", "left")
         there = F.coalesce("__there", F.lit(False))
     status = F.when(~there, "source_unavailable").when(F.col("normal_id").isNull(), "invalid").when(F.col("__known"), "matched").otherwise("missing")
     return out.select(*donors.columns, status.alias("status"))
 
 
 def crosswalk(mappings: DataFrame, comparisons: DataFrame, argument_source: str = "propbank") -> DataFrame:
-    """``mappings`` (canonical_id, canonical_kind, source_key, source_id, relation) with record_id, identity_state, state.
+    """``mappings`` with record_id, identity_state, state and review_status.
 
-    ``comparisons``: family, donor_id, status. A last ``:`` segment is dropped from ids of ``argument_source`` before the join.
-    Unmatched and unavailable rows are not_applicable; only candidate alignments are candidates.
+    mappings: canonical_id, canonical_kind, source_key, source_id, relation, producer_method, producer_confidence,
+    producer_method_scope, evidence_ref; all are carried on. The record's id is made of canonical_id, source_key, source_id,
+    relation and evidence_ref, so the same mapping on other evidence is another record. ``comparisons``: family, donor_id, status. A
+    last ``:`` segment is dropped from ids of ``argument_source`` before the join. Unmatched and unavailable rows are
+    not_applicable; only candidate alignments are candidates.
     """
     states = comparisons.select(F.col("family").alias("source_key"), F.col("donor_id").alias("__id"), F.col("status").alias("__status")).dropDuplicates(["source_key", "__id"])
     keyed = mappings.withColumn("__id", strip_argument(F.col("source_id"), F.col("source_key"), argument_source))
     identity = F.when(F.col("__status") == "matched", "exact").when(F.col("__status").isin("missing", "invalid"), F.col("__status")).otherwise("not_applicable")
-    record = stable_id("lcx1_", *[F.col(c) for c in ("canonical_id", "canonical_kind", "source_key", "source_id", "relation")])
-    return keyed.join(states, ["source_key", "__id"], "left").select(*mappings.columns, record.alias("record_id"), identity.alias("identity_state"), F.when(F.col("relation") == "candidate_alignment", "candidate").otherwise("unresolved").alias("state"))
+    record = stable_id("lcx1_", *[F.col(c) for c in ("canonical_id", "source_key", "source_id", "relation", "evidence_ref")])
+    state = F.when(F.col("relation") == "candidate_alignment", "candidate").otherwise("unresolved")
+    out = keyed.join(states, ["source_key", "__id"], "left")
+    return out.select(*mappings.columns, record.alias("record_id"), identity.alias("identity_state"), state.alias("state"), F.lit("not_reviewed").alias("review_status"))
 
 
 def resolve_endpoints(relations: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -45,6 +50,20 @@ def resolve_endpoints(relations: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.select("relation_id", "end", status.alias("status")).filter("status is not null")
 
 
+def resolve_element_endpoints(element_relations: DataFrame, relations: DataFrame, elements: DataFrame) -> DataFrame:
+    """relation_id, fe_relation_id, end, status: ends of element relations that are no element (missing), or one of another frame than the relation's end (wrong_frame).
+
+    element_relations: relation_id, fe_relation_id, sub_fe_id, super_fe_id; relations: relation_id, sub_id, super_id (frames);
+    elements: fe_id, frame_id. An element relation without its relation is missing_relation.
+    """
+    ends = F.array(*[F.struct(F.lit(e).alias("end"), F.col(f"{e}_fe_id").alias("fe_id"), F.col(f"{e}_id").alias("wanted")) for e in ("sub", "super")])
+    known = relations.select("relation_id", "sub_id", "super_id", F.lit(True).alias("__relation")).dropDuplicates(["relation_id"])
+    rows = element_relations.join(known, "relation_id", "left").select("relation_id", "fe_relation_id", "__relation", F.explode(ends).alias("x")).select("relation_id", "fe_relation_id", "__relation", "x.*")
+    own = elements.select("fe_id", "frame_id").dropDuplicates(["fe_id"])
+    status = F.when(F.col("__relation").isNull(), "missing_relation").when(F.col("frame_id").isNull(), "missing").when(~F.col("frame_id").eqNullSafe(F.col("wanted")), "wrong_frame")
+    return rows.join(own, "fe_id", "left").select("relation_id", "fe_relation_id", "end", status.alias("status")).filter("status is not null")
+
+
 def reconcile_index(declared: DataFrame, observed: DataFrame, key: str, content: str) -> DataFrame:
     """key, status: missing (declared only), extra (observed only), drift (other content) or ok."""
     a, b = declared.select(key, F.col(content).alias("__a"), F.lit(1).alias("__d")), observed.select(key, F.col(content).alias("__b"), F.lit(1).alias("__o"))
@@ -134,7 +153,7 @@ def inspect_lineage(mappings: DataFrame, sources: DataFrame, canonical_id: str |
     out = mappings
     for name, value in (("canonical_id", canonical_id), ("source_id", source_id)):
         out = out if value is None else out.filter(F.col(name) == value)
-    out = out.join(F.broadcast(sources.select("source_key", F.col("description").alias("source_description"), F.lit(True).alias("__there"))), "source_key", "left")
+    out = out.join(sources.select("source_key", F.col("description").alias("source_description"), F.lit(True).alias("__there")), "source_key", "left")
     return out.select(*mappings.columns, "source_description", F.when(F.col("__there"), "declared").otherwise("undeclared_source").alias("status"))
 
 
@@ -180,6 +199,14 @@ def pair_files(files: DataFrame, extensions: list[str]) -> DataFrame:
     return found.select("stem", F.array_join("found", ",").alias("found"), status.alias("status"))
 
 
+def participant_counts(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """participant, ext, n, status: files of each participant and type; a participant that is expected and has none is missing, one that isn't is unexpected. files: participant, ext; expected: participant."""
+    n = files.groupBy("participant", "ext").agg(F.count("*").alias("n"))
+    wanted = expected.select("participant", F.lit(True).alias("__wanted")).distinct()
+    status = F.when(F.col("ext").isNull(), "missing").when(F.col("__wanted").isNull(), "unexpected").otherwise("expected")
+    return n.join(wanted, "participant", "full_outer").select("participant", "ext", F.coalesce("n", F.lit(0)).alias("n"), status.alias("status"))
+
+
 def mirror_pairs(glosses: DataFrame) -> DataFrame:
     """a, b, kind: pairs (a < b) that name each other in their glosses, or have equal glosses. glosses: id, label, gloss."""
     words = glosses.select("id", F.explode(F.array_distinct(F.split(F.lower("gloss"), "[^a-z0-9_]+"))).alias("word")).filter("word <> ''")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crosslink.functions.values import band, ratio
+from crosslink.scratch import written
 
 
 def n_if(condition: Column) -> Column:
@@ -203,11 +204,24 @@ def cardinality_violations(roles: DataFrame, bindings: DataFrame) -> DataFrame:
     return out.select("assertion_id", "role_id", "n", code.alias("code")).filter("code is not null")
 
 
-def channel_factors(obs: DataFrame, episode: str, channel: str, at: str, value: str, stable_below: float = 1.0) -> DataFrame:
-    """episode, channel, mean, spread, stable, first_value, last_value, n; a channel is stable if its spread is below the bound."""
+def channel_factors(obs: DataFrame, episode: str, channel: str, at: str, value: str, evidence: str, stable_below: float = 1.0, level: float = 1.0) -> DataFrame:
+    """episode, channel, mean, spread, stable, first_value, last_value, changed, n, evidence.
+
+    A channel is stable if its spread is below the bound; it has changed if just one of its first and last values is over ``level``.
+    evidence: the sorted ids of its observations.
+    """
     order = F.struct(at, value)
-    spread = F.max(value) - F.min(value)
-    return obs.groupBy(episode, channel).agg(F.avg(value).alias("mean"), spread.alias("spread"), (spread < stable_below).alias("stable"), F.min_by(value, order).alias("first_value"), F.max_by(value, order).alias("last_value"), F.count("*").alias("n"))
+    spread, first, last = F.max(value) - F.min(value), F.min_by(value, order), F.max_by(value, order)
+    return obs.groupBy(episode, channel).agg(
+        F.avg(value).alias("mean"),
+        spread.alias("spread"),
+        (spread < stable_below).alias("stable"),
+        first.alias("first_value"),
+        last.alias("last_value"),
+        ((first > level) != (last > level)).alias("changed"),
+        F.count("*").alias("n"),
+        F.array_sort(F.collect_list(evidence)).alias("evidence"),
+    )
 
 
 def identity_factors(obs: DataFrame, episode: str, at: str, signature: str, instance: str) -> DataFrame:
@@ -239,9 +253,36 @@ def outcome_summary(df: DataFrame, outcome: str, outcomes: list[str], costs: lis
     return df.agg(*[n_if(F.col(outcome) == o).alias(f"n_{o}") for o in outcomes], F.count("*").alias("n_total"), F.coalesce(F.sum(total), F.lit(0.0)).alias("cost"))
 
 
+def exact_quantiles(df: DataFrame, by: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """by and a column for each quantile, exact, with linear interpolation between neighbours; null values are left out.
+
+    Distinct values are counted, dealt by ranges and numbered range by range, and the few rows at the wanted places are picked, so
+    no task holds all values of a group, however large it is.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
+    dealt = written(counts.repartitionByRange(*by, "__v").withColumn("__p", F.spark_partition_id()), "ranges")
+    upto = lambda keys, order: F.coalesce(F.sum("__n").over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    every = [*by, F.lit(0).alias("__one")]
+    sizes = dealt.groupBy(*every, "__p").agg(F.sum("__n").alias("__n"))  # a row for each group and range
+    starts = sizes.select(*by, "__one", "__p", upto([*by, "__one"], "__p").alias("__before"), F.sum("__n").over(W.partitionBy(*by, "__one")).alias("__total"))
+    keys = [*by, "__p"]
+    placed = dealt.withColumn("__below", upto(keys, "__v")).join(starts.drop("__one"), keys)
+    low = F.col("__below") + F.col("__before")
+    inside = lambda at: F.when((at >= low) & (at < low + F.col("__n")), F.col("__v"))
+    picks = []
+    for i, q in enumerate(quantiles.values()):
+        place = (F.col("__total") - 1) * F.lit(float(q))
+        picks += [F.max(inside(F.floor(place))).alias(f"__a{i}"), F.max(inside(F.ceil(place))).alias(f"__b{i}"), F.max(place - F.floor(place)).alias(f"__w{i}")]
+    found = placed.groupBy(*by).agg(*picks)
+    mixed = [(F.col(f"__a{i}") + (F.col(f"__b{i}") - F.col(f"__a{i}")) * F.col(f"__w{i}")).alias(name) for i, name in enumerate(quantiles)]
+    return found.select(*by, *mixed)
+
+
 def calibrate(df: DataFrame, label: str, value: str, quantiles: dict[str, tuple[str, float]]) -> DataFrame:
-    """One row of thresholds: name -> exact quantile of the values of one class."""
-    return df.agg(*[F.percentile(F.when(F.col(label) == c, F.col(value)), q).alias(n) for n, (c, q) in quantiles.items()])
+    """One row of thresholds: name -> exact quantile of the values of one class; null where the class has none."""
+    wanted = sorted({c for c, _ in quantiles.values()})
+    found = exact_quantiles(df.filter(F.col(label).isin(*wanted)).select(F.col(label).alias("__label"), F.col(value).alias("__value")), ["__label"], "__value", {n: q for n, (_, q) in quantiles.items()})
+    return found.agg(*[F.max(F.when(F.col("__label") == c, F.col(n))).alias(n) for n, (c, _) in quantiles.items()])
 
 
 def grid_search(df: DataFrame, value: str, reference: str, centers: list[float], half: float, positive: str, negative: str) -> DataFrame:
@@ -263,6 +304,18 @@ def dropout(df: DataFrame, channels: list[str], keys: list[str]) -> DataFrame:
     return df.select(*keys, F.inline(each))
 
 
+def dropout_metrics(df: DataFrame, channels: list[str], groups: list[str], reference: str, predict, positive: str, negative: str) -> DataFrame:
+    """dropped, groups, scope and the refusal metrics of each channel's absence, over all rows and for each combination of groups.
+
+    ``predict``: Column of the sum without the channel -> prediction. Each row is spread over the channels and summed at once.
+    """
+    spread = dropout(df, channels, [*groups, reference]).withColumn("__p", predict(F.col("total")))
+    metrics = refusal_metrics(F.col(reference), F.col("__p"), positive, negative)
+    sets = [[F.col("dropped"), *[F.col(g) for g in groups]], [F.col("dropped")]]
+    out = spread.groupingSets(sets, "dropped", *groups).agg(F.grouping_id().alias("__level"), *metrics)
+    return out.withColumn("scope", F.when(F.col("__level") == 0, "group").otherwise("all")).drop("__level")
+
+
 def perturbation_stability(df: DataFrame, feature: Column, perturbed: dict[str, Column], predict) -> DataFrame:
     """n, unchanged (share of same predictions) and max_drift over rows x perturbations."""
     each = F.array(*[F.struct(F.lit(n).alias("perturbation"), f.alias("f")) for n, f in perturbed.items()])

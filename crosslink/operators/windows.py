@@ -114,7 +114,8 @@ def canonical_sort(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def percentile_normalized(df: DataFrame, keys: list[str], value: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """``df`` with normal: value between its group's exact quantiles, cut to [0, 1]; null where they coincide."""
-    q = df.groupBy(*keys).agg(F.percentile(value, low).alias("__low"), F.percentile(value, high).alias("__high"))
     from crosslink.functions.values import clipped
+    from crosslink.operators.metrics import exact_quantiles
 
-    return df.join(q, keys).withColumn("normal", clipped(F.col(value), F.col("__low"), F.col("__high"))).drop("__low", "__high")
+    q = exact_quantiles(df, keys, value, {"__low": low, "__high": high})
+    return df.join(q, keys, "left").withColumn("normal", clipped(F.col(value), F.col("__low"), F.col("__high"))).drop("__low", "__high")

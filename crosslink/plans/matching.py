@@ -14,14 +14,27 @@ def id_match_status(t):
 
 
 def mappings(t):
-    return donors(t).select(F.concat(F.lit("lc:"), F.lower("donor_id")).alias("canonical_id"), F.lit("predicate").alias("canonical_kind"), F.col("family").alias("source_key"), F.when(F.col("family") == "MACHINERY", F.concat("donor_id", F.lit(":ARG1"))).otherwise(F.col("donor_id")).alias("source_id"), F.when(F.length("donor_id") % 2 == 0, "exact").otherwise("candidate_alignment").alias("relation"))
+    """Donor ids as mappings; candidates have a method, its scope and a confidence."""
+    candidate = F.length("donor_id") % 2 != 0
+    return donors(t).select(
+        F.concat(F.lit("lc:"), F.lower("donor_id")).alias("canonical_id"),
+        F.lit("predicate").alias("canonical_kind"),
+        F.col("family").alias("source_key"),
+        F.when(F.col("family") == "MACHINERY", F.concat("donor_id", F.lit(":ARG1"))).otherwise(F.col("donor_id")).alias("source_id"),
+        F.when(candidate, "candidate_alignment").otherwise("derived_from").alias("relation"),
+        F.when(candidate, "donor_asserted").otherwise("direct_identifier").alias("producer_method"),
+        F.when(candidate, 0.5).alias("producer_confidence"),
+        F.when(candidate, "unknown").alias("producer_method_scope"),
+        F.concat(F.lit("predicates[name="), "donor_id", F.lit("].name")).alias("evidence_ref"),
+    )
 
 
-MAPPINGS = f"""{MATCHED}, maps AS (SELECT 'lc:' || lower(donor_id) AS canonical_id, 'predicate' AS canonical_kind, family AS source_key,
-  CASE WHEN family = 'MACHINERY' THEN donor_id || ':ARG1' ELSE donor_id END AS source_id, CASE WHEN length(donor_id) % 2 = 0 THEN 'exact' ELSE 'candidate_alignment' END AS relation FROM donors),
-cross_ AS (SELECT m.*, 'lcx1_' || substr(sha256(concat_ws(chr(0), canonical_id, canonical_kind, source_key, source_id, relation)), 1, 24) AS record_id,
+MAPPINGS = f"""{MATCHED}, maps AS (SELECT 'lc:' || lower(donor_id) AS canonical_id, 'predicate' AS canonical_kind, family AS source_key, CASE WHEN family = 'MACHINERY' THEN donor_id || ':ARG1' ELSE donor_id END AS source_id,
+  CASE WHEN length(donor_id) % 2 = 0 THEN 'derived_from' ELSE 'candidate_alignment' END AS relation, CASE WHEN length(donor_id) % 2 = 0 THEN 'direct_identifier' ELSE 'donor_asserted' END AS producer_method,
+  CASE WHEN length(donor_id) % 2 <> 0 THEN CAST(0.5 AS DOUBLE) END AS producer_confidence, CASE WHEN length(donor_id) % 2 <> 0 THEN 'unknown' END AS producer_method_scope, 'predicates[name=' || donor_id || '].name' AS evidence_ref FROM donors),
+cross_ AS (SELECT m.*, 'lcx1_' || substr(sha256(concat_ws(chr(0), canonical_id, source_key, source_id, relation, evidence_ref)), 1, 24) AS record_id,
   CASE status WHEN 'matched' THEN 'exact' WHEN 'missing' THEN 'missing' WHEN 'invalid' THEN 'invalid' ELSE 'not_applicable' END AS identity_state,
-  CASE WHEN relation = 'candidate_alignment' THEN 'candidate' ELSE 'unresolved' END AS state
+  CASE WHEN relation = 'candidate_alignment' THEN 'candidate' ELSE 'unresolved' END AS state, 'not_reviewed' AS review_status
   FROM maps m LEFT JOIN matched x ON x.family = m.source_key AND x.donor_id = CASE WHEN m.source_key = 'MACHINERY' THEN regexp_replace(m.source_id, ':[^:]*$', '') ELSE m.source_id END)"""
 
 
@@ -324,3 +337,20 @@ def projection_closed(t):
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity < 10 INTERSECT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 40")
 def common_keys(t):
     return checks.common_keys(t.lineitem.filter("l_quantity < 10"), t.lineitem.filter("l_quantity > 40"), ["l_orderkey", "l_linenumber"])
+
+
+@query("""WITH e AS (SELECT l_orderkey AS relation_id, l_linenumber AS fe_relation_id, l_partkey AS sub_fe_id, l_suppkey * 7 AS super_fe_id FROM lineitem), r AS (SELECT o_orderkey AS relation_id, o_custkey % 25 AS sub_id, o_orderkey % 25 AS super_id FROM orders WHERE o_orderkey % 11 > 0), f AS (SELECT p_partkey AS fe_id, p_partkey % 25 AS frame_id FROM part WHERE p_partkey % 9 > 0),
+x AS (SELECT e.relation_id, fe_relation_id, r.relation_id IS NOT NULL AS known, 'sub' AS "end", sub_fe_id AS fe_id, sub_id AS wanted FROM e LEFT JOIN r USING (relation_id) UNION ALL SELECT e.relation_id, fe_relation_id, r.relation_id IS NOT NULL, 'super', super_fe_id, super_id FROM e LEFT JOIN r USING (relation_id))
+SELECT relation_id, fe_relation_id, "end", CASE WHEN NOT known THEN 'missing_relation' WHEN frame_id IS NULL THEN 'missing' ELSE 'wrong_frame' END AS status FROM x LEFT JOIN f USING (fe_id) WHERE NOT known OR frame_id IS NULL OR frame_id <> wanted""")
+def resolve_element_endpoints(t):
+    k = F.col("o_orderkey")
+    ends = t.lineitem.select(F.col("l_orderkey").alias("relation_id"), F.col("l_linenumber").alias("fe_relation_id"), F.col("l_partkey").alias("sub_fe_id"), (F.col("l_suppkey") * 7).alias("super_fe_id"))
+    relations = t.orders.filter(k % 11 > 0).select(k.alias("relation_id"), (F.col("o_custkey") % 25).alias("sub_id"), (k % 25).alias("super_id"))
+    elements = t.part.filter("p_partkey % 9 > 0").select(F.col("p_partkey").alias("fe_id"), (F.col("p_partkey") % 25).alias("frame_id"))
+    return match.resolve_element_endpoints(ends, relations, elements)
+
+
+@query("""WITH n AS (SELECT o_custkey AS participant, o_orderstatus AS ext, count(*) AS n FROM orders GROUP BY 1, 2), w AS (SELECT c_custkey AS participant FROM customer WHERE c_custkey % 3 > 0) SELECT coalesce(n.participant, w.participant) AS participant, ext, coalesce(n, 0) AS n, CASE WHEN ext IS NULL THEN 'missing' WHEN w.participant IS NULL THEN 'unexpected' ELSE 'expected' END AS status FROM n FULL JOIN w ON w.participant = n.participant""")
+def participant_counts(t):
+    files = t.orders.select(F.col("o_custkey").alias("participant"), F.col("o_orderstatus").alias("ext"))
+    return match.participant_counts(files, t.customer.filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("participant")))

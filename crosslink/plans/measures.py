@@ -111,9 +111,10 @@ def segment_counts(t):
     return M.segment_counts(t.documents, "lang", "source")
 
 
-@query("""SELECT user_id, event_type, round(avg(value), 6) AS mean, round(max(value) - min(value), 6) AS spread, max(value) - min(value) < 50 AS stable, arg_min(value, (ts, value)) AS first_value, arg_max(value, (ts, value)) AS last_value, count(*) AS n FROM events GROUP BY ALL""")
+@query("""SELECT user_id, event_type, round(avg(value), 6) AS mean, round(max(value) - min(value), 6) AS spread, max(value) - min(value) < 50 AS stable, arg_min(value, (ts, value)) AS first_value, arg_max(value, (ts, value)) AS last_value, (arg_min(value, (ts, value)) > 40) <> (arg_max(value, (ts, value)) > 40) AS changed, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS evidence FROM events GROUP BY user_id, event_type""")
 def channel_factors(t):
-    return rounded(M.channel_factors(t.events, "user_id", "event_type", "ts", "value", 50.0), "mean", "spread")
+    out = M.channel_factors(t.events, "user_id", "event_type", "ts", "value", "event_id", 50.0, 40.0)
+    return rounded(out.withColumn("evidence", F.array_join(F.col("evidence").cast("array<string>"), ",")), "mean", "spread")
 
 
 @query("""WITH g AS (SELECT user_id, max(gap) AS max_gap FROM (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM (SELECT DISTINCT user_id, ts FROM events)) GROUP BY 1)
@@ -165,6 +166,16 @@ def dropout_channels(t):
     return rounded(M.dropout(t.events.select("event_id", v.alias("a"), (v * 2).alias("b"), (v + F.col("event_id") % 10).alias("c")), ["a", "b", "c"], ["event_id"]), "total")
 
 
+@query("""WITH d AS (SELECT event_type AS grp, CASE WHEN user_id % 2 = 0 THEN 'contact' ELSE 'no_contact' END AS ref, value AS a, value * 2 AS b, value + event_id % 10 AS c FROM events), t AS (SELECT grp, ref, 'a' AS dropped, b + c AS s FROM d UNION ALL SELECT grp, ref, 'b', a + c FROM d UNION ALL SELECT grp, ref, 'c', a + b FROM d),
+p AS (SELECT *, CASE WHEN s >= 160 THEN 'contact' WHEN s <= 140 THEN 'no_contact' ELSE 'refused' END AS pred FROM t)
+SELECT dropped, grp, CASE WHEN grouping(grp) = 0 THEN 'group' ELSE 'all' END AS scope, count(*) AS n, round(count_if(pred <> 'refused') / count(*), 6) AS coverage, round(count_if(pred = ref) / count(*), 6) AS accuracy, CAST(count_if(pred = 'refused') AS BIGINT) AS refusals FROM p GROUP BY GROUPING SETS ((dropped, grp), (dropped))""")
+def dropout_metrics(t):
+    v = F.col("value")
+    rows = t.events.select(F.col("event_type").alias("grp"), F.when(F.col("user_id") % 2 == 0, "contact").otherwise("no_contact").alias("ref"), v.alias("a"), (v * 2).alias("b"), (v + F.col("event_id") % 10).alias("c"))
+    out = M.dropout_metrics(rows, ["a", "b", "c"], ["grp"], "ref", lambda s: V.band(s, F.lit(150.0), F.lit(10.0)), "contact", "no_contact")
+    return rounded(out.select("dropped", "grp", "scope", "n", "coverage", "accuracy", "refusals"), "coverage", "accuracy")
+
+
 @query("SELECT 'customer' AS asset, count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'documents', count(*) FROM documents")
 def compile_stats(t):
     return M.inventory({"customer": t.customer, "orders": t.orders, "documents": t.documents})

@@ -43,6 +43,14 @@ def bad_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.withColumn("r", parsed).filter("r is null or r.__bad is not null").select("path", (F.col("i") + 1).alias("line"), "text")
 
 
+def jsonl_or_fail(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``scan_jsonl``, if all lines are rows of the schema; else raises with file and number of the first lines that are not."""
+    bad = bad_json_lines(spark, path, schema).orderBy("path", "line").limit(5).collect()
+    if bad:
+        raise ValueError("no rows of the schema: " + ", ".join(f"{r['path']} line {r['line']}" for r in bad))
+    return scan_jsonl(spark, path, schema)
+
+
 def scan_table(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
     """A Parquet table that has the required columns; raises with the missing ones."""
     df = spark.read.parquet(path)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import partitions, row_keys, slices, written
+from crosslink.llm.common import partitions, remove, row_keys, slices, write, written
 from crosslink.llm.components import components
 from crosslink.llm.simhash import SLICE, fingerprint_links, majority, shingle_hashes
 from crosslink.llm.substring_dedup import repeated
@@ -187,18 +187,26 @@ def near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataF
     Shingles: ``size`` words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as sets; fewer words are one shingle; texts without
     words are copies of each other.
     """
-    spark = docs.sparkSession
+    spark, used = docs.sparkSession, []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """``df`` written; it goes when the groups are."""
+        out, path = write(df, name)
+        used.append(path)
+        return out
+
     parts, frequent = partitions(spark), frequent_shingles(docs, size)
-    rows = written(prefixes(docs, size, threshold, frequent), "shingles")
+    rows = kept(prefixes(docs, size, threshold, frequent), "shingles")
     nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("first").alias("first"))
     entries = nodes.select(F.explode("first").alias("shingle"), "node").repartition(parts, "shingle").sortWithinPartitions("shingle")
-    shared = written(entries.mapInArrow(lambda b: repeated(b, 1, [0, 1]), "shingle long, node long"), "shared")
+    met, path = write(entries.mapInArrow(lambda b: repeated(b, 1, [0, 1]), "shingle long, node long"), "met")
     known = rows.select("node", "n", "sketch").dropDuplicates(["node"])
-    shared = written(shared.join(known, "node").select("shingle", "node", "n", "sketch"), "shared")
+    shared = kept(met.join(known, "node").select("shingle", "node", "n", "sketch"), "shared")
+    remove(spark, path)
 
     def compared(entries: DataFrame, rest: bool) -> DataFrame:
         entries = entries.select("shingle", "node", "n", "sketch", "root").repartition(parts, "shingle").sortWithinPartitions("shingle")
-        return written(entries.mapInArrow(lambda b: candidates(b, threshold, rest), "u long, v long").distinct(), "pairs")
+        return kept(entries.mapInArrow(lambda b: candidates(b, threshold, rest), "u long, v long").distinct(), "pairs")
 
     def sets(pairs: DataFrame) -> DataFrame:
         def compute(batches):
@@ -209,12 +217,12 @@ def near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataF
         asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         one = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.*")
         texts = docs.select(*row_keys(), F.coalesce("text", F.lit("")).alias("text")).join(one, ["k1", "k2"]).select("node", "text")
-        return written(texts.mapInArrow(compute, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
+        return kept(texts.mapInArrow(compute, "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
 
     def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
         both = pairs.join(found.select(F.col("node").alias("u"), F.col("shingles").alias("x")), "u").join(found.select(F.col("node").alias("v"), F.col("shingles").alias("y")), "v")
         both = both.select("u", "v", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
-        return written(both.filter(F.col("common") >= threshold * (F.col("n") - F.col("common")) - EPS).select("u", "v"), "links")
+        return kept(both.filter(F.col("common") >= threshold * (F.col("n") - F.col("common")) - EPS).select("u", "v"), "links")
 
     # texts with equal fingerprints, each with one of them, and the index's links
     first = rows.select("node", "fp").distinct().groupBy("fp").agg(F.min("node").alias("least"))
@@ -222,7 +230,7 @@ def near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataF
     near = fingerprint_links(first.select("fp"))
     near = near.join(first.select(F.col("fp").alias("u"), F.col("least").alias("x")), "u").join(first.select(F.col("fp").alias("v"), F.col("least").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
     by_fingerprint = equal.unionByName(near).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    pairs = written(compared(shared.withColumn("root", F.col("node")), False).unionByName(by_fingerprint).distinct(), "pairs")
+    pairs = kept(compared(shared.withColumn("root", F.col("node")), False).unionByName(by_fingerprint).distinct(), "pairs")
     found = sets(pairs)  # of all texts that any pair can have: a text that may pair up in a large group is in a pair already
     links = verified(pairs, found)
     roots = components(links)
@@ -231,4 +239,8 @@ def near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataF
     more = compared(entries, True)
     if not more.isEmpty():
         roots = components(links.unionByName(verified(more, found)))
-    return rows.select("k1", "k2", "doc_id", "node").join(roots, "node", "left").select("k1", "k2", "doc_id", F.coalesce("root", "node").alias("root"))
+    grouped = rows.select("k1", "k2", "doc_id", "node").join(roots, "node", "left").select("k1", "k2", "doc_id", F.coalesce("root", "node").alias("root"))
+    out = written(grouped, "groups")
+    for path in used:  # shingles and sketches are larger than the texts' own groups
+        remove(spark, path)
+    return out

@@ -162,7 +162,8 @@ def non_empty_or_fail(t):
     return checks.non_empty(t.lineitem.filter("l_quantity > 10"), "lines").groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT DISTINCT p_brand AS repair_id FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 45)""")
+@query("""SELECT p_partkey AS repair_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)""")
 def unused_repairs(t):
-    brands = t.part.select(F.col("p_brand").alias("repair_id"), "p_size")
-    return rules.unused_repairs(brands.select("repair_id").distinct(), brands.filter("p_size > 45"))
+    """Parts as repairs; large lines as their applications."""
+    applied = t.lineitem.filter("l_quantity > 45").select(F.col("l_partkey").alias("repair_id"))
+    return rules.unused_repairs(t.part.select(F.col("p_partkey").alias("repair_id")), applied)

@@ -261,8 +261,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, counts: tuple[str, str] =
     are copies of each other, so whole copies of at least ``window`` words lose all their words. Other columns are kept; columns
     called like the counts are replaced. An empty table gives no rows.
     """
-    kept = kept_texts(docs, window, True).select(*ID, F.col("kept").alias("__kept"), F.col("n_words").alias(counts[0]), F.col("n_removed").alias(counts[1]))
-    found = with_kept(docs, kept, ["__kept", *counts])
-    text = F.when(F.col(f"`{counts[1]}`") == 0, F.col("text")).otherwise(F.col("__kept")).alias("text")
+    # the text comes back with its result, so that it isn't shuffled a second time; only whether it was null goes along
+    kept = kept_texts(docs, window, True).select(*ID, F.col("kept").alias("text"), F.col("n_words").alias(counts[0]), F.col("n_removed").alias(counts[1]))
+    found = with_kept(docs.withColumn("__null", F.col("text").isNull()), kept, ["text", *counts])
+    text = F.when(~F.col("__null"), F.col("text")).alias("text")
     more = [c for c in counts if c not in docs.columns]
     return found.select(*[text if c == "text" else F.col(f"`{c}`") for c in [*docs.columns, *more]])

@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, decontaminate, licenses, nearest, preference, quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, decontaminate, licenses, nearest, piece_agenda, preference, quality, simhash, substring_dedup, token_orc, toxicity
 from crosslink.llm.oracles import ORACLES
 from crosslink.llm.common import scratch, small_batches, table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,12 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids and decoded text of every document, as digests."""
+    small_batches(spark)
+    return piece_agenda.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

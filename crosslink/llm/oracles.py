@@ -33,7 +33,36 @@ SELECT pair_id, shared_turns, array_to_string(list_transform(p, lambda t: {_TURN
 FROM s
 """
 
-ORACLES = {"op7_substring_dedup": OP7, "op8_preference": OP8}
+
+
+def _nibble(i: int) -> int:
+    """crc32's table entry of four bits."""
+    for _ in range(4):
+        i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+    return i
+
+
+_DIGITS = "list_transform(range(0, len(hex(encode(k)))), lambda i: CAST(instr('0123456789ABCDEF', hex(encode(k))[xor(i, 1) + 1]) - 1 AS BIGINT))"
+_CRC = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {_DIGITS}), lambda c, x: xor({[_nibble(i) for i in range(16)]}[(xor(c, x) & 15) + 1], c >> 4)), 4294967295)"
+OP12 = rf"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+c AS (SELECT DISTINCT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM r WHERE length(run) >= 5),
+l AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM r WHERE length(run) >= 5),
+k AS (SELECT doc_id, w, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS k FROM c),
+h AS (SELECT doc_id, w, {_CRC} AS h FROM k),
+t AS (SELECT CASE WHEN h % 97 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word FROM l JOIN h USING (doc_id, w)),
+v AS (SELECT word, count(*) AS n FROM t WHERE length(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+p AS (SELECT word, n, i, word[:i - 1] AS a, word[i + 1:] AS b FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+e AS (SELECT x.word, y.word AS other, y.n AS m FROM p x JOIN p y USING (i, a, b) WHERE x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM p x JOIN v y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM p x JOIN v y ON x.a || x.b = y.word),
+b AS (SELECT word, count(*) AS n_near, max(m) AS m FROM e GROUP BY word),
+f AS (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN m END AS form_n, CASE WHEN m >= 2 * n THEN (SELECT min(other) FROM e WHERE e.word = v.word AND e.m = b.m) END AS form FROM v LEFT JOIN b USING (word)),
+g AS (SELECT word, form, word AS root FROM f UNION ALL SELECT g.word, f.form, f.word FROM g JOIN f ON g.form = f.word)
+SELECT word, f.form, g.root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM f JOIN g USING (word) WHERE g.form IS NULL
+"""
+
+ORACLES = {"op7_substring_dedup": OP7, "op8_preference": OP8, "op12_spellings": OP12}
 
 
 def _licenses() -> str:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, decontaminate, licenses, nearest, piece_agenda, preference, quality, simhash, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, decontaminate, licenses, nearest, piece_agenda, preference, quality, simhash, spellings, substring_dedup, token_orc, toxicity
 from crosslink.llm.oracles import ORACLES
 from crosslink.llm.common import scratch, small_batches, table
 
@@ -87,6 +87,11 @@ def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_agenda.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of five letters and three occurrences with its more frequent neighbour, and where following these ends."""
+    return spellings.variants(spellings.counted_words(table(spark, sf_dir, "documents"), 97))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

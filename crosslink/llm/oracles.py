@@ -62,7 +62,20 @@ g AS (SELECT word, form, word AS root FROM f UNION ALL SELECT g.word, f.form, f.
 SELECT word, f.form, g.root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM f JOIN g USING (word) WHERE g.form IS NULL
 """
 
-ORACLES = {"op7_substring_dedup": OP7, "op8_preference": OP8, "op12_spellings": OP12}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT count(*) AS docs, sum(len(ts)) AS length FROM d WHERE len(ts) > 0),
+q AS (SELECT item_id, term, count(*) AS uses FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term),
+a AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + CAST((75 * n * docs) // length AS BIGINT))) AS part FROM p, s),
+r AS (SELECT item_id, doc_id, CAST(sum(uses * w * part) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN a USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+ORACLES = {"op7_substring_dedup": OP7, "op8_preference": OP8, "op12_spellings": OP12, "op13_ranked": OP13}
 
 
 def _licenses() -> str:

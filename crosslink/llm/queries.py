@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.llm import bpe_table, decontaminate, licenses, nearest, piece_agenda, preference, quality, simhash, spellings, substring_dedup, token_orc, toxicity
+from crosslink.llm import bpe_table, decontaminate, licenses, nearest, piece_agenda, preference, quality, ranked, simhash, spellings, substring_dedup, token_orc, toxicity
 from crosslink.llm.oracles import ORACLES
 from crosslink.llm.common import scratch, small_batches, table
 
@@ -92,6 +92,12 @@ def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings.variants(spellings.counted_words(table(spark, sf_dir, "documents"), 97))
 
 
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    small_batches(spark)
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

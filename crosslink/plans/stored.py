@@ -1,5 +1,7 @@
 """Sources and sinks: the tables written as files of each format and read again by the operator."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from crosslink.plans.base import query
@@ -24,6 +26,27 @@ def documents(t, df, name):
     return path
 
 
+def filed(t, df, name):
+    """The path under which each folder of ``df`` (folder, ord, value) is one file of lines in order."""
+    path = scratch(t.spark, name)
+    df.repartition("folder").sortWithinPartitions("folder", "ord").select("value", "folder").write.partitionBy("folder").text(path)
+    remove_at_end(t.spark, path)
+    return path
+
+
+def in_ranges(t):
+    """A session that reads files in ranges of 8 kB, so that files of the test data have many."""
+    spark = t.spark.newSession()
+    for name, value in (("spark.sql.files.maxPartitionBytes", "8k"), ("spark.sql.files.openCostInBytes", "1k")):
+        spark.conf.set(name, value)
+    return spark
+
+
+def folder(path="path"):
+    """The folder's number in a path."""
+    return F.regexp_extract(path, "folder=([0-9]+)", 1).cast("long").alias("folder")
+
+
 def joined(column):
     """The texts of a group in order. A group is one file of the test data; there are more files where there is more data."""
     return F.array_join(F.array_sort(F.collect_list(column)), "")
@@ -61,10 +84,12 @@ def scan_jsonl(t):
     return files.scan_jsonl(t.spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
-@query("SELECT count(*) AS bad FROM customer WHERE c_custkey % 10 = 0")
+@query("""SELECT folder, line FROM (SELECT c_custkey, c_custkey // 1000 AS folder, row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) AS line FROM customer) WHERE c_custkey % 10 = 0""")
 def bad_json_lines(t):
+    """Files of a thousand lines, read in ranges; the numbers of the broken lines."""
     line = F.when(F.col("c_custkey") % 10 == 0, "{broken").otherwise(F.to_json(F.struct("c_custkey")))
-    return files.bad_json_lines(t.spark, put(t, t.customer.select(line.alias("value")), "json"), "c_custkey long").agg(F.count("*").alias("bad"))
+    path = filed(t, t.customer.select(F.floor(F.col("c_custkey") / 1000).alias("folder"), F.col("c_custkey").alias("ord"), line.alias("value")), "json")
+    return files.bad_json_lines(in_ranges(t), path, "c_custkey long").select(folder(), "line")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders")
@@ -72,19 +97,28 @@ def scan_donor(t):
     return files.scan_table(t.spark, put(t, t.orders, "donor", "parquet"), ["o_orderkey", "o_custkey"]).select("o_orderkey", "o_custkey")
 
 
-@query("SELECT CAST(event_id AS DOUBLE) AS id, round(value, 2) AS value, CAST(user_id AS DOUBLE) AS user FROM events")
+@query("SELECT event_id // 2000 AS folder, row_number() OVER (PARTITION BY event_id // 2000 ORDER BY event_id) - 1 AS sample_index, CAST(event_id AS DOUBLE) AS id, round(value, 2) AS value, CAST(user_id AS DOUBLE) AS user FROM events")
 def scan_samples(t):
-    lines = t.events.select(F.concat_ws("  ", F.col("event_id").cast("string"), F.round("value", 2).cast("string"), F.col("user_id").cast("string")).alias("value"))
-    return files.scan_samples(t.spark, put(t, lines, "samples"), ["id", "value", "user"], "*.txt").select("id", "value", "user")
+    """Files of two thousand events, read in ranges, with a blank line before every seventh."""
+    line = F.concat_ws("  ", F.col("event_id").cast("string"), F.round("value", 2).cast("string"), F.col("user_id").cast("string"))
+    rows = t.events.select(F.floor(F.col("event_id") / 2000).alias("folder"), F.col("event_id").alias("ord"), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit(" \n"), line)).otherwise(line).alias("value"))
+    return files.scan_samples(in_ranges(t), filed(t, rows, "samples"), ["id", "value", "user"], "*.txt").select(folder(), "sample_index", "id", "value", "user")
 
 
-@query("SELECT count(*) AS n, round(sum(v[1] + v[2] + v[3]), 3) AS total, round(sum(v[1] + v[3]), 3) AS without_second FROM (SELECT list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)")
+@query("""SELECT 3 * (vec_id // 300) + vec_id % 3 AS folder, row_number() OVER (PARTITION BY vec_id // 300, vec_id % 3 ORDER BY vec_id) - 1 AS line, round(v[1] + v[2] + v[3], 6) AS total, round(v[1] + v[3], 6) AS without_second
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)""")
 def scan_channels(t):
-    """Three channels of each vector as lines of CSV; their sum, and that without the second one."""
-    v = F.col("embedding").cast("array<double>")
-    path = put(t, t.embeddings.select("vec_id", *[v[i].alias(f"L{i + 1}") for i in (2, 0, 1)]), "channels", "csv", header="true")
-    total = lambda name, **k: files.scan_channels(t.spark, path, r"L([0-9]+)", range(1, 4), **k).agg(F.count("*").alias("n"), F.round(F.sum("total"), 3).alias(name))
-    return total("total").join(total("without_second", drop=2), "n")
+    """Channels of vectors as lines of CSV, in three orders of columns with an id between; their sum, and that without the second one."""
+    v, k = F.col("embedding").cast("array<double>"), F.col("vec_id")
+    number = (3 * F.floor(k / 300) + k % 3).alias("folder")
+    cell = lambda i: v[i - 1].cast("string") if i else k.cast("string")
+    orders = ((3, 1, 0, 2), (0, 1, 2, 3), (2, 3, 1, 0))
+    chosen = lambda rows: reduce(lambda e, i: e.when(k % 3 == i, rows[i]), range(1, 3), F.when(k % 3 == 0, rows[0]))
+    lines = t.embeddings.select(number, k.alias("ord"), chosen([F.concat_ws(",", *map(cell, o)) for o in orders]).alias("value"))
+    heads = t.embeddings.select(number, F.lit(-1).cast("long").alias("ord"), chosen([F.lit(",".join(f"L{i}" if i else "id" for i in o)) for o in orders]).alias("value")).distinct()
+    spark, path = in_ranges(t), filed(t, lines.unionByName(heads), "channels")
+    total = lambda name, **how: files.scan_channels(spark, path, r"L([0-9]+)", range(1, 4), **how).select(folder(), "line", F.round("total", 6).alias(name))
+    return total("total").join(total("without_second", drop=2), ["folder", "line"])
 
 
 @query(r"SELECT page_id, regexp_extract(url, '^(https?)://([^/]+)/([^?]*)', 2) AS host, regexp_extract(url, '^(https?)://([^/]+)/([^?]*)', 3) AS rest FROM pages WHERE regexp_matches(url, '^https://[^/]+/')")
@@ -151,13 +185,15 @@ def scan_symbols(t):
     return lexical.scan_symbols(t.customer.select(text.alias("text")))
 
 
-@query("SELECT 'S' || c_custkey AS child, 'N' || c_nationkey AS parent FROM customer WHERE c_custkey % 2 = 0")
+@query("""SELECT folder, n AS formula_index, 2 * n - 1 AS start_line, 'S' || c_custkey AS child, 'N' || c_nationkey AS parent
+  FROM (SELECT *, c_custkey // 700 AS folder, row_number() OVER (PARTITION BY c_custkey // 700 ORDER BY c_custkey) AS n FROM customer) WHERE c_custkey % 2 = 0""")
 def scan_axioms(t):
+    """Files of seven hundred formulas of two lines, read in ranges that cut formulas, strings and comments."""
     k = F.col("c_custkey")
-    line = F.concat(F.when(k % 2 == 0, "(subclass S").otherwise("(other S"), k.cast("string"), F.lit(" N"), F.col("c_nationkey").cast("string"), F.lit(")"))
-    path = put(t, t.customer.select(line.alias("value")), "axioms")
-    formulas = lexical.axiom_families(lexical.scan_axioms(t.spark, path, "*.txt"))["subclass"]
-    return formulas.select("child", "parent")
+    line = F.concat(F.when(k % 2 == 0, "(subclass S").otherwise('(other "( a ""string S'), k.cast("string"), F.when(k % 2 == 0, "\n  N").otherwise('\n ((" N'), F.col("c_nationkey").cast("string"), F.lit(') ; a (comment "'))
+    path = filed(t, t.customer.select(F.floor(k / 700).alias("folder"), k.alias("ord"), line.alias("value")), "axioms")
+    formulas = lexical.scan_axioms(in_ranges(t), path, "*.txt").filter("head = 'subclass' and size(parts) = 2")
+    return formulas.withColumnRenamed("module", "path").select(folder(), "formula_index", "start_line", F.col("parts")[0].alias("child"), F.col("parts")[1].alias("parent"))
 
 
 FRAMES = """fr AS (SELECT n_nationkey AS frame_id, n_name AS name FROM nation), fe AS (SELECT c_custkey AS fe_id, c_nationkey AS frame_id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'Peripheral' ELSE 'Core' END AS core_type, c_custkey % 4 = 0 AS typed FROM customer)"""

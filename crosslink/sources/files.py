@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crosslink.sources.lines import channel_lines, numbered_lines, relative
+
 
 def scan_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path (below the root), length, sha256 of the files that match; raises if there are none."""
@@ -19,12 +18,6 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return out
 
 
-def relative(path, root: str):
-    """A path below the root, whatever the scheme it was found by."""
-    tail = re.sub(r"^[a-z0-9]+:/+", "/", root).rstrip("/") + "/"
-    return F.substring_index(path, tail, -1)
-
-
 def whole_texts(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path, text of whole files."""
     df = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
@@ -37,10 +30,10 @@ def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 
 def bad_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """path, line (from 1), text of lines that aren't rows of the schema."""
-    lines = whole_texts(spark, path).select("path", F.posexplode(F.split("text", "\n")).alias("i", "text")).filter("trim(text) <> ''")
+    """path, line (from 1), text of lines that aren't rows of the schema. Lines of a large file are numbered by ranges."""
+    lines = numbered_lines(spark, path).filter("trim(text) <> ''")
     parsed = F.from_json("text", f"{schema}, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
-    return lines.withColumn("r", parsed).filter("r is null or r.__bad is not null").select("path", (F.col("i") + 1).alias("line"), "text")
+    return lines.withColumn("r", parsed).filter("r is null or r.__bad is not null").select("path", (F.col("line") + 1).alias("line"), "text")
 
 
 def jsonl_or_fail(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -60,36 +53,24 @@ def scan_table(spark: SparkSession, path: str, required: list[str]) -> DataFrame
 
 
 def scan_samples(spark: SparkSession, root: str, columns: list[str], pattern: str = "*") -> DataFrame:
-    """path, sample_index and doubles from lines of blank-separated numbers; the order of lines is kept as the index."""
-    lines = whole_texts(spark, root, pattern).select("path", F.posexplode(F.filter(F.split("text", r"\r?\n"), lambda x: F.trim(x) != "")).alias("sample_index", "line"))
-    parts = F.split(F.trim("line"), r"\s+")
-    return lines.select("path", "sample_index", *[F.get(parts, i).try_cast("double").alias(c) for i, c in enumerate(columns)])
-
-
-def channel_columns(columns: list[str], pattern: str, wanted: range) -> list[str]:
-    """The columns of channels, in order of their numbers; raises unless the numbers are exactly ``wanted``."""
-    found = {int(m[1]): c for c in columns if (m := re.fullmatch(pattern, c))}
-    if sorted(found) != list(wanted):
-        raise ValueError(f"channels {sorted(found)} where {list(wanted)} are wanted")
-    return [found[i] for i in sorted(found)]
+    """path, sample_index and doubles from lines of blank-separated numbers; the order of lines that aren't blank is kept as the index."""
+    lines = numbered_lines(spark, root, pattern, lambda x: F.trim(x) != "")
+    parts = F.split(F.trim("text"), r"\s+")
+    return lines.select("path", F.col("line").alias("sample_index"), *[F.get(parts, i).try_cast("double").alias(c) for i, c in enumerate(columns)])
 
 
-def scan_channels(spark: SparkSession, path: str, pattern: str, wanted: range, drop: int | None = None, reverse: bool = False) -> DataFrame:
+def scan_channels(spark: SparkSession, path: str, pattern: str, wanted: range, drop: int | None = None, reverse: bool = False, files: str = "*") -> DataFrame:
     """path, line, total: the sum of the chosen channels of a CSV line; null if one isn't a finite number.
 
-    ``drop``: a channel that counts as 0. ``reverse``: channels in reverse order, which must not change the sum. Lines are numbered
-    within their file from whole texts, as their order is the data.
+    Each file's channels stand where its own header says; see ``channel_lines``. ``files``: a pattern of their names. ``drop``: a channel that counts as 0, but must be a
+    finite number like the others. ``reverse``: channels in reverse order, which must not change the sum but for rounding.
     """
-    texts = whole_texts(spark, path, "*.csv").withColumn("rows", F.filter(F.split("text", r"\r?\n"), lambda x: x != ""))
-    names = next(iter(texts.select(F.split(F.get("rows", F.lit(0)), ",").alias("h")).limit(1).collect()), None)
-    chosen = channel_columns([x.strip() for x in (names.h if names else [])], pattern, wanted)
-    places = {c: [x.strip() for x in names.h].index(c) for c in chosen}
-    order = list(reversed(chosen)) if reverse else chosen
-    lines = texts.select("path", F.posexplode(F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))).alias("line", "row"))
-    cell = lambda c: F.get(F.split("row", ","), F.lit(places[c])).try_cast("double")
-    values = [F.lit(0.0) if drop is not None and c == chosen[drop - wanted[0]] else cell(c) for c in order]
-    total = reduce(lambda a, b: a + b, values)
-    return lines.select("path", "line", F.when(~F.isnan(total) & (F.abs(total) < float("inf")), total).alias("total"))
+    values = F.reverse("values") if reverse else F.col("values")
+    finite = F.forall("values", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    place = None if drop is None else wanted.index(drop) if not reverse else len(wanted) - 1 - wanted.index(drop)
+    kept = values if place is None else F.transform(values, lambda x, i: F.when(i == place, 0.0).otherwise(x))
+    total = F.aggregate(kept, F.lit(0.0), lambda a, x: a + x)
+    return channel_lines(spark, path, pattern, wanted, files).select("path", "line", F.when(finite, total).alias("total"))
 
 
 def decompose_paths(df: DataFrame, path: str, pattern: str, names: list[str], keep: dict[str, list[str]]) -> DataFrame:

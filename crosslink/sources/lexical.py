@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosslink.sources.files import relative, whole_texts
+from crosslink.sources.files import whole_texts
+from crosslink.sources.lines import formulas, fragments_of, relative
 
 _LINK = "struct<_resource:string,_version:string,_class:string,_VALUE:string>"
 ROLESETS = f"""_lemma string, roleset array<struct<_id:string,_name:string,
@@ -97,8 +98,7 @@ def scan_indexes(spark: SparkSession, frame_index: str, lu_index: str) -> dict[s
     return {"frames": frames.select(F.col("_ID").alias("id"), F.col("_name").alias("name")), "lus": lus.select(F.col("_ID").alias("id"), F.col("_name").alias("name"), F.col("_frameID").alias("frame_id"), F.col("_status").alias("status"))}
 
 
-FORMULA = "formula_index int, start_line int, head string, parts array<string>, formula string"
-_TOKEN = re.compile(r';[^\n]*|"(?:\\.|[^"\\])*"|[()]|[^\s()";]+')
+_TOKEN = re.compile(r';[^\n]*|"(?:\\.|[^"\\])*(?:"|$)|[()]|[^\s()";]+', re.S)
 
 
 def split_formulas(text: str | None) -> Iterator[tuple[int, int, str, list[str], str]]:
@@ -106,41 +106,41 @@ def split_formulas(text: str | None) -> Iterator[tuple[int, int, str, list[str],
 
     Comments run from ``;`` to the end of the line, strings may hold brackets. Unbalanced ends give what is complete.
     """
-    text, depth, n, begin, parts, part = text or "", 0, 0, 0, [], 0
-    for m in _TOKEN.finditer(text):
-        token = m[0]
-        if token[0] == ";":
-            continue
-        if token == "(":
+    text = text or ""
+    whole = ((a, b) for begins, ends, a, b in fragments_of(text, 0, False) if begins and ends)
+    for n, (a, b) in enumerate(whole, 1):
+        head, *parts = operands(text[a:b]) or [""]
+        yield n, text.count("\n", 0, a) + 1, head, parts, text[a:b]
+
+
+def operands(formula: str) -> list[str]:
+    """Head and operands of one formula, nested ones as they stand in the text."""
+    depth, part, out = 0, 0, []
+    for m in _TOKEN.finditer(formula):
+        if m[0] == "(":
             depth += 1
-            if depth == 1:
-                begin, parts = m.start(), []
-            elif depth == 2:
-                part = m.start()
-        elif token == ")":
+            part = m.start() if depth == 2 else part
+        elif m[0] == ")":
             if depth == 2:
-                parts.append(text[part : m.end()])
-            depth = max(0, depth - 1)
-            if depth == 0 and begin is not None:
-                n += 1
-                yield n, text.count("\n", 0, begin) + 1, parts[0] if parts else "", parts[1:], text[begin : m.end()]
-                begin = None
-        elif depth == 1:
-            parts.append(token)
+                out.append(formula[part : m.end()])
+            depth -= 1
+        elif depth == 1 and m[0][0] != ";":
+            out.append(m[0])
+    return out
 
 
 def scan_axioms(spark: SparkSession, root: str, pattern: str = "*.kif") -> DataFrame:
-    """module, formula_index, start_line, head, parts, formula_sha256 of all files that match; one file is parsed by one task."""
-    texts = whole_texts(spark, root, pattern)
+    """module, formula_index, start_line, head, parts, formula_sha256 of all files that match; large files are read in ranges, see ``lines.formulas``."""
+    found = formulas(spark, root, pattern)
 
     def parse(batches):
         import pandas as pd
 
         for batch in batches:
-            rows = [(path, *f) for path, text in zip(batch["path"], batch["text"]) for f in split_formulas(text)]
-            yield pd.DataFrame(rows, columns=["module", "formula_index", "start_line", "head", "parts", "formula"])
+            lists = [operands(f) or [""] for f in batch["formula"]]
+            yield pd.DataFrame({"module": batch["path"], "formula_index": batch["formula_index"], "start_line": batch["start_line"], "head": [x[0] for x in lists], "parts": [x[1:] for x in lists], "formula": batch["formula"]})
 
-    df = texts.mapInPandas(parse, f"module string, {FORMULA}")
+    df = found.mapInPandas(parse, "module string, formula_index long, start_line long, head string, parts array<string>, formula string")
     return df.select("module", "formula_index", "start_line", "head", "parts", F.sha2("formula", 256).alias("formula_sha256"))
 
 

@@ -86,7 +86,7 @@ def union_lineage(t):
     return graph.union_lineage(t.orders.select("o_orderkey", version), lineage, "v7")
 
 
-@query()
+@query("SELECT doc_id, sha1('blob ' || octet_length(encode(text)) || chr(0) || text) AS sha FROM documents")
 def git_blob_sha(t):
     return t.documents.select("doc_id", ids.blob_sha(F.col("text")).alias("sha"))
 

@@ -4,7 +4,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from crosslink.plans.base import query
+from crosslink.plans import matching
+from crosslink.plans.base import matched, query
 from crosslink.scratch import remove_at_end, scratch
 from crosslink.sources import files, lexical
 from crosslink.streaming import streams
@@ -52,10 +53,18 @@ def joined(column):
     return F.array_join(F.array_sort(F.collect_list(column)), "")
 
 
-def stream(t, df, name):
-    """``df`` as a stream of its files."""
+def stream(t, df, name, session=None):
+    """``df`` as a stream of its files, one a batch at least; ``session``: the one that reads it."""
     path = put(t, df, name, "parquet")
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    return (session or t.spark).readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+def ticking(t, df, name, at, session=None):
+    """``df`` in eight files in no order of time, read two a batch, and at last a row far in the future, which moves the watermark beyond all others."""
+    path = put(t, df.repartition(8, F.xxhash64(*df.columns)), name, "parquet")
+    tick = df.limit(1).select(*[F.to_timestamp_ntz(F.lit("2100-01-01 00:00:00")).alias(c) if c == at else F.lit(None).cast(kind).alias(c) for c, kind in df.dtypes])
+    tick.write.mode("append").parquet(path)
+    return (session or t.spark).readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
 def drained(t, df, name):
@@ -256,26 +265,50 @@ def stream_reviews(t):
     return drained(t, streams.distinct_reviews(stream(t, rows.unionByName(rows), "reviews"), "ts", "4000 days").select("record_id"), "reviews-once")
 
 
-@query("""WITH w AS (SELECT user_id, date_trunc('day', ts) AS d, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2), l AS (SELECT max(ts) - INTERVAL 1 HOUR - INTERVAL 2 DAY AS until FROM events) SELECT user_id, CAST(epoch(d) AS BIGINT) AS start, n, mean, CASE WHEN mean >= 60 THEN 'contact' WHEN mean <= 40 THEN 'no_contact' ELSE 'refused' END AS prediction FROM w, l WHERE d < until""")
+@query("SELECT event_id AS record_id, true AS before FROM events")
+def append_reviews(t):
+    """Each event twice as a stream of reviews over two runs and many batches; between the runs the last batch is run again, a batch fails before its commit, and old reviews come again long after the watermark. Each review stands in the table once."""
+    rows = t.events.select(F.col("event_id").alias("record_id"), "ts")
+    path, out, at = put(t, rows.unionByName(rows).repartition(4, F.xxhash64("record_id", "ts"), F.rand(7)), "reviews", "parquet"), scratch(t.spark, "reviews-once"), scratch(t.spark, "progress")
+    run = lambda: streams.append_reviews(t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), "ts", out, at, "4000 days").awaitTermination()
+    for p in (out, f"{out}.ledger", at):
+        remove_at_end(t.spark, p)
+    run()
+    last = streams.committed_batches(t.spark, out).agg(F.max("batch").alias("last")).first()["last"]
+    was = streams.read_reviews(t.spark, out).drop("batch")
+    streams.commit_batch(rows, last, out)  # a batch that is run again
+    rows.write.parquet(f"{out}/batch={last + 1}")  # one that failed before its commit
+    rows.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 YEARS")).write.mode("append").parquet(path)  # beyond the watermark
+    run()
+    return streams.read_reviews(t.spark, out).join(was.select("record_id", F.lit(True).alias("before")), "record_id", "left").select("record_id", "before")
+
+
+@query(f"WITH {matching.MAPPINGS} SELECT * FROM cross_")
+def stream_crosswalk(t):
+    """Mappings that arrive in files, joined to the static comparisons."""
+    rows = streams.stream_crosswalk(stream(t, matching.mappings(t).repartition(6), "mappings"), matched(t), "MACHINERY")
+    return drained(t, rows, "crosswalk")
+
+
+@query("""SELECT user_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start, count(*) AS n, round(avg(value), 6) AS mean, CASE WHEN avg(value) >= 60 THEN 'contact' WHEN avg(value) <= 40 THEN 'no_contact' ELSE 'refused' END AS prediction FROM events GROUP BY user_id, date_trunc('day', ts)""")
 def stream_window_features(t):
-    """Days that the watermark has closed for sure."""
-    last = t.events.agg(F.max(F.col("ts").cast("timestamp")).alias("last")).first()["last"]
-    features = streams.window_features(stream(t, t.events.coalesce(1), "events"), ["user_id"], "ts", "value", 50.0, 10.0)
-    out = drained(t, features, "features")
-    until = F.lit(last) - F.expr("INTERVAL 1 HOUR") - F.expr("INTERVAL 2 DAYS")
-    return out.filter(F.col("start") < until).select("user_id", F.unix_timestamp("start").alias("start"), "n", F.round("mean", 6).alias("mean"), "prediction")
+    """All days, over several batches of files in no order of time."""
+    features = streams.window_features(ticking(t, t.events, "events", "ts"), ["user_id"], "ts", "value", 50.0, 10.0, delay="4000 days")
+    return drained(t, features, "features").select("user_id", F.unix_timestamp("start").alias("start"), "n", F.round("mean", 6).alias("mean"), "prediction")
 
 
-@query("""WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM o), l AS (SELECT max(ts) - INTERVAL 2 DAY AS until FROM events)
-SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM s GROUP BY user_id, s HAVING max(ts) + INTERVAL 6 HOUR < (SELECT until FROM l)""")
+@query("""WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM o)
+SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM s GROUP BY user_id, s""")
 def stream_gaps(t):
-    """Sessions that the watermark has closed for sure."""
-    last = t.events.agg(F.max(F.col("ts").cast("timestamp")).alias("last")).first()["last"]
-    out = drained(t, streams.sessions(stream(t, t.events.coalesce(1), "events"), ["user_id"], "ts", "6 hours"), "sessions")
-    return out.filter(F.col("end") < F.lit(last) - F.expr("INTERVAL 2 DAYS")).select("user_id", F.unix_timestamp("start").alias("start"), "n")
+    """All sessions, which grow over several batches of files in no order of time."""
+    out = drained(t, streams.sessions(ticking(t, t.events, "events", "ts"), ["user_id"], "ts", "6 hours", "4000 days"), "sessions")
+    return out.select("user_id", F.unix_timestamp("start").alias("start"), "n")
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS key, first, second, count(*) AS n FROM (SELECT user_id, event_type AS first, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS second FROM events) WHERE second IS NOT NULL GROUP BY ALL""")
+@query("""SELECT CAST(user_id AS VARCHAR) AS key, CAST(floor(epoch(ts)) AS BIGINT) AS start, first, second FROM (SELECT user_id, ts, event_type AS first, lead(event_type) OVER w AS second, lead(ts) OVER w AS until FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE until - ts <= INTERVAL 20 DAY""")
 def stream_alternation(t):
-    rows = streams.alternation(stream(t, t.events.coalesce(1), "events"), "user_id", "ts", "event_type", "event_id")
-    return drained(t, rows, "pairs").groupBy("key", "first", "second").agg(F.count("*").alias("n"))
+    """Events of a user in pairs, from batches of files in no order of time; the last event waits in the state until the next one comes."""
+    session = t.spark.newSession()
+    session.conf.set(*streams.ROCKS)
+    rows = streams.alternation(ticking(t, t.events, "events", "ts", session), "user_id", "ts", "event_type", "event_id", "4000 days", "20 days")
+    return drained(t, rows, "pairs").select("key", F.unix_timestamp("start").alias("start"), "first", "second")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from crosslink.functions.values import band
 from crosslink.operators.match import crosswalk
@@ -18,9 +18,9 @@ def event_time(df: DataFrame, at: str = "ts") -> DataFrame:
     return df.withColumn(at, F.col(at).cast("timestamp"))
 
 
-def stream_crosswalk(mappings: DataFrame, comparisons: DataFrame) -> DataFrame:
+def stream_crosswalk(mappings: DataFrame, comparisons: DataFrame, argument_source: str = "propbank") -> DataFrame:
     """Arriving mapping rows joined to the static comparisons: the batch operator on a stream."""
-    return crosswalk(mappings, comparisons)
+    return crosswalk(mappings, comparisons, argument_source)
 
 
 def distinct_reviews(reviews: DataFrame, at: str, delay: str = "1 day") -> DataFrame:
@@ -28,12 +28,52 @@ def distinct_reviews(reviews: DataFrame, at: str, delay: str = "1 day") -> DataF
     return event_time(reviews, at).withWatermark(at, delay).dropDuplicatesWithinWatermark(["record_id"])
 
 
-def append_reviews(reviews: DataFrame, at: str, path: str, checkpoint: str, delay: str = "1 day", **trigger):
-    """Appends distinct reviews to a Parquet table; a batch that is run again writes its own folder again and nothing twice."""
+def committed_batches(spark: SparkSession, path: str) -> DataFrame:
+    """batch, rows: the ledger of a table that ``append_reviews`` writes; empty if there is none yet."""
+    at = f"{path.rstrip('/')}.ledger"
+    place = spark._jvm.org.apache.hadoop.fs.Path(at)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(LEDGER).parquet(at) if there else spark.createDataFrame([], LEDGER)
+
+
+LEDGER = "batch long, rows long"
+
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def read_reviews(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all committed batches, with their batch. What a batch that failed has left is not among them."""
+    done = [r.batch for r in committed_batches(spark, path).collect()]
+    if not done:
+        raise FileNotFoundError(f"{path} has no committed batch")
+    return spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/batch={b}" for b in sorted(set(done))])
 
+
+def commit_batch(batch: DataFrame, number: int, path: str) -> int:
+    """Appends the rows of a batch whose record_id no committed batch has, each record once; returns how many.
+
+    A batch that the ledger has is skipped. One that failed after writing, before it was committed, overwrites its own folder. Only
+    the ids of the table are read to find those that are there, whatever their age.
+    """
+    spark = batch.sparkSession
+    ledger = committed_batches(spark, path)
+    if (was := ledger.filter(F.col("batch") == number).first()) is not None:
+        return was.rows
+    new = batch.drop("batch").dropDuplicates(["record_id"])
+    if not ledger.isEmpty():
+        new = new.join(read_reviews(spark, path).select("record_id"), "record_id", "left_anti")
+    folder = f"{path.rstrip('/')}/batch={number}"
+    new.write.mode("overwrite").parquet(folder)
+    rows = spark.read.schema(new.schema).parquet(folder).count()
+    spark.createDataFrame([(number, rows)], LEDGER).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}.ledger")
+    return rows
+
+
+def append_reviews(reviews: DataFrame, at: str, path: str, checkpoint: str, delay: str = "1 day", **trigger):
+    """Appends each review once to the table ``path`` (read it by ``read_reviews``), over restarts and however late its repeats come.
+
+    Repeats within the watermark are dropped by the stream's state, older ones by the ids in the table; a batch that is run again
+    changes nothing. Reviews older than the watermark are dropped.
+    """
+    write = lambda batch, number: commit_batch(batch, number, path) and None
     return distinct_reviews(reviews, at, delay).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -51,22 +91,73 @@ def sessions(events: DataFrame, keys: list[str], at: str, gap: str, delay: str =
 
 
 ALTERNATION = "key string, start timestamp, end timestamp, first string, second string, repeated boolean"
+#: The state store that transformWithState needs.
+ROCKS = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def alternation(events: DataFrame, key: str, at: str, label: str, tie: str) -> DataFrame:
-    """key, start, end, first, second, repeated: each event with the next one of its key, over batches; the last one is kept as state.
+class Alternation(StatefulProcessor):
+    """Per key: events that the watermark has not passed wait in a list; a timer sorts those that it has passed and pairs each with the one before.
 
-    Events of a key must arrive in order from batch to batch; within a batch they are sorted by time and ``tie``.
+    The last event paired is kept until the watermark is ``idle`` microseconds beyond it, then nothing of the key is left.
     """
 
-    def pair(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["at", "tie"], kind="stable")
-        if state.exists:
-            last_at, last_label = state.get
-            rows = pd.concat([pd.DataFrame({"at": [pd.Timestamp(last_at, unit="us")], "label": [last_label]}), rows[["at", "label"]]])
-        at_, labels = rows["at"].tolist(), rows["label"].tolist()
-        state.update((int(pd.Timestamp(at_[-1]).value // 1000), labels[-1]))
-        yield pd.DataFrame({"key": keys[0], "start": at_[:-1], "end": at_[1:], "first": labels[:-1], "second": labels[1:], "repeated": [a == b for a, b in zip(labels, labels[1:])]})
-
-    ready = event_time(events, at).select(F.col(key).cast("string").alias("key"), F.col(at).alias("at"), F.col(label).alias("label"), F.col(tie).alias("tie"))
-    return ready.groupBy("key").applyInPandasWithState(pair, ALTERNATION, "at long, label string", "append", GroupStateTimeout.NoTimeout)
+    def __init__(self, idle: int | None):
+        self.idle = idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "at long, tie long, label string")
+        self.last = handle.getValueState("last", "at long, label string")
+
+    def timer(self, at: int) -> None:
+        self.handle.registerTimer(-(-at // 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for part in rows:
+            part = part[part["label"].notna()]  # here, as a filter would move below the watermark
+            if not len(part):
+                continue
+            self.waiting.appendList(list(zip(part["at_us"].tolist(), part["tie"].tolist(), part["label"].tolist())))
+            first = int(part["at_us"].min())
+            earliest = first if earliest is None else min(first, earliest)
+        if earliest is not None:
+            self.timer(earliest)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(self.waiting.get())
+        ready, rest = [r for r in rows if r[0] <= passed], [r for r in rows if r[0] > passed]
+        before, out = (tuple(self.last.get()) if self.last.exists() else None), []
+        for at, _, label in ready:
+            if before and (self.idle is None or at - before[0] <= self.idle):
+                out.append((key[0], *pd.to_datetime([before[0], at], unit="us"), before[1], label, before[1] == label))
+            before = (at, label)
+        self.waiting.put(rest) if rest else self.waiting.clear()
+        if rest:
+            self.timer(rest[0][0])
+        if before and self.idle is not None and before[0] + self.idle <= passed:
+            self.last.clear()
+        elif before and ready:
+            self.last.update(before)
+            if self.idle is not None:
+                self.timer(before[0] + self.idle)
+        yield pd.DataFrame(out, columns=["key", "start", "end", "first", "second", "repeated"]) if out else pd.DataFrame()
+
+    def close(self) -> None:
+        pass
+
+
+def alternation(events: DataFrame, key: str, at: str, label: str, tie: str, delay: str = "1 hour", idle: str | None = None) -> DataFrame:
+    """key, start, end, first, second, repeated: each event with the next one of its key, by time and ``tie`` (a whole number).
+
+    Events may come in any order as long as they are not more than ``delay`` behind the latest; an event is paired when the
+    watermark has passed it, later ones are dropped. Events without a label are not paired, but move the watermark. Events more
+    than ``idle`` (an interval) apart are no pair, and state is kept no longer than that; without it the last event of a key stays.
+    The session's state store must be RocksDB (``ROCKS``).
+    """
+    span = int(pd.Timedelta(idle).value // 1000) if idle else None
+    ready = event_time(events, at).withWatermark(at, delay).filter(F.col(at).isNotNull())
+    ready = ready.select(F.col(key).cast("string").alias("key"), F.col(at).alias("at"), F.unix_micros(at).alias("at_us"), F.col(label).alias("label"), F.col(tie).cast("long").alias("tie"))
+    return ready.groupBy("key").transformWithStateInPandas(Alternation(span), ALTERNATION, "append", "eventtime")

@@ -1,4 +1,5 @@
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from crosslink.functions.values import band
@@ -31,7 +32,7 @@ def test_reviews_once(spark, sf_dir, tmp_path):
     twice = stream(spark, rows.unionByName(rows), str(tmp_path / "e"))
     out = str(tmp_path / "out")
     streams.append_reviews(twice, "ts", out, str(tmp_path / "ck"), "400 days").awaitTermination(120)
-    got = spark.read.parquet(out)
+    got = streams.read_reviews(spark, out)
     assert got.count() == got.select("record_id").distinct().count() == rows.count()
 
 
@@ -60,16 +61,70 @@ def test_sessions(spark, sf_dir, tmp_path):
     assert pick(got) == pick(want) and pick(want)
 
 
+def rocks(spark):
+    session = spark.newSession()
+    session.conf.set(*streams.ROCKS)
+    return session
+
+
+def pairs(df):
+    return sorted(map(tuple, df.select("key", "start", "end", "first", "second", "repeated").collect()))
+
+
 def test_alternation(spark, sf_dir, tmp_path):
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    path = str(tmp_path / "e")
-    for i, (low, high) in enumerate((("0001-01-01", "2024-01-10"), ("2024-01-10", "2024-02-01"), ("2024-02-01", "9999-01-01"))):
-        part = ev.filter((F.col("ts") >= low) & (F.col("ts") < high)).coalesce(1)
-        if not part.isEmpty():
-            part.write.mode("append").parquet(path)
+    """Events in any order over many small batches, then a tick that moves the watermark beyond all of them."""
+    spark = rocks(spark)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    path, ck = str(tmp_path / "e"), str(tmp_path / "ck")
+    ev.repartition(3, F.xxhash64("event_id")).write.parquet(path)
+    tick = ev.limit(1).withColumn("ts", F.to_timestamp(F.lit("2100-01-01"))).withColumn("event_type", F.lit(None).cast("string"))
+    tick.coalesce(1).write.mode("append").parquet(path)
     reader = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = drain(spark, streams.alternation(reader, "user_id", "ts", "event_type", "event_id"), "k5")
-    want = windows.intervals(streams.event_time(ev), ["user_id"], "ts", "event_type", ["event_id"]).select(F.col("user_id").cast("string"), "start", "end", "first", "second")
-    rows = lambda df: sorted(map(tuple, df.collect()))
-    assert rows(got.select("key", "start", "end", "first", "second")) == rows(want)
-    assert got.filter("repeated <> (first = second)").isEmpty()
+    out = streams.alternation(reader, "user_id", "ts", "event_type", "event_id", "4000 days", "20 days")
+    query = out.writeStream.format("memory").queryName("k5").option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination(200)
+    want = windows.intervals(streams.event_time(ev), ["user_id"], "ts", "event_type", ["event_id"]).filter("end - start <= interval 20 days")
+    want = want.select(F.col("user_id").cast("string").alias("key"), "start", "end", "first", "second", (F.col("first") == F.col("second")).alias("repeated"))
+    assert pairs(spark.table("k5")) == pairs(want) and want.count() > 0
+    progress = [p for p in query.recentProgress if p.stateOperators]
+    assert len([p for p in progress if p.numInputRows]) == 4  # state crosses batches
+    assert progress[-1].stateOperators[0].numRowsTotal == 0  # and nothing of it stays
+
+
+def test_late_and_waiting_events(spark, tmp_path):
+    spark = rocks(spark)
+    path, schema = str(tmp_path / "e"), "user long, ts timestamp, label string, n long"
+    files = [[(1, "2024-01-01 10:00:00", "a", 1), (1, "2024-01-01 08:00:00", "b", 2)], [(1, "2024-01-01 09:30:00", "c", 3), (2, "2024-01-01 14:00:00", "x", 4)], [(1, "2024-01-01 07:00:00", "too late", 5), (1, "2024-01-01 13:30:00", "d", 6), (1, "2024-01-01 13:30:00", "e", 7)]]
+    for rows in files:
+        spark.createDataFrame(rows, "user long, ts string, label string, n long").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = streams.alternation(reader, "user", "ts", "label", "n", "1 hour")
+    out.writeStream.format("memory").queryName("k5late").outputMode("append").trigger(availableNow=True).start().awaitTermination(200)
+    got = [(r.start.hour, r.end.hour, r.first, r.second) for r in spark.table("k5late").orderBy("start").collect()]
+    assert got == [(8, 9, "b", "c"), (9, 10, "c", "a")]  # d and e wait for the watermark
+
+
+def test_committed_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = lambda *ids: spark.createDataFrame([(i, f"{i}") for i in ids], "record_id long, text string")
+    with pytest.raises(FileNotFoundError):
+        streams.read_reviews(spark, path)
+    assert streams.commit_batch(batch(1, 2, 2), 0, path) == 2
+    batch(7, 8).write.parquet(f"{path}/batch=1")  # a batch that failed before its commit
+    ids = lambda: sorted(r.record_id for r in streams.read_reviews(spark, path).collect())
+    assert ids() == [1, 2]
+    assert streams.commit_batch(batch(2, 3), 1, path) == 1 and ids() == [1, 2, 3]
+    assert streams.commit_batch(batch(2, 3, 9), 1, path) == 1 and ids() == [1, 2, 3]
+    assert streams.commit_batch(batch(1, 2, 3), 2, path) == 0 and ids() == [1, 2, 3]
+    assert {(r.batch, r.rows) for r in streams.committed_batches(spark, path).collect()} == {(0, 2), (1, 1), (2, 0)}
+
+
+def test_repeats_beyond_the_watermark(spark, tmp_path):
+    path, out = str(tmp_path / "e"), str(tmp_path / "out")
+    for rows in ([(1, "2024-01-01"), (2, "2024-01-02")], [(3, "2024-03-01")], [(1, "2024-03-02"), (4, "2024-03-02")]):
+        spark.createDataFrame(rows, "record_id long, day string").select("record_id", F.col("day").cast("timestamp").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema("record_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    for _ in range(2):  # the second run finds nothing new
+        streams.append_reviews(reader, "ts", out, str(tmp_path / "ck"), "1 day").awaitTermination(120)
+        rows = streams.read_reviews(spark, out).collect()
+        assert sorted((r.record_id, r.ts.month) for r in rows) == [(1, 1), (2, 1), (3, 3), (4, 3)]

@@ -8,23 +8,51 @@ from pyspark.sql import functions as F
 from crosslink.scratch import remove, write, written
 
 
+def _pairs(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node is not null and ancestor is not null").distinct()
+
+
+def _found(every: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(all pairs, those of them that weren't in ``every`` or are in ``new``): each round joins just what the last one found with all pairs."""
+    added = new
+    while not new.isEmpty():
+        up = new.alias("a").join(every.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
+        down = every.alias("a").join(new.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
+        new = written(up.unionByName(down).distinct().join(every, ["node", "ancestor"], "left_anti"), "round")
+        every, added = every.unionByName(new), added.unionByName(new)
+    return every, added
+
+
 def ancestor_closure(edges: DataFrame, reflexive: bool = True) -> DataFrame:
     """node, ancestor over edges (child, parent), safe with cycles.
 
     Each round joins just the pairs that the last one found with all pairs found so far, so paths double and about log(depth) rounds
     do, and no pair is derived from the same two again. New pairs are a table of their own each round; nothing is rewritten.
     """
-    edges = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node is not null and ancestor is not null").distinct()
-    new = every = written(edges, "round")
-    while not new.isEmpty():
-        up = new.alias("a").join(every.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
-        down = every.alias("a").join(new.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
-        new = written(up.unionByName(down).distinct().join(every, ["node", "ancestor"], "left_anti"), "round")
-        every = every.unionByName(new)
+    edges = _pairs(edges)
+    first = written(edges, "round")
+    every, _ = _found(first, first)
     nodes = edges.select("node").unionByName(edges.select(F.col("ancestor").alias("node"))).distinct()
     return every.unionByName(nodes.select("node", F.col("node").alias("ancestor"))).distinct() if reflexive else every
 
 
+def closure_delta(closure: DataFrame, edges: DataFrame, reflexive: bool = True) -> DataFrame:
+    """node, ancestor: the pairs that new edges (child, parent) add to a stored closure (node, ancestor); with it they are the closure of all edges.
+
+    A round joins new pairs with all pairs; stored pairs never meet each other, so the work follows what is added. ``closure`` may
+    hold the pairs of nodes with themselves; with ``reflexive`` nodes that it hasn't get theirs. It is read once a round, so it
+    should be a written table.
+    """
+    edges, stored = _pairs(edges), closure.select("node", "ancestor")
+    first = written(edges.join(stored, ["node", "ancestor"], "left_anti"), "round")
+    _, added = _found(stored.unionByName(first), first)
+    if not reflexive:
+        return added
+    nodes = edges.select("node").unionByName(edges.select(F.col("ancestor").alias("node"))).distinct()
+    own = nodes.select("node", F.col("node").alias("ancestor")).join(stored, ["node", "ancestor"], "left_anti")
+    return added.unionByName(own).distinct()
+
+
 def shortest_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """start, target, length, n_paths, path: the shortest simple paths upwards, of any length; path only if it is the only one.
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from crosslink.operators import catalog, graph, match
 from crosslink.plans.base import query
+from crosslink.scratch import written
 
 EDGES = """edges AS (SELECT 'c' || c_custkey AS child, 'n' || c_nationkey AS parent FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
 cyclic AS (SELECT 'p' || p_partkey AS child, 'p' || (p_partkey - p_partkey % 7 + (p_partkey % 7 + 1) % 7) AS parent FROM part)"""
@@ -31,6 +32,15 @@ def ancestor_closure(t):
     return graph.ancestor_closure(edges(t).unionByName(cyclic(t)))
 
 
+@query(f"{CLOSURE} SELECT * FROM closure")
+def closure_delta(t):
+    """The closure of two thirds of the customers' edges and the parts', stored, then kept up to date as the nations' and the other customers' edges come."""
+    late = (F.substring("child", 1, 1) == "n") | (F.length("child") % 3 == 0)
+    every = edges(t).unionByName(cyclic(t))
+    stored = written(graph.ancestor_closure(every.filter(~late)), "closure")
+    return stored.unionByName(graph.closure_delta(stored, every.filter(late)))
+
+
 @query(f"""{CLOSURE}, seeds AS (SELECT 'c' || c_custkey AS id FROM customer UNION ALL SELECT child FROM cyclic UNION ALL SELECT 'lonely')
 SELECT DISTINCT id, id NOT IN (SELECT node FROM closure) OR id IN (SELECT node FROM closure WHERE ancestor NOT IN (SELECT child FROM every)) AS reached FROM seeds""")
 def reaches_root(t):
@@ -155,26 +165,57 @@ def filter_disposition(t):
     return _slice(t)["counts"]
 
 
-def _slice(t):
+def _typed_slice(t):
+    """Relations of parts that require customers as types, below nations and regions; an ancestor owns the nations of even keys and what is above them."""
+    k, n = F.col("p_partkey"), F.col("n_nationkey")
+    rel, mods, owned = _slice_inputs(t)
+    cons = t.part.join(rel, F.concat(F.lit("rel"), k.cast("string")) == F.regexp_replace("relation", "Fn$", "")).select("relation", F.lit(1).alias("position"), F.concat(F.lit("sumo:c"), (k % 1000).cast("string")).alias("required_type"), "module")
+    hierarchy = edges(t).select(*[F.concat(F.lit("sumo:"), c).alias(c) for c in ("child", "parent")])
+    nations = t.nation.filter(n % 2 == 0)
+    types = nations.select(F.concat(F.lit("lc:sumo_type.n"), n.cast("string")).alias("type_id")).unionByName(t.nation.select(F.concat(F.lit("lc:sumo_type.r"), F.col("n_regionkey").cast("string")).alias("type_id")).distinct())
+    owned = owned | {"types": types, "edges": nations.select(F.concat(F.lit("lc:sumo_type.n"), n.cast("string")).alias("child_id"), F.concat(F.lit("lc:sumo_type.r"), F.col("n_regionkey").cast("string")).alias("parent_id"))}
+    return catalog.compile_additive_slice(rel, cons, mods, owned, hierarchy)
+
+
+TYPED = """need AS (SELECT DISTINCT p_partkey % 1000 AS c FROM part WHERE p_brand < 'Brand#3' AND p_partkey % 10 <> 0 AND p_partkey % 6 <> 0 AND p_size % 5 >= 1), cu AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey IN (SELECT c FROM need)), na AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM cu))"""
+
+
+@query(f"""WITH {TYPED} SELECT 'subtype_of' AS edge_type, 'lc:sumo_type.c' || c_custkey AS child_id, 'lc:sumo_type.n' || c_nationkey AS parent_id FROM cu
+UNION SELECT 'subtype_of', 'lc:sumo_type.n' || n_nationkey, 'lc:sumo_type.r' || n_regionkey FROM na WHERE n_nationkey % 2 <> 0""")
+def additive_slice_hierarchy(t):
+    return _typed_slice(t)["hierarchy_edges"]
+
+
+@query(f"""WITH {TYPED} SELECT 'lc:sumo_type.c' || c AS type_id, 'c' || c AS preferred_label FROM need UNION SELECT 'lc:sumo_type.n' || n_nationkey, 'n' || n_nationkey FROM na WHERE n_nationkey % 2 <> 0""")
+def additive_slice_types(t):
+    return _typed_slice(t)["entity_types"]
+
+
+def _slice_inputs(t):
     k = F.col("p_partkey")
     rel = t.part.select(F.concat(F.lit("rel"), k.cast("string"), F.when(k % 10 == 0, "Fn").otherwise("")).alias("relation"), (F.col("p_size") % 5).alias("arity"), F.col("p_brand").alias("module"))
     mods = t.part.select(F.col("p_brand").alias("module"), F.when(F.col("p_brand") < "Brand#3", "approved").otherwise("rejected").alias("disposition")).distinct().filter("module < 'Brand#5'")
-    cons = rel.select("relation", F.lit(1).alias("position"), F.lit("sumo:Entity").alias("required_type"), "module")
     owned = t.part.filter("p_partkey % 6 = 0").select(F.concat(F.lit("lc:rel"), k.cast("string")).alias("predicate_id"))
     none = owned.filter("false")
-    return catalog.compile_additive_slice(rel, cons, mods, {"predicates": owned, "roles": none.select(F.col("predicate_id").alias("role_id")), "types": none.select(F.col("predicate_id").alias("type_id"))})
+    return rel, mods, {"predicates": owned, "roles": none.select(F.col("predicate_id").alias("role_id")), "types": none.select(F.col("predicate_id").alias("type_id"))}
+
+
+def _slice(t):
+    rel, mods, owned = _slice_inputs(t)
+    cons = rel.select("relation", F.lit(1).alias("position"), F.lit("sumo:Entity").alias("required_type"), "module")
+    return catalog.compile_additive_slice(rel, cons, mods, owned)
 
 
 PROVENANCE = """p AS (SELECT c_name AS n, 'lc:' || c_name AS id, CASE WHEN c_custkey % 2 = 0 THEN 's.' || c_custkey END AS sense, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) END AS fr, CASE WHEN c_custkey % 10 = 0 THEN 'm' END AS m, CASE WHEN c_custkey % 15 = 0 THEN 0.5 END AS q, c_custkey FROM customer),
-s AS (SELECT DISTINCT n, id, sense, 'L' || (o_orderkey % 3) AS label, 'ARG' || (o_orderkey % 3) AS arg, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS type FROM orders JOIN p ON o_custkey = c_custkey)"""
+s AS (SELECT DISTINCT n, id, sense, 'L' || (o_orderkey % 3) AS label, 'ARG' || (o_orderkey % 3) AS arg, 'made by ' || o_orderstatus AS origin, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS type FROM orders JOIN p ON o_custkey = c_custkey)"""
 
 
-@query(f"""WITH {PROVENANCE}, r AS (SELECT DISTINCT n, id, sense, id || ':lc.role.' || lower(label) AS role, arg, 'role_slots[name=' || n || ',arg=' || arg || ']' AS ev FROM s)
-SELECT id AS canonical_id, 'predicate_type' AS canonical_kind, 'donor' AS source_key, n AS source_id, 'derived_from' AS relation, 'direct_identifier' AS derivation_method, CAST(NULL AS VARCHAR) AS method_ref, CAST(NULL AS VARCHAR) AS method_scope, CAST(NULL AS DOUBLE) AS confidence, 'predicates[name=' || n || '].name' AS evidence_ref FROM p
-UNION ALL SELECT id, 'predicate_type', 'propbank', sense, 'derived_from', 'direct_identifier', NULL, NULL, NULL, 'predicates[name=' || n || '].sense_id' FROM p WHERE sense IS NOT NULL
-UNION ALL SELECT id, 'predicate_type', 'framenet_candidate', fr, 'candidate_alignment', 'donor_asserted', m, CASE WHEN m IS NOT NULL THEN 'unknown' END, q, 'predicates[name=' || n || ']{{frame_id,mapping_confidence,mapping_source}}' FROM p WHERE fr IS NOT NULL
-UNION ALL SELECT role, 'role_slot', 'donor', n || ':' || arg, 'positional_role', 'direct_identifier', NULL, NULL, NULL, ev FROM r UNION ALL SELECT role, 'role_slot', 'propbank', sense || ':' || arg, 'positional_role', 'donor_asserted', NULL, NULL, NULL, ev FROM r WHERE sense IS NOT NULL
-UNION ALL SELECT 'lc:sumo_type.' || lower(type), 'entity_type', 'sumo_types', type, 'typed_by', 'donor_asserted', NULL, NULL, NULL, 'role_slots[name=' || n || ',arg=' || min(arg) || '].type_constraint' FROM s WHERE type IS NOT NULL GROUP BY n, type""")
+@query(f"""WITH {PROVENANCE}, r AS (SELECT DISTINCT n, id, sense, origin, id || ':lc.role.' || lower(label) AS role, arg, 'role_slots[name=' || n || ',arg=' || arg || ']' AS ev FROM s)
+SELECT id AS canonical_id, 'predicate_type' AS canonical_kind, 'donor' AS source_key, n AS source_id, 'derived_from' AS relation, 'direct_identifier' AS derivation_method, '{catalog.BASES["predicate"]}' AS confidence_basis, CAST(NULL AS VARCHAR) AS method_ref, CAST(NULL AS VARCHAR) AS method_scope, CAST(NULL AS DOUBLE) AS confidence, 'predicates[name=' || n || '].name' AS evidence_ref FROM p
+UNION ALL SELECT id, 'predicate_type', 'propbank', sense, 'derived_from', 'direct_identifier', '{catalog.BASES["sense"]}', NULL, NULL, NULL, 'predicates[name=' || n || '].sense_id' FROM p WHERE sense IS NOT NULL
+UNION ALL SELECT id, 'predicate_type', 'framenet_candidate', fr, 'candidate_alignment', 'donor_asserted', '{catalog.BASES["frame"]}', m, CASE WHEN m IS NOT NULL THEN 'unknown' END, q, 'predicates[name=' || n || ']{{frame_id,mapping_confidence,mapping_source}}' FROM p WHERE fr IS NOT NULL
+UNION ALL SELECT DISTINCT role, 'role_slot', 'donor', n || ':' || arg, 'positional_role', 'direct_identifier', '{catalog.BASES["slot"]}', NULL, NULL, NULL, ev FROM r UNION ALL SELECT role, 'role_slot', 'propbank', sense || ':' || arg, 'positional_role', 'donor_asserted', replace('{catalog.BASES["sense_slot"]}', '{{}}', origin), NULL, NULL, NULL, ev FROM r WHERE sense IS NOT NULL
+UNION ALL SELECT 'lc:sumo_type.' || lower(type), 'entity_type', 'sumo_types', type, 'typed_by', 'donor_asserted', '{catalog.BASES["type"]}', NULL, NULL, NULL, 'role_slots[name=' || n || ',arg=' || min(arg) || '].type_constraint' FROM s WHERE type IS NOT NULL GROUP BY n, type""")
 def emit_provenance(t):
     k, o = F.col("c_custkey"), F.col("o_orderkey")
     p = t.customer.select(
@@ -186,5 +227,5 @@ def emit_provenance(t):
     )
     m = (o % 3).cast("string")
     joined = t.orders.join(t.customer, F.col("o_custkey") == k)
-    s = joined.select(F.col("c_name").alias("name"), F.concat(F.lit("L"), m).alias("label"), F.concat(F.lit("ARG"), m).alias("arg"), F.when(o % 7 > 0, F.col("o_orderpriority")).alias("type"))
+    s = joined.select(F.col("c_name").alias("name"), F.concat(F.lit("L"), m).alias("label"), F.concat(F.lit("ARG"), m).alias("arg"), F.concat(F.lit("made by "), "o_orderstatus").alias("source"), F.when(o % 7 > 0, F.col("o_orderpriority")).alias("type"))
     return catalog.emit_provenance(p, s)

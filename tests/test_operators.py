@@ -279,3 +279,35 @@ def test_long_paths_are_followed(spark):
     assert [(r.length, r.n_paths, len(r.path)) for r in got] == [(n, 1, n + 1)]
     assert graph.shortest_paths(edges, pairs.filter("false")).count() == 0
     assert graph.ancestor_closure(edges, reflexive=False).count() == n * (n + 1) // 2
+
+
+def test_closure_delta_is_the_full_closure(spark):
+    import random
+
+    rnd = random.Random(4)
+    frame = lambda pairs: spark.createDataFrame(pairs, "child int, parent int")
+    for n, m in ((6, 8), (25, 40)):
+        every = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(m)]  # with cycles, loops and repeats
+        old, new = every[: m // 2], every[m // 2 :]
+        for reflexive in (True, False):
+            stored = graph.ancestor_closure(frame(old), reflexive)
+            added = rows(graph.closure_delta(stored, frame(new), reflexive))
+            assert rows(stored) | added == rows(graph.ancestor_closure(frame(every), reflexive)) and not rows(stored) & added
+    stored = graph.ancestor_closure(frame(old))
+    assert graph.closure_delta(stored, frame(old)).isEmpty() and graph.closure_delta(stored, frame(old).filter("false")).isEmpty()
+    assert rows(graph.closure_delta(stored.filter("false"), frame(every))) == rows(graph.ancestor_closure(frame(every)))
+
+
+def test_slice_takes_what_no_ancestor_owns(spark):
+    frame = spark.createDataFrame
+    rel = frame([("likes", 2, "m"), ("owns", 1, "m")], "relation string, arity int, module string")
+    cons = frame([("likes", 1, "Human", "m"), ("likes", 2, "Object", "m"), ("owns", 1, "Robot", "m")], "relation string, position int, required_type string, module string")
+    hierarchy = frame([("Human", "Agent"), ("Agent", "Object"), ("Object", "Entity"), ("Robot", "Agent"), ("Rock", "Object"), ("Human", "Agent")], "child string, parent string")
+    id_ = lambda x: f"lc:sumo_type.{x.lower()}"
+    owned = {"predicates": frame([("lc:owns",)], "predicate_id string"), "roles": frame([], "role_id string"), "types": frame([(id_("Object"),), (id_("Entity"),)], "type_id string"), "edges": frame([(id_("Object"), id_("Entity"))], "child_id string, parent_id string")}
+    got = catalog.compile_additive_slice(rel, cons, frame([("m", "approved")], "module string, disposition string"), owned, hierarchy)
+    assert rows(got["hierarchy_edges"]) == {("subtype_of", id_("Human"), id_("Agent")), ("subtype_of", id_("Agent"), id_("Object"))}
+    assert rows(got["entity_types"]) == {(id_("Human"), "Human"), (id_("Agent"), "Agent")}  # not Robot, whose relation an ancestor owns
+    stored = graph.ancestor_closure(hierarchy)
+    again = catalog.compile_additive_slice(rel, cons, frame([("m", "approved")], "module string, disposition string"), owned, hierarchy, stored)
+    assert rows(again["hierarchy_edges"]) == rows(got["hierarchy_edges"])

@@ -43,7 +43,7 @@ def in_ranges(t):
     return spark
 
 
-def folder(path="path"):
+def folder_of(path="path"):
     """The folder's number in a path."""
     return F.regexp_extract(path, "folder=([0-9]+)", 1).cast("long").alias("folder")
 
@@ -98,7 +98,7 @@ def bad_json_lines(t):
     """Files of a thousand lines, read in ranges; the numbers of the broken lines."""
     line = F.when(F.col("c_custkey") % 10 == 0, "{broken").otherwise(F.to_json(F.struct("c_custkey")))
     path = filed(t, t.customer.select(F.floor(F.col("c_custkey") / 1000).alias("folder"), F.col("c_custkey").alias("ord"), line.alias("value")), "json")
-    return files.bad_json_lines(in_ranges(t), path, "c_custkey long").select(folder(), "line")
+    return files.bad_json_lines(in_ranges(t), path, "c_custkey long").select(folder_of(), "line")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders")
@@ -111,7 +111,7 @@ def scan_samples(t):
     """Files of two thousand events, read in ranges, with a blank line before every seventh."""
     line = F.concat_ws("  ", F.col("event_id").cast("string"), F.round("value", 2).cast("string"), F.col("user_id").cast("string"))
     rows = t.events.select(F.floor(F.col("event_id") / 2000).alias("folder"), F.col("event_id").alias("ord"), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit(" \n"), line)).otherwise(line).alias("value"))
-    return files.scan_samples(in_ranges(t), filed(t, rows, "samples"), ["id", "value", "user"], "*.txt").select(folder(), "sample_index", "id", "value", "user")
+    return files.scan_samples(in_ranges(t), filed(t, rows, "samples"), ["id", "value", "user"], "*.txt").select(folder_of(), "sample_index", "id", "value", "user")
 
 
 @query("""SELECT 3 * (vec_id // 300) + vec_id % 3 AS folder, row_number() OVER (PARTITION BY vec_id // 300, vec_id % 3 ORDER BY vec_id) - 1 AS line, round(v[1] + v[2] + v[3], 6) AS total, round(v[1] + v[3], 6) AS without_second
@@ -126,7 +126,7 @@ def scan_channels(t):
     lines = t.embeddings.select(number, k.alias("ord"), chosen([F.concat_ws(",", *map(cell, o)) for o in orders]).alias("value"))
     heads = t.embeddings.select(number, F.lit(-1).cast("long").alias("ord"), chosen([F.lit(",".join(f"L{i}" if i else "id" for i in o)) for o in orders]).alias("value")).distinct()
     spark, path = in_ranges(t), filed(t, lines.unionByName(heads), "channels")
-    total = lambda name, **how: files.scan_channels(spark, path, r"L([0-9]+)", range(1, 4), **how).select(folder(), "line", F.round("total", 6).alias(name))
+    total = lambda name, **how: files.scan_channels(spark, path, r"L([0-9]+)", range(1, 4), **how).select(folder_of(), "line", F.round("total", 6).alias(name))
     return total("total").join(total("without_second", drop=2), ["folder", "line"])
 
 
@@ -177,6 +177,34 @@ def scan_rolesets(t):
     return lexical.scan_rolesets(t.spark, xml_files(t), "*.txt").select("roleset_id", "name", "lemma")
 
 
+#: Of files of a hundred parts every seventh lacks a quote, every third of these has a repair, every fifth of these is bound to another file.
+ROLESET_FILES = """f AS (SELECT p_partkey // 20 AS folder, count(*) AS n FROM part GROUP BY 1),
+o AS (SELECT folder, n, CASE WHEN folder % 7 = 0 THEN CASE WHEN folder % 3 > 0 THEN 'invalid_xml' WHEN folder % 5 = 0 THEN 'wrong_file' ELSE 'repaired' END WHEN folder % 11 = 0 THEN 'not_needed' ELSE 'parsed' END AS outcome FROM f)"""
+
+
+def repaired_files(t):
+    k = F.col("p_partkey")
+    folder = F.floor(k / 20).alias("folder")
+    one = F.concat(F.lit('<roleset id="p'), k.cast("string"), F.lit('.01" name="'), "p_type", F.lit('"/>'))
+    whole = t.part.groupBy(folder).agg(joined(one).alias("all"))
+    head = lambda broken: F.concat(F.lit('<frameset><predicate lemma="x"><note src='), F.lit("A & B" if broken else '"A &amp; B"'), F.lit("/>"))
+    text = F.concat(F.when(F.col("folder") % 7 == 0, head(True)).otherwise(head(False)), "all", F.lit("</predicate></frameset>"))
+    path = documents(t, whole.select(text.alias("value"), "folder"), "rolesets")
+    names = files.whole_texts(t.spark, path, "*.txt").select(F.col("path").alias("relative_path"), "text", folder_of("path"))
+    declared = names.filter("(folder % 7 = 0 and folder % 3 = 0) or (folder % 7 > 0 and folder % 11 = 0)")
+    sha = F.when((F.col("folder") % 5 == 0) & (F.col("folder") % 7 == 0), F.lit("0")).otherwise(F.sha2("text", 256))
+    repairs = declared.select(F.col("folder").cast("string").alias("repair_id"), "relative_path", sha.alias("source_file_sha256"), F.lit("src=A & B/>").alias("old_fragment"), F.lit('src="A &amp; B"/>').alias("replacement_fragment"))
+    return lexical.project_rolesets(t.spark, path, "*.txt", repairs)
+
+
+@query(f"WITH {ROLESET_FILES} SELECT folder, outcome, CASE WHEN outcome IN ('invalid_xml', 'wrong_file') THEN 0 ELSE n END AS rolesets, outcome = 'repaired' AS changed FROM o")
+def roleset_repairs(t):
+    """Every file with what came of it and its repair, and how many rolesets it gave."""
+    tables = repaired_files(t)
+    n = tables["rolesets"].groupBy("path").agg(F.count("roleset_id").alias("n"))
+    return tables["files"].join(n, "path", "left").select(folder_of("path"), "outcome", F.coalesce("n", F.lit(0).cast("long")).alias("rolesets"), F.coalesce(F.col("repaired_sha256") != F.col("original_sha256"), F.lit(False)).alias("changed"))
+
+
 @query("SELECT 'p' || p_partkey || '.01' AS id, CAST(unnest(range(1, p_size % 4 + 1)) AS VARCHAR) AS number FROM part")
 def roleset_arguments(t):
     return lexical.roleset_arguments(lexical.scan_rolesets(t.spark, xml_files(t), "*.txt")).select("id", F.col("number").cast("string").alias("number"))
@@ -202,7 +230,7 @@ def scan_axioms(t):
     line = F.concat(F.when(k % 2 == 0, "(subclass S").otherwise('(other "( a ""string S'), k.cast("string"), F.when(k % 2 == 0, "\n  N").otherwise('\n ((" N'), F.col("c_nationkey").cast("string"), F.lit(') ; a (comment "'))
     path = filed(t, t.customer.select(F.floor(k / 700).alias("folder"), k.alias("ord"), line.alias("value")), "axioms")
     formulas = lexical.scan_axioms(in_ranges(t), path, "*.txt").filter("head = 'subclass' and size(parts) = 2")
-    return formulas.withColumnRenamed("module", "path").select(folder(), "formula_index", "start_line", F.col("parts")[0].alias("child"), F.col("parts")[1].alias("parent"))
+    return formulas.withColumnRenamed("module", "path").select(folder_of(), "formula_index", "start_line", F.col("parts")[0].alias("child"), F.col("parts")[1].alias("parent"))
 
 
 FRAMES = """fr AS (SELECT n_nationkey AS frame_id, n_name AS name FROM nation), fe AS (SELECT c_custkey AS fe_id, c_nationkey AS frame_id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'Peripheral' ELSE 'Core' END AS core_type, c_custkey % 4 = 0 AS typed FROM customer)"""

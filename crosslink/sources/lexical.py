@@ -8,23 +8,62 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crosslink.functions.texts import occurrences, repaired
+from crosslink.scratch import written
 from crosslink.sources.files import whole_texts
 from crosslink.sources.lines import formulas, fragments_of, relative
 
 _LINK = "struct<_resource:string,_version:string,_class:string,_VALUE:string>"
-ROLESETS = f"""_lemma string, roleset array<struct<_id:string,_name:string,
+ROLESETS = f"""array<struct<_id:string,_name:string,
   aliases:struct<alias:array<struct<_pos:string,_VALUE:string>>>,
   roles:struct<role:array<struct<_n:string,_f:string,_descr:string,rolelinks:struct<rolelink:array<{_LINK}>>>>>,
   lexlinks:struct<lexlink:array<struct<_resource:string,_version:string,_class:string,_confidence:string>>>,
   example:array<struct<_name:string,_src:string,text:string>>>>"""
+REPAIRS = "repair_id string, relative_path string, source_file_sha256 string, old_fragment string, replacement_fragment string"
 
 
-def scan_rolesets(spark: SparkSession, root: str, pattern: str = "*.xml") -> DataFrame:
-    """path, lemma, roleset_id, name, aliases, arguments, links, examples; one row for each roleset. Files that don't parse give none."""
-    df = spark.read.format("xml").option("rowTag", "predicate").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("mode", "DROPMALFORMED").schema(ROLESETS).load(root)
-    rows = df.select(relative(F.col("_metadata.file_path"), root).alias("path"), F.col("_lemma").alias("lemma"), F.explode("roleset").alias("r"))
+def project_rolesets(spark: SparkSession, root: str, pattern: str = "*.xml", repairs: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Roleset files, repaired where a repair is declared for them, then parsed; all tables come from one read.
+
+    repairs: repair_id, relative_path, source_file_sha256, old_fragment, replacement_fragment. rolesets: path, lemma, roleset_id,
+    name, aliases, arguments, links, examples. files: a row for each file with path, outcome, repair_id, original_sha256,
+    repaired_sha256; outcome is parsed, repaired, invalid_xml, or why its repair can't be: several_repairs, wrong_file (another
+    SHA-256), not_needed (the file parses as it is), fragment (it doesn't stand exactly once), still_invalid. issues: path, issue of
+    all that are neither parsed nor repaired; unused: repairs (repair_id) of no file. A file with a repair that isn't needed still
+    gives its rolesets; other files with an issue give none. Files are documents of one root and are read whole.
+    """
+    repairs = spark.createDataFrame([], REPAIRS) if repairs is None else repairs
+    declared = repairs.groupBy(F.col("relative_path").alias("path")).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("repair_id", "source_file_sha256", "old_fragment", "replacement_fragment")])
+    parse = lambda text: F.from_xml(text, f"predicate array<struct<_lemma:string,roleset:{ROLESETS}>>, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    fine = lambda c: F.col(c).isNotNull() & F.col(f"{c}.__bad").isNull()
+    texts = whole_texts(spark, root, pattern).join(declared, "path", "left").withColumns({"first": parse(F.col("text")), "sha": F.sha2("text", 256)})
+    once = F.coalesce(occurrences(F.col("text"), F.col("old_fragment")) == 1, F.lit(False))
+    why = F.when(F.col("n") > 1, "several_repairs").when(F.col("sha") != F.col("source_file_sha256"), "wrong_file").when(fine("first"), "not_needed").when(~once, "fragment")
+    texts = texts.withColumn("why", F.when(F.col("n").isNotNull(), why)).withColumn("fixed", F.when(F.col("n").isNotNull() & F.col("why").isNull(), repaired(F.col("text"), F.col("old_fragment"), F.col("replacement_fragment"))))
+    texts = texts.withColumn("second", F.when(F.col("fixed").isNotNull(), parse(F.col("fixed"))))
+    outcome = F.coalesce("why", F.when(F.col("fixed").isNotNull(), F.when(fine("second"), "repaired").otherwise("still_invalid")), F.when(fine("first"), "parsed").otherwise("invalid_xml"))
+    kept = F.when(fine("second"), F.col("second.predicate")).when(F.col("fixed").isNull() & fine("first"), F.col("first.predicate"))
+    sha = F.when(F.col("fixed").isNotNull(), F.sha2("fixed", 256))
+    found = written(texts.select("path", outcome.alias("outcome"), "repair_id", F.col("sha").alias("original_sha256"), sha.alias("repaired_sha256"), kept.alias("predicates")), "rolesets")
+    rows = found.select("path", F.explode("predicates").alias("p")).select("path", F.col("p._lemma").alias("lemma"), F.explode("p.roleset").alias("r"))
     role = lambda x: F.struct(x["_n"].alias("number"), x["_f"].alias("function_tag"), x["_descr"].alias("description"), x["rolelinks"]["rolelink"].alias("role_links"))
-    return rows.select("path", "lemma", F.col("r._id").alias("roleset_id"), F.col("r._name").alias("name"), F.col("r.aliases.alias").alias("aliases"), F.transform("r.roles.role", role).alias("arguments"), F.col("r.lexlinks.lexlink").alias("links"), F.col("r.example").alias("examples"))
+    rolesets = rows.select("path", "lemma", F.col("r._id").alias("roleset_id"), F.col("r._name").alias("name"), F.col("r.aliases.alias").alias("aliases"), F.transform("r.roles.role", role).alias("arguments"), F.col("r.lexlinks.lexlink").alias("links"), F.col("r.example").alias("examples"))
+    files = found.drop("predicates")
+    unused = repairs.join(files.select(F.col("path").alias("relative_path")), "relative_path", "left_anti").select("repair_id")
+    return {"rolesets": rolesets, "files": files, "issues": files.filter("outcome not in ('parsed', 'repaired')").select("path", F.col("outcome").alias("issue")), "unused": unused}
+
+
+def rolesets_or_fail(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of ``project_rolesets``, if every file is parsed or repaired and every repair has its file; else raises with the first issues."""
+    bad = [tuple(r) for r in tables["issues"].orderBy("path").limit(5).collect()] + [(r.repair_id, "unused_repair") for r in tables["unused"].limit(5).collect()]
+    if bad:
+        raise ValueError(f"roleset files with issues: {bad}")
+    return tables
+
+
+def scan_rolesets(spark: SparkSession, root: str, pattern: str = "*.xml") -> DataFrame:
+    """path, lemma, roleset_id, name, aliases, arguments, links, examples; one row for each roleset. ``project_rolesets`` also has the files that don't parse."""
+    return project_rolesets(spark, root, pattern)["rolesets"]
 
 
 def roleset_arguments(rolesets: DataFrame) -> DataFrame:

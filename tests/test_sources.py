@@ -83,6 +83,27 @@ def test_rolesets(spark, tmp_path):
     assert [tuple(r) for r in issues.collect()] == [("bad.xml", "malformed_xml")]
 
 
+def test_repaired_rolesets(spark, tmp_path):
+    """As the reference's two repairs: a closing tag of another element, an attribute without quotes."""
+    file = lambda inner: f'<frameset><predicate lemma="l"><roleset id="{{}}.01" name="n"><example name="e" src="s"><text>t</text>{inner}</example></roleset></predicate></frameset>'
+    tag, quote, amp = file('<arg n="1">in</rel>').format("tag"), file("").replace('src="s"', "src=a b").format("quote"), file("").replace("<text>t", "<text>a & b").format("amp")
+    texts = {"good__xml": file("").format("good"), "tag__xml": tag, "quote__xml": quote, "amp__xml": amp, "other__xml": amp, "twice__xml": amp, "none__xml": amp, "still__xml": amp, "fine__xml": file("").format("fine"), "cut__xml": PB[:60]}
+    root = put(tmp_path, **texts)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    repairs = [("r1", "tag.xml", sha(tag), "in</rel>", "in</arg>"), ("r2", "quote.xml", sha(quote), "src=a b", 'src="a b"'), ("r3", "other.xml", sha("x"), "a & b", "a &amp; b"), ("r4", "none.xml", sha(amp), "no such", ""), ("r5", "still.xml", sha(amp), "<text>", "<text>&"), ("r6", "fine.xml", sha(texts["fine__xml"]), "l", "m"), ("r7", "lost.xml", "", "a", "b"), ("r8", "twice.xml", sha(amp), "a & b", "c"), ("r9", "twice.xml", sha(amp), "a & b", "c")]
+    tables = lexical.project_rolesets(spark, root, "*.xml", spark.createDataFrame(repairs, lexical.REPAIRS))
+    outcome = {r.path.removesuffix(".xml"): r.outcome for r in tables["files"].collect()}
+    assert outcome == {"good": "parsed", "tag": "repaired", "quote": "repaired", "amp": "invalid_xml", "other": "wrong_file", "none": "fragment", "still": "still_invalid", "fine": "not_needed", "twice": "several_repairs", "cut": "invalid_xml"}
+    assert {r.roleset_id for r in tables["rolesets"].collect()} == {"good.01", "tag.01", "quote.01", "fine.01"}
+    fixed = {r.path: (r.original_sha256, r.repaired_sha256) for r in tables["files"].filter("outcome = 'repaired'").collect()}
+    assert fixed["tag.xml"] == (sha(tag), sha(tag.replace("in</rel>", "in</arg>")))
+    assert tables["issues"].count() == 7 and [r.repair_id for r in tables["unused"].collect()] == ["r7"]
+    with pytest.raises(ValueError, match="amp.xml"):
+        lexical.rolesets_or_fail(tables)
+    clean = lexical.project_rolesets(spark, root, "good.xml")
+    assert lexical.rolesets_or_fail(clean)["rolesets"].count() == 1
+
+
 def test_frames(spark, tmp_path):
     (tmp_path / "f").mkdir()
     root = put(tmp_path / "f", a__xml='<frame ID="1" name="Leave"><definition>d</definition><FE ID="10" name="Theme" abbrev="T" coreType="Core"><definition>x</definition></FE><FE ID="11" name="Goal" coreType="Core"/><lexUnit ID="5" name="leave.v" POS="V" status="Problem"/></frame>')

@@ -121,3 +121,13 @@ def emit_provenance(predicates: DataFrame, slots: DataFrame) -> DataFrame:
         rows(types, F.col("__type"), "entity_type", "sumo_types", F.col("type"), "typed_by", "donor_asserted", basis("type"), slot(".type_constraint")),
     ]
     return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def hierarchy_provenance(edges: DataFrame) -> DataFrame:
+    """Provenance rows, as those of ``emit_provenance``, for hierarchy edges (child_id, parent_id)."""
+    name = lambda c: F.regexp_replace(c, r"^lc:sumo_type\.", "")
+    none = F.lit(None).cast("string")
+    columns = {"canonical_id": F.concat_ws(":", "child_id", F.lit("subtype_of"), "parent_id"), "canonical_kind": F.lit("hierarchy_edge"), "source_key": F.lit("sumo_types")}
+    columns |= {"source_id": F.concat_ws(":", name("child_id"), F.lit("subclass_of"), name("parent_id")), "relation": F.lit("subtype_of"), "derivation_method": F.lit("donor_asserted")}
+    columns |= {"confidence_basis": F.lit("donor type_hierarchy row exported into the pack closure"), "method_ref": none, "method_scope": none, "confidence": F.lit(None).cast("double")}
+    return edges.select(*[c.alias(n) for n, c in columns.items()], F.concat(F.lit("type_hierarchy[child="), name("child_id"), F.lit(",parent="), name("parent_id"), F.lit("]")).alias("evidence_ref"))

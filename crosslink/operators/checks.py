@@ -176,6 +176,45 @@ def catalog_violations(tables: dict[str, DataFrame], keys: dict[str, list[str]],
     return reduce(DataFrame.unionByName, parts)
 
 
+#: The source keys whose rows must cover a pack, and what a pack's ids of each kind are made of.
+DIRECT, SENSES, TYPES = "donor", "propbank", "sumo_types"
+
+
+def pack_violations(tables: dict[str, DataFrame], sources: list[str], expected: dict[str, int] | None = None) -> DataFrame:
+    """asset, code, detail: where the provenance of a pack does not match its tables.
+
+    tables: predicate_types (predicate_id), predicate_role_edges (predicate_id, role_id), entity_types (type_id), hierarchy_edges
+    (child_id, parent_id), constraints (predicate_id, expected_type), source_mappings (canonical_id, canonical_kind, source_system,
+    source_id, mapping_type), semantic_mappings (canonical_id, canonical_kind, source_key, source_id, relation). Codes:
+    UNDECLARED_SOURCE; DANGLING_<KIND>; PREDICATE_NOT_COVERED and HIERARCHY_NOT_COVERED, where the ids of both sides are not the same
+    set; ROLE_BAG, TYPE_BAG and SENSE_BAG, where they are not the same bag; COUNT, where a source of ``expected`` has not so many
+    mappings of predicates, each of another one.
+    """
+    rows, declared = tables["semantic_mappings"], F.col("source_key").isin(*sources)
+    edge_id, slot_id = F.concat_ws(":", "child_id", F.lit("subtype_of"), "parent_id"), F.concat_ws(":", "predicate_id", "role_id")
+    ids = {
+        "predicate_type": tables["predicate_types"].select(F.col("predicate_id").alias("detail")),
+        "role_slot": tables["predicate_role_edges"].select(slot_id.alias("detail")),
+        "entity_type": tables["entity_types"].select(F.col("type_id").alias("detail")),
+        "hierarchy_edge": tables["hierarchy_edges"].select(edge_id.alias("detail")),
+    }
+    of = lambda kind, *keys: rows.filter((F.col("canonical_kind") == kind) & (F.col("source_key").isin(*keys) if keys else F.lit(True))).select(F.col("canonical_id").alias("detail"))
+    said = lambda df, code: df.select(F.lit("semantic_mappings").alias("asset"), F.lit(code).alias("code"), F.col("detail").cast("string").alias("detail"))
+    parts = [said(rows.filter(~F.coalesce(declared, F.lit(False))).select(F.coalesce("source_key", F.lit("")).alias("detail")).distinct(), "UNDECLARED_SOURCE")]
+    parts += [said(of(kind).distinct().join(every.distinct(), "detail", "left_anti"), f"DANGLING_{kind}".upper()) for kind, every in ids.items()]
+    parts.append(said(population_difference(of("predicate_type", DIRECT), ids["predicate_type"], "detail"), "PREDICATE_NOT_COVERED"))
+    parts.append(said(population_difference(of("hierarchy_edge"), ids["hierarchy_edge"], "detail"), "HIERARCHY_NOT_COVERED"))
+    parts.append(said(multiset_difference(of("role_slot", DIRECT), ids["role_slot"], ["detail"]), "ROLE_BAG"))
+    wanted = tables["constraints"].select("predicate_id", "expected_type").distinct().filter("expected_type is not null").select(F.col("expected_type").alias("detail"))
+    parts.append(said(multiset_difference(of("entity_type", TYPES), wanted, ["detail"]), "TYPE_BAG"))
+    bag = lambda df, system, *columns: df.filter(F.col(system) == SENSES).select(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns]).alias("detail"))
+    parts.append(said(multiset_difference(bag(rows, "source_key", "canonical_id", "canonical_kind", "source_id", "relation"), bag(tables["source_mappings"], "source_system", "canonical_id", "canonical_kind", "source_id", "mapping_type"), ["detail"]), "SENSE_BAG"))
+    for key, n in (expected or {}).items():
+        counts = of("predicate_type", key).agg(F.count("*").alias("n"), F.count_distinct("detail").alias("ids")).filter((F.col("n") != n) | (F.col("ids") != n))
+        parts.append(said(counts.select(F.concat_ws(" ", F.lit(key), "n", "ids").alias("detail")), "COUNT"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def projection_closure(families: dict[str, tuple[DataFrame, list[str]]], terms: DataFrame, modules: DataFrame) -> DataFrame:
     """asset, code, detail: axioms that name a term without an inventory row, come from a module that isn't listed, or repeat a (path, idx).
 

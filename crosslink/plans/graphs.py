@@ -1,10 +1,13 @@
 """Closures, paths, lineages and type relations over order-to-region edges and a cyclic graph."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from crosslink.operators import catalog, graph, match
+from crosslink.operators import catalog, checks, graph, match
 from crosslink.plans.base import query
-from crosslink.scratch import written
+from crosslink.scratch import remove_at_end, scratch, written
+from crosslink.sources import packs
 
 EDGES = """edges AS (SELECT 'c' || c_custkey AS child, 'n' || c_nationkey AS parent FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
 cyclic AS (SELECT 'p' || p_partkey AS child, 'p' || (p_partkey - p_partkey % 7 + (p_partkey % 7 + 1) % 7) AS parent FROM part)"""
@@ -146,11 +149,62 @@ def catalog_hierarchy(t):
 
 @query(f"WITH {CATALOG} SELECT 'predicate_role_edges' AS asset, 'DANGLING_ROLE_ID' AS code, 'lc.role.role3' AS detail UNION ALL SELECT 'predicate_types', 'DUPLICATE_KEY', d FROM (SELECT arg_min(d, ord) AS d FROM p GROUP BY lower(name)) GROUP BY d HAVING count(*) > 1")
 def validate_catalog(t):
-    from crosslink.operators.checks import catalog_violations
-
     tables = dict(_catalog(t))
     tables["role_types"] = tables["role_types"].filter("role_id <> 'lc.role.role3'")
-    return catalog_violations(tables, {"predicate_types": ["description"], "role_types": ["role_id"]}, [("predicate_role_edges", "role_id", "role_types", "role_id"), ("constraints", "predicate_id", "predicate_types", "predicate_id")])
+    return checks.catalog_violations(tables, {"predicate_types": ["description"], "role_types": ["role_id"]}, [("predicate_role_edges", "role_id", "role_types", "role_id"), ("constraints", "predicate_id", "predicate_types", "predicate_id")])
+
+
+def _pack(t):
+    """The catalog as a pack with its provenance, in which something of each kind is wrong."""
+    made = _catalog(t)
+    predicates, roles, types, limits = (made[n] for n in ("predicate_types", "predicate_role_edges", "entity_types", "constraints"))
+    hierarchy = made["hierarchy_edges"].select(*[F.concat(F.lit("lc:sumo_type."), c).alias(f"{c}_id") for c in ("child", "parent")])
+    row = lambda df, kind, key, id_, relation: df.select(id_.alias("canonical_id"), F.lit(kind).alias("canonical_kind"), F.lit(key).alias("source_key"), id_.alias("source_id"), F.lit(relation).alias("relation"))
+    slot, edge = F.concat_ws(":", "predicate_id", "role_id"), F.col("canonical_id")
+    kept = F.col("predicate_id"), F.when(F.col("expected_type") == "lc:sumo_type.n5", "lc:sumo_type.zz").otherwise(F.col("expected_type"))
+    senses = row(predicates, "predicate_type", "propbank", F.col("predicate_id"), "derived_from")
+    mappings = [
+        row(predicates.filter(F.length("predicate_id") % 5 > 0), "predicate_type", "donor", kept[0], "derived_from"),
+        row(roles, "role_slot", "donor", slot, "positional_role"),
+        row(roles.filter("role_id = 'lc.role.role2'"), "role_slot", "donor", slot, "positional_role"),
+        row(limits.select("predicate_id", "expected_type").distinct(), "entity_type", "sumo_types", kept[1], "typed_by"),
+        row(catalog.hierarchy_provenance(hierarchy).filter("canonical_id not like '%.r1'"), "hierarchy_edge", "sumo_types", edge, "subtype_of"),
+        row(predicates.limit(1), "predicate_type", "wordnet", kept[0], "derived_from"),
+        senses,
+    ]
+    system = senses.withColumnsRenamed({"source_key": "source_system", "relation": "mapping_type"})
+    return {"predicate_types": predicates, "predicate_role_edges": roles, "entity_types": types, "constraints": limits, "hierarchy_edges": hierarchy, "source_mappings": system.filter(F.length("canonical_id") % 3 > 0), "semantic_mappings": reduce(lambda a, b: a.unionByName(b), mappings)}
+
+
+PACK = f"""{CATALOG}, pr AS (SELECT DISTINCT 'lc:' || lower(trim(name)) AS id FROM p), ed AS (SELECT DISTINCT predicate_id, label FROM s WHERE trim(label) <> ''), ty AS (SELECT DISTINCT type FROM s WHERE trim(label) <> '' AND type IS NOT NULL),
+hi AS (SELECT DISTINCT n_nationkey, n_regionkey FROM nation WHERE 'n' || n_nationkey IN (SELECT type FROM ty))"""
+
+
+@query(f"""WITH {PACK}, v AS (SELECT 'semantic_mappings' AS asset, 'PREDICATE_NOT_COVERED' AS code, count(*) AS n FROM pr WHERE length(id) % 5 = 0 UNION ALL SELECT 'semantic_mappings', 'ROLE_BAG', count(*) FROM ed WHERE label = 'Role2'
+UNION ALL SELECT 'semantic_mappings', 'TYPE_BAG', 2 * count(*) FROM ty WHERE type = 'n5' UNION ALL SELECT 'semantic_mappings', 'DANGLING_ENTITY_TYPE', count(*) FROM ty WHERE type = 'n5' UNION ALL SELECT 'semantic_mappings', 'HIERARCHY_NOT_COVERED', count(*) FROM hi WHERE n_regionkey = 1
+UNION ALL SELECT 'semantic_mappings', 'SENSE_BAG', count(*) FROM pr WHERE length(id) % 3 = 0 UNION ALL SELECT 'semantic_mappings', 'UNDECLARED_SOURCE', 1 UNION ALL SELECT 'semantic_mappings', 'COUNT', 1 UNION ALL SELECT 'entity_types', 'ROWS', 1 UNION ALL SELECT 'entity_types', 'DIGEST', 1 UNION ALL SELECT 'constraints', 'DIGEST', 1 UNION ALL SELECT 'extra', 'UNEXPECTED', 1) SELECT * FROM v WHERE n > 0""")
+def validate_pack(t):
+    """A pack whose provenance has gaps, and of which rows were added and changed after it was published."""
+    path = scratch(t.spark, "pack")
+    remove_at_end(t.spark, path)
+    data = f"{path}/{packs.publish(_pack(t), path)['data']}"
+    tables = packs.read_set(t.spark, path)
+    tables["entity_types"].limit(1).write.mode("append").parquet(f"{data}/entity_types")
+    changed = tables["constraints"].withColumn("role_id", F.concat("role_id", F.lit("x")))
+    changed.write.parquet(f"{path}/changed")
+    t.spark.read.parquet(f"{path}/changed").write.mode("overwrite").parquet(f"{data}/constraints")
+    t.nation.write.parquet(f"{data}/extra")
+    found = packs.set_violations(t.spark, path).unionByName(checks.pack_violations(packs.read_set(t.spark, path), ["donor", "propbank", "sumo_types"], {"wordnet": 2}))
+    return found.groupBy("asset", "code").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {PACK}, n AS (SELECT 'predicate_types' AS asset, (SELECT count(*) FROM pr) AS rows UNION ALL SELECT 'predicate_role_edges', (SELECT count(*) FROM ed) UNION ALL SELECT 'entity_types', (SELECT count(*) FROM ty) UNION ALL SELECT 'hierarchy_edges', (SELECT count(*) FROM hi)) SELECT * FROM n")
+def pack_counts(t):
+    """Rows of the tables of a published pack, from its manifest."""
+    path, tables = scratch(t.spark, "pack"), _pack(t)
+    remove_at_end(t.spark, path)
+    packs.publish({n: tables[n] for n in ("predicate_types", "predicate_role_edges", "entity_types", "hierarchy_edges")}, path)
+    return packs.set_counts(t.spark, path)
 
 
 @query("""WITH r AS (SELECT p_partkey, 'rel' || p_partkey || CASE WHEN p_partkey % 10 = 0 THEN 'Fn' ELSE '' END AS relation, p_size % 5 AS arity, p_brand AS module FROM part), m AS (SELECT DISTINCT p_brand AS module, CASE WHEN p_brand < 'Brand#3' THEN 'approved' WHEN p_brand < 'Brand#5' THEN 'rejected' END AS d FROM part),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from crosslink.plans import matching
 from crosslink.plans.base import matched, query
 from crosslink.scratch import remove_at_end, scratch
-from crosslink.sources import files, lexical
+from crosslink.sources import files, lexical, sqlite
 from crosslink.streaming import streams
 
 
@@ -106,6 +106,45 @@ def scan_donor(t):
     return files.scan_table(t.spark, put(t, t.orders, "donor", "parquet"), ["o_orderkey", "o_custkey"]).select("o_orderkey", "o_custkey")
 
 
+def sqlite_files(t, df, table):
+    """The folder in which each of four tasks has written its rows to a table of a SQLite file of its own."""
+    path, names = scratch(t.spark, "donor"), df.columns
+    remove_at_end(t.spark, path)
+    folder = sqlite.local(path)
+
+    def write(batches):
+        import os
+        import sqlite3
+        import uuid
+
+        import pandas as pd
+
+        os.makedirs(folder, exist_ok=True)
+        file, n = f"{folder}/{uuid.uuid4().hex}", 0
+        db = sqlite3.connect(f"{folder}/.{os.path.basename(file)}")
+        db.execute(f"CREATE TABLE {table} (o_orderkey INTEGER, o_custkey INTEGER, o_orderstatus TEXT, o_totalprice REAL)")
+        for batch in batches:
+            db.executemany(f"INSERT INTO {table} VALUES (?, ?, ?, ?)", batch[names].astype(object).values.tolist())
+            n += len(batch)
+        db.commit()
+        db.close()
+        os.rename(f"{folder}/.{os.path.basename(file)}", file)
+        yield pd.DataFrame({"n": [n]})
+
+    df.repartition(4, names[0]).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    return path
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000")
+def scan_sqlite(t):
+    """Orders in SQLite files, read in ranges of two thousand rows; the database filters them."""
+    session = t.spark.newSession()
+    session.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    path = sqlite_files(t, t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), "orders")
+    rows = sqlite.scan_sqlite(session, path, "orders", partition_rows=2000).filter("o_orderstatus = 'F' and o_totalprice > 1000")
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("SELECT event_id // 2000 AS folder, row_number() OVER (PARTITION BY event_id // 2000 ORDER BY event_id) - 1 AS sample_index, CAST(event_id AS DOUBLE) AS id, round(value, 2) AS value, CAST(user_id AS DOUBLE) AS user FROM events")
 def scan_samples(t):
     """Files of two thousand events, read in ranges, with a blank line before every seventh."""

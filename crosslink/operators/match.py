@@ -207,16 +207,44 @@ def participant_counts(files: DataFrame, expected: DataFrame) -> DataFrame:
     return n.join(wanted, "participant", "full_outer").select("participant", "ext", F.coalesce("n", F.lit(0)).alias("n"), status.alias("status"))
 
 
+def words_of(text: Column) -> Column:
+    """Lower-cased words of a text: runs of a to z, digits and underscores."""
+    return F.filter(F.split(F.lower(text), "[^a-z0-9_]+"), lambda x: x != "")
+
+
+def mutual_names(glosses: DataFrame) -> DataFrame:
+    """a, b (a < b) whose labels stand in each other's glosses, as words in a row. glosses: id, label, gloss.
+
+    A label is looked up by the word of it that the fewest glosses hold, and then verified in place. Of a pair that name each other
+    it is enough to find one side, so a gloss is only searched for labels whose rarest word is no more frequent than its own
+    label's: the list of a common word shrinks to the glosses whose own labels are as common. Words are counted in the tasks that
+    read them. Labels or glosses without words name nothing.
+    """
+    own = glosses.select("id", words_of(F.col("label")).alias("name"), words_of(F.col("gloss")).alias("said")).filter("size(name) > 0 and size(said) > 0 and id is not null")
+    held = own.select("id", F.explode(F.array_distinct("said")).alias("word"))
+    asked = own.select("id", F.explode(F.array_distinct("name")).alias("word"))
+    df = held.join(asked.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    keys = asked.join(df, "word").groupBy("id").agg(F.count("*").alias("found"), F.min(F.struct("df", "word")).alias("key"))
+    keys = own.join(keys, "id").filter("found = size(array_distinct(name))").select("id", "name", "said", "key.df", "key.word")
+    rare = keys.select(F.col("id").alias("a"), F.col("df").alias("most"), F.explode(F.array_distinct("said")).alias("word"))
+    found = rare.join(keys.select(F.col("id").alias("b"), "df", "word"), "word").filter("df <= most and a <> b").select("a", "b").distinct()
+    line = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    side = lambda x: keys.select(F.col("id").alias(x), line("said").alias(f"said_{x}"), line("name").alias(f"name_{x}"))
+    both = found.join(side("a"), "a").join(side("b"), "b").filter(F.contains("said_a", F.col("name_b")) & F.contains("said_b", F.col("name_a")))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def equal_glosses(glosses: DataFrame) -> DataFrame:
+    """id, group_id (the least id with the same gloss), size: the rows whose gloss another row has too. A gloss is counted before it is shuffled."""
+    keyed = glosses.filter("gloss is not null and id is not null").select("id", F.sha2("gloss", 256).alias("gloss"))
+    groups = keyed.groupBy("gloss").agg(F.min("id").alias("group_id"), F.count("*").alias("size")).filter("size > 1")
+    return keyed.join(groups, "gloss").select("id", "group_id", "size")
+
+
 def mirror_pairs(glosses: DataFrame) -> DataFrame:
-    """a, b, kind: pairs (a < b) that name each other in their glosses, or have equal glosses. glosses: id, label, gloss."""
-    words = glosses.select("id", F.explode(F.array_distinct(F.split(F.lower("gloss"), "[^a-z0-9_]+"))).alias("word")).filter("word <> ''")
-    labels = glosses.select(F.col("id").alias("other"), F.lower("label").alias("word"))
-    names = words.join(labels, "word").filter("id <> other").select("id", "other").distinct()
-    back = names.select(F.col("other").alias("id"), F.col("id").alias("other"))
-    mutual = names.join(back, ["id", "other"], "left_semi").filter("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"), F.lit("mutual").alias("kind"))
-    # equal glosses: each id with the next one of its gloss, so that a common gloss gives a chain and not all pairs
-    w = W.partitionBy(F.sha2("gloss", 256)).orderBy("id")
-    equal = glosses.filter("gloss is not null").select(F.col("id").alias("a"), F.lead("id").over(w).alias("b"), F.lit("equal").alias("kind")).filter("b is not null")
+    """a, b, kind: pairs (a < b) that name each other in their glosses (mutual), and each row with the first one of the same gloss (equal). glosses: id, label, gloss."""
+    mutual = mutual_names(glosses).select("a", "b", F.lit("mutual").alias("kind"))
+    equal = equal_glosses(glosses).filter("id <> group_id").select(F.col("group_id").alias("a"), F.col("id").alias("b"), F.lit("equal").alias("kind"))
     return mutual.unionByName(equal)
 
 

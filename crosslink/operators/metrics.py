@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crosslink.operators.windows import max_gap
 from crosslink.functions.values import band, ratio
 from crosslink.scratch import written
 
@@ -226,8 +227,7 @@ def channel_factors(obs: DataFrame, episode: str, channel: str, at: str, value:
 
 def identity_factors(obs: DataFrame, episode: str, at: str, signature: str, instance: str) -> DataFrame:
     """episode, max_gap between distinct times, one_signature, n_instances."""
-    times = obs.select(episode, at).filter(F.col(at).isNotNull()).distinct()
-    gap = times.withColumn("__gap", F.col(at) - F.lag(at).over(W.partitionBy(episode).orderBy(at))).groupBy(episode).agg(F.max("__gap").alias("max_gap"))
+    gap = max_gap(obs.select(episode, at).filter(F.col(at).isNotNull()), [episode], at)
     rest = obs.groupBy(episode).agg((F.count_distinct(signature) == 1).alias("one_signature"), F.count_distinct(instance).alias("n_instances"))
     return rest.join(gap, episode, "left")
 

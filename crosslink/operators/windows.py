@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crosslink.scratch import written
+
 
 def priority_limit(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
@@ -16,25 +18,50 @@ def first_seen(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
 
 
+def with_borders(df: DataFrame, keys: list[str], order: list[str], keep: Column | None = None) -> DataFrame:
+    """``df`` dealt by ranges of keys and order, with range (its number) and own (true); and, own false, for each range of a key its last row before that range.
+
+    A key with most of the rows is in many ranges and so in many tasks. Ordered work goes on within (keys, range): what it needs of
+    earlier rows stands in the row carried over the border, which comes from a small table of one row for each key and range.
+    ``keep``: which rows can be carried. Rows that agree in keys and order are in one range.
+    """
+    dealt = written(df.repartitionByRange(*keys, *order).withColumn("range", F.spark_partition_id()), "ranges")
+    place = F.struct(*order)
+    chosen = keep if keep is not None else F.lit(True)
+    borders = dealt.groupBy(*keys, "range").agg(F.max_by(F.when(chosen, F.struct(*df.columns)), F.when(chosen, place)).alias("last"))
+    before = W.partitionBy(*keys).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    carried = borders.select("range", F.last("last", ignorenulls=True).over(before).alias("last")).filter("last is not null").select("last.*", "range", F.lit(False).alias("own"))
+    return dealt.withColumn("own", F.lit(True)).unionByName(carried)
+
+
+def _steps(events: DataFrame, keys: list[str], columns: dict[str, Column], ties: list[Column]) -> DataFrame:
+    """k0.., the columns, and last, the struct of these in the row before of the same keys; by the first column, then ties, then the others."""
+    named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)] + [c.alias(n) for n, c in columns.items()] + [c.alias(f"t{i}") for i, c in enumerate(ties)]
+    ks, names = [f"k{i}" for i in range(len(keys))], list(columns)
+    order = [names[0], *[f"t{i}" for i in range(len(ties))], *names[1:]]
+    rows = with_borders(events.select(*named), ks, order)
+    w = W.partitionBy(*ks, "range").orderBy(*order)
+    return rows.withColumn("last", F.lag(F.struct(*names)).over(w)).filter("own")
+
+
 def intervals(events: DataFrame, keys: list[str], at: str, label: str, ties: list[str]) -> DataFrame:
     """keys, start, end, first, second: each event with the next one of its key."""
-    w = W.partitionBy(*keys).orderBy(at, *ties)
-    out = events.select(*keys, F.col(at).alias("start"), F.lead(at).over(w).alias("end"), F.col(label).alias("first"), F.lead(label).over(w).alias("second"))
-    return out.filter("end is not null")
+    out = _steps(events, keys, {"at": F.col(at), "label": F.col(label)}, [F.col(c) for c in ties]).filter("at is not null and last is not null")
+    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], F.col("last.at").alias("start"), F.col("at").alias("end"), F.col("last.label").alias("first"), F.col("label").alias("second"))
 
 
 def alternation_violations(events: DataFrame, keys: list[str], at: str, label: str, ties: list[str]) -> DataFrame:
     """keys, at, label of events whose label equals the one before; and keys with a single event (at null)."""
-    w = W.partitionBy(*keys).orderBy(at, *ties)
-    same = events.withColumn("__last", F.lag(label).over(w)).filter(F.col(label) == F.col("__last")).select(*keys, F.col(at).alias("at"), F.col(label).alias("label"), F.lit("REPEATED").alias("code"))
+    named = [F.col(f"k{i}").alias(k) for i, k in enumerate(keys)]
+    same = _steps(events, keys, {"at": F.col(at), "label": F.col(label)}, [F.col(c) for c in ties]).filter("label = last.label").select(*named, "at", "label", F.lit("REPEATED").alias("code"))
     few = events.groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n < 2").select(*keys, F.lit(None).cast(events.schema[at].dataType).alias("at"), F.lit(None).cast("string").alias("label"), F.lit("TOO_FEW").alias("code"))
     return same.unionByName(few)
 
 
 def max_gap(events: DataFrame, keys: list[str], at: str) -> DataFrame:
     """keys, max_gap between distinct times; null with fewer than two."""
-    times = events.select(*keys, at).distinct()
-    return times.withColumn("__gap", F.col(at) - F.lag(at).over(W.partitionBy(*keys).orderBy(at))).groupBy(*keys).agg(F.max("__gap").alias("max_gap"))
+    steps = _steps(events.select(*keys, at).distinct(), keys, {"at": F.col(at)}, [])
+    return steps.withColumn("gap", F.col("at") - F.col("last.at")).groupBy(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)]).agg(F.max("gap").alias("max_gap"))
 
 
 def tumbling(samples: DataFrame, keys: list[str], index: str, size: int, aggs: list[Column]) -> DataFrame:
@@ -69,14 +96,16 @@ def windows_in_intervals(windows: DataFrame, parts: DataFrame, keys: list[str],
     """``windows`` (start, end) with reference: the label of the interval that holds them with a margin at both ends, else null.
 
     ``parts``: start, end, label; disjoint within a key. The last interval that starts before a window is the only one that
-    can hold it, so one ordered pass over starts and windows does, without a range join.
+    can hold it, so one ordered pass over starts and windows does, without a range join; a key with many rows is passed in ranges.
     """
-    a = parts.select(*keys, (F.col("start") + margin).alias("__at"), F.lit(0).alias("__kind"), F.struct((F.col("end") - margin).alias("to"), "label").alias("__part"))
-    b = windows.select(*keys, F.col("start").cast("double").alias("__at"), F.lit(1).alias("__kind"), F.struct(*windows.columns).alias("__row"))
-    both = a.unionByName(b, allowMissingColumns=True)
-    w = W.partitionBy(*keys).orderBy("__at", "__kind").rowsBetween(W.unboundedPreceding, 0)
-    out = both.withColumn("__last", F.last("__part", ignorenulls=True).over(w)).filter("__kind = 1")
-    return out.select("__row.*", F.when(F.col("__row.end") <= F.col("__last.to"), F.col("__last.label")).alias("reference"))
+    named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    ks = [f"k{i}" for i in range(len(keys))]
+    a = parts.select(*named, (F.col("start") + margin).cast("double").alias("at"), F.lit(0).alias("kind"), F.struct((F.col("end") - margin).alias("to"), "label").alias("part"))
+    b = windows.select(*named, F.col("start").cast("double").alias("at"), F.lit(1).alias("kind"), F.struct(*windows.columns).alias("row"))
+    both = with_borders(a.unionByName(b, allowMissingColumns=True), ks, ["at", "kind"], F.col("kind") == 0)
+    w = W.partitionBy(*ks, "range").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
+    out = both.withColumn("last", F.last("part", ignorenulls=True).over(w)).filter("own and kind = 1")
+    return out.select("row.*", F.when(F.col("row.end") <= F.col("last.to"), F.col("last.label")).alias("reference"))
 
 
 def bounded_failures(df: DataFrame, right: str, order: list, n: int) -> DataFrame:

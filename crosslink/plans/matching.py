@@ -182,15 +182,31 @@ def pair_files(t):
     return match.pair_files(t.orders.select(F.col("o_custkey").alias("stem"), F.when(s == "F", "csv").when(s == "O", "c3d").otherwise("txt").alias("ext")), ["csv", "c3d"])
 
 
-@query("""WITH g AS (SELECT o_orderkey AS id, 'k' || o_orderkey AS label, 'k' || (o_orderkey + CASE WHEN o_orderkey % 4 < 2 THEN 2 ELSE -2 END) || ' of ' || o_orderstatus AS gloss FROM orders),
-w AS (SELECT DISTINCT id, unnest(regexp_split_to_array(lower(gloss), '[^a-z0-9_]+')) AS word FROM g), n AS (SELECT w.id, g.id AS other FROM w JOIN g ON g.label = w.word WHERE w.id <> g.id)
-SELECT x.id AS a, x.other AS b, 'mutual' AS kind FROM n x JOIN n y ON y.id = x.other AND y.other = x.id WHERE x.id < x.other
-UNION ALL SELECT id, nxt, 'equal' FROM (SELECT id, lead(id) OVER (PARTITION BY gloss ORDER BY id) AS nxt FROM g) WHERE nxt IS NOT NULL""")
-def mirror_pairs(t):
+GLOSSES = """g AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 4 THEN 'Key no ' || o_orderkey ELSE 'k' || o_orderkey END AS label,
+  'the ' || CASE WHEN (o_orderkey + d) % 8 < 4 THEN 'key no. ' ELSE 'K' END || (o_orderkey + d) || ' of ' || o_orderstatus AS gloss FROM (SELECT *, CASE WHEN o_orderkey % 4 < 2 THEN 2 ELSE -2 END AS d FROM orders)
+  UNION ALL SELECT -o_orderkey, 'the', 'the order ' || o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey > 0)"""
+
+
+def glosses(t):
+    """Orders with labels of one word or three that name each other, and as many with the commonest word as their label."""
     k = F.col("o_orderkey")
-    label = lambda c: F.concat(F.lit("k"), c.cast("string"))
-    gloss = F.concat(label(k + F.when(k % 4 < 2, 2).otherwise(-2)), F.lit(" of "), F.col("o_orderstatus"))
-    return match.mirror_pairs(t.orders.select(k.alias("id"), label(k).alias("label"), gloss.alias("gloss")))
+    other = k + F.when(k % 4 < 2, 2).otherwise(-2)
+    label = F.concat(F.when(k % 8 < 4, "Key no ").otherwise("k"), k.cast("string"))
+    gloss = F.concat(F.lit("the "), F.when(other % 8 < 4, "key no. ").otherwise("K"), other.cast("string"), F.lit(" of "), "o_orderstatus")
+    common = t.orders.filter((k % 3 == 0) & (k > 0)).select((-k).alias("id"), F.lit("the").alias("label"), F.concat(F.lit("the order "), "o_orderstatus").alias("gloss"))
+    return t.orders.select(k.alias("id"), label.alias("label"), gloss.alias("gloss")).unionByName(common)
+
+
+@query(f"""WITH {GLOSSES}, p AS (SELECT id, regexp_replace(lower(label), '[^a-z0-9_]+', ' ', 'g') AS name, ' ' || regexp_replace(lower(gloss), '[^a-z0-9_]+', ' ', 'g') || ' ' AS said FROM g WHERE id >= 0)
+SELECT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, 'mutual' AS kind FROM p x JOIN p y ON y.id = x.id + CASE WHEN x.id % 4 < 2 THEN 2 ELSE -2 END WHERE x.id < y.id AND contains(x.said, ' ' || y.name || ' ') AND contains(y.said, ' ' || x.name || ' ')
+UNION ALL SELECT a, id, 'equal' FROM (SELECT id, min(id) OVER (PARTITION BY gloss) AS a FROM g) WHERE id <> a""")
+def mirror_pairs(t):
+    return match.mirror_pairs(glosses(t).filter("label <> 'the'").unionByName(glosses(t).filter("label = 'the'").withColumn("label", F.lit("the unnamed"))))
+
+
+@query(f"WITH {GLOSSES} SELECT id, min(id) OVER (PARTITION BY gloss) AS group_id, count(*) OVER (PARTITION BY gloss) AS size FROM g QUALIFY count(*) OVER (PARTITION BY gloss) > 1")
+def equal_glosses(t):
+    return match.equal_glosses(glosses(t))
 
 
 @query("""WITH m AS (SELECT 'p' || l_orderkey || CASE WHEN l_linenumber % 5 = 0 THEN ':X' ELSE ':ARG' END || l_linenumber AS s, l_partkey AS role, (l_extendedprice, l_partkey) AS ord FROM lineitem)

@@ -311,3 +311,45 @@ def test_slice_takes_what_no_ancestor_owns(spark):
     stored = graph.ancestor_closure(hierarchy)
     again = catalog.compile_additive_slice(rel, cons, frame([("m", "approved")], "module string, disposition string"), owned, hierarchy, stored)
     assert rows(again["hierarchy_edges"]) == rows(got["hierarchy_edges"])
+
+
+def test_labels_of_several_words(spark):
+    import re
+
+    rnd = __import__("random").Random(8)
+    words = ["the", "of", "a", "red", "blue", "big", "rare1", "rare2", "rare3"]
+    rows_ = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 3))), "; ".join(" ".join(rnd.choice(words).title() for _ in range(rnd.randint(0, 5))) for _ in range(2))) for i in range(90)]
+    rows_ += [(200, "the", "the other is the"), (201, "other", "the"), (202, None, "the"), (203, "x", None), (204, "The Big Red", "like the sea dog"), (205, "sea-dog", "neither big nor: the (big) RED"), (206, "sea dog", "the red")]
+    split = lambda t: [w for w in re.split("[^a-z0-9_]+", (t or "").lower()) if w]
+    holds = lambda gloss, label: bool(split(label)) and f" {' '.join(split(label))} " in f" {' '.join(split(gloss))} "
+    want = {(a[0], b[0]) for a in rows_ for b in rows_ if a[0] < b[0] and holds(a[2], b[1]) and holds(b[2], a[1])}
+    frame = spark.createDataFrame(rows_, "id int, label string, gloss string")
+    assert rows(match.mutual_names(frame)) == want and (204, 205) in want and (200, 201) in want and len(want) > 20
+    same = spark.createDataFrame([(3, "x", "g"), (1, "y", "g"), (2, "z", None), (4, "z", None), (7, "q", "g"), (9, "q", "h")], "id int, label string, gloss string")
+    assert rows(match.equal_glosses(same)) == {(1, 1, 3), (3, 1, 3), (7, 1, 3)}
+    assert rows(match.mirror_pairs(same)) == {(1, 3, "equal"), (1, 7, "equal")}
+
+
+def test_a_key_with_most_rows_is_in_many_ranges(spark):
+    rnd = __import__("random").Random(9)
+    events = [("hot" if rnd.random() < 0.9 else rnd.choice(["a", "b", None]), rnd.randrange(300), rnd.choice("xy"), i) for i in range(1500)] + [("single", 1, "x", -1)]
+    frame = spark.createDataFrame(events, "k string, t int, label string, tie int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = windows.with_borders(frame, ["k"], ["t", "tie"])
+        assert dealt.filter("k = 'hot' and own").select("range").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        got = {f: sorted(map(tuple, df.collect()), key=repr) for f, df in (("intervals", windows.intervals(frame, ["k"], "t", "label", ["tie"])), ("repeated", windows.alternation_violations(frame, ["k"], "t", "label", ["tie"])), ("gaps", windows.max_gap(frame, ["k"], "t")))}
+        spans = [("hot" if rnd.random() < 0.9 else "a", 10 * i, 10 * i + rnd.choice([4, 9]), f"p{i}") for i in range(60)]
+        asked = [(rnd.choice(["hot", "hot", "hot", "a", None]), s, s + rnd.choice([1, 3]), i) for i, s in enumerate(rnd.randrange(-5, 620) for _ in range(800))]
+        held = windows.windows_in_intervals(spark.createDataFrame(asked, "k string, start int, end int, n int"), spark.createDataFrame(spans, "k string, start int, end int, label string"), ["k"], 1.0)
+        assert {(r.n, r.reference) for r in held.collect()} == {(n, next((p for q, a, b, p in spans if q == k and a + 1 <= s and e <= b - 1), None)) for k, s, e, n in asked}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    by = {}
+    for k, t, label, tie in events:
+        by.setdefault(k, []).append((t, tie, label))
+    pairs = [(k, a[0], b[0], a[2], b[2]) for k, v in by.items() for a, b in zip(sorted(v), sorted(v)[1:])]
+    assert got["intervals"] == sorted(pairs, key=repr)
+    assert got["repeated"] == sorted([(k, e, s, "REPEATED") for k, _, e, f, s in pairs if f == s] + [(k, None, None, "TOO_FEW") for k, v in by.items() if len(v) < 2], key=repr)
+    gaps = {k: sorted({t for t, *_ in v}) for k, v in by.items()}
+    assert got["gaps"] == sorted([(k, max((b - a for a, b in zip(v, v[1:])), default=None)) for k, v in gaps.items()], key=repr)

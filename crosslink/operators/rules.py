@@ -198,12 +198,12 @@ def triage(expected: Column, blocked: Column, in_scope: Column) -> Column:
     return cascade({"no_expected_predicates": F.size(expected) <= 0, "schema_blocked": blocked, "out_of_scope": ~in_scope}, "scoreable")
 
 
-def reachability(pairs: DataFrame, relations: DataFrame, collapsing: list[str], modifiers: bool) -> DataFrame:
+def reachability(pairs: DataFrame, relations: DataFrame, collapsing: list[str], modifiers: bool | Column) -> DataFrame:
     """pair_id, bucket: how far a pair of sentences can be told apart or put together by its expected predicates.
 
     pairs: pair_id, label, failure_mode, predicates_a, predicates_b (arrays, any of them acceptable); relations: from_id, to_id,
     relation, ord, unordered pairs, of several the last by ord holds. ``modifiers``: whether modifier roles and an inflection value are
-    declared (see ``modifiers_declared``). A pair labelled same-object counts as linked if any of its pairings of different
+    declared, as a value or as the scalar of ``modifiers_declared``. A pair labelled same-object counts as linked if any of its pairings of different
     predicates has a collapsing relation.
     """
     a, b = (F.array_sort(F.coalesce(F.col(f"predicates_{s}"), F.array().cast("array<string>"))) for s in "ab")
@@ -256,6 +256,48 @@ def publication_violations(modules: DataFrame, approved: DataFrame, notice: list
     return out.select("path", code.alias("code")).filter("code <> ''")
 
 
+def module_identity(declared: DataFrame, observed: DataFrame) -> DataFrame:
+    """path, code: selected modules that can't be read, or whose SHA-256 or length is not the declared one, whatever their disposition. declared: path, sha256, byte_count; observed: path, sha256, length (as ``scan_files`` gives them)."""
+    there = observed.select("path", F.col("sha256").alias("__sha"), F.col("length").alias("__length"))
+    changed = (F.col("sha256") != F.col("__sha")) | (F.col("byte_count") != F.col("__length"))
+    code = cascade({"MODULE_UNREADABLE": F.col("__sha").isNull(), "MODULE_IDENTITY_CHANGED": changed}, "")
+    return declared.join(there, "path", "left").select("path", code.alias("code")).filter("code <> ''")
+
+
+#: What an approved notice must grant, word for word.
+GRANT = ["IEEE hereby grants Licensee", "prepare derivative works", "appropriately acknowledged"]
+#: The lines of an attribution; commit, path, sha256, acknowledgement and notice are put in.
+ATTRIBUTION = """SUMO bounded linguistic context
+Source: https://github.com/ontologyportal/sumo at {commit}
+Source module: {path} ({sha256})
+Acknowledgement: {acknowledgement}
+Only derived bounded facts are packaged; the raw module and full projection are not.
+
+Exact source license notice:
+"""
+
+
+def attributions(modules: DataFrame, approved: DataFrame, commit: str, phrases: list[str] = GRANT) -> DataFrame:
+    """path, code, attribution, notice_sha256 for approved modules: the acknowledgement with the exact lines of the notice.
+
+    modules: path, text; approved: path, sha256, acknowledgement, first_line, last_line (from 1). The lines lose their trailing
+    blanks. code is null where all is well; else the attribution is: MODULE_ABSENT, NOTICE_RANGE (the module has fewer lines),
+    GRANT_MISSING (one of ``phrases`` is not in the notice).
+    """
+    from crosslink.functions.texts import missing_phrases
+
+    rows = approved.join(modules.select("path", "text"), "path", "left").withColumn("__lines", F.split("text", r"\r\n|\r|\n"))
+    part = F.transform(F.slice("__lines", F.col("first_line"), F.col("last_line") - F.col("first_line") + 1), lambda x: F.regexp_replace(x, r"\s+$", ""))
+    ended = F.size("__lines") - F.when(F.element_at("__lines", -1) == "", 1).otherwise(0)  # a line break at the end begins no line
+    rows = rows.withColumn("__notice", F.when(ended >= F.col("last_line"), F.concat(F.array_join(part, "\n"), F.lit("\n"))))
+    code = cascade({"MODULE_ABSENT": F.col("text").isNull(), "NOTICE_RANGE": F.col("__notice").isNull(), "GRANT_MISSING": F.size(missing_phrases(F.col("__notice"), phrases)) > 0}, "")
+    text = F.lit(ATTRIBUTION.replace("{commit}", commit))
+    for name in ("sha256", "acknowledgement", "path"):
+        text = F.replace(text, F.lit(f"{{{name}}}"), F.coalesce(F.col(name).cast("string"), F.lit("")))
+    fine = code == ""
+    return rows.select("path", F.nullif(code, F.lit("")).alias("code"), F.when(fine, F.concat(text, "__notice")).alias("attribution"), F.when(fine, F.sha2("__notice", 256)).alias("notice_sha256"))
+
+
 def completeness(parsed: Column, repaired: Column, issues: Column) -> Column:
     return F.when(issues > 0, "incomplete").when(repaired > 0, "complete_with_repairs").otherwise("complete")
 

@@ -46,12 +46,12 @@ def append_reviews(t):
     return rules.append_reviews(x, t.orders.filter(k % 7 == 0).select(sha, F.when(k % 2 == 0, "verified").otherwise("rejected").alias("outcome")))
 
 
-@query("""WITH x AS (SELECT o_orderkey AS record_id, o_custkey AS canonical_id, o_orderkey % 1000 AS source_id FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 4 <> 0), tx AS (SELECT doc_id AS id, left(text, 30) AS text FROM documents), ti AS (SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal > 9000)
+@query("""WITH x AS (SELECT o_orderkey AS record_id, o_custkey AS canonical_id, o_orderkey % 1000 AS source_id FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 4 <> 0), tx AS (SELECT doc_id AS id, text FROM documents), ti AS (SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal > 9000)
 SELECT record_id, canonical_id, source_id, a.text AS canonical_id_text, b.text AS source_id_text, canonical_id IN (SELECT * FROM ti) AS tied FROM x JOIN tx a ON a.id = canonical_id JOIN tx b ON b.id = source_id ORDER BY tied DESC, record_id LIMIT 40""")
 def select_review_rows(t):
     k = F.col("o_orderkey")
     x = t.orders.select(k.alias("record_id"), F.col("o_custkey").alias("canonical_id"), (k % 1000).alias("source_id"), F.when(F.col("o_orderstatus") == "O", "candidate").otherwise("unresolved").alias("state"))
-    texts = t.documents.select(F.col("doc_id").alias("id"), F.left("text", F.lit(30)).alias("text"))
+    texts = t.documents.select(F.col("doc_id").alias("id"), "text")
     return match.review_rows(x, t.orders.filter(k % 4 == 0).select(k.alias("record_id")), texts, t.customer.filter("c_acctbal > 9000").select(F.col("c_custkey").alias("canonical_id")), 40)
 
 
@@ -221,7 +221,7 @@ def reachability_buckets(t):
     total = F.left("from_id", F.lit(1)).cast("int") + F.left("to_id", F.lit(1)).cast("int")
     rel = both.select(F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"), F.when(total % 3 == 0, "closeMatch").otherwise("related").alias("relation"), F.lit(0).alias("ord"))
     declared = rules.modifiers_declared(t.lineitem.select(F.col("l_returnflag").alias("label")), t.lineitem.select(F.when(F.col("l_shipdate").isNotNull(), "inflection").alias("value_type_id")), ["A", "R"], "inflection")
-    return rules.reachability(p, rel, ["exactMatch", "closeMatch"], declared.first()["declared"])
+    return rules.reachability(p, rel, ["exactMatch", "closeMatch"], declared.select("declared").scalar())
 
 
 @query("""SELECT 's' || (p_size % 11) AS schema_id, count(*) AS n_roles, CAST(count_if(p_partkey % 4 <> 0) AS BIGINT) AS grounded, CAST(count_if(p_partkey % 4 = 0) AS BIGINT) AS ungrounded, CAST(count_if(p_partkey % 3 = 0 OR p_partkey % 3 > 1) AS BIGINT) AS repeatable FROM part GROUP BY 1""")
@@ -273,6 +273,25 @@ def publication_dispositions(t):
     return rules.dispositions(t.documents.select(k, "text"), t.documents.filter("doc_id % 2 = 0").select(k), NOTICE)
 
 
+@query("""SELECT doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'MODULE_UNREADABLE' ELSE 'MODULE_IDENTITY_CHANGED' END AS code FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 OR doc_id % 11 = 0""")
+def module_identity(t):
+    """Of all documents, approved or not, those that are gone or have another hash or length than declared."""
+    k, sha, size = F.col("doc_id"), F.sha2("text", 256), F.octet_length("text")
+    declared = t.documents.select(k.alias("path"), F.when(k % 7 == 0, "-").otherwise(sha).alias("sha256"), F.when(k % 11 == 0, size + 1).otherwise(size).alias("byte_count"))
+    return rules.module_identity(declared, t.documents.filter(k % 5 > 0).select(k.alias("path"), sha.alias("sha256"), size.alias("length")))
+
+
+@query("""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents), n AS (SELECT *, len(ls) - CASE WHEN ls[-1] = '' THEN 1 ELSE 0 END AS lines, array_to_string(list_transform(ls[2:3], lambda x: rtrim(x)), chr(10)) || chr(10) AS notice FROM d),
+c AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'MODULE_ABSENT' WHEN lines < 3 THEN 'NOTICE_RANGE' WHEN NOT contains(notice, 'th') OR NOT contains(notice, '.') THEN 'GRANT_MISSING' END AS code FROM n)
+SELECT doc_id AS path, code, CASE WHEN code IS NULL THEN 'SUMO bounded linguistic context' || chr(10) || 'Source: https://github.com/ontologyportal/sumo at c0ffee' || chr(10) || 'Source module: ' || doc_id || ' (' || sha256(text) || ')' || chr(10) || 'Acknowledgement: thanks' || chr(10)
+ || 'Only derived bounded facts are packaged; the raw module and full projection are not.' || chr(10) || chr(10) || 'Exact source license notice:' || chr(10) || notice END AS attribution, CASE WHEN code IS NULL THEN sha256(notice) END AS notice_sha256 FROM c""")
+def attributions(t):
+    """Lines two and three of each document as its notice, which must hold two phrases."""
+    k = F.col("doc_id").alias("path")
+    approved = t.documents.select(k, F.sha2("text", 256).alias("sha256"), F.lit("thanks").alias("acknowledgement"), F.lit(2).alias("first_line"), F.lit(3).alias("last_line"))
+    return rules.attributions(t.documents.filter("doc_id % 5 > 0").select(k, "text"), approved, "c0ffee", ["th", "."])
+
+
 @query(f"WITH {HEADS}, ap AS (SELECT doc_id AS path, CASE WHEN doc_id % 6 = 0 THEN '-' ELSE sha256(text) END AS s FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT -page_id - 1, '-' FROM pages) SELECT path, CASE WHEN kind IS NULL THEN 'APPROVED_MODULE_ABSENT' WHEN s <> sha256(text) THEN 'APPROVED_HASH_CHANGED' ELSE 'APPROVED_NOTICE_MISSING' END AS code FROM ap LEFT JOIN hc ON doc_id = path WHERE kind IS NULL OR s <> sha256(text) OR kind <> 'approved_notice'")
 def publication_violations(t):
     k = F.col("doc_id")

@@ -200,6 +200,17 @@ def dead_letter(t):
     return files.dead_letter(rows, "error")[2]
 
 
+@query("""SELECT doc_id, CASE WHEN length(text) % 7 = 0 THEN 'ZeroDivisionError' ELSE 'KeyError' END AS error_type, CASE WHEN length(text) % 7 = 0 THEN 'division by zero' ELSE chr(39) || lang || chr(39) END AS error_message FROM documents WHERE length(text) % 7 = 0 OR lang <> 'en'""")
+def failed_rows(t):
+    """Rows whose processing raised, from the side table, with the type and the message of the error."""
+    sizes = {"en": 1}
+    tried = files.attempt(t.documents.select("doc_id", "text", "lang"), lambda r: {"share": len(r["text"]) / (len(r["text"]) % 7) / sizes[r["lang"]]}, "share double")
+    path = scratch(t.spark, "failed")
+    remove_at_end(t.spark, path)
+    files.dead_letter(tried, "error_message", path=path, keys=["doc_id", "error_type"])
+    return t.spark.read.schema("doc_id long, error_type string, error_message string").json(path)
+
+
 def xml_files(t):
     """Parts as files of a hundred rolesets."""
     n = F.col("p_size") % 4
@@ -333,7 +344,7 @@ def stream_reviews(t):
 
 
 @query("SELECT event_id AS record_id, true AS before FROM events")
-def append_reviews(t):
+def stream_append_reviews(t):
     """Each event twice as a stream of reviews over two runs and many batches; between the runs the last batch is run again, a batch fails before its commit, and old reviews come again long after the watermark. Each review stands in the table once."""
     rows = t.events.select(F.col("event_id").alias("record_id"), "ts")
     path, out, at = put(t, rows.unionByName(rows).repartition(4, F.xxhash64("record_id", "ts"), F.rand(7)), "reviews", "parquet"), scratch(t.spark, "reviews-once"), scratch(t.spark, "progress")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from crosslink.scratch import written
 from crosslink.sources.lines import channel_lines, numbered_lines, relative
 
 
@@ -110,9 +115,41 @@ def resume(rows: DataFrame, checkpoint: str, key: str, process) -> DataFrame:
     return spark.read.parquet(checkpoint)
 
 
-def dead_letter(df: DataFrame, error: str, most: int = 2000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(good rows, failed rows with their message cut to ``most``, counts attempted / completed / failed)."""
-    good = df.filter(F.col(error).isNull()).drop(error)
-    bad = df.filter(F.col(error).isNotNull()).withColumn(error, F.left(error, F.lit(most)))
-    counts = df.agg(F.count("*").alias("attempted"), F.count_if(F.col(error).isNull()).cast("long").alias("completed"), F.count_if(F.col(error).isNotNull()).cast("long").alias("failed"))
-    return good, bad, counts
+def attempt(df: DataFrame, process: Callable[[dict], dict], schema: str, most: int = 2000) -> DataFrame:
+    """``df`` with the fields of ``schema`` that ``process`` makes of each row, error_type and error_message (cut to ``most``): a row whose processing raises keeps its own columns, has no result, and the others go on."""
+    own, fields = df.schema, T.StructType.fromDDL(schema)
+    every = T.StructType([*own.fields, *[T.StructField(f.name, f.dataType) for f in fields], T.StructField("error_type", T.StringType()), T.StructField("error_message", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(fields)
+        for batch in batches:
+            made, types, messages = [], [], []
+            for row in batch.to_pylist():
+                try:
+                    made.append(process(row))
+                    types.append(None)
+                    messages.append(None)
+                except Exception as e:  # what failed is a row of the result
+                    made.append({})
+                    types.append(type(e).__name__)
+                    messages.append(str(e)[:most])
+            columns = [pa.array([m.get(f.name) for m in made], f.type) for f in kinds]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns, pa.array(types, pa.string()), pa.array(messages, pa.string())], names=every.names)
+
+    return df.mapInArrow(run, every)
+
+
+def dead_letter(df: DataFrame, error: str, most: int = 2000, path: str | None = None, keys: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(good rows, failed rows with their message cut to ``most``, counts attempted / completed / failed).
+
+    ``df`` is worked out once, written and counted in one job, so good and failed rows add up even if its errors don't come the same
+    way twice. With ``path``, the failed rows (columns ``keys`` and the message; all, without them) are appended as lines of JSON.
+    """
+    failed, seen = F.col(error).isNotNull(), Observation()
+    counted = [F.count(F.lit(1)).alias("attempted"), F.count_if(~failed).cast("long").alias("completed"), F.count_if(failed).cast("long").alias("failed")]
+    done = written(df.observe(seen, *counted), "attempted")
+    good = done.filter(~failed).drop(error)
+    bad = done.filter(failed).withColumn(error, F.left(error, F.lit(most)))
+    if path:
+        bad.select(*(keys or [c for c in bad.columns if c != error]), error).write.mode("append").json(path)
+    return good, bad, df.sparkSession.createDataFrame([tuple(seen.get[n] for n in ("attempted", "completed", "failed"))], "attempted long, completed long, failed long")

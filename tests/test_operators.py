@@ -353,3 +353,18 @@ def test_a_key_with_most_rows_is_in_many_ranges(spark):
     assert got["repeated"] == sorted([(k, e, s, "REPEATED") for k, _, e, f, s in pairs if f == s] + [(k, None, None, "TOO_FEW") for k, v in by.items() if len(v) < 2], key=repr)
     gaps = {k: sorted({t for t, *_ in v}) for k, v in by.items()}
     assert got["gaps"] == sorted([(k, max((b - a for a, b in zip(v, v[1:])), default=None)) for k, v in gaps.items()], key=repr)
+
+
+def test_identity_of_all_modules_and_attribution(spark):
+    frame = spark.createDataFrame
+    declared = frame([("a", "s", 3), ("b", "s", 3), ("c", "s", 3), ("d", "s", 3)], "path string, sha256 string, byte_count int")
+    observed = frame([("a", "s", 3), ("b", "t", 3), ("c", "s", 4), ("x", "s", 1)], "path string, sha256 string, length long")
+    assert rows(rules.module_identity(declared, observed)) == {("b", "MODULE_IDENTITY_CHANGED"), ("c", "MODULE_IDENTITY_CHANGED"), ("d", "MODULE_UNREADABLE")}
+    notice = ";; IEEE hereby grants Licensee  \n;; to prepare derivative works\t\n;; if appropriately acknowledged\n"
+    modules = frame([("m", "; head\r\n" + notice + "(a b)"), ("short", "; head\n"), ("other", "x\n" + notice.replace("derivative", "any"))], "path string, text string")
+    approved = frame([(p, "f00", "Thanks.", 2, 4) for p in ("m", "short", "other", "gone")], "path string, sha256 string, acknowledgement string, first_line int, last_line int")
+    got = {r.path: r for r in rules.attributions(modules, approved, "c0ffee").collect()}
+    assert {p: r.code for p, r in got.items()} == {"m": None, "short": "NOTICE_RANGE", "other": "GRANT_MISSING", "gone": "MODULE_ABSENT"}
+    kept = "\n".join(x.rstrip() for x in notice.split("\n"))
+    assert got["m"].attribution.endswith("Exact source license notice:\n" + kept) and "Source module: m (f00)\nAcknowledgement: Thanks.\n" in got["m"].attribution
+    assert got["m"].notice_sha256 == __import__("hashlib").sha256(kept.encode()).hexdigest() and got["other"].attribution is None

@@ -70,6 +70,29 @@ def test_write_resume_dead_letter(spark, tmp_path):
     assert good.columns == ["id"] and good.count() == 3 and {len(r.error) for r in bad.collect()} == {2000} and tuple(n.first()) == (5, 3, 2)
 
 
+def test_errors_are_rows(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i == 4 else str(i)) for i in range(6)], "id long, text string")
+
+    def process(row):
+        if row["id"] == 2:
+            raise KeyError("x" * 3000)
+        return {"half": 6 / int(row["text"]), "more": [row["text"]]}
+
+    tried = files.attempt(df, process, "half double, more array<string>")
+    got = {r.id: (r.half, r.more, r.error_type, len(r.error_message or "")) for r in tried.collect()}
+    assert got[3] == (2.0, ["3"], None, 0) and got[0][2] == "ZeroDivisionError" and got[2][:3] == (None, None, "KeyError") and got[2][3] == 2000 and got[4][2] == "TypeError"
+    side, seen = str(tmp_path / "side"), spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        seen.add(1)
+        return process(row)
+
+    good, bad, n = files.dead_letter(files.attempt(df, counted, "half double, more array<string>"), "error_message", path=side, keys=["id", "error_type"])
+    assert tuple(n.first()) == (6, 3, 3) and good.count() == bad.count() == 3 and seen.value == 6  # worked out once
+    files.dead_letter(tried.filter("id = 0"), "error_message", path=side, keys=["id", "error_type"])
+    assert sorted((r.id, r.error_type) for r in spark.read.json(side).collect()) == [(0, "ZeroDivisionError"), (0, "ZeroDivisionError"), (2, "KeyError"), (4, "TypeError")]
+
+
 PB = '<frameset><predicate lemma="leave"><roleset id="leave.01" name="go"><aliases><alias pos="v">leave</alias></aliases><roles><role n="0" f="PAG" descr="leaver"/><role n="1" f="PPT" descr="place"/></roles></roleset><roleset id="leave.02" name="give"/></predicate></frameset>'
 
 

@@ -50,15 +50,26 @@ def row_keys() -> list[Column]:
     return [F.xxhash64("doc_id").alias("k1"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k2")]
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores before it until no column is called so."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def one_row_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """Of each root of ``groups`` (k1, k2, doc_id, root; a row for each row of ``docs``) one row of ``docs``, unchanged: that of the smallest id, nulls last.
 
     The rows that stay are joined by both keys, so each text moves once and rows with null or repeated ids stay apart.
     """
+    keys = fresh(docs.columns, "__k1", "__k2")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("least")
-    kept = groups.groupBy("root").agg(least).select(F.col("least.k1").alias("__k1"), F.col("least.k2").alias("__k2"))
-    own = docs.select("*", *[k.alias(f"__{c}") for k, c in zip(row_keys(), ("k1", "k2"))])
-    return own.join(kept, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = groups.groupBy("root").agg(least).select(*[F.col(f"least.{c}").alias(k) for c, k in zip(("k1", "k2"), keys)])
+    own = docs.select("*", *[c.alias(k) for c, k in zip(row_keys(), keys)])
+    return own.join(kept, keys, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def plain_strings(column: pa.Array) -> pa.Array:

@@ -189,7 +189,8 @@ def scan(docs: DataFrame, rarity: list[list[str]] | None = None) -> DataFrame:
     rarity = rarity or by_rarity(word_counts(docs))
     out = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     own = [c for c in docs.columns if c not in out]
-    df = with_words(docs.select(*[f"`{c}`" for c in own]))
+    # the caller's columns are numbered here, so that no name of theirs meets one of these steps
+    df = with_words(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)], F.col("text").alias("text")))
 
     # plain search: each word stands as " word ", so places can't overlap and two blanks are one word
     df = df.withColumn("__text", F.when(F.arrays_overlap("__words", strings(["license", "cc"])), F.concat(F.lit(" "), F.array_join("__words", "  "), F.lit(" "))))
@@ -216,34 +217,32 @@ def scan(docs: DataFrame, rarity: list[list[str]] | None = None) -> DataFrame:
     every = F.sequence(F.lit(0), F.lit(len(TEMPLATES) - 1))
     may = F.filter(every, lambda t: F.size(F.array_except(F.get(keys, t), F.col("__there"))) == 0)
     df = df.withColumn("__may", F.transform(may, lambda t: F.struct(t.alias("t"), F.slice(F.array_intersect(F.get(ordered, t), F.col("__there")), 1, ANCHORS).alias("anchors"))))
-    size = lambda c: F.size(F.filter(F.get(places_of, c["t"]), lambda w: F.array_contains(c["anchors"], w)))
-    df = df.withColumn("__may", F.transform("__may", lambda c: F.struct(c["t"].alias("t"), c["anchors"].alias("anchors"), size(c).alias("size"))))
+    # postings of a template: the places of each of these words
+    standing = lambda c: F.transform(c["anchors"], lambda a: F.array_compact(F.transform(F.get(places_of, c["t"]), lambda w, p: F.when(w == a, p))))
+    df = df.withColumn("__may", F.transform("__may", lambda c: F.struct(c["t"].alias("t"), c["anchors"].alias("anchors"), standing(c).alias("postings"))))
+    size = lambda c: F.size(F.flatten(c["postings"]))
+    df = df.withColumn("__may", F.transform("__may", lambda c: F.struct(c["t"].alias("t"), c["anchors"].alias("anchors"), c["postings"].alias("postings"), size(c).alias("size"))))
 
-    # each place of such a word in the file against each of its places in the template: template and relative position in one number
+    # each place of such a word in the file against the postings of the word: template and relative position in one number
     looked_up = F.array_distinct(F.flatten(F.transform("__may", lambda c: c["anchors"])))
     df = df.withColumn("__looked", F.when(F.size("__may") > 0, looked_up))
     numbered = F.filter(F.transform("__words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))), lambda x: F.array_contains("__looked", x["w"]))
     df = df.withColumn("__at", F.when(F.size("__may") > 0, numbered))
 
     def codes_of(c: Column) -> Column:
-        def meet(x: Column) -> Column:
-            same = F.transform(F.get(places_of, c["t"]), lambda w, p: F.when(w == x["w"], c["t"].cast("long") * TURN + SHIFT + x["i"] - p))
-            return F.array_compact(same)
-
-        return F.flatten(F.transform(F.filter("__at", lambda x: F.array_contains(c["anchors"], x["w"])), meet))
+        posted = lambda x: F.get(c["postings"], F.array_position(c["anchors"], x["w"]).cast("int") - 1)
+        return F.flatten(F.transform(F.filter("__at", lambda x: F.array_contains(c["anchors"], x["w"])), lambda x: F.transform(posted(x), lambda p: c["t"].cast("long") * TURN + SHIFT + x["i"] - p)))
 
     template = lambda code: F.shiftright(code, 32).cast("int")
     df = df.withColumn("__codes", F.when(F.size("__may") > 0, F.array_sort(F.flatten(F.transform("__may", codes_of)))))
-    run = "struct<code:bigint,n:int>"
     size_of = lambda code: F.get(F.filter("__may", lambda c: c["t"] == template(code)), F.lit(0))["size"]
-    one = lambda acc: F.struct(acc["code"].alias("code"), acc["n"].alias("n"))
-    runs = F.aggregate(
-        "__codes",
-        F.struct(F.lit(-1).cast("long").alias("code"), F.lit(0).alias("n"), F.array().cast(f"array<{run}>").alias("done")),
-        lambda acc, x: F.when(acc["code"] == x, F.struct(acc["code"].alias("code"), (acc["n"] + 1).alias("n"), acc["done"].alias("done"))).otherwise(F.struct(x.alias("code"), F.lit(1).alias("n"), F.concat(acc["done"], F.array(one(acc))).alias("done"))),
-        lambda acc: F.concat(acc["done"], F.array(one(acc))),
-    )
-    df = df.withColumn("__runs", F.filter(runs, lambda r: (r["code"] >= 0) & (r["n"] >= F.ceil(size_of(r["code"]) * SHARE))))
+    # equal codes stand together: where each run begins, and its length from there to the next one
+    code = lambda i: F.get("__codes", i.cast("int"))
+    begins = F.filter(F.sequence(F.lit(0), F.size("__codes") - 1), lambda i: (i == 0) | (code(i) != code(i - 1)))
+    df = df.withColumn("__begins", F.when(F.size("__codes") > 0, begins))
+    length = lambda i, k: (F.coalesce(F.get("__begins", k + 1), F.size("__codes")) - i).cast("int")
+    runs = F.transform("__begins", lambda i, k: F.struct(code(i).alias("code"), length(i, k).alias("n")))
+    df = df.withColumn("__runs", F.filter(runs, lambda r: r["n"] >= F.ceil(size_of(r["code"]) * SHARE)))
 
     # mandatory phrases at their places
     phrases = [F.array(*[F.struct(F.lit(place_of(words, k.split())).alias("at"), F.lit(len(k.split())).alias("n"), F.lit(k).alias("text")) for k in must]) for words, (_, _, must) in zip(WORDS, TEMPLATES)]
@@ -258,7 +257,7 @@ def scan(docs: DataFrame, rarity: list[list[str]] | None = None) -> DataFrame:
     more = F.transform("__sure", lambda r: F.element_at(names, r["t"] + 1))
     best = F.array_max(F.transform("__sure", lambda r: r["share"]))
     return df.select(
-        *[f"`{c}`" for c in own],
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(own)],
         F.size("__words").cast("long").alias("n_words"),
         F.aggregate("__places", F.lit(0).cast("long"), lambda a, p: a + p["n"]).alias("n_base"),
         F.array_min(F.transform("__places", lambda p: p["first"])).alias("first_word"),

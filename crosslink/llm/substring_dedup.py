@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.llm.common import partitions, slices, words_of
+from crosslink.llm.common import fresh, partitions, slices, words_of
 
 #: Perfect difference covers, by period.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -246,10 +246,10 @@ def kept_texts(docs: DataFrame, window: int = 35, original: bool = False) -> Dat
 
 def with_kept(docs: DataFrame, per_text: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` with ``columns`` of ``per_text``, which replace columns of the same names."""
-    keys, old = [F.col(f"own.{c}").alias(f"__{c}") for c in ID], [c for c in docs.columns if c not in columns]
-    own = docs.alias("own").select(*[F.col(f"own.`{c}`") for c in old], *[x.alias(f"__{c}") for x, c in zip(text_id("own.text"), ID)])
-    new = per_text.select(*[F.col(c).alias(f"__{c}") for c in ID], *columns)
-    return own.join(new, [f"__{c}" for c in ID]).select(*[f"`{c}`" for c in old], *columns)
+    old, keys = [c for c in docs.columns if c not in columns], fresh([*docs.columns, *columns], *(f"__{c}" for c in ID))
+    own = docs.alias("own").select(*[F.col(f"own.`{c}`") for c in old], *[x.alias(k) for x, k in zip(text_id("own.text"), keys)])
+    new = per_text.select(*[F.col(c).alias(k) for c, k in zip(ID, keys)], *columns)
+    return own.join(new, keys).select(*[f"`{c}`" for c in old], *columns)
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, counts: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
@@ -263,7 +263,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, counts: tuple[str, str] =
     """
     # the text comes back with its result, so that it isn't shuffled a second time; only whether it was null goes along
     kept = kept_texts(docs, window, True).select(*ID, F.col("kept").alias("text"), F.col("n_words").alias(counts[0]), F.col("n_removed").alias(counts[1]))
-    found = with_kept(docs.withColumn("__null", F.col("text").isNull()), kept, ["text", *counts])
-    text = F.when(~F.col("__null"), F.col("text")).alias("text")
+    null = fresh([*docs.columns, *counts], "__null")[0]
+    found = with_kept(docs.withColumn(null, F.col("text").isNull()), kept, ["text", *counts])
+    text = F.when(~F.col(null), F.col("text")).alias("text")
     more = [c for c in counts if c not in docs.columns]
     return found.select(*[text if c == "text" else F.col(f"`{c}`") for c in [*docs.columns, *more]])

@@ -20,6 +20,8 @@ SIZES = (3, 4, 5)
 GAP = "\0" * max(SIZES)
 SLICE = 1 << 20
 BLOCK = 256
+#: A text of so many distinct n-grams takes its weights as they are.
+TYPICAL = 2000.0
 
 
 def ngram_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +52,11 @@ def _stamps(bits: int) -> np.ndarray:
     return np.zeros(1 << bits, np.int32)
 
 
+def evened(n):
+    """What each of a text's ``n`` distinct n-grams weighs: with more of them each says less, so that long texts are judged on the scale of short ones."""
+    return np.sqrt(TYPICAL / np.maximum(n, 1))
+
+
 @dataclass
 class Model:
     """weights: of each hashed n-gram that a text holds, the naive Bayes ratio included; bias: log odds without any."""
@@ -58,7 +65,8 @@ class Model:
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        sums = np.array([self.weights[distinct(ngram_features([t])[0])].sum(dtype=np.float64) for t in texts])
+        found = [distinct(ngram_features([t])[0]) for t in texts]
+        sums = np.array([self.weights[f].sum(dtype=np.float64) * evened(len(f)) for f in found])
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -500, 500)))
 
 
@@ -95,8 +103,8 @@ def fit(texts: list[bytes], labels: list[int], prior: float, rounds: int = 80, p
         image, scaled = np.zeros(len(seen) + 1), along[:-1] * scale
         for i, (c, z) in enumerate(blocks):
             r = rows(i, z)
-            met = (np.bincount(r, scaled[c], len(z)) + along[-1]) * weight[i * BLOCK : i * BLOCK + len(z)]
-            image[:-1] += np.bincount(c, met[r], len(seen))
+            met = (np.bincount(r, scaled[c], len(z)) * evened(z) + along[-1]) * weight[i * BLOCK : i * BLOCK + len(z)]
+            image[:-1] += np.bincount(c, (met * evened(z))[r], len(seen))
             image[-1] += met.sum()
         image[:-1] *= scale
         most, along = float((along * image).sum()), image
@@ -106,9 +114,9 @@ def fit(texts: list[bytes], labels: list[int], prior: float, rounds: int = 80, p
         gradient, bias_gradient, scaled = np.zeros(len(seen)), 0.0, ahead * scale
         for i, (c, z) in enumerate(blocks):
             r, at = rows(i, z), slice(i * BLOCK, i * BLOCK + len(z))
-            p = 1 / (1 + np.exp(-np.clip(np.bincount(r, scaled[c], len(z)) + bias_ahead, -500, 500)))
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(r, scaled[c], len(z)) * evened(z) + bias_ahead, -500, 500)))
             off = (p - y[at]) * weight[at]
-            gradient += np.bincount(c, off[r], len(seen))
+            gradient += np.bincount(c, (off * evened(z))[r], len(seen))
             bias_gradient += off.sum()
         new, new_bias, speed = ahead - step * (gradient * scale + penalty * 1e-4 * ahead), bias_ahead - step * bias_gradient, k / (k + 3)
         ahead, bias_ahead = new + speed * (new - w), new_bias + speed * (new_bias - bias)

@@ -3,6 +3,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.test_near_copies import groups
 from tests.llm.test_substring_dedup import brute
 from tests.llm.test_token_orc import plain
@@ -107,3 +108,19 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, SF)
     assert now.count() == 0 and now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_columns_called_like_steps(spark, sf_dir):
+    """Columns with the names that the stages use inside come through unchanged, in value and type."""
+    from crosslink.llm import licenses
+
+    names = ["__k1", "__K2", "__t1", "_t2", "__null", "__words", "__removed", "own", "__score", "__predicted", "__held_out", "c0", "c1", "k1", "held_out", "a.b", "__codes", "__may", "least", "root", "m0"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.filter("doc_id < 60").select("*", *[(F.col("doc_id") * 10 + i).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and [t for n, t in out.dtypes] == [t for n, t in docs.dtypes], name
+        rows = out.collect()
+        assert rows and all(tuple(r)[-len(names) :] == tuple(r.doc_id * 10 + i for i in range(len(names))) for r in rows), name
+    found = licenses.scan(docs)
+    assert found.columns[: len(docs.columns)] == docs.columns and all(tuple(r)[len(docs.columns) - 1] == r.doc_id * 10 + len(names) - 1 for r in found.collect())

@@ -21,11 +21,21 @@ def test_toxic_rows_are_caught(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
-    rows = T.score(docs, T.train(docs, labels)).join(labels, "doc_id").filter("held_out").select("predicted", "toxic").collect()
+    rows = T.score(docs, T.train(docs, labels)).join(labels, "doc_id").filter("held_out").select("predicted", "toxic", "score", F.length("text").alias("size")).collect()
     toxic = [r.predicted for r in rows if r.toxic]
     found = sum(toxic) / len(toxic)
     print("recall", found, "of", len(toxic), "precision", sum(toxic) / sum(r.predicted for r in rows))
     assert found >= 0.5 and sum(toxic) >= 0.98 * sum(r.predicted for r in rows)
+    assert area(rows) >= 0.94
+    sizes = [(0, 1000), (1000, 5000), (5000, 10000), (10000, 1 << 40)]
+    assert all(area([r for r in rows if low <= r.size < high]) >= 0.88 for low, high in sizes)  # and by length: long texts too
+
+
+def area(rows):
+    """The share of pairs of a toxic and another row in which the toxic one has the higher score."""
+    other = np.sort([r.score for r in rows if not r.toxic])
+    toxic = np.array([r.score for r in rows if r.toxic])
+    return float((np.searchsorted(other, toxic) + np.searchsorted(other, toxic, "right")).mean() / (2 * len(other)))
 
 
 def places(text):
@@ -47,7 +57,7 @@ def test_model_equals_plain_sum():
     model, texts = T.Model(weights, -1.0), ["", "aaa aaa", "Ünïcode İ \0 x", "word " * 50]
     together = model.scores(texts)
     for text, got in zip(texts, together):
-        assert np.isclose(got, 1 / (1 + np.exp(1 - sum(float(weights[f]) for f in places(text)))))
+        assert np.isclose(got, 1 / (1 + np.exp(1 - sum(float(weights[f]) for f in places(text)) * np.sqrt(T.TYPICAL / len(places(text))))), rtol=1e-4)
 
 
 def test_all_ngrams_are_kept():

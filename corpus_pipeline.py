@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crosslink.llm import bpe_table, decontaminate, simhash, substring_dedup, toxicity
-from crosslink.llm.common import small_batches, table, written
+from crosslink.llm.common import fresh, small_batches, table, written
 
 
 def same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -22,7 +22,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose toxicity score is below 0.5; the model learns from labelled rows of ``docs``."""
     small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return same_columns(toxicity.score(docs, model, 0.5, "__").filter("__predicted = 0"), docs)
+    prefix = "__"
+    while any(f"{prefix}{c}" in docs.columns for c in ("held_out", "score", "predicted")):
+        prefix += "_"
+    return same_columns(toxicity.score(docs, model, 0.5, prefix).filter(f"{prefix}predicted = 0"), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +37,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages of 35 words and more; a column n_chars, if there is one, follows a text that changes. Documents left without words stay, empty."""
     small_batches(spark)
-    kept = substring_dedup.remove_repeats(docs, 35, ("__words", "__removed"))
+    words, removed = fresh(docs.columns, "__words", "__removed")
+    kept = substring_dedup.remove_repeats(docs, 35, (words, removed))
     if "n_chars" in docs.columns:
-        changed = F.col("__removed") > 0
+        changed = F.col(removed) > 0
         kept = kept.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return same_columns(kept, docs)
 

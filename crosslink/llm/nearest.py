@@ -119,8 +119,7 @@ class Shard:
         for band in bands(length):
             unit = self.y[band] / length[band[0]]
             lifted = np.column_stack([unit, np.sqrt(np.maximum(1 - (unit**2).sum(axis=1), 0))])
-            small = len(band) <= 10 * k or target >= 1
-            self.bands.append((band, length[band[0]], None if small else Band(lifted, projections, threshold, target)))
+            self.bands.append((band, length[band[0]], None if target >= 1 else Band(lifted, projections, threshold, target)))
 
     def search(self, q: np.ndarray, own: int, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the k nearest found, those only that can exceed ``least`` (-inf: any)."""

@@ -21,7 +21,8 @@ def encode_sorted(docs: DataFrame, tokenizer: str, end_id: int, parts: int | Non
     """``docs`` (doc_id, text) dealt by ranges of doc_id, sorted, encoded, with ``end_id`` after each document.
 
     Null texts count as empty, null ids sort first; rows with the same doc_id stay separate rows, in order of their text.
-    Other columns are left out. An empty table gives no rows.
+    The ranges also go by the beginning of the text, so an id that very many rows have (null, say) is many tasks. Other columns
+    are left out. An empty table gives no rows.
     """
     parts = parts or partitions(docs.sparkSession)
 
@@ -41,7 +42,7 @@ def encode_sorted(docs: DataFrame, tokenizer: str, end_id: int, parts: int | Non
                 at += int(ends[-1])
 
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = dealt.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    dealt = dealt.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.left("text", F.lit(64))).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return dealt.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(encode, SCHEMA)
 
 

@@ -87,3 +87,17 @@ def test_files_have_indexes_and_skip(spark):
         assert len(df.collect()) == rows
         scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
         assert scan.metrics().apply("numOutputRows").value() <= most  # of 20,000 rows
+
+
+def test_an_id_of_most_rows_is_in_many_files(spark, tmp_path):
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, f"{i} copy") for i in range(300)] + [(i, "x y") for i in range(8, 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    path = f"file:{tmp_path}/hot"
+    token_orc.write_token_orc(docs, path, PATH, 2, parts=8)
+    read = token_orc.read_token_orc(spark, path)
+    parts = {k: {r.part for r in read.collect() if r.doc_id == k} for k in (None, 7)}
+    assert all(len(p) > 1 for p in parts.values())
+    spans = sorted(token_orc.token_spans(read).collect(), key=lambda r: r.start)
+    assert len(spans) == len(rows) and [r.start for r in spans] == [sum(x.n_tokens for x in spans[:i]) for i in range(len(spans))]
+    ids = [r.doc_id for r in spans]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))

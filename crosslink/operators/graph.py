@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.scratch import written
+from crosslink.scratch import remove_at_end, scratch, written
 
 
 def _pairs(edges: DataFrame) -> DataFrame:
@@ -61,12 +61,14 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     edges = edges.select("child", "parent").distinct()
     front = pairs.select("start", "target").distinct().withColumns({"at": F.col("start"), "n_paths": F.lit(1).cast("long"), "path": F.array("start")})
-    front, seen, done, depth = written(front, "front"), None, None, 0
+    front, path, done, depth = written(front, "front"), scratch(edges.sparkSession, "seen"), None, 0
+    remove_at_end(edges.sparkSession, path)
     while not front.isEmpty():
         hit = front.filter("at = target").select("start", "target", F.lit(depth).alias("length"), "n_paths", F.when(F.col("n_paths") == 1, F.col("path")).alias("path"))
         done = hit if done is None else done.unionByName(hit)
-        keys = front.select("start", "target", "at")  # the fronts are written; read together they are what was seen
-        seen = keys if seen is None else seen.unionByName(keys)
+        keys = front.select("start", "target", "at")
+        keys.write.mode("append").parquet(path)  # what was seen grows; nothing is rewritten
+        seen = edges.sparkSession.read.schema(keys.schema).parquet(path)
         open_ = front.join(hit.select("start", "target"), ["start", "target"], "left_anti")
         step = open_.join(edges, open_["at"] == edges.child).groupBy("start", "target", F.col("parent").alias("at")).agg(F.sum("n_paths").alias("n_paths"), F.first(F.concat("path", F.array("parent"))).alias("path"))
         front, depth = written(step.join(seen, ["start", "target", "at"], "left_anti"), "front"), depth + 1

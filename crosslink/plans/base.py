@@ -46,8 +46,10 @@ def donors(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_mktsegment").alias("family"), raw.alias("donor_id")).withColumn("normal_id", normal_sense_id(F.col("donor_id")))
 
 
-DONORS = """donors AS (SELECT c_mktsegment AS family, d AS donor_id, CASE WHEN regexp_full_match(d, '.+-[0-9]{2}') THEN regexp_replace(d, '^(.+)-([0-9]{2})$', '\\1.\\2') END AS normal_id
-  FROM (SELECT *, CASE WHEN c_custkey % 17 = 0 THEN 'bad_' || c_custkey ELSE 'c' || (c_custkey // 100) || '-' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') END AS d FROM customer))"""
+DONORS = """donors AS (SELECT c_mktsegment AS family, d AS donor_id,
+  CASE WHEN regexp_full_match(d, '.+-[0-9]{2}') THEN regexp_replace(d, '^(.+)-([0-9]{2})$', '\\1.\\2') END AS normal_id
+  FROM (SELECT *, CASE WHEN c_custkey % 17 = 0 THEN 'bad_' || c_custkey ELSE 'c' || (c_custkey // 100) || '-' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') END AS d
+  FROM customer))"""
 
 
 def sources(t: Tables) -> DataFrame:
@@ -60,7 +62,8 @@ def sources(t: Tables) -> DataFrame:
 SOURCES = """sources AS (SELECT DISTINCT c_mktsegment AS family, 'c' || (c_custkey // 100) || '.' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') AS source_id
   FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders))"""
 
-MATCHED = f"""{DONORS}, {SOURCES}, matched AS (SELECT d.*, CASE WHEN d.family = 'BUILDING' THEN 'source_unavailable' WHEN normal_id IS NULL THEN 'invalid' WHEN s.source_id IS NOT NULL THEN 'matched' ELSE 'missing' END AS status
+MATCHED = f"""{DONORS}, {SOURCES}, matched AS (SELECT d.*,
+  CASE WHEN d.family = 'BUILDING' THEN 'source_unavailable' WHEN normal_id IS NULL THEN 'invalid' WHEN s.source_id IS NOT NULL THEN 'matched' ELSE 'missing' END AS status
   FROM donors d LEFT JOIN sources s ON s.family = d.family AND s.source_id = d.normal_id)"""
 
 

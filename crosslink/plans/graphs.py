@@ -27,7 +27,9 @@ def cyclic(t):
     return t.part.select(tag("p", "p_partkey").alias("child"), F.concat(F.lit("p"), (k - k % 7 + (k % 7 + 1) % 7).cast("string")).alias("parent"))
 
 
-CLOSURE = f"""WITH RECURSIVE {EDGES}, every AS (SELECT * FROM edges UNION ALL SELECT * FROM cyclic), closure AS (SELECT child AS node, child AS ancestor FROM every UNION SELECT parent, parent FROM every UNION SELECT node, parent FROM closure JOIN every ON child = ancestor)"""
+CLOSURE = f"""WITH RECURSIVE {EDGES}, every AS (SELECT * FROM edges UNION ALL SELECT *
+  FROM cyclic), closure AS (SELECT child AS node, child AS ancestor FROM every UNION SELECT parent, parent FROM every UNION SELECT node, parent
+  FROM closure JOIN every ON child = ancestor)"""
 
 
 @query(f"{CLOSURE} SELECT * FROM closure")
@@ -55,9 +57,12 @@ def reaches_root(t):
 DAG = """dag AS (SELECT * FROM (SELECT p_partkey AS child, p_partkey + 1 + p_size % 3 AS parent FROM part UNION SELECT p_partkey, p_partkey + 2 FROM part) WHERE child // 12 = parent // 12)"""
 
 
-@query(f"""WITH RECURSIVE {DAG}, starts AS (SELECT DISTINCT child AS start FROM dag WHERE child % 4 = 0), walk AS (SELECT start, start AS cur, 0 AS length, CAST(start AS VARCHAR) AS path FROM starts UNION ALL SELECT start, parent, length + 1, path || '>' || parent FROM walk JOIN dag ON child = cur),
+@query(f"""WITH RECURSIVE {DAG}, starts AS (SELECT DISTINCT child AS start FROM dag
+  WHERE child % 4 = 0), walk AS (SELECT start, start AS cur, 0 AS length, CAST(start AS VARCHAR) AS path FROM starts
+  UNION ALL SELECT start, parent, length + 1, path || '>' || parent FROM walk JOIN dag ON child = cur),
 hit AS (SELECT start, cur, length, path FROM walk WHERE cur = start + 5), best AS (SELECT start, min(length) AS length FROM hit GROUP BY 1)
-SELECT start, start + 5 AS target, CAST(length AS INTEGER) AS length, count(*) AS n_paths, CASE WHEN count(*) = 1 THEN min(path) END AS path FROM hit JOIN best USING (start, length) GROUP BY start, length""")
+SELECT start, start + 5 AS target, CAST(length AS INTEGER) AS length, count(*) AS n_paths, CASE WHEN count(*) = 1 THEN min(path) END AS path FROM hit
+  JOIN best USING (start, length) GROUP BY start, length""")
 def unique_shortest_path(t):
     """Parts as nodes of graphs of twelve."""
     k = F.col("p_partkey")
@@ -67,7 +72,8 @@ def unique_shortest_path(t):
     return graph.shortest_paths(dag, pairs).withColumn("path", F.array_join(F.col("path").cast("array<string>"), ">"))
 
 
-@query("""WITH RECURSIVE v AS (SELECT 'v' || p_size AS version, CASE WHEN p_size > 1 THEN 'v' || (p_size // 2) END AS extends FROM (SELECT DISTINCT p_size FROM part) UNION ALL SELECT 'x', 'y' UNION ALL SELECT 'y', 'x' UNION ALL SELECT 'm', 'v1' UNION ALL SELECT 'm', 'v2'),
+@query("""WITH RECURSIVE v AS (SELECT 'v' || p_size AS version, CASE WHEN p_size > 1 THEN 'v' || (p_size // 2) END AS extends
+  FROM (SELECT DISTINCT p_size FROM part) UNION ALL SELECT 'x', 'y' UNION ALL SELECT 'y', 'x' UNION ALL SELECT 'm', 'v1' UNION ALL SELECT 'm', 'v2'),
 c AS (SELECT version AS node, version AS ancestor FROM v UNION SELECT node, extends FROM c JOIN v ON version = ancestor WHERE extends IS NOT NULL)
 SELECT node AS version, ancestor, CASE WHEN node IN ('x', 'y') THEN 'cycle' WHEN node = 'm' THEN 'several_parents' ELSE 'ok' END AS status FROM c""")
 def version_lineage(t):
@@ -77,12 +83,18 @@ def version_lineage(t):
     return graph.version_lineage(v.unionByName(odd))
 
 
-TYPES = f"""{CLOSURE}, slots AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role, CASE WHEN o_orderkey % 3 = 0 THEN 'n' || (o_custkey % 25) WHEN o_orderkey % 3 = 1 THEN 'r' || (o_custkey % 5) ELSE 'c' || o_custkey END AS type FROM orders),
-cons AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role, CASE WHEN o_custkey % 2 = 0 THEN 'n' || (o_custkey % 25) ELSE 'r' || (o_custkey % 5) END AS required_type FROM orders WHERE o_custkey % 20 < 12)"""
+TYPES = f"""{CLOSURE}, slots AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'n' || (o_custkey % 25) WHEN o_orderkey % 3 = 1 THEN 'r' || (o_custkey % 5) ELSE 'c' || o_custkey END AS type
+  FROM orders),
+cons AS (SELECT DISTINCT o_orderpriority || (o_custkey % 20) AS role,
+  CASE WHEN o_custkey % 2 = 0 THEN 'n' || (o_custkey % 25) ELSE 'r' || (o_custkey % 5) END AS required_type FROM orders WHERE o_custkey % 20 < 12)"""
 
 
-@query(f"""{TYPES}, p AS (SELECT s.role, s.type, c.required_type, s.type = c.required_type OR (s.type, c.required_type) IN (SELECT (node, ancestor) FROM closure) AS below, s.type = c.required_type OR (c.required_type, s.type) IN (SELECT (node, ancestor) FROM closure) AS above FROM slots s LEFT JOIN cons c USING (role))
-SELECT role, type, CASE WHEN count(required_type) = 0 THEN 'no_direct_constraint' WHEN count(required_type) = 1 AND max(required_type) = type THEN 'direct_match' WHEN bool_and(below) THEN 'compatible_donor_subtype' WHEN bool_and(above) THEN 'incompatible_donor_supertype' ELSE 'incomparable_types' END AS relation_status FROM p GROUP BY role, type""")
+@query(f"""{TYPES}, p AS (SELECT s.role, s.type, c.required_type, s.type = c.required_type OR (s.type, c.required_type) IN (SELECT (node, ancestor)
+  FROM closure) AS below, s.type = c.required_type OR (c.required_type, s.type) IN (SELECT (node, ancestor) FROM closure) AS above FROM slots s LEFT
+  JOIN cons c USING (role))
+SELECT role, type, CASE WHEN count(required_type) = 0 THEN 'no_direct_constraint' WHEN count(required_type) = 1 AND max(required_type) = type THEN 'direct_match' WHEN bool_and(below) THEN 'compatible_donor_subtype' WHEN bool_and(above) THEN 'incompatible_donor_supertype' ELSE 'incomparable_types' END AS relation_status
+  FROM p GROUP BY role, type""")
 def type_relation(t):
     c, k = F.col("o_custkey"), F.col("o_orderkey")
     role = F.concat("o_orderpriority", (c % 20).cast("string")).alias("role")
@@ -98,8 +110,10 @@ def induced_edges(t):
     return match.induced_edges(edges(t), nodes)
 
 
-@query(f"""WITH {EDGES}, ax AS (SELECT child, parent, CASE WHEN child < 'c5' THEN 'main' ELSE 'other' END AS module FROM edges UNION ALL SELECT child, parent, 'main' FROM edges WHERE child LIKE 'n1%'),
-st AS (SELECT c_custkey AS path_id, 0 AS step, 'c' || c_custkey AS child, 'n' || c_nationkey AS parent FROM customer UNION ALL SELECT c_custkey, 1, 'n' || c_nationkey, 'r' || n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey)
+@query(f"""WITH {EDGES}, ax AS (SELECT child, parent, CASE WHEN child < 'c5' THEN 'main' ELSE 'other' END AS module FROM edges
+  UNION ALL SELECT child, parent, 'main' FROM edges WHERE child LIKE 'n1%'),
+st AS (SELECT c_custkey AS path_id, 0 AS step, 'c' || c_custkey AS child, 'n' || c_nationkey AS parent FROM customer
+  UNION ALL SELECT c_custkey, 1, 'n' || c_nationkey, 'r' || n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT path_id, step, child, parent, (SELECT count(*) = 1 AND count_if(module = 'main') = 1 FROM ax WHERE ax.child = st.child AND ax.parent = st.parent) AS ok FROM st""")
 def verified_path_edges(t):
     ax = edges(t).withColumn("module", F.when(F.col("child") < "c5", "main").otherwise("other"))
@@ -108,7 +122,8 @@ def verified_path_edges(t):
     return graph.verified_path_edges(paths, ax, "main")
 
 
-@query("""WITH RECURSIVE a AS (SELECT o_orderkey AS id, o_orderpriority AS s FROM orders), b AS (SELECT o_orderkey AS id, o_orderkey // 2 AS f FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey > 1),
+@query("""WITH RECURSIVE a AS (SELECT o_orderkey AS id, o_orderpriority AS s FROM orders), b AS (SELECT o_orderkey AS id, o_orderkey // 2 AS f
+  FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey > 1),
 c AS (SELECT id AS node, id AS cur FROM a UNION SELECT node, f FROM c JOIN b ON b.id = cur) SELECT DISTINCT node AS assertion_id, s AS schema_id FROM c JOIN a ON a.id = cur""")
 def composition_reach(t):
     k = F.col("o_orderkey")
@@ -123,7 +138,9 @@ def _catalog(t):
     return catalog.compile_catalog(p, s, edges(t))
 
 
-CATALOG = """p AS (SELECT p_brand || ' ' || p_type AS name, p_name AS d, p_partkey AS ord FROM part), s AS (SELECT 'lc:' || lower(p_brand || ' ' || p_type) AS predicate_id, CASE WHEN l_linenumber = 7 THEN ' ' ELSE 'Role' || l_linenumber END AS label,
+CATALOG = """p AS (SELECT p_brand || ' ' || p_type AS name, p_name AS d, p_partkey AS ord
+  FROM part), s AS (SELECT 'lc:' || lower(p_brand || ' ' || p_type) AS predicate_id,
+  CASE WHEN l_linenumber = 7 THEN ' ' ELSE 'Role' || l_linenumber END AS label,
  CASE WHEN l_suppkey % 4 <> 0 THEN 'n' || l_suppkey END AS type, l_quantity > 45 AS required FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
@@ -176,13 +193,20 @@ def _pack(t):
     return {"predicate_types": predicates, "predicate_role_edges": roles, "entity_types": types, "constraints": limits, "hierarchy_edges": hierarchy, "source_mappings": system.filter(F.length("canonical_id") % 3 > 0), "semantic_mappings": reduce(lambda a, b: a.unionByName(b), mappings)}
 
 
-PACK = f"""{CATALOG}, pr AS (SELECT DISTINCT 'lc:' || lower(trim(name)) AS id FROM p), ed AS (SELECT DISTINCT predicate_id, label FROM s WHERE trim(label) <> ''), ty AS (SELECT DISTINCT type FROM s WHERE trim(label) <> '' AND type IS NOT NULL),
+PACK = f"""{CATALOG}, pr AS (SELECT DISTINCT 'lc:' || lower(trim(name)) AS id FROM p), ed AS (SELECT DISTINCT predicate_id, label FROM s
+  WHERE trim(label) <> ''), ty AS (SELECT DISTINCT type FROM s WHERE trim(label) <> '' AND type IS NOT NULL),
 hi AS (SELECT DISTINCT n_nationkey, n_regionkey FROM nation WHERE 'n' || n_nationkey IN (SELECT type FROM ty))"""
 
 
-@query(f"""WITH {PACK}, v AS (SELECT 'semantic_mappings' AS asset, 'PREDICATE_NOT_COVERED' AS code, count(*) AS n FROM pr WHERE length(id) % 5 = 0 UNION ALL SELECT 'semantic_mappings', 'ROLE_BAG', count(*) FROM ed WHERE label = 'Role2'
-UNION ALL SELECT 'semantic_mappings', 'TYPE_BAG', 2 * count(*) FROM ty WHERE type = 'n5' UNION ALL SELECT 'semantic_mappings', 'DANGLING_ENTITY_TYPE', count(*) FROM ty WHERE type = 'n5' UNION ALL SELECT 'semantic_mappings', 'HIERARCHY_NOT_COVERED', count(*) FROM hi WHERE n_regionkey = 1
-UNION ALL SELECT 'semantic_mappings', 'SENSE_BAG', count(*) FROM pr WHERE length(id) % 3 = 0 UNION ALL SELECT 'semantic_mappings', 'UNDECLARED_SOURCE', 1 UNION ALL SELECT 'semantic_mappings', 'COUNT', 1 UNION ALL SELECT 'entity_types', 'ROWS', 1 UNION ALL SELECT 'entity_types', 'DIGEST', 1 UNION ALL SELECT 'constraints', 'DIGEST', 1 UNION ALL SELECT 'extra', 'UNEXPECTED', 1) SELECT * FROM v WHERE n > 0""")
+@query(f"""WITH {PACK}, v AS (SELECT 'semantic_mappings' AS asset, 'PREDICATE_NOT_COVERED' AS code, count(*) AS n FROM pr WHERE length(id) % 5 = 0
+  UNION ALL SELECT 'semantic_mappings', 'ROLE_BAG', count(*) FROM ed WHERE label = 'Role2'
+UNION ALL SELECT 'semantic_mappings', 'TYPE_BAG', 2 * count(*) FROM ty WHERE type = 'n5'
+  UNION ALL SELECT 'semantic_mappings', 'DANGLING_ENTITY_TYPE', count(*) FROM ty WHERE type = 'n5'
+  UNION ALL SELECT 'semantic_mappings', 'HIERARCHY_NOT_COVERED', count(*) FROM hi WHERE n_regionkey = 1
+UNION ALL SELECT 'semantic_mappings', 'SENSE_BAG', count(*) FROM pr WHERE length(id) % 3 = 0
+  UNION ALL SELECT 'semantic_mappings', 'UNDECLARED_SOURCE', 1 UNION ALL SELECT 'semantic_mappings', 'COUNT', 1
+  UNION ALL SELECT 'entity_types', 'ROWS', 1 UNION ALL SELECT 'entity_types', 'DIGEST', 1 UNION ALL SELECT 'constraints', 'DIGEST', 1
+  UNION ALL SELECT 'extra', 'UNEXPECTED', 1) SELECT * FROM v WHERE n > 0""")
 def validate_pack(t):
     """A pack whose provenance has gaps, and of which rows were added and changed after it was published."""
     path = scratch(t.spark, "pack")
@@ -207,14 +231,19 @@ def pack_counts(t):
     return packs.set_counts(t.spark, path)
 
 
-@query("""WITH r AS (SELECT p_partkey, 'rel' || p_partkey || CASE WHEN p_partkey % 10 = 0 THEN 'Fn' ELSE '' END AS relation, p_size % 5 AS arity, p_brand AS module FROM part), m AS (SELECT DISTINCT p_brand AS module, CASE WHEN p_brand < 'Brand#3' THEN 'approved' WHEN p_brand < 'Brand#5' THEN 'rejected' END AS d FROM part),
-n AS (SELECT 'lc:' || lower(relation) AS predicate_id, arity FROM r JOIN m USING (module) WHERE d = 'approved' AND relation NOT LIKE '%Fn' AND p_partkey % 6 <> 0) SELECT predicate_id, 'lc.role.relation_arg' || i AS role_id FROM (SELECT predicate_id, unnest(range(1, arity + 1)) AS i FROM n)""")
+@query("""WITH r AS (SELECT p_partkey, 'rel' || p_partkey || CASE WHEN p_partkey % 10 = 0 THEN 'Fn' ELSE '' END AS relation, p_size % 5 AS arity, p_brand AS module
+  FROM part), m AS (SELECT DISTINCT p_brand AS module, CASE WHEN p_brand < 'Brand#3' THEN 'approved' WHEN p_brand < 'Brand#5' THEN 'rejected' END AS d
+  FROM part),
+n AS (SELECT 'lc:' || lower(relation) AS predicate_id, arity FROM r JOIN m USING (module)
+  WHERE d = 'approved' AND relation NOT LIKE '%Fn' AND p_partkey % 6 <> 0) SELECT predicate_id, 'lc.role.relation_arg' || i AS role_id
+  FROM (SELECT predicate_id, unnest(range(1, arity + 1)) AS i FROM n)""")
 def additive_slice_edges(t):
     return _slice(t)["predicate_role_edges"]
 
 
 @query("""WITH r AS (SELECT 'rel' || p_partkey || CASE WHEN p_partkey % 10 = 0 THEN 'Fn' ELSE '' END AS relation, p_brand AS module FROM part)
-SELECT CASE WHEN relation LIKE '%Fn' THEN 'function' WHEN module < 'Brand#3' THEN 'approved' WHEN module < 'Brand#5' THEN 'reviewed_exclusion' ELSE 'unknown_module' END AS disposition, count(*) AS "count" FROM r GROUP BY 1""")
+SELECT CASE WHEN relation LIKE '%Fn' THEN 'function' WHEN module < 'Brand#3' THEN 'approved' WHEN module < 'Brand#5' THEN 'reviewed_exclusion' ELSE 'unknown_module' END AS disposition, count(*) AS "count"
+  FROM r GROUP BY 1""")
 def filter_disposition(t):
     return _slice(t)["counts"]
 
@@ -231,7 +260,9 @@ def _typed_slice(t):
     return catalog.compile_additive_slice(rel, cons, mods, owned, hierarchy)
 
 
-TYPED = """need AS (SELECT DISTINCT p_partkey % 1000 AS c FROM part WHERE p_brand < 'Brand#3' AND p_partkey % 10 <> 0 AND p_partkey % 6 <> 0 AND p_size % 5 >= 1), cu AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey IN (SELECT c FROM need)), na AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM cu))"""
+TYPED = """need AS (SELECT DISTINCT p_partkey % 1000 AS c FROM part
+  WHERE p_brand < 'Brand#3' AND p_partkey % 10 <> 0 AND p_partkey % 6 <> 0 AND p_size % 5 >= 1), cu AS (SELECT c_custkey, c_nationkey FROM customer
+  WHERE c_custkey IN (SELECT c FROM need)), na AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM cu))"""
 
 
 @query(f"""WITH {TYPED} SELECT 'subtype_of' AS edge_type, 'lc:sumo_type.c' || c_custkey AS child_id, 'lc:sumo_type.n' || c_nationkey AS parent_id FROM cu
@@ -240,7 +271,8 @@ def additive_slice_hierarchy(t):
     return _typed_slice(t)["hierarchy_edges"]
 
 
-@query(f"""WITH {TYPED} SELECT 'lc:sumo_type.c' || c AS type_id, 'c' || c AS preferred_label FROM need UNION SELECT 'lc:sumo_type.n' || n_nationkey, 'n' || n_nationkey FROM na WHERE n_nationkey % 2 <> 0""")
+@query(f"""WITH {TYPED} SELECT 'lc:sumo_type.c' || c AS type_id, 'c' || c AS preferred_label FROM need
+  UNION SELECT 'lc:sumo_type.n' || n_nationkey, 'n' || n_nationkey FROM na WHERE n_nationkey % 2 <> 0""")
 def additive_slice_types(t):
     return _typed_slice(t)["entity_types"]
 
@@ -260,16 +292,27 @@ def _slice(t):
     return catalog.compile_additive_slice(rel, cons, mods, owned)
 
 
-PROVENANCE = """p AS (SELECT c_name AS n, 'lc:' || c_name AS id, CASE WHEN c_custkey % 2 = 0 THEN 's.' || c_custkey END AS sense, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) END AS fr, CASE WHEN c_custkey % 10 = 0 THEN 'm' END AS m, CASE WHEN c_custkey % 15 = 0 THEN 0.5 END AS q, c_custkey FROM customer),
-s AS (SELECT DISTINCT n, id, sense, 'L' || (o_orderkey % 3) AS label, 'ARG' || (o_orderkey % 3) AS arg, 'made by ' || o_orderstatus AS origin, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS type FROM orders JOIN p ON o_custkey = c_custkey)"""
-
-
-@query(f"""WITH {PROVENANCE}, r AS (SELECT DISTINCT n, id, sense, origin, id || ':lc.role.' || lower(label) AS role, arg, 'role_slots[name=' || n || ',arg=' || arg || ']' AS ev FROM s)
-SELECT id AS canonical_id, 'predicate_type' AS canonical_kind, 'donor' AS source_key, n AS source_id, 'derived_from' AS relation, 'direct_identifier' AS derivation_method, '{catalog.BASES["predicate"]}' AS confidence_basis, CAST(NULL AS VARCHAR) AS method_ref, CAST(NULL AS VARCHAR) AS method_scope, CAST(NULL AS DOUBLE) AS confidence, 'predicates[name=' || n || '].name' AS evidence_ref FROM p
-UNION ALL SELECT id, 'predicate_type', 'propbank', sense, 'derived_from', 'direct_identifier', '{catalog.BASES["sense"]}', NULL, NULL, NULL, 'predicates[name=' || n || '].sense_id' FROM p WHERE sense IS NOT NULL
-UNION ALL SELECT id, 'predicate_type', 'framenet_candidate', fr, 'candidate_alignment', 'donor_asserted', '{catalog.BASES["frame"]}', m, CASE WHEN m IS NOT NULL THEN 'unknown' END, q, 'predicates[name=' || n || ']{{frame_id,mapping_confidence,mapping_source}}' FROM p WHERE fr IS NOT NULL
-UNION ALL SELECT DISTINCT role, 'role_slot', 'donor', n || ':' || arg, 'positional_role', 'direct_identifier', '{catalog.BASES["slot"]}', NULL, NULL, NULL, ev FROM r UNION ALL SELECT role, 'role_slot', 'propbank', sense || ':' || arg, 'positional_role', 'donor_asserted', replace('{catalog.BASES["sense_slot"]}', '{{}}', origin), NULL, NULL, NULL, ev FROM r WHERE sense IS NOT NULL
-UNION ALL SELECT 'lc:sumo_type.' || lower(type), 'entity_type', 'sumo_types', type, 'typed_by', 'donor_asserted', '{catalog.BASES["type"]}', NULL, NULL, NULL, 'role_slots[name=' || n || ',arg=' || min(arg) || '].type_constraint' FROM s WHERE type IS NOT NULL GROUP BY n, type""")
+PROVENANCE = """p AS (SELECT c_name AS n, 'lc:' || c_name AS id, CASE WHEN c_custkey % 2 = 0 THEN 's.' || c_custkey END AS sense,
+  CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) END AS fr, CASE WHEN c_custkey % 10 = 0 THEN 'm' END AS m,
+  CASE WHEN c_custkey % 15 = 0 THEN 0.5 END AS q, c_custkey FROM customer),
+s AS (SELECT DISTINCT n, id, sense, 'L' || (o_orderkey % 3) AS label, 'ARG' || (o_orderkey % 3) AS arg, 'made by ' || o_orderstatus AS origin,
+  CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS type FROM orders JOIN p ON o_custkey = c_custkey)"""
+
+
+@query(f"""WITH {PROVENANCE}, r AS (SELECT DISTINCT n, id, sense, origin, id || ':lc.role.' || lower(label) AS role, arg, 'role_slots[name=' || n || ',arg=' || arg || ']' AS ev
+  FROM s)
+SELECT id AS canonical_id, 'predicate_type' AS canonical_kind, 'donor' AS source_key, n AS source_id, 'derived_from' AS relation, 'direct_identifier' AS derivation_method, '{catalog.BASES["predicate"]}' AS confidence_basis, CAST(NULL AS VARCHAR) AS method_ref, CAST(NULL AS VARCHAR) AS method_scope, CAST(NULL AS DOUBLE) AS confidence, 'predicates[name=' || n || '].name' AS evidence_ref
+  FROM p
+UNION ALL SELECT id, 'predicate_type', 'propbank', sense, 'derived_from', 'direct_identifier', '{catalog.BASES["sense"]}', NULL, NULL, NULL, 'predicates[name=' || n || '].sense_id'
+  FROM p WHERE sense IS NOT NULL
+UNION ALL SELECT id, 'predicate_type', 'framenet_candidate', fr, 'candidate_alignment', 'donor_asserted', '{catalog.BASES["frame"]}', m,
+  CASE WHEN m IS NOT NULL THEN 'unknown' END, q, 'predicates[name=' || n || ']{{frame_id,mapping_confidence,mapping_source}}' FROM p
+  WHERE fr IS NOT NULL
+UNION ALL SELECT DISTINCT role, 'role_slot', 'donor', n || ':' || arg, 'positional_role', 'direct_identifier', '{catalog.BASES["slot"]}', NULL, NULL, NULL, ev
+  FROM r UNION ALL SELECT role, 'role_slot', 'propbank', sense || ':' || arg, 'positional_role', 'donor_asserted', replace('{catalog.BASES["sense_slot"]}', '{{}}', origin), NULL, NULL, NULL, ev
+  FROM r WHERE sense IS NOT NULL
+UNION ALL SELECT 'lc:sumo_type.' || lower(type), 'entity_type', 'sumo_types', type, 'typed_by', 'donor_asserted', '{catalog.BASES["type"]}', NULL, NULL, NULL, 'role_slots[name=' || n || ',arg=' || min(arg) || '].type_constraint'
+  FROM s WHERE type IS NOT NULL GROUP BY n, type""")
 def emit_provenance(t):
     k, o = F.col("c_custkey"), F.col("o_orderkey")
     p = t.customer.select(

@@ -29,9 +29,13 @@ def mappings(t):
     )
 
 
-MAPPINGS = f"""{MATCHED}, maps AS (SELECT 'lc:' || lower(donor_id) AS canonical_id, 'predicate' AS canonical_kind, family AS source_key, CASE WHEN family = 'MACHINERY' THEN donor_id || ':ARG1' ELSE donor_id END AS source_id,
-  CASE WHEN length(donor_id) % 2 = 0 THEN 'derived_from' ELSE 'candidate_alignment' END AS relation, CASE WHEN length(donor_id) % 2 = 0 THEN 'direct_identifier' ELSE 'donor_asserted' END AS producer_method,
-  CASE WHEN length(donor_id) % 2 <> 0 THEN CAST(0.5 AS DOUBLE) END AS producer_confidence, CASE WHEN length(donor_id) % 2 <> 0 THEN 'unknown' END AS producer_method_scope, 'predicates[name=' || donor_id || '].name' AS evidence_ref FROM donors),
+MAPPINGS = f"""{MATCHED}, maps AS (SELECT 'lc:' || lower(donor_id) AS canonical_id, 'predicate' AS canonical_kind, family AS source_key,
+  CASE WHEN family = 'MACHINERY' THEN donor_id || ':ARG1' ELSE donor_id END AS source_id,
+  CASE WHEN length(donor_id) % 2 = 0 THEN 'derived_from' ELSE 'candidate_alignment' END AS relation,
+  CASE WHEN length(donor_id) % 2 = 0 THEN 'direct_identifier' ELSE 'donor_asserted' END AS producer_method,
+  CASE WHEN length(donor_id) % 2 <> 0 THEN CAST(0.5 AS DOUBLE) END AS producer_confidence,
+  CASE WHEN length(donor_id) % 2 <> 0 THEN 'unknown' END AS producer_method_scope, 'predicates[name=' || donor_id || '].name' AS evidence_ref
+  FROM donors),
 cross_ AS (SELECT m.*, 'lcx1_' || substr(sha256(concat_ws(chr(0), canonical_id, source_key, source_id, relation, evidence_ref)), 1, 24) AS record_id,
   CASE status WHEN 'matched' THEN 'exact' WHEN 'missing' THEN 'missing' WHEN 'invalid' THEN 'invalid' ELSE 'not_applicable' END AS identity_state,
   CASE WHEN relation = 'candidate_alignment' THEN 'candidate' ELSE 'unresolved' END AS state, 'not_reviewed' AS review_status
@@ -48,7 +52,8 @@ def crosswalk(t):
 
 
 @query(f"""WITH {MATCHED}, d AS (SELECT family, count(DISTINCT donor_id) AS donor_ids, count_if(status = 'matched') AS matched, count_if(status = 'missing') AS missing, count_if(status = 'invalid') AS invalid,
-  count_if(status = 'source_unavailable') AS unavailable, count(DISTINCT CASE WHEN status = 'matched' THEN normal_id END) AS hit, count(*) || '-' || sum(CAST(CAST('0x' || substr(sha256('v' || donor_id), 1, 14) AS BIGINT) AS HUGEINT)) AS donor_digest FROM (SELECT DISTINCT * FROM matched) GROUP BY family),
+  count_if(status = 'source_unavailable') AS unavailable, count(DISTINCT CASE WHEN status = 'matched' THEN normal_id END) AS hit, count(*) || '-' || sum(CAST(CAST('0x' || substr(sha256('v' || donor_id), 1, 14) AS BIGINT) AS HUGEINT)) AS donor_digest
+  FROM (SELECT DISTINCT * FROM matched) GROUP BY family),
 s AS (SELECT family, count(DISTINCT source_id) AS source_ids FROM sources GROUP BY family)
 SELECT family, coalesce(source_ids, 0) AS source_ids, CAST(coalesce(donor_ids, 0) AS BIGINT) AS donor_ids, CAST(coalesce(matched, 0) AS BIGINT) AS matched, CAST(coalesce(missing, 0) AS BIGINT) AS missing, CAST(coalesce(invalid, 0) AS BIGINT) AS invalid,
   CAST(coalesce(unavailable, 0) AS BIGINT) AS unavailable, CAST(coalesce(source_ids, 0) - coalesce(hit, 0) AS BIGINT) AS extra, donor_digest FROM d FULL JOIN s USING (family)""")
@@ -62,7 +67,8 @@ def status_counts(t):
     return M.status_counts(cross(t), ["source_key"], "identity_state", ["exact", "missing", "invalid", "not_applicable"])
 
 
-@query(f"""WITH {MATCHED}, n AS (SELECT count(*) AS n, count_if(status = 'matched') AS a, count_if(status = 'missing') AS b, count_if(status = 'invalid') AS c, count_if(status = 'source_unavailable') AS d, count(DISTINCT donor_id) AS u FROM matched)
+@query(f"""WITH {MATCHED}, n AS (SELECT count(*) AS n, count_if(status = 'matched') AS a, count_if(status = 'missing') AS b, count_if(status = 'invalid') AS c, count_if(status = 'source_unavailable') AS d, count(DISTINCT donor_id) AS u
+  FROM matched)
 SELECT 'parts_sum' AS "check", CAST(n AS BIGINT) AS lhs, CAST(a + b + c + d AS BIGINT) AS rhs, n = a + b + c + d AS ok FROM n UNION ALL SELECT 'ids_unique', n, u, n = u FROM n""")
 def reconcile_equations(t):
     n = matched(t).agg(F.count("*").alias("n"), *[M.n_if(F.col("status") == s).alias(s) for s in ("matched", "missing", "invalid", "source_unavailable")], F.count_distinct("donor_id").alias("u"))
@@ -76,14 +82,17 @@ def distinct_labels(t):
     return m.groupBy("status").agg(F.count("*").alias("n")).join(labels, "status")
 
 
-@query("""WITH d AS (SELECT o_orderkey AS id, o_custkey % 7 AS v FROM orders WHERE o_orderkey % 3 <> 0), o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN 9 ELSE o_custkey % 7 END AS v FROM orders WHERE o_orderkey % 4 <> 0)
-SELECT coalesce(d.id, o.id) AS id, CASE WHEN o.id IS NULL THEN 'missing' WHEN d.id IS NULL THEN 'extra' WHEN d.v IS DISTINCT FROM o.v THEN 'drift' ELSE 'ok' END AS status FROM d FULL JOIN o ON d.id = o.id""")
+@query("""WITH d AS (SELECT o_orderkey AS id, o_custkey % 7 AS v FROM orders WHERE o_orderkey % 3 <> 0), o AS (SELECT o_orderkey AS id,
+  CASE WHEN o_orderkey % 11 = 0 THEN 9 ELSE o_custkey % 7 END AS v FROM orders WHERE o_orderkey % 4 <> 0)
+SELECT coalesce(d.id, o.id) AS id, CASE WHEN o.id IS NULL THEN 'missing' WHEN d.id IS NULL THEN 'extra' WHEN d.v IS DISTINCT
+  FROM o.v THEN 'drift' ELSE 'ok' END AS status FROM d FULL JOIN o ON d.id = o.id""")
 def reconcile_index(t):
     rows = t.orders.select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 7).alias("v"))
     return match.reconcile_index(rows.filter("id % 3 <> 0"), rows.filter("id % 4 <> 0").withColumn("v", F.when(F.col("id") % 11 == 0, 9).otherwise(F.col("v"))), "id", "v")
 
 
-@query("""SELECT 'customer' AS kind, CAST(c AS VARCHAR) AS ref FROM (SELECT DISTINCT o_custkey AS c FROM orders) WHERE c NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 9 <> 0)
+@query("""SELECT 'customer' AS kind, CAST(c AS VARCHAR) AS ref FROM (SELECT DISTINCT o_custkey AS c FROM orders) WHERE c NOT IN (SELECT c_custkey
+  FROM customer WHERE c_custkey % 9 <> 0)
 UNION ALL SELECT 'part', CAST(p AS VARCHAR) FROM (SELECT DISTINCT l_partkey AS p FROM lineitem) WHERE p NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 13 <> 0)""")
 def dangling_refs(t):
     return checks.dangling({"customer": (t.orders, "o_custkey"), "part": (t.lineitem, "l_partkey")}, {"customer": (t.customer.filter("c_custkey % 9 <> 0"), "c_custkey"), "part": (t.part.filter("p_partkey % 13 <> 0"), "p_partkey")})
@@ -100,8 +109,10 @@ def functional_dependency(t):
     return checks.dependency_violations(t.part, "p_brand", "p_type")
 
 
-@query("""WITH a AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1)
-SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right FROM a FULL JOIN b ON a.o_custkey = b.o_custkey WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""")
+@query("""WITH a AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey, count(*) AS n
+  FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1)
+SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right FROM a FULL
+  JOIN b ON a.o_custkey = b.o_custkey WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""")
 def multiset_equal(t):
     return checks.multiset_difference(t.orders.filter("o_orderkey % 2 = 0"), t.orders.filter("o_orderkey % 2 = 1"), ["o_custkey"])
 
@@ -111,7 +122,8 @@ def identity_conflicts(t):
     return checks.identity_conflicts(t.documents, "source", "lang").select(F.col("source").alias("id"), F.array_join("paths", ",").alias("paths"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS r FROM lineitem) WHERE r = 1""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS r FROM lineitem) WHERE r = 1""")
 def first_seen(t):
     from crosslink.operators.windows import first_seen
 
@@ -125,7 +137,8 @@ def roles(t):
     return t.lineitem.select(F.col("l_orderkey").alias("predicate_id"), F.col("l_linenumber").alias("arg"), F.col("l_partkey").alias("role"), F.col("l_extendedprice").alias("ord"))
 
 
-@query(f"""WITH {ROLES}, rel AS (SELECT o_orderkey AS from_id, o_orderkey + 1 AS to_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'exactMatch' WHEN '2-HIGH' THEN 'closeMatch' ELSE 'related' END AS relation FROM orders)
+@query(f"""WITH {ROLES}, rel AS (SELECT o_orderkey AS from_id, o_orderkey + 1 AS to_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'exactMatch' WHEN '2-HIGH' THEN 'closeMatch' ELSE 'related' END AS relation
+  FROM orders)
 SELECT from_id, to_id, relation, a.arg, a.role AS from_role, b.role AS to_role, CASE WHEN from_id % 10 = 0 AND a.arg = 1 THEN 'skipped_divergent' ELSE 'aligned' END AS status
 FROM rel JOIN roles a ON a.predicate_id = from_id JOIN roles b ON b.predicate_id = to_id AND b.arg = a.arg WHERE relation IN ('exactMatch', 'closeMatch')""")
 def role_correspondences(t):
@@ -142,22 +155,27 @@ def pair_within_group(t):
 
 @query(f"""WITH {ROLES} SELECT o_orderkey AS predicate_id, a.k AS arg_a, b.k AS arg_b, x.role AS role_a, y.role AS role_b,
 CASE WHEN x.role IS NULL AND y.role IS NULL THEN 'both_unresolved' WHEN x.role IS NULL THEN 'first_unresolved' WHEN y.role IS NULL THEN 'second_unresolved' ELSE 'resolved' END AS status
-FROM orders, (SELECT 1 AS k) a, (SELECT 3 AS k) b LEFT JOIN roles x ON x.predicate_id = o_orderkey AND x.arg = a.k LEFT JOIN roles y ON y.predicate_id = o_orderkey AND y.arg = b.k""")
+FROM orders, (SELECT 1 AS k) a, (SELECT 3 AS k) b LEFT JOIN roles x ON x.predicate_id = o_orderkey AND x.arg = a.k LEFT
+  JOIN roles y ON y.predicate_id = o_orderkey AND y.arg = b.k""")
 def resolve_symmetric_pairs(t):
     place = roles(t).groupBy("predicate_id", "arg").agg(F.max_by("role", F.struct("ord", "role")).alias("role"))
     return match.resolve_pairs(t.orders.select(F.col("o_orderkey").alias("predicate_id"), F.lit(1).alias("arg_a"), F.lit(3).alias("arg_b")), place)
 
 
-@query("""WITH rel AS (SELECT least(o_custkey, o_orderkey % 500) AS lo, greatest(o_custkey, o_orderkey % 500) AS hi, arg_max(o_orderpriority, (o_orderkey, o_orderpriority)) AS relation FROM orders GROUP BY 1, 2)
-SELECT l_orderkey % 500 AS a, l_partkey % 1500 AS b, relation, count(*) AS n FROM lineitem LEFT JOIN rel ON lo = least(l_orderkey % 500, l_partkey % 1500) AND hi = greatest(l_orderkey % 500, l_partkey % 1500) GROUP BY 1, 2, 3""")
+@query("""WITH rel AS (SELECT least(o_custkey, o_orderkey % 500) AS lo, greatest(o_custkey, o_orderkey % 500) AS hi, arg_max(o_orderpriority, (o_orderkey, o_orderpriority)) AS relation
+  FROM orders GROUP BY 1, 2)
+SELECT l_orderkey % 500 AS a, l_partkey % 1500 AS b, relation, count(*) AS n FROM lineitem LEFT
+  JOIN rel ON lo = least(l_orderkey % 500, l_partkey % 1500) AND hi = greatest(l_orderkey % 500, l_partkey % 1500) GROUP BY 1, 2, 3""")
 def lookup_unordered_pair(t):
     rel = t.orders.select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 500).alias("b"), F.col("o_orderpriority").alias("relation"), F.col("o_orderkey").alias("ord"))
     pairs = t.lineitem.select((F.col("l_orderkey") % 500).alias("a"), (F.col("l_partkey") % 1500).alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
     return match.unordered_relations(pairs, rel).select("a", "b", "relation", "n")
 
 
-@query("""WITH rel AS (SELECT least(o_custkey, o_orderkey % 500) AS lo, greatest(o_custkey, o_orderkey % 500) AS hi, arg_max(o_orderpriority, (o_orderkey, o_orderpriority)) AS relation FROM orders GROUP BY 1, 2),
-r AS (SELECT p_partkey AS id, [p_partkey % 500, p_partkey % 41] AS xs, [p_partkey % 1500, p_size] AS ys FROM part), e AS (SELECT id, unnest(xs) AS a, ys FROM r), f AS (SELECT id, a, unnest(ys) AS b FROM e)
+@query("""WITH rel AS (SELECT least(o_custkey, o_orderkey % 500) AS lo, greatest(o_custkey, o_orderkey % 500) AS hi, arg_max(o_orderpriority, (o_orderkey, o_orderpriority)) AS relation
+  FROM orders GROUP BY 1, 2),
+r AS (SELECT p_partkey AS id, [p_partkey % 500, p_partkey % 41] AS xs, [p_partkey % 1500, p_size] AS ys
+  FROM part), e AS (SELECT id, unnest(xs) AS a, ys FROM r), f AS (SELECT id, a, unnest(ys) AS b FROM e)
 SELECT id, coalesce(bool_or(a <> b AND relation IN ('1-URGENT', '2-HIGH')), false) AS linked FROM f LEFT JOIN rel ON lo = least(a, b) AND hi = greatest(a, b) GROUP BY id""")
 def any_pairing(t):
     rel = t.orders.select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 500).alias("b"), F.col("o_orderpriority").alias("relation"), F.col("o_orderkey").alias("ord"))
@@ -166,8 +184,11 @@ def any_pairing(t):
     return match.any_pairing(rows, rel, ["1-URGENT", "2-HIGH"])
 
 
-@query("""WITH c AS (SELECT n_name AS construction, r_name AS domain FROM nation, region), o AS (SELECT n_name AS construction, r_name AS domain, 'selected' AS s FROM nation JOIN region ON n_regionkey = r_regionkey)
-SELECT c.*, coalesce(s, CASE WHEN n_nationkey % 2 = 0 THEN 'contract_only' END, 'undeclared') AS status, CASE WHEN s IS NOT NULL THEN 'override' ELSE 'default' END AS rule FROM c LEFT JOIN o USING (construction, domain) JOIN nation ON n_name = construction""")
+@query("""WITH c AS (SELECT n_name AS construction, r_name AS domain
+  FROM nation, region), o AS (SELECT n_name AS construction, r_name AS domain, 'selected' AS s FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT c.*, coalesce(s, CASE WHEN n_nationkey % 2 = 0 THEN 'contract_only' END, 'undeclared') AS status,
+  CASE WHEN s IS NOT NULL THEN 'override' ELSE 'default' END AS rule FROM c LEFT JOIN o USING (construction, domain)
+  JOIN nation ON n_name = construction""")
 def coverage_matrix(t):
     named = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     own = named.select(F.col("n_name").alias("construction"), F.col("r_name").alias("domain"), F.lit("selected").alias("status"))
@@ -176,14 +197,17 @@ def coverage_matrix(t):
 
 
 @query("""WITH f AS (SELECT o_custkey AS stem, CASE o_orderstatus WHEN 'F' THEN 'csv' WHEN 'O' THEN 'c3d' ELSE 'txt' END AS ext FROM orders)
-SELECT stem, array_to_string(list_sort(list(ext)), ',') AS found, CASE WHEN list_sort(list(ext)) = ['c3d', 'csv'] THEN 'complete' WHEN NOT (list_contains(list(ext), 'csv') AND list_contains(list(ext), 'c3d')) THEN 'missing' ELSE 'unexpected' END AS status FROM f GROUP BY stem""")
+SELECT stem, array_to_string(list_sort(list(ext)), ',') AS found,
+  CASE WHEN list_sort(list(ext)) = ['c3d', 'csv'] THEN 'complete' WHEN NOT (list_contains(list(ext), 'csv') AND list_contains(list(ext), 'c3d')) THEN 'missing' ELSE 'unexpected' END AS status
+  FROM f GROUP BY stem""")
 def pair_files(t):
     s = F.col("o_orderstatus")
     return match.pair_files(t.orders.select(F.col("o_custkey").alias("stem"), F.when(s == "F", "csv").when(s == "O", "c3d").otherwise("txt").alias("ext")), ["csv", "c3d"])
 
 
 GLOSSES = """g AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 4 THEN 'Key no ' || o_orderkey ELSE 'k' || o_orderkey END AS label,
-  'the ' || CASE WHEN (o_orderkey + d) % 8 < 4 THEN 'key no. ' ELSE 'K' END || (o_orderkey + d) || ' of ' || o_orderstatus AS gloss FROM (SELECT *, CASE WHEN o_orderkey % 4 < 2 THEN 2 ELSE -2 END AS d FROM orders)
+  'the ' || CASE WHEN (o_orderkey + d) % 8 < 4 THEN 'key no. ' ELSE 'K' END || (o_orderkey + d) || ' of ' || o_orderstatus AS gloss FROM (SELECT *,
+  CASE WHEN o_orderkey % 4 < 2 THEN 2 ELSE -2 END AS d FROM orders)
   UNION ALL SELECT -o_orderkey, 'the', 'the order ' || o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey > 0)"""
 
 
@@ -197,8 +221,11 @@ def glosses(t):
     return t.orders.select(k.alias("id"), label.alias("label"), gloss.alias("gloss")).unionByName(common)
 
 
-@query(f"""WITH {GLOSSES}, p AS (SELECT id, regexp_replace(lower(label), '[^a-z0-9_]+', ' ', 'g') AS name, ' ' || regexp_replace(lower(gloss), '[^a-z0-9_]+', ' ', 'g') || ' ' AS said FROM g WHERE id >= 0)
-SELECT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, 'mutual' AS kind FROM p x JOIN p y ON y.id = x.id + CASE WHEN x.id % 4 < 2 THEN 2 ELSE -2 END WHERE x.id < y.id AND contains(x.said, ' ' || y.name || ' ') AND contains(y.said, ' ' || x.name || ' ')
+@query(f"""WITH {GLOSSES}, p AS (SELECT id, regexp_replace(lower(label), '[^a-z0-9_]+', ' ', 'g') AS name, ' ' || regexp_replace(lower(gloss), '[^a-z0-9_]+', ' ', 'g') || ' ' AS said
+  FROM g WHERE id >= 0)
+SELECT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, 'mutual' AS kind FROM p x
+  JOIN p y ON y.id = x.id + CASE WHEN x.id % 4 < 2 THEN 2 ELSE -2 END
+  WHERE x.id < y.id AND contains(x.said, ' ' || y.name || ' ') AND contains(y.said, ' ' || x.name || ' ')
 UNION ALL SELECT a, id, 'equal' FROM (SELECT id, min(id) OVER (PARTITION BY gloss) AS a FROM g) WHERE id <> a""")
 def mirror_pairs(t):
     return match.mirror_pairs(glosses(t).filter("label <> 'the'").unionByName(glosses(t).filter("label = 'the'").withColumn("label", F.lit("the unnamed"))))
@@ -209,16 +236,20 @@ def equal_glosses(t):
     return match.equal_glosses(glosses(t))
 
 
-@query("""WITH m AS (SELECT 'p' || l_orderkey || CASE WHEN l_linenumber % 5 = 0 THEN ':X' ELSE ':ARG' END || l_linenumber AS s, l_partkey AS role, (l_extendedprice, l_partkey) AS ord FROM lineitem)
-SELECT regexp_extract(s, '^(.*):ARG([0-9]+)$', 1) AS predicate_id, CAST(regexp_extract(s, '^(.*):ARG([0-9]+)$', 2) AS INTEGER) AS arg, arg_max(role, ord) AS role FROM m WHERE regexp_matches(s, ':ARG[0-9]+$') GROUP BY 1, 2""")
+@query("""WITH m AS (SELECT 'p' || l_orderkey || CASE WHEN l_linenumber % 5 = 0 THEN ':X' ELSE ':ARG' END || l_linenumber AS s, l_partkey AS role, (l_extendedprice, l_partkey) AS ord
+  FROM lineitem)
+SELECT regexp_extract(s, '^(.*):ARG([0-9]+)$', 1) AS predicate_id, CAST(regexp_extract(s, '^(.*):ARG([0-9]+)$', 2) AS INTEGER) AS arg, arg_max(role, ord) AS role
+  FROM m WHERE regexp_matches(s, ':ARG[0-9]+$') GROUP BY 1, 2""")
 def positional_roles(t):
     n = F.col("l_linenumber")
     s = F.concat(F.lit("p"), F.col("l_orderkey").cast("string"), F.when(n % 5 == 0, ":X").otherwise(":ARG"), n.cast("string"))
     return match.positional_roles(t.lineitem.select(s.alias("source_id"), F.col("l_partkey").alias("role"), F.struct("l_extendedprice", "l_partkey").alias("ord")))
 
 
-@query("""SELECT p_partkey AS schema_id, p_brand AS consumer_role, p_size % 7 AS local_role, p_size % 3 AS expected_role, CASE WHEN p_size % 7 IN (0, 1, 2, 4, 5) THEN CASE WHEN p_size % 7 <> 2 THEN (p_size % 7) % 3 END END AS grounded_role,
-CASE WHEN p_size % 7 NOT IN (0, 1, 2, 4, 5) THEN 'unknown_local_role' WHEN p_size % 7 = 2 THEN 'ungrounded' WHEN (p_size % 7) % 3 <> p_size % 3 THEN 'mismatch' ELSE 'resolved' END AS status FROM part""")
+@query("""SELECT p_partkey AS schema_id, p_brand AS consumer_role, p_size % 7 AS local_role, p_size % 3 AS expected_role,
+  CASE WHEN p_size % 7 IN (0, 1, 2, 4, 5) THEN CASE WHEN p_size % 7 <> 2 THEN (p_size % 7) % 3 END END AS grounded_role,
+CASE WHEN p_size % 7 NOT IN (0, 1, 2, 4, 5) THEN 'unknown_local_role' WHEN p_size % 7 = 2 THEN 'ungrounded' WHEN (p_size % 7) % 3 <> p_size % 3 THEN 'mismatch' ELSE 'resolved' END AS status
+  FROM part""")
 def consumer_profile_resolve(t):
     size = F.col("p_size")
     profile = t.part.select(F.col("p_partkey").alias("schema_id"), F.col("p_brand").alias("consumer_role"), (size % 7).alias("local_role"), (size % 3).alias("expected_role"))
@@ -233,7 +264,8 @@ def prune_source_files(t):
 
 @query("""WITH s AS (SELECT DISTINCT l_orderkey AS id, 'ARG' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS role, CAST(l_linenumber AS VARCHAR) AS arg FROM lineitem),
 h AS (SELECT l_orderkey AS id, CAST(l_linenumber AS VARCHAR) AS arg, count(*) AS n, min(l_partkey) AS d FROM lineitem WHERE l_quantity < 30 GROUP BY 1, 2)
-SELECT id, role, arg, CASE WHEN n = 1 THEN CAST(d AS VARCHAR) END AS description, CASE WHEN n IS NULL THEN 'not_supplied' WHEN n = 1 THEN 'exact' ELSE 'conflicting' END AS status FROM s LEFT JOIN h USING (id, arg)""")
+SELECT id, role, arg, CASE WHEN n = 1 THEN CAST(d AS VARCHAR) END AS description,
+  CASE WHEN n IS NULL THEN 'not_supplied' WHEN n = 1 THEN 'exact' ELSE 'conflicting' END AS status FROM s LEFT JOIN h USING (id, arg)""")
 def resolve_argument_evidence(t):
     k, n = F.col("l_orderkey").alias("id"), F.col("l_linenumber")
     slots = t.lineitem.select(k, F.concat(F.lit("ARG"), F.lpad(n.cast("string"), 2, "0")).alias("role")).distinct()
@@ -248,7 +280,8 @@ def compare_runs(t):
     return match.compare_runs(run(v), run(v + F.col("doc_id") % 3).filter("doc_id % 4 <> 0"), ["doc_id"], "v", "p")
 
 
-@query(f"""WITH {DONORS}, {SOURCES} SELECT family, normal_id, 'left' AS side FROM (SELECT DISTINCT family, normal_id FROM donors WHERE normal_id IS NOT NULL EXCEPT SELECT family, source_id FROM sources)
+@query(f"""WITH {DONORS}, {SOURCES} SELECT family, normal_id, 'left' AS side FROM (SELECT DISTINCT family, normal_id FROM donors
+  WHERE normal_id IS NOT NULL EXCEPT SELECT family, source_id FROM sources)
 UNION ALL SELECT family, source_id, 'right' FROM (SELECT family, source_id FROM sources EXCEPT SELECT family, normal_id FROM donors)""")
 def population_equal(t):
     key = lambda df: df.select(F.struct("family", "normal_id").alias("k"))
@@ -256,17 +289,23 @@ def population_equal(t):
     return out.select("k.family", "k.normal_id", "side")
 
 
-@query("""SELECT c_custkey, code FROM (SELECT c_custkey, unnest([CASE WHEN c_acctbal < 0 THEN 'NEGATIVE' END, CASE WHEN c_mktsegment = 'BUILDING' THEN 'SEGMENT' END, CASE WHEN c_acctbal / 10000.0 NOT BETWEEN 0 AND 1 THEN 'CONFIDENCE' END]) AS code FROM customer) WHERE code IS NOT NULL""")
+@query("""SELECT c_custkey, code FROM (SELECT c_custkey, unnest([CASE WHEN c_acctbal < 0 THEN 'NEGATIVE' END,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'SEGMENT' END, CASE WHEN c_acctbal / 10000.0 NOT BETWEEN 0 AND 1 THEN 'CONFIDENCE' END]) AS code
+  FROM customer) WHERE code IS NOT NULL""")
 def validate_fields(t):
     return checks.field_violations(t.customer, "c_custkey", {"NEGATIVE": F.col("c_acctbal") < 0, "SEGMENT": F.col("c_mktsegment") == "BUILDING", "CONFIDENCE": checks.no_confidence(F.col("c_acctbal") / 10000)})
 
 
 RECORDS = """rec AS (SELECT l_orderkey * 10 + l_linenumber AS id, ['predicate_type', 'role_slot', 'entity_type', 'hierarchy_edge'][l_orderkey % 4 + 1] AS kind, ['derived_from', 'positional_role', 'typed_by', 'subtype_of', 'candidate_alignment'][CASE WHEN l_partkey % 7 = 0 THEN l_suppkey % 5 WHEN l_orderkey % 4 = 0 AND l_suppkey % 2 = 0 THEN 4 ELSE l_orderkey % 4 END + 1] AS relation,
-  ['donor', 'propbank', 'framenet_candidate', 'sumo_types', 'another'][l_partkey % 5 + 1] AS source, CASE WHEN l_linenumber = 2 THEN 'm' END AS ref, CASE WHEN l_linenumber IN (2, 3) AND l_partkey % 3 > 0 THEN 'unknown' END AS scope, CASE WHEN l_linenumber = 4 THEN 0.5 END AS confidence FROM lineitem)"""
+  ['donor', 'propbank', 'framenet_candidate', 'sumo_types', 'another'][l_partkey % 5 + 1] AS source, CASE WHEN l_linenumber = 2 THEN 'm' END AS ref,
+  CASE WHEN l_linenumber IN (2, 3) AND l_partkey % 3 > 0 THEN 'unknown' END AS scope, CASE WHEN l_linenumber = 4 THEN 0.5 END AS confidence
+  FROM lineitem)"""
 
 
-@query(f"""WITH {RECORDS}, c AS (SELECT id, CASE WHEN NOT coalesce(kind || '|' || relation IN ('predicate_type|derived_from', 'predicate_type|candidate_alignment', 'role_slot|positional_role', 'entity_type|typed_by', 'hierarchy_edge|subtype_of'), false) THEN 'RELATION_OF_KIND' WHEN (ref IS NULL) <> (scope IS NULL) THEN 'METHOD_WITHOUT_SCOPE' WHEN ref IS NOT NULL AND relation <> 'candidate_alignment' THEN 'METHOD_OF_NO_CANDIDATE'
-  WHEN confidence IS NOT NULL AND relation <> 'candidate_alignment' THEN 'CONFIDENCE_OF_NO_CANDIDATE' WHEN source = 'another' THEN 'UNKNOWN_SOURCE' WHEN NOT (CASE source WHEN 'framenet_candidate' THEN relation = 'candidate_alignment' WHEN 'sumo_types' THEN kind IN ('entity_type', 'hierarchy_edge') ELSE relation IN ('derived_from', 'positional_role') END) THEN 'RELATION_OF_SOURCE' END AS code FROM rec) SELECT id, code FROM c WHERE code IS NOT NULL""")
+@query(f"""WITH {RECORDS}, c AS (SELECT id,
+  CASE WHEN NOT coalesce(kind || '|' || relation IN ('predicate_type|derived_from', 'predicate_type|candidate_alignment', 'role_slot|positional_role', 'entity_type|typed_by', 'hierarchy_edge|subtype_of'), false) THEN 'RELATION_OF_KIND' WHEN (ref IS NULL) <> (scope IS NULL) THEN 'METHOD_WITHOUT_SCOPE' WHEN ref IS NOT NULL AND relation <> 'candidate_alignment' THEN 'METHOD_OF_NO_CANDIDATE'
+  WHEN confidence IS NOT NULL AND relation <> 'candidate_alignment' THEN 'CONFIDENCE_OF_NO_CANDIDATE' WHEN source = 'another' THEN 'UNKNOWN_SOURCE' WHEN NOT (CASE source WHEN 'framenet_candidate' THEN relation = 'candidate_alignment' WHEN 'sumo_types' THEN kind IN ('entity_type', 'hierarchy_edge') ELSE relation IN ('derived_from', 'positional_role') END) THEN 'RELATION_OF_SOURCE' END AS code
+  FROM rec) SELECT id, code FROM c WHERE code IS NOT NULL""")
 def legal_combination(t):
     o, p, s, n = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     pick = lambda names, at: F.element_at(F.array(*[F.lit(x) for x in names]), (at + 1).cast("int"))
@@ -284,7 +323,8 @@ def legal_combination(t):
 
 
 @query("""SELECT p_partkey, 'lc:' || lower(trim(p_name)) AS predicate_id, 'lc.role.' || lower(trim(p_type)) AS role_id, 'lc.role.relation_arg' || p_size AS position_id, 'lc:sumo_type.' || lower(p_brand) AS type_id,
-'id_' || substr(sha256(concat_ws(chr(0), CAST(p_partkey AS VARCHAR), p_brand)), 1, 24) AS stable_id, 'j_' || sha256('{"brand":"' || p_brand || '","size":"' || p_size || '"}') AS json_id FROM part""")
+'id_' || substr(sha256(concat_ws(chr(0), CAST(p_partkey AS VARCHAR), p_brand)), 1, 24) AS stable_id, 'j_' || sha256('{"brand":"' || p_brand || '","size":"' || p_size || '"}') AS json_id
+  FROM part""")
 def namespace_ids(t):
     c = F.col
     return t.part.select("p_partkey", ids.predicate_id(c("p_name")).alias("predicate_id"), ids.role_id(c("p_type")).alias("role_id"), ids.positional_role_id(c("p_size")).alias("position_id"), ids.type_id(F.concat(F.lit("sumo:"), "p_brand")).alias("type_id"), ids.stable_id("id_", c("p_partkey"), c("p_brand")).alias("stable_id"), ids.json_id("j_", size=c("p_size"), brand=c("p_brand")).alias("json_id"))
@@ -307,7 +347,8 @@ def additive_over(t):
     return checks.not_additive(o.filter("o_orderkey % 6 = 0"), o.filter("o_orderkey % 4 = 0"))
 
 
-@query("""WITH l AS (SELECT o_orderkey AS k, o_custkey AS a, o_orderkey % 100 AS b FROM orders), r AS (SELECT o_orderkey AS k, o_orderkey % 100 AS a, CASE WHEN o_orderkey % 8 = 0 THEN -1 ELSE o_custkey END AS b FROM orders WHERE o_orderkey % 7 <> 0)
+@query("""WITH l AS (SELECT o_orderkey AS k, o_custkey AS a, o_orderkey % 100 AS b FROM orders), r AS (SELECT o_orderkey AS k, o_orderkey % 100 AS a,
+  CASE WHEN o_orderkey % 8 = 0 THEN -1 ELSE o_custkey END AS b FROM orders WHERE o_orderkey % 7 <> 0)
 SELECT k, CASE WHEN r.k IS NULL THEN 'no_incoming' ELSE 'not_swapped' END AS status FROM l LEFT JOIN r USING (k) WHERE r.k IS NULL OR l.a <> r.b OR l.b <> r.a""")
 def mirror_consistent(t):
     k = F.col("o_orderkey")
@@ -316,8 +357,12 @@ def mirror_consistent(t):
     return checks.mirror_violations(out, back, ["k"], "a", "b")
 
 
-@query("""WITH e AS (SELECT o_orderkey AS relation_id, 'sub' AS "end", o_custkey AS id, 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS name FROM orders UNION ALL SELECT o_orderkey, 'super', o_orderkey % 1000, CASE WHEN o_orderkey % 3 = 0 THEN 'other' ELSE 'Customer#' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 9, '0') END FROM orders)
-SELECT relation_id, "end", status FROM (SELECT e.*, CASE WHEN c_custkey IS NULL THEN 'missing' WHEN c_name IS DISTINCT FROM name THEN 'name_mismatch' END AS status FROM e LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 50 <> 0) ON c_custkey = id) WHERE status IS NOT NULL""")
+@query("""WITH e AS (SELECT o_orderkey AS relation_id, 'sub' AS "end", o_custkey AS id, 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS name
+  FROM orders UNION ALL SELECT o_orderkey, 'super', o_orderkey % 1000,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'other' ELSE 'Customer#' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 9, '0') END FROM orders)
+SELECT relation_id, "end", status FROM (SELECT e.*, CASE WHEN c_custkey IS NULL THEN 'missing' WHEN c_name IS DISTINCT
+  FROM name THEN 'name_mismatch' END AS status FROM e LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 50 <> 0) ON c_custkey = id)
+  WHERE status IS NOT NULL""")
 def resolve_endpoints(t):
     name = lambda c: F.concat(F.lit("Customer#"), F.lpad(c.cast("string"), 9, "0"))
     k = F.col("o_orderkey")
@@ -332,7 +377,8 @@ def eligible_view(t):
     return match.view_receipt(df)
 
 
-@query("""SELECT 'documents' AS source, count(*) AS files, CAST(count_if(n_chars % 9 <> 0) AS BIGINT) AS parsed, CAST(count_if(doc_id % 10 = 0 OR n_chars % 9 = 0) AS BIGINT) AS issues, CAST(count_if(doc_id % 50 = 0) AS BIGINT) AS repairs, count_if(doc_id % 10 = 0 AND n_chars % 9 <> 0) = 0 AS complete FROM documents
+@query("""SELECT 'documents' AS source, count(*) AS files, CAST(count_if(n_chars % 9 <> 0) AS BIGINT) AS parsed, CAST(count_if(doc_id % 10 = 0 OR n_chars % 9 = 0) AS BIGINT) AS issues, CAST(count_if(doc_id % 50 = 0) AS BIGINT) AS repairs, count_if(doc_id % 10 = 0 AND n_chars % 9 <> 0) = 0 AS complete
+  FROM documents
 UNION ALL SELECT 'pages', count(*), CAST(count_if(page_id % 4 > 0) AS BIGINT), CAST(count_if(page_id % 4 = 0) AS BIGINT), 0, true FROM pages""")
 def source_coverage(t):
     docs = t.documents.select(F.col("doc_id").alias("path"), (F.col("n_chars") % 9 != 0).alias("parsed"))
@@ -341,7 +387,8 @@ def source_coverage(t):
     return M.source_coverage({"documents": (docs, docs.filter("path % 10 = 0 or not parsed")), "pages": (pages, pages.filter("not parsed"))}, repaired)
 
 
-@query("""WITH a AS (SELECT l_orderkey AS path, l_linenumber AS idx, l_partkey AS child, l_suppkey AS parent FROM lineitem), t AS (SELECT p_partkey AS term FROM part WHERE p_partkey % 97 <> 0)
+@query("""WITH a AS (SELECT l_orderkey AS path, l_linenumber AS idx, l_partkey AS child, l_suppkey AS parent
+  FROM lineitem), t AS (SELECT p_partkey AS term FROM part WHERE p_partkey % 97 <> 0)
 SELECT 'line' AS asset, 'UNKNOWN_TERM' AS code, CAST(d AS VARCHAR) AS detail FROM (SELECT child AS d FROM a UNION SELECT parent FROM a) WHERE d NOT IN (SELECT term FROM t)
 UNION ALL SELECT 'line', 'UNKNOWN_MODULE', CAST(path AS VARCHAR) FROM (SELECT DISTINCT path FROM a) WHERE path NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 101 <> 0)
 UNION ALL SELECT 'line', 'DUPLICATE_AXIOM', path || '#' || idx FROM a GROUP BY path, idx HAVING count(*) > 1""")
@@ -355,9 +402,15 @@ def common_keys(t):
     return checks.common_keys(t.lineitem.filter("l_quantity < 10"), t.lineitem.filter("l_quantity > 40"), ["l_orderkey", "l_linenumber"])
 
 
-@query("""WITH e AS (SELECT l_orderkey AS relation_id, l_linenumber AS fe_relation_id, l_partkey AS sub_fe_id, l_suppkey * 7 AS super_fe_id FROM lineitem), r AS (SELECT o_orderkey AS relation_id, o_custkey % 25 AS sub_id, o_orderkey % 25 AS super_id FROM orders WHERE o_orderkey % 11 > 0), f AS (SELECT p_partkey AS fe_id, p_partkey % 25 AS frame_id FROM part WHERE p_partkey % 9 > 0),
-x AS (SELECT e.relation_id, fe_relation_id, r.relation_id IS NOT NULL AS known, 'sub' AS "end", sub_fe_id AS fe_id, sub_id AS wanted FROM e LEFT JOIN r USING (relation_id) UNION ALL SELECT e.relation_id, fe_relation_id, r.relation_id IS NOT NULL, 'super', super_fe_id, super_id FROM e LEFT JOIN r USING (relation_id))
-SELECT relation_id, fe_relation_id, "end", CASE WHEN NOT known THEN 'missing_relation' WHEN frame_id IS NULL THEN 'missing' ELSE 'wrong_frame' END AS status FROM x LEFT JOIN f USING (fe_id) WHERE NOT known OR frame_id IS NULL OR frame_id <> wanted""")
+@query("""WITH e AS (SELECT l_orderkey AS relation_id, l_linenumber AS fe_relation_id, l_partkey AS sub_fe_id, l_suppkey * 7 AS super_fe_id
+  FROM lineitem), r AS (SELECT o_orderkey AS relation_id, o_custkey % 25 AS sub_id, o_orderkey % 25 AS super_id FROM orders
+  WHERE o_orderkey % 11 > 0), f AS (SELECT p_partkey AS fe_id, p_partkey % 25 AS frame_id FROM part WHERE p_partkey % 9 > 0),
+x AS (SELECT e.relation_id, fe_relation_id, r.relation_id IS NOT NULL AS known, 'sub' AS "end", sub_fe_id AS fe_id, sub_id AS wanted FROM e LEFT
+  JOIN r USING (relation_id) UNION ALL SELECT e.relation_id, fe_relation_id, r.relation_id IS NOT NULL, 'super', super_fe_id, super_id FROM e LEFT
+  JOIN r USING (relation_id))
+SELECT relation_id, fe_relation_id, "end",
+  CASE WHEN NOT known THEN 'missing_relation' WHEN frame_id IS NULL THEN 'missing' ELSE 'wrong_frame' END AS status FROM x LEFT JOIN f USING (fe_id)
+  WHERE NOT known OR frame_id IS NULL OR frame_id <> wanted""")
 def resolve_element_endpoints(t):
     k = F.col("o_orderkey")
     ends = t.lineitem.select(F.col("l_orderkey").alias("relation_id"), F.col("l_linenumber").alias("fe_relation_id"), F.col("l_partkey").alias("sub_fe_id"), (F.col("l_suppkey") * 7).alias("super_fe_id"))
@@ -366,7 +419,11 @@ def resolve_element_endpoints(t):
     return match.resolve_element_endpoints(ends, relations, elements)
 
 
-@query("""WITH n AS (SELECT o_custkey AS participant, o_orderstatus AS ext, count(*) AS n FROM orders GROUP BY 1, 2), w AS (SELECT c_custkey AS participant FROM customer WHERE c_custkey % 3 > 0) SELECT coalesce(n.participant, w.participant) AS participant, ext, coalesce(n, 0) AS n, CASE WHEN ext IS NULL THEN 'missing' WHEN w.participant IS NULL THEN 'unexpected' ELSE 'expected' END AS status FROM n FULL JOIN w ON w.participant = n.participant""")
+@query("""WITH n AS (SELECT o_custkey AS participant, o_orderstatus AS ext, count(*) AS n FROM orders
+  GROUP BY 1, 2), w AS (SELECT c_custkey AS participant FROM customer
+  WHERE c_custkey % 3 > 0) SELECT coalesce(n.participant, w.participant) AS participant, ext, coalesce(n, 0) AS n,
+  CASE WHEN ext IS NULL THEN 'missing' WHEN w.participant IS NULL THEN 'unexpected' ELSE 'expected' END AS status FROM n FULL
+  JOIN w ON w.participant = n.participant""")
 def participant_counts(t):
     files = t.orders.select(F.col("o_custkey").alias("participant"), F.col("o_orderstatus").alias("ext"))
     return match.participant_counts(files, t.customer.filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("participant")))

@@ -8,15 +8,24 @@ from crosslink.plans.base import query
 from crosslink.plans.graphs import CLOSURE, cyclic, edges
 from crosslink.sources import files
 
-SLOTS = f"""{CLOSURE}, sl AS (SELECT DISTINCT o_orderpriority AS predicate, 'L' || (o_custkey % 10) AS label, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority || (o_custkey % 10) END AS role, CASE WHEN o_custkey % 3 = 0 THEN 'n' || (o_custkey % 25) WHEN o_custkey % 3 = 1 THEN 'r' || (o_custkey % 6) END AS type FROM orders),
-re AS (SELECT o_orderpriority || i AS role, i % 4 > 0 AS case_role FROM (SELECT DISTINCT o_orderpriority FROM orders), (SELECT unnest(range(8)) AS i)), ty AS (SELECT DISTINCT node AS type FROM closure),
+SLOTS = f"""{CLOSURE}, sl AS (SELECT DISTINCT o_orderpriority AS predicate, 'L' || (o_custkey % 10) AS label,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority || (o_custkey % 10) END AS role,
+  CASE WHEN o_custkey % 3 = 0 THEN 'n' || (o_custkey % 25) WHEN o_custkey % 3 = 1 THEN 'r' || (o_custkey % 6) END AS type FROM orders),
+re AS (SELECT o_orderpriority || i AS role, i % 4 > 0 AS case_role FROM (SELECT DISTINCT o_orderpriority
+  FROM orders), (SELECT unnest(range(8)) AS i)), ty AS (SELECT DISTINCT node AS type FROM closure),
 co AS (SELECT DISTINCT o_orderpriority || (o_custkey % 10) AS role, 'r' || (o_custkey % 2) AS required_type FROM orders WHERE o_custkey % 10 < 6),
-au AS (SELECT sl.*, CASE WHEN sl.role IS NULL THEN 'unmapped' WHEN case_role IS NULL THEN 'missing_current_source' WHEN case_role THEN 'exact_case_role' ELSE 'exact_non_case_relation' END AS role_status, CASE WHEN sl.type IS NULL THEN 'unmapped' WHEN ty.type IS NULL THEN 'missing_current_source' ELSE 'exact_current_source' END AS type_status FROM sl LEFT JOIN re USING (role) LEFT JOIN ty ON ty.type = sl.type),
-tr AS (SELECT s.role, s.type, CASE WHEN count(required_type) = 0 THEN 'no_direct_constraint' WHEN count(required_type) = 1 AND max(required_type) = s.type THEN 'direct_match' WHEN bool_and((s.type, required_type) IN (SELECT (node, ancestor) FROM closure)) THEN 'compatible_donor_subtype' WHEN bool_and((required_type, s.type) IN (SELECT (node, ancestor) FROM closure)) THEN 'incompatible_donor_supertype' ELSE 'incomparable_types' END AS status
+au AS (SELECT sl.*, CASE WHEN sl.role IS NULL THEN 'unmapped' WHEN case_role IS NULL THEN 'missing_current_source' WHEN case_role THEN 'exact_case_role' ELSE 'exact_non_case_relation' END AS role_status,
+  CASE WHEN sl.type IS NULL THEN 'unmapped' WHEN ty.type IS NULL THEN 'missing_current_source' ELSE 'exact_current_source' END AS type_status FROM sl
+  LEFT JOIN re USING (role) LEFT JOIN ty ON ty.type = sl.type),
+tr AS (SELECT s.role, s.type, CASE WHEN count(required_type) = 0 THEN 'no_direct_constraint' WHEN count(required_type) = 1 AND max(required_type) = s.type THEN 'direct_match' WHEN bool_and((s.type, required_type) IN (SELECT (node, ancestor)
+  FROM closure)) THEN 'compatible_donor_subtype' WHEN bool_and((required_type, s.type) IN (SELECT (node, ancestor)
+  FROM closure)) THEN 'incompatible_donor_supertype' ELSE 'incomparable_types' END AS status
   FROM (SELECT DISTINCT role, type FROM au WHERE role_status = 'exact_case_role' AND type_status = 'exact_current_source') s LEFT JOIN co USING (role) GROUP BY 1, 2)"""
 
 
-@query(f"""{SLOTS} SELECT predicate, label, role, au.type, role_status, type_status, CASE WHEN role_status = 'exact_case_role' AND type_status = 'exact_current_source' THEN status ELSE 'not_applicable' END AS constraint_status FROM au LEFT JOIN tr USING (role, type)""")
+@query(f"""{SLOTS} SELECT predicate, label, role, au.type, role_status, type_status,
+  CASE WHEN role_status = 'exact_case_role' AND type_status = 'exact_current_source' THEN status ELSE 'not_applicable' END AS constraint_status
+  FROM au LEFT JOIN tr USING (role, type)""")
 def audit_roles(t):
     c, ten = F.col("o_custkey"), (F.col("o_custkey") % 10).cast("string")
     named = F.concat("o_orderpriority", ten)
@@ -28,8 +37,12 @@ def audit_roles(t):
     return match.audit_roles(slots, relations, closure.select(F.col("node").alias("type")), constraints, closure)
 
 
-@query("""WITH a AS (SELECT DISTINCT l_suppkey AS p, 'L' || l_linenumber AS label FROM lineitem WHERE l_linenumber < 6), r AS (SELECT 'L' || n AS label, 'role' || n AS role_id FROM (SELECT DISTINCT l_linenumber AS n FROM lineitem WHERE l_linenumber % 2 = 0))
-SELECT c_custkey AS case_id, c_custkey % 50 AS predicate_id, 'L' || (c_custkey % 9) AS label, CASE WHEN p IS NOT NULL THEN role_id END AS role_id, CASE WHEN p IS NULL THEN 'missing_slot' WHEN role_id IS NULL THEN 'missing_role' ELSE 'bound' END AS status FROM customer LEFT JOIN a ON p = c_custkey % 50 AND a.label = 'L' || (c_custkey % 9) LEFT JOIN r ON r.label = 'L' || (c_custkey % 9)""")
+@query("""WITH a AS (SELECT DISTINCT l_suppkey AS p, 'L' || l_linenumber AS label FROM lineitem
+  WHERE l_linenumber < 6), r AS (SELECT 'L' || n AS label, 'role' || n AS role_id FROM (SELECT DISTINCT l_linenumber AS n FROM lineitem
+  WHERE l_linenumber % 2 = 0))
+SELECT c_custkey AS case_id, c_custkey % 50 AS predicate_id, 'L' || (c_custkey % 9) AS label, CASE WHEN p IS NOT NULL THEN role_id END AS role_id,
+  CASE WHEN p IS NULL THEN 'missing_slot' WHEN role_id IS NULL THEN 'missing_role' ELSE 'bound' END AS status FROM customer LEFT
+  JOIN a ON p = c_custkey % 50 AND a.label = 'L' || (c_custkey % 9) LEFT JOIN r ON r.label = 'L' || (c_custkey % 9)""")
 def bind_reviews(t):
     k = F.col("c_custkey")
     label = lambda c: F.concat(F.lit("L"), c.cast("string")).alias("label")
@@ -38,8 +51,12 @@ def bind_reviews(t):
     return match.bind_reviews(t.customer.select(k.alias("case_id"), (k % 50).alias("predicate_id"), label(k % 9)), slots, roles)
 
 
-@query("""WITH r AS (SELECT l_partkey AS p, string_agg(l_orderkey * 10 + l_linenumber || ':' || l_returnflag, ',' ORDER BY l_orderkey * 10 + l_linenumber, l_returnflag) AS roles FROM lineitem GROUP BY 1), m AS (SELECT p, string_agg(f || '=' || ids, ';' ORDER BY f) AS mappings FROM (SELECT l_partkey AS p, l_shipmode AS f, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS ids FROM lineitem GROUP BY 1, 2) GROUP BY 1)
-SELECT p_partkey AS predicate_id, p_name AS label, coalesce(roles, '') AS roles, coalesce(mappings, '') AS mappings FROM part LEFT JOIN r ON r.p = p_partkey LEFT JOIN m ON m.p = p_partkey""".replace("l_shipmode", "l_linestatus"))
+@query("""WITH r AS (SELECT l_partkey AS p, string_agg(l_orderkey * 10 + l_linenumber || ':' || l_returnflag, ','
+  ORDER BY l_orderkey * 10 + l_linenumber, l_returnflag) AS roles FROM lineitem GROUP BY 1), m AS (SELECT p, string_agg(f || '=' || ids, ';'
+  ORDER BY f) AS mappings FROM (SELECT l_partkey AS p, l_shipmode AS f, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ','
+  ORDER BY CAST(l_suppkey AS VARCHAR)) AS ids FROM lineitem GROUP BY 1, 2) GROUP BY 1)
+SELECT p_partkey AS predicate_id, p_name AS label, coalesce(roles, '') AS roles, coalesce(mappings, '') AS mappings FROM part LEFT
+  JOIN r ON r.p = p_partkey LEFT JOIN m ON m.p = p_partkey""".replace("l_shipmode", "l_linestatus"))
 def inspect_predicate(t):
     order = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     roles = t.lineitem.select(F.col("l_partkey").alias("predicate_id"), order.alias("ord"), F.col("l_returnflag").alias("role"), F.lit(True).alias("required"))
@@ -50,15 +67,20 @@ def inspect_predicate(t):
     return out.select("predicate_id", "label", F.coalesce(shown, F.lit("")).alias("roles"), F.coalesce(mapped, F.lit("")).alias("mappings"))
 
 
-@query("""SELECT 'c' || o_custkey AS canonical_id, o_orderpriority AS source_key, o_orderkey AS source_id, d AS source_description, CASE WHEN d IS NULL THEN 'undeclared_source' ELSE 'declared' END AS status FROM orders LEFT JOIN (SELECT DISTINCT o_orderpriority AS k, upper(o_orderpriority) AS d FROM orders WHERE o_orderpriority < '4') ON k = o_orderpriority""")
+@query("""SELECT 'c' || o_custkey AS canonical_id, o_orderpriority AS source_key, o_orderkey AS source_id, d AS source_description,
+  CASE WHEN d IS NULL THEN 'undeclared_source' ELSE 'declared' END AS status FROM orders LEFT
+  JOIN (SELECT DISTINCT o_orderpriority AS k, upper(o_orderpriority) AS d FROM orders WHERE o_orderpriority < '4') ON k = o_orderpriority""")
 def inspect_lineage(t):
     rows = t.orders.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("canonical_id"), F.col("o_orderpriority").alias("source_key"), F.col("o_orderkey").alias("source_id"))
     sources = t.orders.filter("o_orderpriority < '4'").select(F.col("o_orderpriority").alias("source_key"), F.upper("o_orderpriority").alias("description")).distinct()
     return match.inspect_lineage(rows, sources)
 
 
-@query("""WITH x AS (SELECT l_orderkey * 10 + l_linenumber AS case_id, 'p' || l_partkey % 20 AS from_id, 'r' || l_linenumber AS from_role, 'p' || l_suppkey % 20 AS to_id, 'r' || (l_linenumber + 1) AS to_role FROM lineitem), s AS (SELECT 'p' || i AS p, 'r' || j AS r FROM (SELECT unnest(range(20)) AS i), (SELECT unnest(range(1, 8)) AS j) WHERE (i + j) % 5 > 0)
-SELECT x.*, CASE WHEN a.p IS NULL THEN 'missing_source_role' WHEN b.p IS NULL THEN 'missing_target_role' WHEN (CAST(substr(from_id, 2) AS INTEGER) + CAST(substr(to_id, 2) AS INTEGER)) % 3 > 0 OR from_role > 'r5' THEN 'missing_correspondence' ELSE 'bound' END AS status FROM x LEFT JOIN s a ON a.p = from_id AND a.r = from_role LEFT JOIN s b ON b.p = to_id AND b.r = to_role""")
+@query("""WITH x AS (SELECT l_orderkey * 10 + l_linenumber AS case_id, 'p' || l_partkey % 20 AS from_id, 'r' || l_linenumber AS from_role, 'p' || l_suppkey % 20 AS to_id, 'r' || (l_linenumber + 1) AS to_role
+  FROM lineitem), s AS (SELECT 'p' || i AS p, 'r' || j AS r FROM (SELECT unnest(range(20)) AS i), (SELECT unnest(range(1, 8)) AS j)
+  WHERE (i + j) % 5 > 0)
+SELECT x.*, CASE WHEN a.p IS NULL THEN 'missing_source_role' WHEN b.p IS NULL THEN 'missing_target_role' WHEN (CAST(substr(from_id, 2) AS INTEGER) + CAST(substr(to_id, 2) AS INTEGER)) % 3 > 0 OR from_role > 'r5' THEN 'missing_correspondence' ELSE 'bound' END AS status
+  FROM x LEFT JOIN s a ON a.p = from_id AND a.r = from_role LEFT JOIN s b ON b.p = to_id AND b.r = to_role""")
 def bind_transform_evidence(t):
     n = F.col("l_linenumber")
     tag = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
@@ -91,7 +113,8 @@ def git_blob_sha(t):
     return t.documents.select("doc_id", ids.blob_sha(F.col("text")).alias("sha"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN a AND NOT b THEN 'static' WHEN b AND NOT a THEN 'dynamic' ELSE 'refused' END AS rule FROM (SELECT *, l_quantity < 30 AS a, coalesce(CASE WHEN l_returnflag <> 'N' THEN l_discount > 0.04 END, false) AS b FROM lineitem)""")
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN a AND NOT b THEN 'static' WHEN b AND NOT a THEN 'dynamic' ELSE 'refused' END AS rule
+  FROM (SELECT *, l_quantity < 30 AS a, coalesce(CASE WHEN l_returnflag <> 'N' THEN l_discount > 0.04 END, false) AS b FROM lineitem)""")
 def predict_two_rules(t):
     moving = F.when(F.col("l_returnflag") != "N", F.col("l_discount") > 0.04)
     return t.lineitem.select("l_orderkey", "l_linenumber", values.two_rules(F.col("l_quantity") < 30, moving).alias("rule"))
@@ -103,8 +126,10 @@ def sorted_unique(t):
     return rows.select("o_custkey", values.sorted_unique(F.transform("ks", lambda x: x["o_orderkey"] % 7)).alias("fine"))
 
 
-@query(r"""WITH v AS (SELECT c_custkey AS k, md5(CAST(c_custkey AS VARCHAR)) AS h, (c_custkey % 12) || '.' || CASE WHEN c_custkey % 5 = 0 THEN '0' ELSE '' END || (c_custkey % 7) || '.3' || CASE WHEN c_custkey % 4 = 0 THEN '-rc.1' ELSE '' END AS v, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE replace(c_name, '#', ':') END AS i FROM customer)
-SELECT k, regexp_full_match(CASE WHEN k % 6 = 0 THEN upper(h) ELSE h END, '[0-9a-f]{32}') AS hex, regexp_full_match(v, '(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)(-[0-9A-Za-z.-]+)?') AS version, regexp_full_match(i, '[A-Za-z][A-Za-z0-9_.:-]*') AS token FROM v""")
+@query(r"""WITH v AS (SELECT c_custkey AS k, md5(CAST(c_custkey AS VARCHAR)) AS h, (c_custkey % 12) || '.' || CASE WHEN c_custkey % 5 = 0 THEN '0' ELSE '' END || (c_custkey % 7) || '.3' || CASE WHEN c_custkey % 4 = 0 THEN '-rc.1' ELSE '' END AS v,
+  CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE replace(c_name, '#', ':') END AS i FROM customer)
+SELECT k, regexp_full_match(CASE WHEN k % 6 = 0 THEN upper(h) ELSE h END, '[0-9a-f]{32}') AS hex, regexp_full_match(v, '(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)(-[0-9A-Za-z.-]+)?') AS version, regexp_full_match(i, '[A-Za-z][A-Za-z0-9_.:-]*') AS token
+  FROM v""")
 def valid_ids(t):
     k = F.col("c_custkey")
     h = F.md5(k.cast("string"))
@@ -127,14 +152,18 @@ def align_event_time(t):
     return t.events.select("event_id", F.round(at, 6).alias("at"), values.in_trial(at, F.lit(60.0)).alias("inside"))
 
 
-@query(r"""SELECT a.turn, a.conv_id, regexp_matches(a.text, '\b(one|two|three|first|second|third|1|2)\b|\bhalf\b', 'i') OR regexp_matches(b.text, '\b(one|two|three|first|second|third|1|2)\b|\bhalf\b', 'i') AS same FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""")
+@query(r"""SELECT a.turn, a.conv_id, regexp_matches(a.text, '\b(one|two|three|first|second|third|1|2)\b|\bhalf\b', 'i') OR regexp_matches(b.text, '\b(one|two|three|first|second|third|1|2)\b|\bhalf\b', 'i') AS same
+  FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""")
 def shortlist_by_shape(t):
     a, b = t.conversations.alias("a"), t.conversations.alias("b")
     both = a.join(b, (F.col("a.conv_id") == F.col("b.conv_id")) & (F.col("b.turn") == F.col("a.turn") + 1))
     return both.select("a.turn", "a.conv_id", texts.same_shape(F.col("a.text"), F.col("b.text")).alias("same"))
 
 
-@query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN trim(x.k) <> '' THEN 'a=' || x.k END, CASE WHEN trim(x.s) NOT IN ('', 'unknown', 'none', 'n/a') THEN 'b=' || x.s END], lambda e: e IS NOT NULL), ',') AS roles FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_mktsegment END AS k, CASE c_custkey % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN ' n/a' WHEN 2 THEN 'Unknown' ELSE c_name END AS s FROM customer) x""")
+@query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN trim(x.k) <> '' THEN 'a=' || x.k END,
+  CASE WHEN trim(x.s) NOT IN ('', 'unknown', 'none', 'n/a') THEN 'b=' || x.s END], lambda e: e IS NOT NULL), ',') AS roles FROM (SELECT c_custkey,
+  CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_mktsegment END AS k, CASE c_custkey % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN ' n/a' WHEN 2 THEN 'Unknown' ELSE c_name END AS s
+  FROM customer) x""")
 def drop_empty_roles(t):
     k = F.col("c_custkey")
     b = F.when(k % 5 == 0, "unknown").when(k % 5 == 1, " n/a").when(k % 5 == 2, "Unknown").otherwise(F.col("c_name"))
@@ -142,14 +171,16 @@ def drop_empty_roles(t):
     return t.customer.select("c_custkey", F.array_join(F.transform(F.array_sort(F.map_entries(left)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("roles"))
 
 
-@query("""SELECT o_custkey, CASE WHEN count_if(o_orderstatus = 'P') > 0 THEN 'incomplete' WHEN count_if(o_orderpriority = '1-URGENT') > 0 THEN 'complete_with_repairs' ELSE 'complete' END AS status FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, CASE WHEN count_if(o_orderstatus = 'P') > 0 THEN 'incomplete' WHEN count_if(o_orderpriority = '1-URGENT') > 0 THEN 'complete_with_repairs' ELSE 'complete' END AS status
+  FROM orders GROUP BY 1""")
 def completeness(t):
     n = lambda c: F.count_if(c)
     rows = t.orders.groupBy("o_custkey").agg(F.count("*").alias("parsed"), n(F.col("o_orderpriority") == "1-URGENT").alias("repaired"), n(F.col("o_orderstatus") == "P").alias("issues"))
     return rows.select("o_custkey", rules.completeness(F.col("parsed"), F.col("repaired"), F.col("issues")).alias("status"))
 
 
-@query("""SELECT o_custkey, n, 'stored' AS side FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) WHERE o_custkey % 9 = 0 UNION ALL SELECT o_custkey, count(*) + 1, 'recomputed' FROM orders WHERE o_custkey % 9 = 0 GROUP BY 1""")
+@query("""SELECT o_custkey, n, 'stored' AS side FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) WHERE o_custkey % 9 = 0
+  UNION ALL SELECT o_custkey, count(*) + 1, 'recomputed' FROM orders WHERE o_custkey % 9 = 0 GROUP BY 1""")
 def verify_replay(t):
     """A stored count by customer against a recomputation that counts one order twice for every ninth."""
     stored = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))

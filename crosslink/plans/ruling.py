@@ -15,7 +15,8 @@ def verdict(c):
 
 
 @query(f"""WITH v AS (SELECT d.doc_id, {VERDICT.format('quality')} AS a, {VERDICT.format('toxic')} AS b FROM documents d LEFT JOIN labels l USING (doc_id))
-SELECT doc_id, CASE WHEN a = 'supports' AND b = 'supports' THEN 'tentatively_verified' WHEN a = 'contradicts' AND b = 'contradicts' THEN 'rejected' ELSE 'unresolved' END AS outcome FROM v""")
+SELECT doc_id, CASE WHEN a = 'supports' AND b = 'supports' THEN 'tentatively_verified' WHEN a = 'contradicts' AND b = 'contradicts' THEN 'rejected' ELSE 'unresolved' END AS outcome
+  FROM v""")
 def two_pass(t):
     return t.documents.join(t.labels, "doc_id", "left").select("doc_id", rules.two_pass(verdict(F.col("quality")), verdict(F.col("toxic"))).alias("outcome"))
 
@@ -27,7 +28,9 @@ def review_queue(t):
     return queue.select("case_id", "predicate_id", "label", F.coalesce(F.try_element_at("evidence", F.lit("head")), F.lit("")).alias("head"))
 
 
-@query("""WITH q AS (SELECT doc_id AS c, doc_id % 6 AS k FROM documents), b AS (SELECT c, CASE WHEN k = 0 THEN 'no_proposal' WHEN k = 1 THEN 'source_evidence_unavailable' WHEN k = 2 THEN 'quote_not_grounded' WHEN quality IS NULL THEN 'not_reviewed' ELSE 'reviewed' END AS basis, quality FROM q LEFT JOIN labels ON doc_id = c)
+@query("""WITH q AS (SELECT doc_id AS c, doc_id % 6 AS k FROM documents), b AS (SELECT c,
+  CASE WHEN k = 0 THEN 'no_proposal' WHEN k = 1 THEN 'source_evidence_unavailable' WHEN k = 2 THEN 'quote_not_grounded' WHEN quality IS NULL THEN 'not_reviewed' ELSE 'reviewed' END AS basis, quality
+  FROM q LEFT JOIN labels ON doc_id = c)
 SELECT c AS case_id, CASE WHEN basis = 'reviewed' THEN CASE WHEN quality = 1 THEN 'verified' ELSE 'rejected' END ELSE 'unresolved' END AS state, basis FROM b""")
 def governed_states(t):
     k = F.col("doc_id") % 6
@@ -37,8 +40,12 @@ def governed_states(t):
     return rules.governed_states(q, p, d)
 
 
-@query("""WITH x AS (SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, 'c' || o_custkey AS canonical_id, 'candidate' AS state FROM orders), r AS (SELECT record_id, CASE WHEN o % 2 = 0 THEN 'verified' ELSE 'rejected' END AS outcome FROM (SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, o_orderkey AS o FROM orders WHERE o_orderkey % 7 = 0))
-SELECT record_id, canonical_id, state, CAST(NULL AS VARCHAR) AS reviews_record_id FROM x UNION ALL SELECT 'lcr1_' || substr(sha256(concat_ws(chr(0), record_id, outcome)), 1, 24), canonical_id, outcome, record_id FROM x JOIN r USING (record_id)""")
+@query("""WITH x AS (SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, 'c' || o_custkey AS canonical_id, 'candidate' AS state
+  FROM orders), r AS (SELECT record_id, CASE WHEN o % 2 = 0 THEN 'verified' ELSE 'rejected' END AS outcome
+  FROM (SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS record_id, o_orderkey AS o FROM orders WHERE o_orderkey % 7 = 0))
+SELECT record_id, canonical_id, state, CAST(NULL AS VARCHAR) AS reviews_record_id FROM x
+  UNION ALL SELECT 'lcr1_' || substr(sha256(concat_ws(chr(0), record_id, outcome)), 1, 24), canonical_id, outcome, record_id FROM x
+  JOIN r USING (record_id)""")
 def append_reviews(t):
     k = F.col("o_orderkey")
     sha = F.sha2(k.cast("string"), 256).alias("record_id")
@@ -46,8 +53,11 @@ def append_reviews(t):
     return rules.append_reviews(x, t.orders.filter(k % 7 == 0).select(sha, F.when(k % 2 == 0, "verified").otherwise("rejected").alias("outcome")))
 
 
-@query("""WITH x AS (SELECT o_orderkey AS record_id, o_custkey AS canonical_id, o_orderkey % 1000 AS source_id FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 4 <> 0), tx AS (SELECT doc_id AS id, text FROM documents), ti AS (SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal > 9000)
-SELECT record_id, canonical_id, source_id, a.text AS canonical_id_text, b.text AS source_id_text, canonical_id IN (SELECT * FROM ti) AS tied FROM x JOIN tx a ON a.id = canonical_id JOIN tx b ON b.id = source_id ORDER BY tied DESC, record_id LIMIT 40""")
+@query("""WITH x AS (SELECT o_orderkey AS record_id, o_custkey AS canonical_id, o_orderkey % 1000 AS source_id FROM orders
+  WHERE o_orderstatus = 'O' AND o_orderkey % 4 <> 0), tx AS (SELECT doc_id AS id, text FROM documents), ti AS (SELECT DISTINCT c_custkey FROM customer
+  WHERE c_acctbal > 9000)
+SELECT record_id, canonical_id, source_id, a.text AS canonical_id_text, b.text AS source_id_text, canonical_id IN (SELECT * FROM ti) AS tied FROM x
+  JOIN tx a ON a.id = canonical_id JOIN tx b ON b.id = source_id ORDER BY tied DESC, record_id LIMIT 40""")
 def select_review_rows(t):
     k = F.col("o_orderkey")
     x = t.orders.select(k.alias("record_id"), F.col("o_custkey").alias("canonical_id"), (k % 1000).alias("source_id"), F.when(F.col("o_orderstatus") == "O", "candidate").otherwise("unresolved").alias("state"))
@@ -57,10 +67,12 @@ def select_review_rows(t):
 
 # orders as mapping requests between ten predicates
 CASES = """cs AS (SELECT o_orderkey AS k, o_custkey % 12 AS f, o_orderkey % 11 AS g, o_custkey AS c, o_orderkey % 19 = 0 AS odd_from, o_orderkey % 23 = 0 AS odd_to FROM orders),
-rl AS (SELECT a, b, ['narrowerThan', 'closeMatch', 'related'][(a + b) % 4 + 1] AS relation FROM (SELECT unnest(range(10)) AS a), (SELECT unnest(range(10)) AS b) WHERE a < b AND (a + b) % 4 < 3)"""
+rl AS (SELECT a, b, ['narrowerThan', 'closeMatch', 'related'][(a + b) % 4 + 1] AS relation
+  FROM (SELECT unnest(range(10)) AS a), (SELECT unnest(range(10)) AS b) WHERE a < b AND (a + b) % 4 < 3)"""
 
 
-@query(f"""WITH {CASES}, j AS (SELECT cs.*, CASE WHEN f = g THEN 'identity' ELSE x.relation END AS relation, y.relation AS back, x.a % 3 <> 1 AS known FROM cs LEFT JOIN rl x ON x.a = f AND x.b = g LEFT JOIN rl y ON y.a = g AND y.b = f),
+@query(f"""WITH {CASES}, j AS (SELECT cs.*, CASE WHEN f = g THEN 'identity' ELSE x.relation END AS relation, y.relation AS back, x.a % 3 <> 1 AS known
+  FROM cs LEFT JOIN rl x ON x.a = f AND x.b = g LEFT JOIN rl y ON y.a = g AND y.b = f),
 e AS (SELECT k, relation, CASE WHEN f >= 10 THEN 'UNKNOWN_PREDICATE' WHEN odd_from THEN 'UNDECLARED_PREDICATE_ROLE' WHEN g >= 10 THEN 'UNKNOWN_PREDICATE' WHEN odd_to THEN 'UNDECLARED_PREDICATE_ROLE'
   WHEN relation IS NULL AND back IS NOT NULL THEN 'MAPPING_DIRECTION_UNSUPPORTED' WHEN relation IS NULL THEN 'PREDICATE_MAPPING_UNSUPPORTED'
   WHEN relation = 'narrowerThan' AND k % 3 = 0 THEN 'NARROWER_PROJECTION_REQUIRES_LOSSY_CONTRACT' WHEN relation = 'narrowerThan' AND k % 2 = 1 THEN 'MAPPING_CONDITION_MISSING' WHEN relation = 'closeMatch' AND k % 5 = 4 THEN 'CLOSE_MATCH_REQUIRES_CONTEXTUAL_REVIEW'
@@ -103,8 +115,10 @@ def evaluate_mapping(t):
     return rules.evaluate_mappings(cases, preds, declared, rel, corr)
 
 
-@query(f"""WITH o AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'allowed' ELSE 'rejected' END AS status, CASE WHEN quality = 1 THEN 'ALLOWED' ELSE 'SCOPE_MISMATCH:' || toxic END AS reason FROM labels)
-SELECT d.doc_id AS case_id, coalesce(status, '') = CASE WHEN d.doc_id % 3 = 0 THEN 'rejected' ELSE 'allowed' END AND (d.doc_id % 3 <> 0 OR starts_with(coalesce(reason, ''), 'SCOPE')) AS passed FROM documents d LEFT JOIN o USING (doc_id)""")
+@query(f"""WITH o AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'allowed' ELSE 'rejected' END AS status,
+  CASE WHEN quality = 1 THEN 'ALLOWED' ELSE 'SCOPE_MISMATCH:' || toxic END AS reason FROM labels)
+SELECT d.doc_id AS case_id, coalesce(status, '') = CASE WHEN d.doc_id % 3 = 0 THEN 'rejected' ELSE 'allowed' END AND (d.doc_id % 3 <> 0 OR starts_with(coalesce(reason, ''), 'SCOPE')) AS passed
+  FROM documents d LEFT JOIN o USING (doc_id)""")
 def score_cases(t):
     good = F.col("quality") == 1
     o = t.labels.select(F.col("doc_id").alias("case_id"), F.when(good, "allowed").otherwise("rejected").alias("status"), F.when(good, "ALLOWED").otherwise(F.concat(F.lit("SCOPE_MISMATCH:"), F.col("toxic").cast("string"))).alias("reason"))
@@ -113,7 +127,9 @@ def score_cases(t):
     return rules.score_cases(o, e)
 
 
-BIND = """a AS (SELECT o_orderkey AS id, 's' || (o_orderkey % 3) AS s FROM orders), b AS (SELECT l_orderkey AS id, 'r' || l_linenumber AS r, l_linenumber = 3 AS nested, CASE WHEN l_linenumber = 3 THEN l_orderkey + l_suppkey % 5 ELSE l_partkey END AS f FROM lineitem)"""
+BIND = """a AS (SELECT o_orderkey AS id, 's' || (o_orderkey % 3) AS s
+  FROM orders), b AS (SELECT l_orderkey AS id, 'r' || l_linenumber AS r, l_linenumber = 3 AS nested,
+  CASE WHEN l_linenumber = 3 THEN l_orderkey + l_suppkey % 5 ELSE l_partkey END AS f FROM lineitem)"""
 
 
 def bindings(t):
@@ -131,7 +147,8 @@ def schema_roles(t):
     return i.select("schema_id", F.concat(F.lit("r"), F.col("i").cast("string")).alias("role_id"), F.when((F.col("i") == 4) | ((F.col("i") == 3) & (F.col("id") > 0)), "s1").alias("filler_schema"), F.when(F.col("i") == 1, 1).otherwise(0).alias("min_count"), F.lit(2).alias("max_count"))
 
 
-NESTED = f"""{BIND}, nf AS (SELECT b.id, b.r, b.f, CASE WHEN a.s IS NULL THEN 'UNKNOWN_ASSERTION' WHEN r = 'r7' THEN 'UNDECLARED_ROLE' WHEN nested AND f = b.id THEN 'SELF_REFERENCE' WHEN nested AND x.s IS NULL THEN 'MISSING_ASSERTION' WHEN NOT nested AND r = 'r4' THEN 'ASSERTION_EXPECTED' WHEN nested AND a.s <> 's0' AND x.s <> 's1' THEN 'WRONG_SCHEMA' END AS code
+NESTED = f"""{BIND}, nf AS (SELECT b.id, b.r, b.f,
+  CASE WHEN a.s IS NULL THEN 'UNKNOWN_ASSERTION' WHEN r = 'r7' THEN 'UNDECLARED_ROLE' WHEN nested AND f = b.id THEN 'SELF_REFERENCE' WHEN nested AND x.s IS NULL THEN 'MISSING_ASSERTION' WHEN NOT nested AND r = 'r4' THEN 'ASSERTION_EXPECTED' WHEN nested AND a.s <> 's0' AND x.s <> 's1' THEN 'WRONG_SCHEMA' END AS code
   FROM b LEFT JOIN a ON a.id = b.id LEFT JOIN a x ON x.id = b.f)"""
 
 
@@ -141,13 +158,17 @@ def nested_fillers(t):
 
 
 @query(f"""WITH {NESTED}, n AS (SELECT id, r, count(*) AS n FROM b GROUP BY 1, 2) SELECT id AS assertion_id, r AS role_id, code FROM nf WHERE code IS NOT NULL
-UNION ALL SELECT n.id, n.r, 'TOO_MANY' FROM n JOIN a ON a.id = n.id WHERE n > 2 AND r <> 'r7' UNION ALL SELECT id, 'r1', 'TOO_FEW' FROM a WHERE id NOT IN (SELECT id FROM n WHERE r = 'r1')""")
+UNION ALL SELECT n.id, n.r, 'TOO_MANY' FROM n JOIN a ON a.id = n.id WHERE n > 2 AND r <> 'r7' UNION ALL SELECT id, 'r1', 'TOO_FEW' FROM a
+  WHERE id NOT IN (SELECT id FROM n WHERE r = 'r1')""")
 def validate_assertions(t):
     return rules.validate_assertions(assertions(t), bindings(t), schema_roles(t))
 
 
-PROJECT = f"""{BIND}, pr AS (SELECT b.id AS assertion_id, 'edge' AS projection_id, string_agg(CASE WHEN r IN ('r1', 'r2') THEN r || '=' || f END, ',' ORDER BY r || '=' || f) AS kept, string_agg(CASE WHEN r IN ('r1', 'r2') THEN r || '=' || f END, ',' ORDER BY r || '=' || f) AS endpoints,
-  string_agg(CASE WHEN r NOT IN ('r1', 'r2') THEN r || '=' || f END, ',' ORDER BY r || '=' || f) AS lost, CASE WHEN any_value(s) = 's1' THEN 'lossless' ELSE 'lossy' END AS loss, count_if(r = 'r1') = 1 AND count_if(r = 'r2') = 1 AS fine FROM b JOIN a ON a.id = b.id WHERE s <> 's2' GROUP BY b.id)"""
+PROJECT = f"""{BIND}, pr AS (SELECT b.id AS assertion_id, 'edge' AS projection_id, string_agg(CASE WHEN r IN ('r1', 'r2') THEN r || '=' || f END, ','
+  ORDER BY r || '=' || f) AS kept, string_agg(CASE WHEN r IN ('r1', 'r2') THEN r || '=' || f END, ',' ORDER BY r || '=' || f) AS endpoints,
+  string_agg(CASE WHEN r NOT IN ('r1', 'r2') THEN r || '=' || f END, ',' ORDER BY r || '=' || f) AS lost,
+  CASE WHEN any_value(s) = 's1' THEN 'lossless' ELSE 'lossy' END AS loss, count_if(r = 'r1') = 1 AND count_if(r = 'r2') = 1 AS fine FROM b
+  JOIN a ON a.id = b.id WHERE s <> 's2' GROUP BY b.id)"""
 
 
 def _projected(t):
@@ -167,7 +188,8 @@ def equivalence_claims(t):
 
 
 # consecutive orders as sentence pairs
-PAIRS = """pa AS (SELECT a.o_orderkey AS k, a.o_orderpriority AS pa, b.o_orderpriority AS pb, CASE WHEN a.o_orderkey % 3 = 0 THEN 'closeMatch' WHEN a.o_orderkey % 3 = 1 THEN 'related' END AS relation, a.o_custkey % 5 AS xa, b.o_custkey % 4 AS xb, a.o_custkey % 3 AS ya, b.o_custkey % 2 AS yb, a.o_orderstatus AS sa, b.o_orderstatus AS sb
+PAIRS = """pa AS (SELECT a.o_orderkey AS k, a.o_orderpriority AS pa, b.o_orderpriority AS pb,
+  CASE WHEN a.o_orderkey % 3 = 0 THEN 'closeMatch' WHEN a.o_orderkey % 3 = 1 THEN 'related' END AS relation, a.o_custkey % 5 AS xa, b.o_custkey % 4 AS xb, a.o_custkey % 3 AS ya, b.o_custkey % 2 AS yb, a.o_orderstatus AS sa, b.o_orderstatus AS sb
   FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1)"""
 
 
@@ -190,7 +212,9 @@ def participants_match(t):
     return p.select("k", n["agent"].alias("low"), n["theme"].alias("high"), V.participants_match(F.col("roles_a"), F.col("roles_b"), F.col("names")).alias("matches"))
 
 
-@query(f"""WITH {PAIRS} SELECT k, CASE WHEN k % 10 = 0 THEN 'no_expected_predicates' WHEN pa = '1-URGENT' THEN 'schema_blocked' WHEN sa <> 'F' THEN 'out_of_scope' ELSE 'scoreable' END AS triage FROM pa""")
+@query(f"""WITH {PAIRS} SELECT k,
+  CASE WHEN k % 10 = 0 THEN 'no_expected_predicates' WHEN pa = '1-URGENT' THEN 'schema_blocked' WHEN sa <> 'F' THEN 'out_of_scope' ELSE 'scoreable' END AS triage
+  FROM pa""")
 def triage_pairs(t):
     p, k = pairs(t), F.col("k")
     expected = F.when(k % 10 == 0, F.array().cast("array<string>")).otherwise(F.array("predicate_a"))
@@ -198,13 +222,18 @@ def triage_pairs(t):
 
 
 # either side of a pair of orders has one or two acceptable priorities; the relations between priorities come from parts
-REACH = f"""{PAIRS}, ls AS (SELECT k, sa = 'F' AS same, k % 4 = 0 AS fine, CASE WHEN k % 10 = 0 THEN [] WHEN k % 3 = 0 THEN list_sort([pa, '3-MEDIUM']) ELSE [pa] END AS a, CASE WHEN k % 3 = 0 THEN list_sort([pb, '3-MEDIUM']) ELSE [pb] END AS b FROM pa),
-pr AS (SELECT DISTINCT o_orderpriority AS p FROM orders), rel AS (SELECT x.p AS x, y.p AS y FROM pr x JOIN pr y ON x.p < y.p WHERE (CAST(left(x.p, 1) AS INTEGER) + CAST(left(y.p, 1) AS INTEGER)) % 3 = 0)"""
+REACH = f"""{PAIRS}, ls AS (SELECT k, sa = 'F' AS same, k % 4 = 0 AS fine,
+  CASE WHEN k % 10 = 0 THEN [] WHEN k % 3 = 0 THEN list_sort([pa, '3-MEDIUM']) ELSE [pa] END AS a,
+  CASE WHEN k % 3 = 0 THEN list_sort([pb, '3-MEDIUM']) ELSE [pb] END AS b FROM pa),
+pr AS (SELECT DISTINCT o_orderpriority AS p FROM orders), rel AS (SELECT x.p AS x, y.p AS y FROM pr x JOIN pr y ON x.p < y.p
+  WHERE (CAST(left(x.p, 1) AS INTEGER) + CAST(left(y.p, 1) AS INTEGER)) % 3 = 0)"""
 
 
 @query(f"""WITH {REACH} SELECT k AS pair_id, CASE WHEN len(a) = 0 THEN 'no_expected_predicates' WHEN same AND a = b THEN 'same_via_identical_predicate'
-WHEN same AND EXISTS (SELECT 1 FROM rel WHERE (list_contains(a, x) AND list_contains(b, y)) OR (list_contains(a, y) AND list_contains(b, x))) THEN 'same_via_declared_relation' WHEN same THEN 'same_UNREACHABLE' WHEN a <> b THEN 'diff_via_distinct_predicate'
-WHEN fine THEN CASE WHEN (SELECT count(DISTINCT l_returnflag) = 2 AND bool_or(l_shipdate IS NOT NULL) FROM lineitem WHERE l_returnflag IN ('A', 'R')) THEN 'diff_via_modifier' ELSE 'diff_UNREACHABLE' END ELSE 'diff_needs_roles' END AS bucket FROM ls""")
+WHEN same AND EXISTS (SELECT 1 FROM rel
+  WHERE (list_contains(a, x) AND list_contains(b, y)) OR (list_contains(a, y) AND list_contains(b, x))) THEN 'same_via_declared_relation' WHEN same THEN 'same_UNREACHABLE' WHEN a <> b THEN 'diff_via_distinct_predicate'
+WHEN fine THEN CASE WHEN (SELECT count(DISTINCT l_returnflag) = 2 AND bool_or(l_shipdate IS NOT NULL) FROM lineitem
+  WHERE l_returnflag IN ('A', 'R')) THEN 'diff_via_modifier' ELSE 'diff_UNREACHABLE' END ELSE 'diff_needs_roles' END AS bucket FROM ls""")
 def reachability_buckets(t):
     k, third = F.col("k"), F.col("k") % 3 == 0
     side = lambda c: F.when(third, F.array(F.col(c), F.lit("3-MEDIUM"))).otherwise(F.array(c))
@@ -224,17 +253,22 @@ def reachability_buckets(t):
     return rules.reachability(p, rel, ["exactMatch", "closeMatch"], declared.select("declared").scalar())
 
 
-@query("""SELECT 's' || (p_size % 11) AS schema_id, count(*) AS n_roles, CAST(count_if(p_partkey % 4 <> 0) AS BIGINT) AS grounded, CAST(count_if(p_partkey % 4 = 0) AS BIGINT) AS ungrounded, CAST(count_if(p_partkey % 3 = 0 OR p_partkey % 3 > 1) AS BIGINT) AS repeatable FROM part GROUP BY 1""")
+@query("""SELECT 's' || (p_size % 11) AS schema_id, count(*) AS n_roles, CAST(count_if(p_partkey % 4 <> 0) AS BIGINT) AS grounded, CAST(count_if(p_partkey % 4 = 0) AS BIGINT) AS ungrounded, CAST(count_if(p_partkey % 3 = 0 OR p_partkey % 3 > 1) AS BIGINT) AS repeatable
+  FROM part GROUP BY 1""")
 def schema_profile(t):
     k = F.col("p_partkey")
     return rules.schema_profile(t.part.select(F.concat(F.lit("s"), (F.col("p_size") % 11).cast("string")).alias("schema_id"), F.when(k % 4 != 0, "g").alias("grounded_role"), F.when(k % 3 != 0, k % 3).alias("max_count")))
 
 
 # events of a user as the observations of an episode
-OBSERVED = """ob AS (SELECT user_id AS episode, event_id AS obs_id, epoch_ms(ts) AS ms, event_id % 10 AS kind, CASE WHEN user_id % 3 = 0 THEN 2 + value / 1000 WHEN user_id % 3 = 1 THEN CASE WHEN event_id % 2 = 0 THEN value / 100 ELSE value END ELSE value / 10 END AS pressure, 0.1 + user_id % 5 / 100.0 AS z FROM events),
-pr AS (SELECT episode, avg(pressure) AS mean, max(pressure) - min(pressure) AS spread, arg_min(pressure, (ms, pressure)) AS first, arg_max(pressure, (ms, pressure)) AS last FROM ob WHERE kind < 6 GROUP BY 1),
+OBSERVED = """ob AS (SELECT user_id AS episode, event_id AS obs_id, epoch_ms(ts) AS ms, event_id % 10 AS kind,
+  CASE WHEN user_id % 3 = 0 THEN 2 + value / 1000 WHEN user_id % 3 = 1 THEN CASE WHEN event_id % 2 = 0 THEN value / 100 ELSE value END ELSE value / 10 END AS pressure, 0.1 + user_id % 5 / 100.0 AS z
+  FROM events),
+pr AS (SELECT episode, avg(pressure) AS mean, max(pressure) - min(pressure) AS spread, arg_min(pressure, (ms, pressure)) AS first, arg_max(pressure, (ms, pressure)) AS last
+  FROM ob WHERE kind < 6 GROUP BY 1),
 po AS (SELECT episode, avg(z) AS z FROM ob WHERE kind IN (6, 7) GROUP BY 1),
-st AS (SELECT e.episode, CASE WHEN e.episode % 2 = 0 AND po.z - 0.1 > 0.02 THEN 'no_contact' WHEN (first > 1) <> (last > 1) THEN 'transient_contact' WHEN mean > 1 AND spread < 1 THEN 'direct_contact' ELSE 'unknown' END AS state FROM (SELECT DISTINCT episode FROM ob) e LEFT JOIN pr USING (episode) LEFT JOIN po USING (episode))"""
+st AS (SELECT e.episode, CASE WHEN e.episode % 2 = 0 AND po.z - 0.1 > 0.02 THEN 'no_contact' WHEN (first > 1) <> (last > 1) THEN 'transient_contact' WHEN mean > 1 AND spread < 1 THEN 'direct_contact' ELSE 'unknown' END AS state
+  FROM (SELECT DISTINCT episode FROM ob) e LEFT JOIN pr USING (episode) LEFT JOIN po USING (episode))"""
 
 
 def observations(t):
@@ -246,14 +280,18 @@ def observations(t):
     return t.events.select(u.alias("episode"), k.alias("obs_id"), k.alias("ord"), channel.alias("channel"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"), pressure.alias("value"), (u % 5 / 100.0 + 0.1).alias("z"), F.when(u % 2 == 0, "surface_B_height_0.1m").alias("reference"))
 
 
-@query(f"""WITH {OBSERVED} SELECT episode, state, CAST(CASE state WHEN 'no_contact' THEN 0.94 WHEN 'transient_contact' THEN 0.92 WHEN 'direct_contact' THEN 0.95 ELSE 0.5 END AS DOUBLE) AS confidence, (SELECT string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY obs_id) FROM ob WHERE ob.episode = st.episode AND kind < 9) AS evidence FROM st""")
+@query(f"""WITH {OBSERVED} SELECT episode, state, CAST(CASE state WHEN 'no_contact' THEN 0.94 WHEN 'transient_contact' THEN 0.92 WHEN 'direct_contact' THEN 0.95 ELSE 0.5 END AS DOUBLE) AS confidence, (SELECT string_agg(CAST(obs_id AS VARCHAR), ','
+  ORDER BY obs_id) FROM ob WHERE ob.episode = st.episode AND kind < 9) AS evidence FROM st""")
 def contact_states(t):
     return rules.contact_states(observations(t)).withColumn("evidence", F.array_join(F.col("evidence").cast("array<string>"), ",", ""))
 
 
-@query(f"""WITH {OBSERVED}, ep AS (SELECT st.*, ['support', 'obstruction', 'attachment', 'posture_persistence', 'posture_identity_adversarial', 'other'][episode % 6 + 1] AS t, g, n FROM st JOIN (SELECT user_id AS episode, max(CAST(value * 20 AS BIGINT)) AS g, count(DISTINCT event_type) AS n FROM events WHERE event_id % 3 = 0 GROUP BY 1) USING (episode))
+@query(f"""WITH {OBSERVED}, ep AS (SELECT st.*, ['support', 'obstruction', 'attachment', 'posture_persistence', 'posture_identity_adversarial', 'other'][episode % 6 + 1] AS t, g, n
+  FROM st JOIN (SELECT user_id AS episode, max(CAST(value * 20 AS BIGINT)) AS g, count(DISTINCT event_type) AS n FROM events WHERE event_id % 3 = 0
+  GROUP BY 1) USING (episode))
 SELECT episode, CASE WHEN t = 'obstruction' AND state = 'no_contact' THEN 'visual_occlusion_not_support' WHEN t = 'attachment' AND state = 'transient_contact' THEN 'transient_contact_not_attachment' WHEN t = 'posture_identity_adversarial' AND g > 3000 THEN 'identity_unknown_insufficient_evidence' WHEN t = 'posture_identity_adversarial' AND n > 1 THEN 'multiple_indistinguishable_instances' WHEN t LIKE 'posture%' THEN 'persistent_identity_stable_pose' ELSE 'support' END AS classification,
-CAST(CASE WHEN t = 'support' AND state = 'direct_contact' THEN 0.98 WHEN t = 'obstruction' AND state = 'no_contact' THEN 0.97 WHEN t = 'attachment' AND state = 'transient_contact' THEN 0.96 WHEN t = 'posture_persistence' THEN 0.95 WHEN t = 'posture_identity_adversarial' THEN CASE WHEN g > 3000 THEN 0.99 WHEN n > 1 THEN 0.98 ELSE 0.95 END ELSE 0.5 END AS DOUBLE) AS confidence FROM ep""")
+CAST(CASE WHEN t = 'support' AND state = 'direct_contact' THEN 0.98 WHEN t = 'obstruction' AND state = 'no_contact' THEN 0.97 WHEN t = 'attachment' AND state = 'transient_contact' THEN 0.96 WHEN t = 'posture_persistence' THEN 0.95 WHEN t = 'posture_identity_adversarial' THEN CASE WHEN g > 3000 THEN 0.99 WHEN n > 1 THEN 0.98 ELSE 0.95 END ELSE 0.5 END AS DOUBLE) AS confidence
+  FROM ep""")
 def classify_episodes(t):
     names = F.array(*[F.lit(x) for x in ("support", "obstruction", "attachment", "posture_persistence", "posture_identity_adversarial", "other")])
     seen = t.events.filter("event_id % 3 = 0").groupBy(F.col("user_id").alias("episode")).agg(F.max(F.round(F.col("value") * 20).cast("long")).alias("max_gap_ms"), F.count_distinct("event_type").alias("instance_count"))
@@ -262,8 +300,12 @@ def classify_episodes(t):
 
 
 # documents as modules; the notice of the approved ones is a phrase of their licence line
-HEADS = """hd AS (SELECT doc_id, text, lower(array_to_string(regexp_split_to_array(text, '\\r\\n|\\r|\\n')[1:120], chr(10))) AS h FROM documents), cl AS (SELECT doc_id, text, contains(h, 'licensed under') AND contains(h, '4.0') AS n, contains(h, 'gnu lesser general public') AS l, contains(h, 'gnu general public') OR contains(h, 'gnu public license') AS g, contains(h, 'creative commons') OR contains(h, 'create commons') AS c FROM hd),
-hc AS (SELECT doc_id, text, doc_id % 2 = 0 AS ok, CASE WHEN doc_id % 2 = 0 AND n THEN 'approved_notice' WHEN CAST(l AS INTEGER) + CAST(g AS INTEGER) + CAST(c AS INTEGER) > 1 THEN 'mixed' WHEN l THEN 'lgpl' WHEN g THEN 'gpl' WHEN c THEN 'cc' ELSE 'unclassified' END AS kind FROM cl)"""
+HEADS = """hd AS (SELECT doc_id, text, lower(array_to_string(regexp_split_to_array(text, '\\r\\n|\\r|\\n')[1:120], chr(10))) AS h
+  FROM documents), cl AS (SELECT doc_id, text, contains(h, 'licensed under') AND contains(h, '4.0') AS n, contains(h, 'gnu lesser general public') AS l, contains(h, 'gnu general public') OR contains(h, 'gnu public license') AS g, contains(h, 'creative commons') OR contains(h, 'create commons') AS c
+  FROM hd),
+hc AS (SELECT doc_id, text, doc_id % 2 = 0 AS ok,
+  CASE WHEN doc_id % 2 = 0 AND n THEN 'approved_notice' WHEN CAST(l AS INTEGER) + CAST(g AS INTEGER) + CAST(c AS INTEGER) > 1 THEN 'mixed' WHEN l THEN 'lgpl' WHEN g THEN 'gpl' WHEN c THEN 'cc' ELSE 'unclassified' END AS kind
+  FROM cl)"""
 NOTICE = ["licensed under", "4.0"]
 
 
@@ -273,7 +315,8 @@ def publication_dispositions(t):
     return rules.dispositions(t.documents.select(k, "text"), t.documents.filter("doc_id % 2 = 0").select(k), NOTICE)
 
 
-@query("""SELECT doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'MODULE_UNREADABLE' ELSE 'MODULE_IDENTITY_CHANGED' END AS code FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 OR doc_id % 11 = 0""")
+@query("""SELECT doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'MODULE_UNREADABLE' ELSE 'MODULE_IDENTITY_CHANGED' END AS code FROM documents
+  WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 OR doc_id % 11 = 0""")
 def module_identity(t):
     """Of all documents, approved or not, those that are gone or have another hash or length than declared."""
     k, sha, size = F.col("doc_id"), F.sha2("text", 256), F.octet_length("text")
@@ -281,10 +324,14 @@ def module_identity(t):
     return rules.module_identity(declared, t.documents.filter(k % 5 > 0).select(k.alias("path"), sha.alias("sha256"), size.alias("length")))
 
 
-@query("""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents), n AS (SELECT *, len(ls) - CASE WHEN ls[-1] = '' THEN 1 ELSE 0 END AS lines, array_to_string(list_transform(ls[2:3], lambda x: rtrim(x)), chr(10)) || chr(10) AS notice FROM d),
-c AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'MODULE_ABSENT' WHEN lines < 3 THEN 'NOTICE_RANGE' WHEN NOT contains(notice, 'th') OR NOT contains(notice, '.') THEN 'GRANT_MISSING' END AS code FROM n)
+@query("""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls
+  FROM documents), n AS (SELECT *, len(ls) - CASE WHEN ls[-1] = '' THEN 1 ELSE 0 END AS lines, array_to_string(list_transform(ls[2:3], lambda x: rtrim(x)), chr(10)) || chr(10) AS notice
+  FROM d),
+c AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'MODULE_ABSENT' WHEN lines < 3 THEN 'NOTICE_RANGE' WHEN NOT contains(notice, 'th') OR NOT contains(notice, '.') THEN 'GRANT_MISSING' END AS code
+  FROM n)
 SELECT doc_id AS path, code, CASE WHEN code IS NULL THEN 'SUMO bounded linguistic context' || chr(10) || 'Source: https://github.com/ontologyportal/sumo at c0ffee' || chr(10) || 'Source module: ' || doc_id || ' (' || sha256(text) || ')' || chr(10) || 'Acknowledgement: thanks' || chr(10)
- || 'Only derived bounded facts are packaged; the raw module and full projection are not.' || chr(10) || chr(10) || 'Exact source license notice:' || chr(10) || notice END AS attribution, CASE WHEN code IS NULL THEN sha256(notice) END AS notice_sha256 FROM c""")
+ || 'Only derived bounded facts are packaged; the raw module and full projection are not.' || chr(10) || chr(10) || 'Exact source license notice:' || chr(10) || notice END AS attribution,
+  CASE WHEN code IS NULL THEN sha256(notice) END AS notice_sha256 FROM c""")
 def attributions(t):
     """Lines two and three of each document as its notice, which must hold two phrases."""
     k = F.col("doc_id").alias("path")
@@ -300,7 +347,9 @@ def publication_violations(t):
     return rules.publication_violations(t.documents.select(k.alias("path"), "text"), approved, NOTICE)
 
 
-@query("""SELECT projection_id, code FROM (SELECT c_custkey AS projection_id, unnest([CASE WHEN c_custkey % 2 = 0 THEN 'ROLES_NOT_COVERED' END, CASE WHEN c_custkey % 3 = 0 THEN 'SELECTED_AND_OMITTED' END, CASE WHEN c_custkey % 5 = 0 THEN 'EDGE_NEEDS_TWO_ENDPOINTS' END, CASE WHEN c_custkey % 7 = 0 THEN 'LOSSLESS_WITH_OMISSION' END]) AS code FROM customer) WHERE code IS NOT NULL""")
+@query("""SELECT projection_id, code FROM (SELECT c_custkey AS projection_id, unnest([CASE WHEN c_custkey % 2 = 0 THEN 'ROLES_NOT_COVERED' END,
+  CASE WHEN c_custkey % 3 = 0 THEN 'SELECTED_AND_OMITTED' END, CASE WHEN c_custkey % 5 = 0 THEN 'EDGE_NEEDS_TWO_ENDPOINTS' END,
+  CASE WHEN c_custkey % 7 = 0 THEN 'LOSSLESS_WITH_OMISSION' END]) AS code FROM customer) WHERE code IS NOT NULL""")
 def projection_rule_check(t):
     k = F.col("c_custkey")
     arr = lambda *x: F.array(*[F.lit(v) for v in x])

@@ -13,7 +13,8 @@ def samples(t):
     return t.events.withColumn("i", (F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("long"))
 
 
-INTERVALS = """iv AS (SELECT * FROM (SELECT user_id, epoch_us(ts) AS start, lead(epoch_us(ts)) OVER w AS "end", event_type AS first, lead(event_type) OVER w AS second FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE "end" IS NOT NULL)"""
+INTERVALS = """iv AS (SELECT * FROM (SELECT user_id, epoch_us(ts) AS start, lead(epoch_us(ts)) OVER w AS "end", event_type AS first, lead(event_type) OVER w AS second
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE "end" IS NOT NULL)"""
 
 
 def micros(t):
@@ -70,7 +71,8 @@ def samples_in_segments(t):
     return rounded(out.groupBy("user_id", "activity").agg(F.count("*").alias("n"), F.avg("value").alias("mean")), "mean")
 
 
-@query(f"""WITH {INTERVALS}, w AS (SELECT user_id, h * 3600000000 AS start, h * 3600000000 + 1800000000 AS "end" FROM (SELECT DISTINCT user_id, epoch_us(ts) // 3600000000 + unnest([0, 1, 5]) AS h FROM events))
+@query(f"""WITH {INTERVALS}, w AS (SELECT user_id, h * 3600000000 AS start, h * 3600000000 + 1800000000 AS "end"
+  FROM (SELECT DISTINCT user_id, epoch_us(ts) // 3600000000 + unnest([0, 1, 5]) AS h FROM events))
 SELECT w.user_id, w.start, w."end", iv.first AS reference FROM w LEFT JOIN iv ON iv.user_id = w.user_id AND w.start >= iv.start + 60000000 AND w."end" <= iv."end" - 60000000""")
 def window_in_intervals(t):
     hour = F.floor(F.col("us") / 3600000000)
@@ -102,8 +104,12 @@ def rank_average(t):
     return average_ranks(t.orders, "o_totalprice", "r").select("o_orderkey", F.round("r", 1).alias("r"))
 
 
-@query("""WITH i AS (SELECT o_custkey AS id, list_distinct(list(o_orderkey % 200)) AS expected, CAST('0x' || substr(sha256(CAST(o_custkey AS VARCHAR)), 1, 12) AS BIGINT) AS h FROM orders GROUP BY 1), p AS (SELECT c, row_number() OVER (ORDER BY sha256(CAST(c AS VARCHAR))) - 1 AS n, count(*) OVER () AS total FROM (SELECT DISTINCT p_partkey % 200 AS c FROM part)),
-l AS (SELECT id, c, (n - h % total + total) % total AS d, len(expected) + 11 AS looks, list_contains(expected, c) AS wanted FROM i, p), r AS (SELECT id, c, row_number() OVER (PARTITION BY id ORDER BY d) AS r FROM l WHERE d < looks AND NOT wanted) SELECT id, c AS distractor FROM r WHERE r <= 3""")
+@query("""WITH i AS (SELECT o_custkey AS id, list_distinct(list(o_orderkey % 200)) AS expected, CAST('0x' || substr(sha256(CAST(o_custkey AS VARCHAR)), 1, 12) AS BIGINT) AS h
+  FROM orders GROUP BY 1), p AS (SELECT c, row_number() OVER (ORDER BY sha256(CAST(c AS VARCHAR))) - 1 AS n, count(*) OVER () AS total
+  FROM (SELECT DISTINCT p_partkey % 200 AS c FROM part)),
+l AS (SELECT id, c, (n - h % total + total) % total AS d, len(expected) + 11 AS looks, list_contains(expected, c) AS wanted
+  FROM i, p), r AS (SELECT id, c, row_number() OVER (PARTITION BY id ORDER BY d) AS r FROM l
+  WHERE d < looks AND NOT wanted) SELECT id, c AS distractor FROM r WHERE r <= 3""")
 def add_distractors(t):
     items = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.col("o_orderkey") % 200).alias("expected"))
     return Wn.distractors(items, t.part.select((F.col("p_partkey") % 200).alias("candidate")), 3)

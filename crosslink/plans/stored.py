@@ -93,7 +93,8 @@ def scan_jsonl(t):
     return files.scan_jsonl(t.spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
-@query("""SELECT folder, line FROM (SELECT c_custkey, c_custkey // 1000 AS folder, row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) AS line FROM customer) WHERE c_custkey % 10 = 0""")
+@query("""SELECT folder, line FROM (SELECT c_custkey, c_custkey // 1000 AS folder, row_number() OVER (PARTITION BY c_custkey // 1000
+  ORDER BY c_custkey) AS line FROM customer) WHERE c_custkey % 10 = 0""")
 def bad_json_lines(t):
     """Files of a thousand lines, read in ranges; the numbers of the broken lines."""
     line = F.when(F.col("c_custkey") % 10 == 0, "{broken").otherwise(F.to_json(F.struct("c_custkey")))
@@ -153,7 +154,8 @@ def scan_samples(t):
     return files.scan_samples(in_ranges(t), filed(t, rows, "samples"), ["id", "value", "user"], "*.txt").select(folder_of(), "sample_index", "id", "value", "user")
 
 
-@query("""SELECT 3 * (vec_id // 300) + vec_id % 3 AS folder, row_number() OVER (PARTITION BY vec_id // 300, vec_id % 3 ORDER BY vec_id) - 1 AS line, round(v[1] + v[2] + v[3], 6) AS total, round(v[1] + v[3], 6) AS without_second
+@query("""SELECT 3 * (vec_id // 300) + vec_id % 3 AS folder, row_number() OVER (PARTITION BY vec_id // 300, vec_id % 3
+  ORDER BY vec_id) - 1 AS line, round(v[1] + v[2] + v[3], 6) AS total, round(v[1] + v[3], 6) AS without_second
   FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)""")
 def scan_channels(t):
     """Channels of vectors as lines of CSV, in three orders of columns with an id between; their sum, and that without the second one."""
@@ -200,7 +202,9 @@ def dead_letter(t):
     return files.dead_letter(rows, "error")[2]
 
 
-@query("""SELECT doc_id, CASE WHEN length(text) % 7 = 0 THEN 'ZeroDivisionError' ELSE 'KeyError' END AS error_type, CASE WHEN length(text) % 7 = 0 THEN 'division by zero' ELSE chr(39) || lang || chr(39) END AS error_message FROM documents WHERE length(text) % 7 = 0 OR lang <> 'en'""")
+@query("""SELECT doc_id, CASE WHEN length(text) % 7 = 0 THEN 'ZeroDivisionError' ELSE 'KeyError' END AS error_type,
+  CASE WHEN length(text) % 7 = 0 THEN 'division by zero' ELSE chr(39) || lang || chr(39) END AS error_message FROM documents
+  WHERE length(text) % 7 = 0 OR lang <> 'en'""")
 def failed_rows(t):
     """Rows whose processing raised, from the side table, with the type and the message of the error."""
     sizes = {"en": 1}
@@ -229,7 +233,8 @@ def scan_rolesets(t):
 
 #: Of files of a hundred parts every seventh lacks a quote, every third of these has a repair, every fifth of these is bound to another file.
 ROLESET_FILES = """f AS (SELECT p_partkey // 20 AS folder, count(*) AS n FROM part GROUP BY 1),
-o AS (SELECT folder, n, CASE WHEN folder % 7 = 0 THEN CASE WHEN folder % 3 > 0 THEN 'invalid_xml' WHEN folder % 5 = 0 THEN 'wrong_file' ELSE 'repaired' END WHEN folder % 11 = 0 THEN 'not_needed' ELSE 'parsed' END AS outcome FROM f)"""
+o AS (SELECT folder, n, CASE WHEN folder % 7 = 0 THEN CASE WHEN folder % 3 > 0 THEN 'invalid_xml' WHEN folder % 5 = 0 THEN 'wrong_file' ELSE 'repaired' END WHEN folder % 11 = 0 THEN 'not_needed' ELSE 'parsed' END AS outcome
+  FROM f)"""
 
 
 def repaired_files(t):
@@ -283,7 +288,9 @@ def scan_axioms(t):
     return formulas.withColumnRenamed("module", "path").select(folder_of(), "formula_index", "start_line", F.col("parts")[0].alias("child"), F.col("parts")[1].alias("parent"))
 
 
-FRAMES = """fr AS (SELECT n_nationkey AS frame_id, n_name AS name FROM nation), fe AS (SELECT c_custkey AS fe_id, c_nationkey AS frame_id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'Peripheral' ELSE 'Core' END AS core_type, c_custkey % 4 = 0 AS typed FROM customer)"""
+FRAMES = """fr AS (SELECT n_nationkey AS frame_id, n_name AS name
+  FROM nation), fe AS (SELECT c_custkey AS fe_id, c_nationkey AS frame_id, c_name AS name,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Peripheral' ELSE 'Core' END AS core_type, c_custkey % 4 = 0 AS typed FROM customer)"""
 
 
 def frames(t):
@@ -368,14 +375,18 @@ def stream_crosswalk(t):
     return drained(t, rows, "crosswalk")
 
 
-@query("""SELECT user_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start, count(*) AS n, round(avg(value), 6) AS mean, CASE WHEN avg(value) >= 60 THEN 'contact' WHEN avg(value) <= 40 THEN 'no_contact' ELSE 'refused' END AS prediction FROM events GROUP BY user_id, date_trunc('day', ts)""")
+@query("""SELECT user_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start, count(*) AS n, round(avg(value), 6) AS mean,
+  CASE WHEN avg(value) >= 60 THEN 'contact' WHEN avg(value) <= 40 THEN 'no_contact' ELSE 'refused' END AS prediction FROM events
+  GROUP BY user_id, date_trunc('day', ts)""")
 def stream_window_features(t):
     """All days, over several batches of files in no order of time."""
     features = streams.window_features(ticking(t, t.events, "events", "ts"), ["user_id"], "ts", "value", 50.0, 10.0, delay="4000 days")
     return drained(t, features, "features").select("user_id", F.unix_timestamp("start").alias("start"), "n", F.round("mean", 6).alias("mean"), "prediction")
 
 
-@query("""WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM o)
+@query("""WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before
+  FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id
+  ORDER BY ts) AS s FROM o)
 SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM s GROUP BY user_id, s""")
 def stream_gaps(t):
     """All sessions, which grow over several batches of files in no order of time."""
@@ -383,7 +394,9 @@ def stream_gaps(t):
     return out.select("user_id", F.unix_timestamp("start").alias("start"), "n")
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS key, CAST(floor(epoch(ts)) AS BIGINT) AS start, first, second FROM (SELECT user_id, ts, event_type AS first, lead(event_type) OVER w AS second, lead(ts) OVER w AS until FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE until - ts <= INTERVAL 20 DAY""")
+@query("""SELECT CAST(user_id AS VARCHAR) AS key, CAST(floor(epoch(ts)) AS BIGINT) AS start, first, second
+  FROM (SELECT user_id, ts, event_type AS first, lead(event_type) OVER w AS second, lead(ts) OVER w AS until
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE until - ts <= INTERVAL 20 DAY""")
 def stream_alternation(t):
     """Events of a user in pairs, from batches of files in no order of time; the last event waits in the state until the next one comes."""
     session = t.spark.newSession()

@@ -26,6 +26,16 @@ def band(value: Column, center: Column, half: Column, names: tuple[str, str, str
     return F.when(value >= center + half, names[0]).when(value <= center - half, names[1]).otherwise(names[2])
 
 
+def exact_mean(value: Column) -> Column:
+    """The mean of a group, which does not depend on the order of its rows: a sum of doubles does, and so does what is decided at a limit.
+
+    Values that 18 decimals hold are added as decimals; if one of a group is not (or the sum is over 20 digits), it has the mean of doubles.
+    """
+    decimal = value.try_cast("decimal(38,18)")
+    held = F.count_if(decimal.cast("double") == value) == F.count(value)
+    return F.coalesce(F.when(held, F.try_divide(F.try_sum(decimal), F.count(value)).cast("double")), F.avg(value))
+
+
 def two_rules(stable: Column, moving: Column) -> Column:
     """static, dynamic, or refused if both tests or neither hold."""
     a, b = F.coalesce(stable, F.lit(False)), F.coalesce(moving, F.lit(False))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.functions.values import interchanged, participants_match
+from crosslink.functions.values import exact_mean, interchanged, participants_match
 
 
 def cascade(checks: dict[str, Column], otherwise: str = "ALLOWED") -> Column:
@@ -323,12 +323,12 @@ def contact_states(observations: DataFrame) -> DataFrame:
     pressure = channel == "pressure_sensor"
     order = F.when(pressure, F.struct(F.coalesce("ts", F.lit(0)).alias("ts"), value.alias("value")))
     one = observations.groupBy("episode").agg(
-        F.avg(F.when(pressure, value)).alias("mean"),
+        exact_mean(F.when(pressure, value)).alias("mean"),
         F.max(F.when(pressure, value)).alias("high"),
         F.min(F.when(pressure, value)).alias("low"),
         F.min(order)["value"].alias("first"),
         F.max(order)["value"].alias("last"),
-        F.avg(F.when(channel == "position_tracker", z)).alias("height"),
+        exact_mean(F.when(channel == "position_tracker", z)).alias("height"),
         F.min_by("reference", F.when(F.col("reference").isNotNull(), F.col("ord"))).alias("surface"),
         F.array_sort(F.collect_list(F.when(channel.isin(*known), F.col("obs_id")))).alias("evidence"),
     )

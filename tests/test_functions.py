@@ -56,3 +56,11 @@ def test_values(spark):
     assert one(spark, same(m(a="x", b="y"), m(b="y", a="x"), m(q="r")), same(m(a="x"), m(c="x"), m(a="c")), same(m(c="x"), m(a="x"), m(a="c")), same(m(a="x"), m(c="y"), m(a="c"))) == (True, True, True, False)
     assert one(spark, values.interchanged(m(a="z", b="y", c="q"), lit("a"), lit("b")), values.interchanged(m(a="z"), lit("a"), lit("b"))) == ({"a": "y", "b": "z", "c": "q"}, {"a": "z"})
     assert one(spark, values.clipped(lit(95.0), lit(5.0), lit(95.0)), values.clipped(lit(1.0), lit(5.0), lit(5.0)), values.sorted_unique(F.array(lit(1), lit(2))), values.sorted_unique(F.array(lit(2), lit(2))), values.in_trial(lit(-1e-7), lit(3.0)), values.event_time(lit(2.5), lit(50.0), lit(100.0))) == (1.0, None, True, False, True, 2.0)
+
+
+def test_exact_mean(spark):
+    """Means do not depend on the order of rows; sums of doubles here do (0.1 ten times is less than 1)."""
+    mean = lambda *x: spark.createDataFrame([(v,) for v in x], "v double").coalesce(1).agg(values.exact_mean(F.col("v")).alias("m")).first().m
+    assert mean(*[0.1] * 10) == 0.1 and mean(1e16, 0.25, -1e16, None, 0.25) == 0.125
+    assert mean() is None and mean(None) is None and mean(float("nan"), 1.0) != mean(1.0) and mean(float("inf"), 1.0) == float("inf")
+    assert mean(1e300, 3e300) == 2e300 and mean(1e-30, 3e-30) == 2e-30 and mean(9e19, 9e19) == 9e19

@@ -244,6 +244,17 @@ def test_contacts_and_episodes(spark):
     }
 
 
+def test_contacts_at_the_limit(spark):
+    """Many equal readings have that reading as their mean: 0.12 is not more than 0.02 over 0.1, though nine of them added up as doubles are."""
+    obs = [("e", n, n, "position_tracker", n, None, 0.12, "surface_B_height_0.1m") for n in range(9)]
+    df = spark.createDataFrame(obs, "episode string, obs_id int, ord int, channel string, ts long, value double, z double, reference string").coalesce(1)
+    contacts = rules.contact_states(df)
+    assert [(r.state, r.confidence) for r in contacts.collect()] == [("unknown", 0.5)]
+    episodes, seen = spark.createDataFrame([("e", "obstruction")], "episode string, episode_type string"), spark.createDataFrame([], "episode string, max_gap_ms int, instance_count int")
+    assert [tuple(r) for r in rules.classify_episodes(episodes, contacts, seen).collect()] == [("e", "support", 0.5)]
+
+
+
 def test_mapping_records(spark):
     good = [("predicate_type", "derived_from", "donor", None, None, None), ("predicate_type", "candidate_alignment", "framenet_candidate", "m", "unknown", 0.5), ("role_slot", "positional_role", "propbank", None, None, None), ("hierarchy_edge", "subtype_of", "sumo_types", None, None, None)]
     bad = {

@@ -128,3 +128,13 @@ def test_repeats_beyond_the_watermark(spark, tmp_path):
         streams.append_reviews(reader, "ts", out, str(tmp_path / "ck"), "1 day").awaitTermination(120)
         rows = streams.read_reviews(spark, out).collect()
         assert sorted((r.record_id, r.ts.month) for r in rows) == [(1, 1), (2, 1), (3, 3), (4, 3)]
+
+
+def test_window_mean_at_the_limit(spark, tmp_path):
+    """A mean of exactly 40 is no contact, whatever the order of its events; as doubles these add up to more."""
+    path, schema, values = str(tmp_path / "e"), "user long, ts timestamp, value double", [39.96] * 6 + [40.04] * 6
+    rows = [(1, f"2024-01-01 10:00:{n:02d}", v) for n, v in enumerate(values)] + [(1, "2024-03-01 00:00:00", 0.0)]
+    spark.createDataFrame(rows, "user long, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(path)
+    out = streams.window_features(spark.readStream.schema(schema).parquet(path), ["user"], "ts", "value", 50.0, 10.0)
+    out.writeStream.format("memory").queryName("k3limit").outputMode("append").trigger(availableNow=True).start().awaitTermination(200)
+    assert [(r.n, r.mean, r.prediction) for r in spark.table("k3limit").collect()] == [(len(values), 40.0, "no_contact")]

@@ -35,6 +35,13 @@ def filed(t, df, name):
     return path
 
 
+def rooted(t, df, name):
+    """The path under which each folder of ``df`` (folder, value) is one XML document with its values, in any order, as lines below one root."""
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("ord"), F.lit("<root>").alias("value")), F.struct(F.lit(2).alias("ord"), F.lit("</root>").alias("value")))).alias("e")
+    frame = df.select("folder").distinct().select("folder", ends).select("folder", "e.ord", "e.value")
+    return filed(t, df.select("folder", F.lit(1).alias("ord"), "value").unionByName(frame), name)
+
+
 def in_ranges(t):
     """A session that reads files in ranges of 8 kB, so that files of the test data have many."""
     spark = t.spark.newSession()
@@ -321,13 +328,13 @@ def frame_elements(t):
 
 @query("SELECT o_orderkey AS relation_id, o_custkey AS sub_id, o_orderkey % 97 AS super_id, 'outgoing' AS direction FROM orders UNION ALL SELECT o_orderkey, o_orderkey % 97, o_custkey, 'incoming' FROM orders")
 def scan_frame_relations(t):
-    """Orders as frame relations, one relation type for each priority."""
+    """Orders as frame relations in files of 50,000 keys, with a relation type for each priority and 500 keys."""
     k = F.col("o_orderkey")
     one = F.concat(F.lit('<frameRelation ID="'), k.cast("string"), F.lit('" subID="'), F.col("o_custkey").cast("string"), F.lit('" supID="'), (k % 97).cast("string"), F.lit('"/>'))
-    folder = F.concat(F.left("o_orderpriority", F.lit(1)), F.lit("-"), F.floor(k / 500).cast("string")).alias("folder")
-    lines = t.orders.groupBy("o_orderpriority", folder).agg(joined(one).alias("all"))
-    line = F.concat(F.lit('<root><frameRelationType ID="'), F.left("o_orderpriority", F.lit(1)), F.lit('" name="x">'), "all", F.lit("</frameRelationType></root>"))
-    path = documents(t, lines.select(line.alias("value"), "folder"), "relations")
+    block = F.floor(k / 500).alias("block")
+    lines = t.orders.groupBy("o_orderpriority", block).agg(joined(one).alias("all"))
+    line = F.concat(F.lit('<frameRelationType ID="'), F.left("o_orderpriority", F.lit(1)), F.lit('" name="x">'), "all", F.lit("</frameRelationType>"))
+    path = rooted(t, lines.select(F.floor(F.col("block") / 100).alias("folder"), line.alias("value")), "relations")
     found = lexical.scan_frame_relations(t.spark, f"{path}/*")["relations"]
     return found.select("relation_id", "sub_id", "super_id", "direction")
 
@@ -337,8 +344,7 @@ def scan_indexes(t):
     attribute = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
     frame = F.concat(F.lit("<frame ID="), attribute(F.col("s_suppkey")), F.lit(" name="), attribute(F.col("s_name")), F.lit("/>"))
     lu = F.concat(F.lit("<lu ID="), attribute(F.col("p_partkey")), F.lit(" name="), attribute(F.col("p_name")), F.lit(' frameID="1" status="x"/>'))
-    whole = lambda df, key, one: df.groupBy(F.floor(F.col(key) / 500).alias("folder")).agg(F.concat(F.lit("<root>"), joined(one), F.lit("</root>")).alias("value"))
-    paths = [documents(t, whole(df, key, one), name) for df, key, one, name in ((t.supplier, "s_suppkey", frame, "frame-index"), (t.part, "p_partkey", lu, "lu-index"))]
+    paths = [rooted(t, df.select(F.floor(F.col(key) / 50000).alias("folder"), one.alias("value")), name) for df, key, one, name in ((t.supplier, "s_suppkey", frame, "frame-index"), (t.part, "p_partkey", lu, "lu-index"))]
     found = lexical.scan_indexes(t.spark, *[f"{p}/*" for p in paths])
     return found["frames"].select("id", "name", F.lit("frame").alias("kind")).unionByName(found["lus"].select("id", "name", F.lit("lu").alias("kind")))
 

@@ -4,6 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from crosslink.plans import QUERIES
 from crosslink.sources import files, lexical
 
 
@@ -154,3 +155,9 @@ def test_axioms(spark, tmp_path):
     assert {(r.relation, r.position, r.is_range, r.type) for r in fam["constraint"].collect()} == {("agent", 2, False, "AutonomousAgent"), ("SizeFn", None, True, "Number")}
     symbols = {r.symbol for r in lexical.scan_symbols(files.whole_texts(spark, root)).collect()}
     assert {"Leaving", "Process", "agent", "SizeFn", "open"} <= symbols and not {"string", "comment", "X", "here"} & symbols
+
+
+def test_files_of_many_keys(spark, sf_dir):
+    """The files of the XML queries hold many keys each: a file for every few hundred is more work than what is in it."""
+    for name, most in (("scan_frame_relations", 1), ("scan_indexes", 2)):
+        assert 1 <= len(QUERIES[name](spark, sf_dir).inputFiles()) <= most, name

@@ -12,13 +12,19 @@ def _pairs(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node is not null and ancestor is not null").distinct()
 
 
-def _found(every: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(all pairs, those of them that weren't in ``every`` or are in ``new``): each round joins just what the last one found with all pairs."""
+def _found(every: DataFrame, new: DataFrame, stored: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(all pairs, those of them that weren't in ``every`` or are in ``new``): each round joins just what the last one found with all pairs.
+
+    If both begin with the edges, all pairs after a round are those up to twice as far apart as before, and the new ones have every
+    pair that is just as far apart as the last round reached. A longer way begins with one of these, so new pairs are only
+    joined upwards. ``stored`` pairs that were there before may stand before new ones, so these are joined downwards too.
+    """
     added = new
     while not new.isEmpty():
-        up = new.alias("a").join(every.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
-        down = every.alias("a").join(new.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
-        new = written(up.unionByName(down).distinct().join(every, ["node", "ancestor"], "left_anti"), "round")
+        more = new.alias("a").join(every.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor")
+        if stored:
+            more = more.unionByName(every.alias("a").join(new.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor"))
+        new = written(more.distinct().join(every, ["node", "ancestor"], "left_anti"), "round")
         every, added = every.unionByName(new), added.unionByName(new)
     return every, added
 
@@ -45,7 +51,7 @@ def closure_delta(closure: DataFrame, edges: DataFrame, reflexive: bool = True)
     """
     edges, stored = _pairs(edges), closure.select("node", "ancestor")
     first = written(edges.join(stored, ["node", "ancestor"], "left_anti"), "round")
-    _, added = _found(stored.unionByName(first), first)
+    _, added = _found(stored.unionByName(first), first, stored=True)
     if not reflexive:
         return added
     nodes = edges.select("node").unionByName(edges.select(F.col("ancestor").alias("node"))).distinct()
@@ -127,7 +133,6 @@ def verified_path_edges(paths: DataFrame, axioms: DataFrame, module: str) -> Dat
 def composition_reach(assertions: DataFrame, bindings: DataFrame) -> DataFrame:
     """assertion_id, schema_id: the schemas that an assertion reaches through fillers that are assertions, its own included."""
     edges = bindings.filter("filler_kind = 'assertion'").select(F.col("assertion_id").alias("child"), F.col("filler_id").alias("parent"))
-    closure = ancestor_closure(edges)
     own = assertions.select(F.col("assertion_id").alias("node"), F.col("assertion_id").alias("ancestor"))
-    every = closure.unionByName(own).distinct()
+    every = ancestor_closure(edges, reflexive=False).unionByName(own)
     return every.join(assertions.select(F.col("assertion_id").alias("ancestor"), "schema_id"), "ancestor").select(F.col("node").alias("assertion_id"), "schema_id").distinct()

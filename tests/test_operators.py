@@ -379,3 +379,28 @@ def test_identity_of_all_modules_and_attribution(spark):
     kept = "\n".join(x.rstrip() for x in notice.split("\n"))
     assert got["m"].attribution.endswith("Exact source license notice:\n" + kept) and "Source module: m (f00)\nAcknowledgement: Thanks.\n" in got["m"].attribution
     assert got["m"].notice_sha256 == __import__("hashlib").sha256(kept.encode()).hexdigest() and got["other"].attribution is None
+
+
+def test_closure_of_random_graphs(spark):
+    """Chains, cycles and branches of random edges, against a walk from each node; a closure that is added to has the same pairs."""
+    import random
+
+    for seed in (1, 2):
+        r = random.Random(seed)
+        pairs = sorted({(r.randrange(40), r.randrange(40)) for _ in range(45)} | {(n, n + 1) for n in range(100, 113)})
+        up, want = {}, set()
+        for a, b in pairs:
+            up.setdefault(a, []).append(b)
+        for a in up:
+            front = list(up[a])
+            while front:
+                b = front.pop()
+                if (a, b) not in want:
+                    want.add((a, b))
+                    front += up.get(b, [])
+        edges = lambda some: spark.createDataFrame(some, "child int, parent int")
+        got = [tuple(x) for x in graph.ancestor_closure(edges(pairs), reflexive=False).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        old = graph.ancestor_closure(edges(pairs[::2]), reflexive=False)
+        added = [tuple(x) for x in graph.closure_delta(old, edges(pairs[1::2]), reflexive=False).collect()]
+        assert {tuple(x) for x in old.collect()} | set(added) == want

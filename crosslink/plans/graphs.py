@@ -174,6 +174,7 @@ def validate_catalog(t):
 def _pack(t):
     """The catalog as a pack with its provenance, in which something of each kind is wrong."""
     made = _catalog(t)
+    made = {n: written(made[n], n) for n in ("predicate_types", "predicate_role_edges", "entity_types", "constraints", "hierarchy_edges")}  # each is read many times
     predicates, roles, types, limits = (made[n] for n in ("predicate_types", "predicate_role_edges", "entity_types", "constraints"))
     hierarchy = made["hierarchy_edges"].select(*[F.concat(F.lit("lc:sumo_type."), c).alias(f"{c}_id") for c in ("child", "parent")])
     row = lambda df, kind, key, id_, relation: df.select(id_.alias("canonical_id"), F.lit(kind).alias("canonical_kind"), F.lit(key).alias("source_key"), id_.alias("source_id"), F.lit(relation).alias("relation"))

@@ -138,3 +138,30 @@ def test_window_mean_at_the_limit(spark, tmp_path):
     out = streams.window_features(spark.readStream.schema(schema).parquet(path), ["user"], "ts", "value", 50.0, 10.0)
     out.writeStream.format("memory").queryName("k3limit").outputMode("append").trigger(availableNow=True).start().awaitTermination(200)
     assert [(r.n, r.mean, r.prediction) for r in spark.table("k3limit").collect()] == [(len(values), 40.0, "no_contact")]
+
+
+def test_keys_in_few_groups(spark, tmp_path):
+    """Keys that share their state are paired, kept and let go each by itself while the watermark moves on; the state grows by groups, not by keys."""
+    spark = rocks(spark)
+    path, schema = str(tmp_path / "e"), "user long, ts timestamp, label string, n long"
+    hour, users, n = 3_600_000_000, 60, F.col("id")
+    at = F.lit(1_700_000_000_000_000) + n * (hour // 40) + F.pmod(n * 7919, F.lit(200)) * (hour // 400)  # up to half an hour out of order
+    user = F.when(n % users > 0, n % users)  # one key is null
+    n_ = F.when(n % 11 > 0, 2**60 + n % 3)  # whole numbers beyond a double, or none
+    ev = spark.range(2360).filter("(id % 60) not between 20 and 29 or id < 600 or id > 1500").select(user.alias("user"), F.timestamp_micros(at).alias("ts"), F.when(n % 7 > 0, F.concat(F.lit("l"), n % 5)).alias("label"), n_.alias("n"))
+    for first in range(0, 60, 10):  # files in order of time, six batches
+        part = ev.filter(F.unix_micros("ts").between(1_700_000_000_000_000 + first * hour, 1_700_000_000_000_000 + (first + 10) * hour - 1))
+        part.repartition(1).write.mode("append").parquet(path)
+    tick = "select cast(null as bigint) user, timestamp '2100-01-01' ts, cast(null as string) label, cast(null as bigint) n"
+    spark.sql(tick).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = streams.alternation(reader, "user", "ts", "label", "n", "1 hour", "5 hours", groups=4).writeStream.format("memory").queryName("k5groups").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination(200)
+    want = windows.intervals(ev.filter("label is not null"), ["user"], "ts", "label", ["n"]).filter("end - start <= interval 5 hours")
+    want = want.select(F.col("user").cast("string").alias("key"), "start", "end", "first", "second", (F.col("first") == F.col("second")).alias("repeated"))
+    known = lambda df: sorted(pairs(df.fillna("none", ["key"])))
+    assert known(spark.table("k5groups")) == known(want) and want.count() > 1500
+    progress = [p for p in query.recentProgress if p.stateOperators]
+    assert len([p for p in progress if p.numInputRows]) == 7
+    assert max(p.stateOperators[0].numRowsTotal for p in progress) < users < want.select("key").distinct().count() + 1
+    assert progress[-1].stateOperators[0].numRowsTotal == 0

@@ -404,3 +404,19 @@ def test_closure_of_random_graphs(spark):
         old = graph.ancestor_closure(edges(pairs[::2]), reflexive=False)
         added = [tuple(x) for x in graph.closure_delta(old, edges(pairs[1::2]), reflexive=False).collect()]
         assert {tuple(x) for x in old.collect()} | set(added) == want
+
+
+def test_resolve_profile(spark, tmp_path):
+    """Repeats give one row, their smallest grounded role; local roles that a compact file unfolds to are neither sent whole to tasks nor gathered before they are dealt."""
+    path = str(tmp_path / "schemas")
+    spark.range(2000).withColumnRenamed("id", "schema_id").write.parquet(path)
+    schemas = spark.read.parquet(path)
+    roles = F.array(*[F.struct(F.lit(a).alias("local_role"), F.lit(b).cast("string").alias("grounded_role")) for a, b in (("a", "z"), ("a", None), ("a", "x"), ("b", None), ("c", "y"))])
+    local = schemas.select("schema_id", F.explode(roles).alias("r")).select("schema_id", "r.*")
+    asked = F.array(*[F.struct(F.lit(a).alias("local_role"), F.lit(b).alias("expected_role")) for a, b in (("a", "x"), ("b", "x"), ("c", "x"), ("d", "x"))])
+    profile = schemas.select("schema_id", F.lit("r").alias("consumer_role"), F.explode(asked).alias("r")).select("schema_id", "consumer_role", "r.*")
+    out = match.resolve_profile(profile, local)
+    got = {tuple(r) for r in out.groupBy("local_role", "grounded_role", "status").count().collect()}
+    assert got == {("a", "x", "resolved", 2000), ("b", None, "ungrounded", 2000), ("c", "y", "mismatch", 2000), ("d", None, "unknown_local_role", 2000)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Aggregate" not in plan

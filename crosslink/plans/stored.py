@@ -50,6 +50,14 @@ def in_ranges(t):
     return spark
 
 
+def with_state(t):
+    """A session with the state store of transformWithState and, as each partition has a store of its own, as many shuffle partitions as the caller's."""
+    spark, parts = t.spark.newSession(), "spark.sql.shuffle.partitions"
+    for name, value in (streams.ROCKS, (parts, t.spark.conf.get(parts))):
+        spark.conf.set(name, value)
+    return spark
+
+
 def folder_of(path="path"):
     """The folder's number in a path."""
     return F.regexp_extract(path, "folder=([0-9]+)", 1).cast("long").alias("folder")
@@ -405,7 +413,5 @@ def stream_gaps(t):
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE until - ts <= INTERVAL 20 DAY""")
 def stream_alternation(t):
     """Events of a user in pairs, from batches of files in no order of time; the last event waits in the state until the next one comes."""
-    session = t.spark.newSession()
-    session.conf.set(*streams.ROCKS)
-    rows = streams.alternation(ticking(t, t.events, "events", "ts", session), "user_id", "ts", "event_type", "event_id", "4000 days", "20 days")
+    rows = streams.alternation(ticking(t, t.events, "events", "ts", with_state(t)), "user_id", "ts", "event_type", "event_id", "4000 days", "20 days")
     return drained(t, rows, "pairs").select("key", F.unix_timestamp("start").alias("start"), "first", "second")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from crosslink.functions.values import band
 from crosslink.operators import match, windows
-from crosslink.plans import matching
+from crosslink.plans import matching, stored
 from crosslink.plans.base import Tables, matched
 from crosslink.streaming import streams
 
@@ -165,3 +165,10 @@ def test_keys_in_few_groups(spark, tmp_path):
     assert len([p for p in progress if p.numInputRows]) == 7
     assert max(p.stateOperators[0].numRowsTotal for p in progress) < users < want.select("key").distinct().count() + 1
     assert progress[-1].stateOperators[0].numRowsTotal == 0
+
+
+def test_partitions_of_the_state(spark, sf_dir):
+    """The session of a stream with state has the caller's number of partitions, also when it was set on the session."""
+    caller = spark.newSession()
+    caller.conf.set("spark.sql.shuffle.partitions", "3")
+    assert stored.with_state(Tables(caller, sf_dir)).conf.get("spark.sql.shuffle.partitions") == "3"

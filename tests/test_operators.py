@@ -341,6 +341,31 @@ def test_labels_of_several_words(spark):
     assert rows(match.mirror_pairs(same)) == {(1, 3, "equal"), (1, 7, "equal")}
 
 
+def test_copies_that_name_each_other(spark):
+    """Copies stand for each other: the rows of mirror_pairs, spread over the copies, are all pairs that name each other."""
+    kinds = [("the", "The order F"), ("the", "the order, O"), ("The", "the order f!"), ("k1", "the k2"), ("k2", "of K1"), ("x", "y"), ("y", "the x"), ("z", "the z z"), ("-", "the"), ("", "k1"), ("q", None)]
+    glosses = [(i - 20, *kinds[i % len(kinds)]) for i in range(40)] + [(90, "z", "z"), (91, "a b", "not a b"), (92, "a", "b not a b"), (93, "b not a", "a b")]
+    frame = spark.createDataFrame(glosses, "id int, label string, gloss string")
+    got = rows(match.mirror_pairs(frame))
+    stands = {b: a for a, b, kind in got if kind in ("copy", "mutual_copy")}
+    of = {}
+    for i, _, _ in glosses:
+        of.setdefault(stands.get(i, i), set()).add(i)
+    spread = {(min(x, y), max(x, y)) for a, b, kind in got if kind == "mutual" for x in of[a] for y in of[b]}
+    spread |= {(x, y) for a in {a for a, _, kind in got if kind == "mutual_copy"} for x in of[a] for y in of[a] if x < y}
+    assert spread == rows(match.mutual_names(frame)) and len(spread) > 100
+    assert not {a for a, _, kind in got if kind == "mutual"} & set(stands) and len([r for r in got if r[2] == "mutual"]) < 12
+    assert {kind for _, _, kind in got} == {"mutual", "mutual_copy", "copy", "equal"}
+
+
+def test_common_labels_are_paired(spark, sf_dir):
+    """Rows whose label is the commonest word name each other too."""
+    from crosslink.plans import QUERIES
+
+    got = QUERIES["mirror_pairs"](spark, sf_dir).filter("a < 0 and kind <> 'equal'").groupBy("kind").count().collect()
+    assert {r.kind: r["count"] > 0 for r in got} == {"mutual": True, "mutual_copy": True}
+
+
 def test_a_key_with_most_rows_is_in_many_ranges(spark):
     rnd = __import__("random").Random(9)
     events = [("hot" if rnd.random() < 0.9 else rnd.choice(["a", "b", None]), rnd.randrange(300), rnd.choice("xy"), i) for i in range(1500)] + [("single", 1, "x", -1)]
